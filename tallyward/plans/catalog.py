@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import catalog_money, catalog_text
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**catalog_money.QUERIES, **catalog_text.QUERIES}
+ORACLE_SQL: dict[str, str] = {**catalog_money.ORACLE_SQL, **catalog_text.ORACLE_SQL}

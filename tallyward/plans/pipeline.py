@@ -40,22 +40,38 @@ class Masters:
     orders: DataFrame
 
 
-def read(segments: DataFrame) -> DataFrame:
-    """``segments`` with classification, fields of payable ones, facts and the canonical payload; each null past the first decline."""
-    out = segments.withColumn("classification", classify.verdict(F.col("text")))
-    out = out.withColumn("fields", F.when(classify.payable(F.col("classification")), extract.fields(F.col("text"))))
-    out = out.withColumn("fields", F.when(extract.any_field(F.col("fields")), F.col("fields")))
-    out = out.withColumn("facts", F.when(F.col("fields").isNotNull(), model.facts_of(F.col("fields"), F.col("classification.doc_class"))))
-    return out.withColumn("canonical", F.when(F.col("facts").isNotNull(), model.canonical(F.col("facts"))))
+def reading(text: Column) -> Column:
+    """``struct<classification, fields, facts, canonical, early>`` of a text, each null past the first decline.
+
+    early: ``struct<doc_type, reason>`` of what never becomes a candidate, null for candidates.
+    Each step is bound once, so that filters on the outcome don't multiply the steps before it.
+    """
+    only = lambda condition, value: F.when(condition, value)
+
+    def early(c: Column, f: Column, x: Column, k: Column) -> Column:
+        entry = lambda reason: F.struct(c["doc_type"].alias("doc_type"), reason.alias("reason"))
+        return (F.when(~classify.payable(c), entry(c["reason"]))
+                .when(f.isNull(), entry(F.lit("payable by its class, but no field was found")))
+                .when(x.isNull(), entry(F.lit("payable by its class, but there is no usable gross")))
+                .when(k.isNull(), entry(F.lit("no structure reproduces the stated gross"))))
+
+    def whole(c: Column, f: Column, x: Column, k: Column) -> Column:
+        return F.struct(c.alias("classification"), f.alias("fields"), x.alias("facts"), k.alias("canonical"), early(c, f, x, k).alias("early"))
 
+    def with_facts(c: Column, f: Column) -> Column:
+        return t.let(only(f.isNotNull(), model.facts_of(f, c["doc_class"])), lambda x: t.let(only(x.isNotNull(), model.canonical(x)), lambda k: whole(c, f, x, k)))
 
-def declined_early(rows: DataFrame) -> Column:
-    """``struct<doc_type, reason>`` of segments that never become candidates, null for candidates."""
-    entry = lambda reason: F.struct(F.col("classification.doc_type").alias("doc_type"), reason.alias("reason"))
-    return (F.when(~classify.payable(F.col("classification")), entry(F.col("classification.reason")))
-            .when(F.col("fields").isNull(), entry(F.lit("payable by its class, but no field was found")))
-            .when(F.col("facts").isNull(), entry(F.lit("payable by its class, but there is no usable gross")))
-            .when(F.col("canonical").isNull(), entry(F.lit("no structure reproduces the stated gross"))))
+    def with_fields(c: Column) -> Column:
+        found = t.let(only(classify.payable(c), extract.fields(text)), lambda f: only(extract.any_field(f), f))
+        return t.let(found, lambda f: with_facts(c, f))
+
+    return t.let(classify.verdict(text), with_fields)
+
+
+def read(segments: DataFrame) -> DataFrame:
+    """``segments`` with the parts of :func:`reading` as columns."""
+    kept = segments.columns
+    return segments.withColumn("reading", reading(F.col("text"))).select(*kept, "reading.*")
 
 
 def resolve(candidates: DataFrame, masters: Masters, unicode: bool = True) -> DataFrame:
@@ -102,7 +118,7 @@ def adjudicate(pages: DataFrame, files: DataFrame, masters: Masters, unicode: bo
     usable = files.where("render_error is null").select(F.col("file").alias("doc_id"), "sort_key", "file_hash")
     found = segment.without_pages(usable, segment.segments(pages))
     rows = read(found.join(usable, "doc_id")).withColumn("seq", F.struct("sort_key", F.col("doc_id").alias("file"), "seg_no"))
-    rows = rows.withColumn("early", declined_early(rows)).checkpoint()
+    rows = rows.checkpoint()
     candidates = resolve(rows.where("early is null"), masters, unicode).checkpoint()
     identity = F.coalesce(F.nullif(F.col("payload.supplier.supplier_id"), F.lit("")), F.col("payload.supplier.name"))
     proof = dedupe.evidence(candidates.select(
