@@ -128,10 +128,15 @@ def _sum(rows, weight) -> str:
 
 
 _GOVERNANCE = f"len(list_distinct(list_transform({every('t', v.GOVERNANCE)}, lambda z: lower(z))))"
-_SIGNALS = (f"{_D}, s AS (SELECT *, {_sum(v.POSITIVE, lambda r: r[1])} AS positive, {_sum(v.NEGATIVE, lambda r: 2)} AS negative, {hit('t', v.CREDIT[1])} AS credit, {hit('t', v.REVERSAL[1])} AS reversal, "
+def _signals(before: str) -> str:
+    """Scores and the deciding rung of the ladder, over a common table ``g (k, t, …)``."""
+    return (f"{before}, s AS (SELECT *, {_sum(v.POSITIVE, lambda r: r[1])} AS positive, {_sum(v.NEGATIVE, lambda r: 2)} AS negative, {hit('t', v.CREDIT[1])} AS credit, {hit('t', v.REVERSAL[1])} AS reversal, "
             f"{_GOVERNANCE} AS governance, {_sum(v.POSITIVE, lambda r: 1)} + {_sum((v.CREDIT, v.REVERSAL, v.MINUS), lambda r: 1)} + {_sum(v.NEGATIVE, lambda r: 1)} AS hits FROM g), "
             "c AS (SELECT *, CASE WHEN length(t) < 20 THEN 0 WHEN governance >= 2 THEN 1 WHEN credit AND negative = 0 AND (positive >= 1 OR reversal) THEN 2 WHEN positive >= 2 AND negative >= 2 THEN 3 "
             "WHEN negative >= 2 THEN 4 WHEN positive >= 3 THEN 5 ELSE 6 END AS rung FROM s)")
+
+
+_SIGNALS = _signals(_D)
 _CLASS = "CASE rung WHEN 1 THEN 'NON_PAYABLE' WHEN 2 THEN 'PAYABLE_CREDIT_MEMO' WHEN 4 THEN 'NON_PAYABLE' WHEN 5 THEN 'PAYABLE_INVOICE' ELSE 'AMBIGUOUS_UNSOLVABLE' END"
 _TYPE = "CASE rung WHEN 1 THEN 'internal_approval_form' WHEN 2 THEN 'credit_memo' WHEN 4 THEN 'non_payable_document' WHEN 5 THEN 'invoice' ELSE 'unknown' END"
 _ROUTE = f"{_SIGNALS}, r AS (SELECT k, {_TYPE} AS doc_type, rung IN (2, 5) AS candidate FROM c)"
@@ -163,6 +168,7 @@ ORACLE_SQL = {
                       "CAST(hits + CASE WHEN governance >= 2 THEN 1 ELSE 0 END AS INT) AS n_evidence FROM c",
     "classify_verdict": f"{_SIGNALS} SELECT k, {_CLASS} AS doc_class, {_TYPE} AS doc_type, CASE rung WHEN 0 THEN 0.0 WHEN 1 THEN 0.85 WHEN 2 THEN 0.8 WHEN 3 THEN 0.3 WHEN 4 THEN 0.75 "
                         "WHEN 5 THEN least(0.5::DOUBLE + 0.1::DOUBLE * positive, 0.95::DOUBLE) ELSE 0.2 END::DOUBLE AS confidence FROM c",
+    "classify_documents": _signals(f"WITH g AS (SELECT doc_id AS k, {strip('coalesce(text, ' + repr('') + ')')} AS t FROM documents)") + f" SELECT {_CLASS} AS doc_class, count(*) AS n FROM c GROUP BY 1",
     "decline_route": f"{_ROUTE} SELECT k, CASE WHEN candidate THEN '' ELSE doc_type END AS doc_type, candidate, CASE WHEN candidate THEN 'baseline' ELSE '' END AS hypothesis FROM r",
     "disposition_report": f"{_ROUTE}, o AS (SELECT CASE WHEN candidate THEN 'booked' ELSE 'declined' END AS d, CASE WHEN candidate THEN 'candidate' ELSE doc_type END AS r FROM r) "
                           "SELECT coalesce(d, 'all') AS disposition, coalesce(r, 'all') AS reason, count(*) AS n FROM o GROUP BY ROLLUP (d, r)",
