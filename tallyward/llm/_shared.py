@@ -7,10 +7,13 @@ lineage or tables written to the folder that all machines share
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,6 +62,39 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str, row_by
     return big.join(small, on, how)
 
 
+#: Rows of an Arrow batch that a task works on at a time.
+SLICE_ROWS = 1000
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` over slices of bounded rows, giving memory back to the system at a task's end.
+
+    Python workers outlive their tasks; what a task has freed must not count against the next stage.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(part for batch in batches for part in _slices(batch))
+        finally:
+            _release()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, SLICE_ROWS):
+        yield batch.slice(start, SLICE_ROWS)
+
+
+def _release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def lacking(df: DataFrame, columns: Iterable[tuple[str, T.DataType]]) -> DataFrame:
     """``df`` reduced to the named columns, cast to their types."""
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns])

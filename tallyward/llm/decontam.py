@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import lacking
+from ._shared import lacking, mapped
 
 WINDOW = 10
 #: Characters of benchmark text in one automaton, which takes some 100 bytes for each.
@@ -169,7 +169,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shard_chars:
                  pa.array([sorted(x) for _, _, x in found], pa.list_(pa.string())), pa.array(spans, _SPANS)],
                 ["doc_id", "n_words", "runs", "items", "spans"])
 
-    return lacking(docs, [("doc_id", "long"), ("text", "string")]).mapInArrow(run, _SCHEMA)
+    return mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, _SCHEMA)
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
             found = _scan_all(batch.column(at).to_pylist(), groups, size)
             yield batch.filter(pa.array([not runs for _, runs, _ in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 #: The same in DuckDB's SQL, over the views ``documents`` and ``benchmark``.

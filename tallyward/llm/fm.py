@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import held_out, lacking
+from ._shared import held_out, lacking, mapped
 
 #: Bound of the training sample, in labelled rows.
 MAX_TRAIN_ROWS = 12_000
@@ -139,7 +139,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, features: Features,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([features(t.as_py() or "").astype(np.uint32).tobytes() for t in batch.column(1)], pa.binary())], ["y", "x"])
 
-    got = sorted({(r["y"], bytes(r["x"])) for r in rows.mapInArrow(run, "y int, x binary").collect()})  # copies count once
+    got = sorted({(r["y"], bytes(r["x"])) for r in mapped(rows, run, "y int, x binary").collect()})  # copies count once
     return [np.frombuffer(x, np.uint32) for _, x in got], np.array([y for y, _ in got], float)
 
 
@@ -152,7 +152,7 @@ def scorer(docs: DataFrame, model: FactorizationMachine, features: Features, cut
             scores = [shared.value.score(features(t.as_py() or "")) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    scored = lacking(docs, [("doc_id", "long"), ("text", "string")]).mapInArrow(run, "doc_id long, score double")
+    scored = mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, "doc_id long, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= F.lit(cutoff)).cast("int").alias("predicted"))
 
@@ -166,4 +166,4 @@ def keep_where(docs: DataFrame, model: FactorizationMachine, features: Features,
         for batch in batches:
             yield batch.filter(pa.array([kept(shared.value.score(features(t.as_py() or ""))) for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

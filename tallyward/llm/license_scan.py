@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._shared import lacking
+from ._shared import lacking, mapped
 
 # Licence sentences in normalised form, as patterns that must match the
 # whole sentence, with the identifier each stands for; "(v)" is where a version stands.
@@ -172,5 +172,6 @@ def scan(docs: DataFrame) -> DataFrame:
                 spans.append(",".join(f"{n}:{a}:{b}" for n, a, b in found))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.string()) for x in (names, ids, spans))], ["doc_id", "licenses", "sentence_ids", "spans"])
 
-    return lacking(docs, [("doc_id", "long"), ("text", "string")]).mapInArrow(
+    return mapped(
+        lacking(docs, [("doc_id", "long"), ("text", "string")]),
         run, "doc_id long, licenses string, sentence_ids string, spans string")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ._shared import lacking
+from ._shared import lacking, mapped
 
 CAPACITY = 2048
 END_MARK = 1
@@ -182,4 +182,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
         if rows:
             yield out()
 
-    return lacking(docs, [("doc_id", "long"), ("text", "string")]).mapInArrow(run, schema)
+    return mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, schema)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BROADCAST_BYTES, lacking, own_name, written
+from ._shared import BROADCAST_BYTES, lacking, mapped, own_name, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Added kind of span.
@@ -130,7 +130,7 @@ def mentions(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(entities, pa.int64()), pa.array(contexts, pa.int64()), pa.array(terms, pa.list_(pa.string()))],
                                              ["entity", "context", "terms"])
 
-    return lacking(docs, [("text", "string")]).mapInArrow(run, "entity long, context long, terms array<string>")
+    return mapped(lacking(docs, [("text", "string")]), run, "entity long, context long, terms array<string>")
 
 
 def _document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def _document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
                         counts[term] = counts.get(term, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
 
-        partial = lacking(docs, [("text", "string")]).mapInArrow(run, "term string, n long")
+        partial = mapped(lacking(docs, [("text", "string")]), run, "term string, n long")
         return partial.groupBy("term").agg(F.sum("n").alias("n_t"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def _document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
             for value in batch.column(0):
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(set(_terms(value.as_py() or ""))), pa.string())], ["term"])
 
-    seen = lacking(docs, [("text", "string")]).mapInArrow(each, "term string").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    seen = mapped(lacking(docs, [("text", "string")]), each, "term string").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     return seen.join(candidates, "term", "left_semi")
 
 
@@ -214,7 +214,7 @@ def _attach(docs: DataFrame, terms: DataFrame) -> tuple[DataFrame, str | None, o
                     entities.append(e)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(entities, pa.int64())], [key, "entity"])
 
-    found = lacking(docs, [("doc_id", "long"), ("text", "string")]).mapInArrow(run, f"{key} long, entity long").distinct()
+    found = mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, f"{key} long, entity long").distinct()
     listed = found.join(terms, "entity").groupBy(key).agg(F.collect_set(F.struct("entity", "term")).alias(column))
     return docs.join(listed, docs["doc_id"].eqNullSafe(listed[key]), "left").drop(key), column, None
 
@@ -240,7 +240,7 @@ def spans(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, alpha: float = ALPH
                     for text, cell in zip(batch.column(1), cells, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], ["doc_id", "spans"])
 
-    return joined.mapInArrow(run, "doc_id long, spans array<struct<start:long,end:long,kind:string>>")
+    return mapped(joined, run, "doc_id long, spans array<struct<start:long,end:long,kind:string>>")
 
 
 def sanitised(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, alpha: float = ALPHA) -> DataFrame:
@@ -266,7 +266,7 @@ def sanitised(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, alpha: float =
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return mapped(joined, run, docs.schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bitslice
-from ._shared import BROADCAST_BYTES, lacking, own_name, written
+from ._shared import BROADCAST_BYTES, lacking, mapped, own_name, written
 from .components import connected_components
 
 #: Bits that linked fingerprints may differ in, and blocks that they share.
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             values = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
 
-    return lacking(docs, [("doc_id", "long"), ("text", "string")]).mapInArrow(run, "doc_id long, fp long")
+    return mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, "doc_id long, fp long")
 
 
 def _bucket_keys(fp: Column, radius: int, agree: int) -> Column:
@@ -173,8 +173,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, agree: int = AGREE, tile: int
                         lambda other: F.least(F.col("chunk"), other) * F.col("chunks") + F.greatest(F.col("chunk"), other))
     rows = (dealt.join(sizes, "key").withColumn("chunks", chunks).withColumn("chunk", mine)
             .select("key", F.explode(tiles).alias("tile"), "fp"))
-    return (rows.repartition(F.col("key"), F.col("tile")).sortWithinPartitions("key", "tile")
-            .mapInArrow(_compare(radius), "u long, v long"))
+    return mapped(rows.repartition(F.col("key"), F.col("tile")).sortWithinPartitions("key", "tile"), _compare(radius), "u long, v long")
 
 
 def components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BROADCAST_BYTES, lacking, scratch_path, written
+from ._shared import BROADCAST_BYTES, lacking, mapped, scratch_path, written
 
 #: Payloads below this many bytes are never revisits.
 MIN_REVISIT = 1000
@@ -108,7 +108,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             _finish(target, own, f"{path}/{name}")
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count], pa.int64())], ["archive", "records"])
 
-    return pages.mapInArrow(run, "archive string, records long")
+    return mapped(pages, run, "archive string, records long")
 
 
 class _Inflated:
@@ -193,7 +193,7 @@ def normalise_archives(archives: DataFrame, folder: str, target_folder: str) ->
                 count = normalise(source, f"{path}/{name}", f"{goal}/{name}")
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count], pa.int64())], ["archive", "records"])
 
-    return archives.select("archive").mapInArrow(run, "archive string, records long")
+    return mapped(archives.select("archive"), run, "archive string, records long")
 
 
 def read_records(archives: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
@@ -234,7 +234,7 @@ def read_records(archives: DataFrame, folder: str, with_payload: bool = False) -
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)],
                                                  [f.split()[0] for f in schema.split(", ")] + ["payload"] * with_payload)
 
-    return stretches.repartition("archive", "begin").mapInArrow(run, schema + ", payload binary" * with_payload)
+    return mapped(stretches.repartition("archive", "begin"), run, schema + ", payload binary" * with_payload)
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
