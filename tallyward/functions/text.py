@@ -13,6 +13,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A page's own text counts if it has this many characters and this share of letters and digits.
 MIN_TEXT_CHARS, MIN_ALNUM_SHARE = 15, 0.3
@@ -51,12 +52,12 @@ def blank_to_null(value: Column | str) -> Column:
     return F.nullif(col(value), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _compatible(values: pd.Series) -> pd.Series:
     return values.map(lambda s: unicodedata.normalize("NFKC", s), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _folded(values: pd.Series) -> pd.Series:
     return values.map(str.casefold, na_action="ignore")
 
@@ -114,7 +115,7 @@ def hash_form(value: Column | str) -> Column:
     return F.lower(collapse(F.coalesce(col(value), F.lit(""))))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(new: pd.Series, prior: pd.Series) -> pd.Series:
     """Share of matching blocks, in this order of arguments; null if either is null."""
     return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(new, prior, strict=True)], dtype="float64")
