@@ -67,23 +67,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: in
     constant = FactorizationMachine(np.zeros(0, np.uint32), float(np.log(prior / (1 - prior))), np.zeros(0), np.zeros((0, rank)))
     if ones in (0, n):
         return constant
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
-    keys, at = np.unique(flat, return_inverse=True)
-    seen = np.bincount(at, minlength=len(keys)).astype(float)
-    hit = np.bincount(at, weights=labels[owner], minlength=len(keys))
+    # counts by sorting the bare hashes; positions are kept for the chosen features alone
+    keys, seen = np.unique(np.concatenate(rows), return_counts=True)
+    own, own_seen = np.unique(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y > 0]), return_counts=True)
+    seen, hit = seen.astype(float), np.zeros(len(keys))
+    hit[np.searchsorted(keys, own)] = own_seen
     expected = seen * ones / n
     spread = seen * (1 - seen / n) * (ones / n) * (1 - ones / n)
     chi2 = np.where(spread > 0, (hit - expected) ** 2 / np.maximum(spread, 1e-9), 0)
     good = np.flatnonzero((chi2 >= MIN_CHI2) & (seen >= MIN_ROWS))
     if not len(good):
         return constant
-    good = np.sort(good[np.argsort(-chi2[good], kind="stable")[:MAX_FEATURES]])
-    new = np.full(len(keys), -1)
-    new[good] = np.arange(len(good))
-    held = new[at] >= 0
-    column, row = new[at][held], owner[held]
-    starts = np.searchsorted(row, np.arange(n + 1))
+    good = keys[np.sort(good[np.argsort(-chi2[good], kind="stable")[:MAX_FEATURES]])]
+    del keys, seen, hit, own, own_seen, expected, spread, chi2
+    at = [np.minimum(np.searchsorted(good, r), len(good) - 1) for r in rows]
+    at = [i[good[i] == r].astype(np.int32) for i, r in zip(at, rows, strict=True)]
+    column, starts = np.concatenate(at), np.concatenate([[0], np.cumsum([len(i) for i in at])])
+    del at
 
     random = np.random.default_rng(seed)
     bias, w, v = 0.0, np.zeros(len(good)), random.normal(0, 0.02, (len(good), rank))
@@ -115,7 +115,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: in
             bias -= rate * error.sum() / np.sqrt(gb)
             w[used] -= rate * dw / np.sqrt(gw[used])
             v[used] -= rate * dv / np.sqrt(gv[used])
-    return FactorizationMachine(keys[good], float(bias), w, v)
+    return FactorizationMachine(good, float(bias), w, v)
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, features: Features,
