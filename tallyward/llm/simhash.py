@@ -63,15 +63,21 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def text_key(text: Column) -> Column:
+    """Tells texts apart that stand under one id."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` per row; fp is the fingerprint's bits as a signed long."""
+    """``(doc_id, key, fp)`` per row; fp is the fingerprint's bits as a signed long, key the text's :func:`text_key`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, "doc_id long, fp long")
+    slim = lacking(docs, [("doc_id", "long"), ("text", "string")]).withColumn("key", text_key(F.col("text")))
+    return mapped(slim, run, "doc_id long, key long, fp long")
 
 
 def _bucket_keys(fp: Column, radius: int, agree: int) -> Column:
@@ -177,7 +183,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, agree: int = AGREE, tile: int
 
 
 def components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(doc_id, fp, component_id)`` per row of ``docs``; component_id: the smallest doc_id reachable."""
+    """``(doc_id, key, fp, component_id)`` per row of ``docs``; component_id: the smallest doc_id reachable."""
     marked = written(fingerprints(docs), "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     roots = connected_components(links(nodes.select("fp"), radius))
@@ -185,7 +191,7 @@ def components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = grouped.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(named, "fp").select("doc_id", "key", "fp", "component_id")
 
 
 def as_hex(fp: Column) -> Column:
@@ -197,10 +203,12 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns.
 
     Rows without an id can't be told apart from others of their group; they stay.
-    Of rows that share the kept id, all stay.
+    Rows that share an id are judged by their own texts; of those that share the kept
+    id within a group, all stay.
     """
-    name = own_name(docs, "gone_id")
-    gone = written(components(docs, radius).where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    name, key = own_name(docs, "gone_id"), own_name(docs, "gone_key")
+    gone = written(components(docs, radius).where("doc_id <> component_id")
+                   .select(F.col("doc_id").alias(name), F.col("key").alias(key)).distinct(), "gone")
     if gone.count() * 64 <= BROADCAST_BYTES:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone[name]) & (text_key(docs["text"]) == gone[key]), "left_anti")
