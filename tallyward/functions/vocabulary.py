@@ -60,7 +60,6 @@ DATES = r"(?U)\b(\d{4}-\d{2}-\d{2})\b|\b(\d{1,2}\.\d{1,2}\.\d{4})\b|\b(\d{1,2}/\
 _DATED = r"\s*[:\-]?\s*(\d{1,4}[./\-]\d{1,2}[./\-]\d{1,4})"
 INVOICE_DATE = r"(?iU)\b(?:invoice\s*date|date\s*of\s*issue|rechnungsdatum|kuupäev|kuup(?:ä|a)ev|arve\s*kuup(?:ä|a)ev)\b" + _DATED
 DUE_DATE = r"(?iU)\b(?:due\s*date|payment\s*due|maksetähtaeg|maksetahtaeg|f[äa]lligkeitsdatum|vencimento)\b" + _DATED
-_NAMED = r"\b\s*[:\-]?\s*\n?\s*"
 _NAME = r"\s*[:\-]?\s*\n?\s*([A-Z][A-Za-z0-9&.,\-\s]{2,60}?)(?:\n|$)"
 SUPPLIER = r"(?iU)\b(?:supplier|vendor|seller|from|bill\s*from|m[uü][uü]ja|lieferant)" + _NAME
 BUYER = r"(?iU)\b(?:buyer|customer|bill\s*to|sold\s*to|ostja|rechnungsempf[äa]nger)" + _NAME
@@ -78,4 +77,3 @@ RATED_TAX = r"(?iU)\b(VAT|IVA|MwSt|GST|SST|K[äa]ibemaks|Tax)(?-iU:(?![a-z]))\D{
 TOTAL_TAX = r"(?iU)\bTOTAL\s*(VAT|IVA|MwSt|GST|SST|Tax)(?-iU:(?![a-z]))\s*[:\-]?\s*([\d.,]++)(?!\s*%)"
 NET_BASE = r"(?iU)\bsumma\s*km[\s\-]*ta\s*(?:\d{1,2}(?:[.,]\d+)?\s*%)?\D{0,10}?([\-\d.,]+)"
 KM_RATE = r"(?iU)\bkm\s*(\d{1,2}(?:[.,]\d+)?)\s*%\D{0,10}?([\-\d.,]+)"
-del _NAMED

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from .shared import checkpointed
 
 # Near-equal texts, to remark on and to decline.
 ADVISORY, DECLINE = 0.92, 0.97
@@ -112,14 +113,14 @@ def settle(rows: DataFrame, rounds: int = 200) -> DataFrame:
     strongest tier with a booked predecessor, the match its first.  Each round ends in
     a checkpoint in the folder all machines share.
     """
-    near = near_texts(rows).checkpoint()
+    near = checkpointed(near_texts(rows))
     own = ["seq", "file", "file_hash", "content_hash", "business_key", *MONEY, "bookable", "copy_label"]
-    state = rows.select(*own, F.lit("open").alias("state")).checkpoint()
+    state = checkpointed(rows.select(*own, F.lit("open").alias("state")))
     for _ in range(rounds):
         found = _predecessors(state, near)
         any_of = lambda end: F.coalesce(*[F.col(f"{m}_{end}") for m in METHODS]).isNotNull()
         new = (F.when(any_of("b"), F.lit("dup")).when(any_of("o"), F.lit("open")).when(F.col("bookable"), F.lit("booked")).otherwise(F.lit("dropped")))
-        state = found.select(*own, F.when(F.col("state") == "open", new).otherwise(F.col("state")).alias("state")).checkpoint()
+        state = checkpointed(found.select(*own, F.when(F.col("state") == "open", new).otherwise(F.col("state")).alias("state")))
         if state.where("state = 'open'").isEmpty():
             break
     else:

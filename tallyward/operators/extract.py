@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as v
-from ..functions.text import captured, let, present, strip
+from ..functions.text import captured, let, strip
 
 RAW_TAX = "struct<tax_type:string,tax_rate_raw:string,tax_amount_raw:string>"
 TEXT_FIELDS = ("invoice_number", "po_number", "currency", "invoice_date_raw", "due_date_raw", "supplier_name", "buyer_name", "supplier_vat_id",
@@ -114,5 +114,3 @@ def line_agrees(quantity: Column, price: Column, total: Column, absolute: float
     share = F.when(total != 0, off / F.abs(total)).otherwise(F.lit(float("inf")))
     return ((total == 0) & (quantity * price == 0)) | (off <= absolute) | (share <= relative)
 
-
-__all__ = ["any_field", "fields", "line_agrees", "present", "unglued"]

@@ -17,9 +17,12 @@ def identities(top: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(top, F.lit(v.IDENTITY), F.lit(0)), F.lower)))
 
 
-def boundaries(pages: DataFrame) -> DataFrame:
+def boundaries(pages: DataFrame, suggested: str | None = None) -> DataFrame:
     """``pages (doc_id, page_number, text)`` with ``opens``: whether a new document begins, and ``evidence`` for it.
 
+    ``suggested`` names a boolean column of ``pages`` that decides instead where it isn't
+    null, such as a language model's answer.
+
     A page opens one if a title stands at its top that the page before lacks, or a
     new identity beside any title.  The first page and pages without text never do.
     """
@@ -30,20 +33,23 @@ def boundaries(pages: DataFrame) -> DataFrame:
     new_titles = F.array_except("titles", "titles_before")
     new_ids = F.array_except("ids", "ids_before")
     has = lambda x: F.size(x) > 0
-    opens = F.col("titles_before").isNotNull() & t.present("top") & (has(new_titles) | (has(new_ids) & has("titles")))
+    later = F.col("titles_before").isNotNull()
+    opens = later & t.present("top") & (has(new_titles) | (has(new_ids) & has("titles")))
+    if suggested:
+        opens = later & F.coalesce(F.col(suggested), opens)
     listed = lambda label, x: F.when(has(x), F.concat(F.lit(label), F.array_join(x, ", ")))
     evidence = F.array_compact(F.array(listed("new title at page top: ", new_titles), listed("distinct identity at page top: ", new_ids)))
     return seen.select("doc_id", "page_number", "text", "titles", "ids", F.coalesce(opens, F.lit(False)).alias("opens"),
                        F.when(F.coalesce(opens, F.lit(False)), evidence).otherwise(F.array().cast("array<string>")).alias("evidence"))
 
 
-def segments(pages: DataFrame) -> DataFrame:
+def segments(pages: DataFrame, suggested: str | None = None) -> DataFrame:
     """One row per document found in each file: ``doc_id, seg_no, page_numbers, role_hint, confidence, evidence, text``.
 
     Each page is in exactly one.  The text joins the pages that have any, in page order.
     """
     order = Window.partitionBy("doc_id").orderBy("page_number")
-    numbered = boundaries(pages).withColumn("seg_no", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)) + 1)
+    numbered = boundaries(pages, suggested).withColumn("seg_no", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)) + 1)
     whole = Window.partitionBy("doc_id")
     grouped = (numbered.groupBy("doc_id", "seg_no")
                .agg(F.array_sort(F.collect_list(F.struct("page_number", "text", "evidence"))).alias("p"))

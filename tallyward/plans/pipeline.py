@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions import values as n
 from ..operators import classify, dedupe, extract, match, model, rules, segment
+from ..operators.shared import checkpointed
 
 PAYABLE_FIELDS = (
     "invoice_type", "currency", "line_items", "taxes", "discount_amount", "freight_charges", "insurance_charges", "extra_charges", "excise_duties", "gross_total",
@@ -118,8 +119,8 @@ def adjudicate(pages: DataFrame, files: DataFrame, masters: Masters, unicode: bo
     usable = files.where("render_error is null").select(F.col("file").alias("doc_id"), "sort_key", "file_hash")
     found = segment.without_pages(usable, segment.segments(pages))
     rows = read(found.join(usable, "doc_id")).withColumn("seq", F.struct("sort_key", F.col("doc_id").alias("file"), "seg_no"))
-    rows = rows.checkpoint()
-    candidates = resolve(rows.where("early is null"), masters, unicode).checkpoint()
+    rows = checkpointed(rows)
+    candidates = checkpointed(resolve(rows.where("early is null"), masters, unicode))
     identity = F.coalesce(F.nullif(F.col("payload.supplier.supplier_id"), F.lit("")), F.col("payload.supplier.name"))
     proof = dedupe.evidence(candidates.select(
         "seq", F.col("doc_id").alias("file"), "file_hash", F.col("text").alias("full_text"), identity.alias("supplier_identity"), "payload.invoice_number",

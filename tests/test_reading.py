@@ -27,6 +27,8 @@ def test_segments(spark):
     assert whole["one"] == ("whole_document", 1.0) and whole["three"] == ("detected_segment", 0.6)
     filled = segment.without_pages(spark.createDataFrame([("one",), ("none",)], "doc_id string"), got)
     assert [r["page_numbers"] for r in filled.where("doc_id = 'none'").collect()] == [[1]]
+    told = segment.segments(rows.withColumn("told", F.when(F.col("doc_id") == "one", F.col("page_number") == 3)), "told")
+    assert [r["page_numbers"] for r in told.where("doc_id = 'one'").orderBy("seg_no").collect()] == [[1, 2], [3]] and told.where("doc_id = 'three'").count() == 3
     assert got.where("doc_id = 'blank' and seg_no = 1").first()["text"] == "INVOICE\nInvoice No: 1"
 
 
