@@ -172,6 +172,25 @@ def test_line_dedup_on_whole_table(spark):
     assert all(abs(want[d] - got[d]) < line_dedup.REACH for d in plain)
 
 
+def test_line_dedup_by_shuffles(spark, monkeypatch):
+    """The ways for tables too large to broadcast, each alone and all together, give the same."""
+    texts = planted() + awkward()
+    docs = clashing(documents(spark, texts))
+    rows = lambda: sorted(map(repr, line_dedup.report(docs).collect()))
+    whole = lambda: sorted(repr((r["doc_id"], r["text"])) for r in line_dedup.deduplicated(docs).collect())
+    expected, left = rows(), whole()
+    for limit in (0, 3_000, 10_000):
+        monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
+        assert rows() == expected and whole() == left
+
+
+def test_near_duplicates_by_shuffles(spark, monkeypatch):
+    docs = clashing(documents(spark, awkward()))
+    expected = sorted(repr((r["doc_id"], r["text"])) for r in simhash.keep_one(docs).collect())
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", 0)
+    assert sorted(repr((r["doc_id"], r["text"])) for r in simhash.keep_one(docs).collect()) == expected
+
+
 def test_winnowing_guarantee():
     w = np.array([xxhash.xxh64_intdigest(x) for x in words(9, 400)], np.uint64)
     at, _ = line_dedup.winnow(w)
