@@ -32,6 +32,8 @@ CAPACITY = 2048
 END_MARK = 1
 #: Tokens of a bin that a class may leave empty before its pieces are cut.
 SLACK = 20
+#: Tokens gathered before they are handed on.
+OUT_TOKENS = 500_000
 #: Vocabulary files, by name in the public tokenizers' folder: the same ids in two formats.
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -158,11 +160,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
         context = TaskContext.get()
         packer = HarmonicPacker(context.partitionId() if context else 0, capacity)
         rows: list[tuple] = []
+        held = [0]  # tokens in rows
 
         def take(pieces: Iterator[tuple]) -> None:
             for (doc_id, ids, total), start, length, sequence, offset in pieces:
                 part = ids[start : start + length]
-                rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), total, sequence, offset) + ((part.tolist(),) if with_ids else ()))
+                rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), total, sequence, offset) + ((part.astype(np.int32),) if with_ids else ()))
+                held[0] += length
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
@@ -170,13 +174,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
             if with_ids:
                 arrays.append(pa.array(columns[7], pa.list_(pa.int32())))
             rows.clear()
+            held[0] = 0
             return pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in schema.split(", ")])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.array([*encode(text.as_py() or ""), END_MARK], "<u4")
                 take(packer.add((doc_id, ids, len(ids)), len(ids)))
-                if len(rows) >= 20_000:
+                if len(rows) >= 20_000 or held[0] >= OUT_TOKENS:
                     yield out()
         take(packer.finish())
         if rows:
