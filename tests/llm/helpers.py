@@ -14,11 +14,11 @@ def documents(spark: SparkSession, texts: list[tuple[int | None, str | None]]) -
     return spark.createDataFrame([(i, t, None, "s", None if t is None else len(t)) for i, t in texts], SCHEMA).repartition(3)
 
 
-def awkward() -> list[tuple[int | None, str | None]]:
-    """Nulls, empties, ties, repeated rows and a very long text."""
+def awkward(long: int = 9000) -> list[tuple[int | None, str | None]]:
+    """Nulls, empties, ties, repeated rows and a very long text (``long`` sentences; SQL twins take quadratic time on it)."""
     prose = "The quick brown fox jumps over the lazy dog and runs away. "
     return [(1, prose * 3), (1, prose * 3), (2, None), (None, prose), (None, None), (3, ""), (4, " \n\t "), (5, "x"),
-            (6, prose * 9000), (7, "naïve café " * 30), (2, prose * 3), (8, "É" * 2000)]
+            (6, prose * long), (7, "naïve café " * 30), (2, prose * 3), (8, "É" * 2000)]
 
 
 def words(seed: int, n: int) -> list[str]:

@@ -25,7 +25,8 @@ def same(spark_rows, sql_rows) -> bool:
 
 
 def test_quality_rules_match_sql_on_awkward_rows(spark):
-    texts = [*awkward(), (20, "a b c a b c a b c"), (21, "x\nx\ny\n\n  \nx"), (22, "# * $ % & | < >" * 9), (23, "one two"), (24, "a a a")]
+    assert quality_rules.verdicts(documents(spark, awkward())).count() == len(awkward())
+    texts = [*awkward(60), (20, "a b c a b c a b c"), (21, "x\nx\ny\n\n  \nx"), (22, "# * $ % & | < >" * 9), (23, "one two"), (24, "a a a")]
     docs = clashing(documents(spark, texts))
     frame = docs.select("doc_id", "text").toPandas()
     frame["doc_id"] = frame["doc_id"].astype("Int64")
@@ -39,7 +40,7 @@ def test_quality_rules_are_native(spark):
 
 
 def test_quality_rules_keep_good_prose(spark):
-    out = queries.op3_quality_rules(spark, DATA).join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id")
+    out = queries.op3_quality_rules(spark, DATA).cache().join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id")
     assert out.where("quality = 1 and not base_failed and not kept").count() == 0
     assert out.where("quality = 0 and kept").count() <= 2
 
@@ -151,7 +152,7 @@ def items(spark, rows):
 def test_decontamination_matches_sql_on_awkward_rows(spark):
     w = words(21, 60)
     bench = [(1, " ".join(w[:25])), (2, "Tiny item!"), (3, " ".join(w[20:30])), (4, None), (5, ""), (6, "Tiny item!"), (7, "Ünïcode wörds, here"), (None, " ".join(w[40:52]))]
-    texts = [*awkward(), (30, "x " + ", ".join(w[:12]).upper() + " y"), (31, "tiny,item"), (32, " ".join(w[18:33])), (33, " ".join(w[3:12])), (34, "Ünïcode wörds -- here"), (35, " ".join(w[40:52])), (36, "tiny items")]
+    texts = [*awkward(60), (30, "x " + ", ".join(w[:12]).upper() + " y"), (31, "tiny,item"), (32, " ".join(w[18:33])), (33, " ".join(w[3:12])), (34, "Ünïcode wörds -- here"), (35, " ".join(w[40:52])), (36, "tiny items")]
     docs, benchmark = clashing(documents(spark, texts)), items(spark, bench)
     frames = {"documents": docs.select("doc_id", "text").toPandas(), "benchmark": benchmark.toPandas()}
     for f, c in ((frames["documents"], "doc_id"), (frames["benchmark"], "item_id")):
