@@ -4,9 +4,7 @@ A text is reflowed: a *line* is ``LINE`` consecutive words, and one begins at ev
 word, so that a passage is found wherever real line breaks fall and in the middle
 of a sentence too.  Line hashes are winnowed: of each ``WINDOW`` consecutive ones
 the least is a fingerprint.  Two texts that share ``LINE + WINDOW - 1`` words
-(``MIN_WORDS``, 50) are thereby guaranteed to share a fingerprint.  (A run is missed
-only if each fingerprint in it occurs still earlier, inside another repeat that is
-too short to delete.)
+(``MIN_WORDS``, 50) are thereby guaranteed to share a fingerprint.
 
 Fingerprints are joined with the position where each occurs first, documents in
 order of (doc_id, hash of the text).  Each such pair is extended both ways over the
@@ -15,6 +13,12 @@ occurrence.  Since a run holds a fingerprint in every window, extension never ne
 more than ``WINDOW - 1`` words on either side, so what travels are blocks of word hashes
 around first occurrences and not the text.
 
+The first occurrence may lie in another repeat that is too short, or shorter than one
+with a later occurrence.  So a fingerprint of three places or more about which words are
+left that aren't in a run goes on: each stretch of ``MIN_WORDS`` words around all its places is
+hashed, and those that occur earlier are runs too.  Thereby all repeats are found, whatever their
+earlier copies.
+
 Only fingerprints are shuffled for the search, about two in ``WINDOW + 1`` words at 20
 bytes, first pre-aggregated.  Positions go back to their documents as one row per
 document; the table of these is broadcast if the counted repeats allow it, and joined by
@@ -231,31 +235,89 @@ def _merged(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+_RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _starts(at: np.ndarray, n: int) -> np.ndarray:
+    """Starts of the stretches of ``MIN_WORDS`` words that hold a line at one of the positions, in a text of ``n`` words."""
+    starts = np.unique(at[:, None] - np.arange(MIN_WORDS - LINE + 1))
+    return starts[(starts >= 0) & (starts <= n - MIN_WORDS)]
+
+
+def _open(at: np.ndarray, n: int, runs: list[tuple[int, int]]) -> np.ndarray:
+    """Which of the positions lie in a stretch of ``MIN_WORDS`` words that isn't within a run."""
+    free = np.ones(max(n - MIN_WORDS + 1, 0), bool)
+    for a, b in runs:
+        free[a : b - MIN_WORDS + 1] = False
+    sums = np.concatenate([[0], np.cumsum(free)])
+    return sums[np.clip(at + 1, 0, len(free))] > sums[np.clip(at - (MIN_WORDS - LINE), 0, len(free))]
+
+
 def _give_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs, and the positions left open: of fingerprints about which a longer repeat may still have its earlier copy elsewhere."""
     for batch in batches:
         for doc, key, text, cells in zip(*(batch.column(i) for i in range(4)), strict=True):
-            runs = _runs_of(words_of(_raw(text))[2], cells.as_py())
-            if runs:
+            words, found = words_of(_raw(text))[2], cells.as_py()
+            runs = _runs_of(words, found)
+            at = np.unique([x["pos"] for cell in found for x in cell["at"]])
+            at = at[_open(at, len(words), runs)]
+            if runs or len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc.as_py()]), pa.array([key.as_py()]),
-                     pa.array([[{"start": a, "end": b} for a, b in runs]], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                    ["doc", "key", "runs"])
+                    [pa.array([doc.as_py()]), pa.array([key.as_py()]), pa.array([[{"start": a, "end": b} for a, b in runs]], _RUNS),
+                     pa.array([at.tolist()], pa.list_(pa.int32()))], ["doc", "key", "runs", "open"])
+
+
+def _stretches(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the ``MIN_WORDS`` words from each start."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(_Q, len(words)), dtype=np.uint64)])
+    return _mix((sums[starts + MIN_WORDS] - sums[starts]) * _powers(_Q_BACK, len(words))[starts])
+
+
+def _give_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc, key, text, cells in zip(*(batch.column(i) for i in range(4)), strict=True):
+            words = words_of(_raw(text))[2]
+            starts = _starts(np.array(cells.as_py(), np.int64), len(words))
+            if len(starts):
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(_stretches(words, starts)), pa.array(np.full(len(starts), doc.as_py())), pa.array(np.full(len(starts), key.as_py())),
+                     pa.array(starts.astype(np.int32))], ["hash", "doc", "key", "pos"])
+
+
+def _repeats(places: DataFrame, name: str) -> DataFrame:
+    """``places (hash, doc, key, pos)`` whose hash occurs earlier, with the first place as ``c_doc, c_key, c_pos``.
+
+    First occurrences are a table of their own, so that a hot hash's rows can be split where they are joined.
+    """
+    place = F.struct("doc", "key", "pos")
+    first = written(places.groupBy("hash").agg(F.min(place).alias("c"), F.max(place).alias("other")).where("c <> other")
+                    .select("hash", F.col("c.doc").alias("c_doc"), F.col("c.key").alias("c_key"), F.col("c.pos").alias("c_pos"))
+                    .hint("rebalance"), name)
+    return places.join(first, "hash").where("doc <> c_doc or key <> c_key or pos <> c_pos")
+
+
+def _union_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cells = batch.column(2)
+        flat, bounds = cells.flatten(), np.asarray(cells.offsets) - cells.offsets[0].as_py()
+        starts, ends = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        rows = []
+        for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+            order = np.argsort(starts[i:j], kind="stable")
+            a, b = starts[i:j][order], np.maximum.accumulate(ends[i:j][order])
+            cut = np.flatnonzero(a[1:] > b[:-1])
+            rows.append([{"start": x, "end": y} for x, y in zip(a[np.r_[0, cut + 1]].tolist(), b[np.r_[cut, len(b) - 1]].tolist(), strict=True)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, _RUNS)], ["doc", "key", "runs"])
 
 
 def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
     """``doc, key, runs``: the word runs to delete from each document that has any; and whether they may be broadcast.
 
-    First occurrences are a table of their own, so that a hot fingerprint's rows can be
-    split where they are joined.  Tables that are small beside their partitions are
-    written as few files.
+    Tables that are small beside their partitions are written as few files.
     """
     few = lambda df, name: written(df.hint("rebalance"), name)
     marks = written(fingerprints(docs), "marks")
-    place = F.struct("doc", "key", "pos")
-    first = few(marks.groupBy("hash").agg(F.min(place).alias("c"), F.max(place).alias("other")).where("c <> other")
-                .select("hash", F.col("c.doc").alias("c_doc"), F.col("c.key").alias("c_key"), F.col("c.pos").alias("c_pos")), "first")
-    pairs = few(marks.join(first, "hash").where("doc <> c_doc or key <> c_key or pos <> c_pos")
-                .select("doc", "key", "pos", "c_doc", "c_key", "c_pos"), "pairs").withColumn("c_block", F.expr(f"c_pos div {BLOCK}").cast("int"))
+    pairs = few(_repeats(marks, "first").select("hash", "doc", "key", "pos", "c_doc", "c_key", "c_pos"), "pairs").withColumn("c_block", F.expr(f"c_pos div {BLOCK}").cast("int"))
     count = pairs.count()
     fits = lambda rows, row_bytes: rows * row_bytes <= BROADCAST_BYTES
     touched = pairs.select("doc", "key").distinct()
@@ -266,8 +328,23 @@ def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
     cell = F.struct("c_doc", "c_key", "c_block", "at", "around")
     listed = at.join(contexts, ["c_doc", "c_key", "c_block"]).groupBy("doc", "key").agg(F.collect_list(cell).alias("cells"))
     only = touched if fits(touched.count(), 64) else None
-    runs = few(_at_documents(docs, listed, fits(count, 4 * (BLOCK + SPAN) + 64), _give_runs,
-                             "doc long, key long, runs array<struct<start:long,end:long>>", only), "runs")
+    found = few(_at_documents(docs, listed, fits(count, 4 * (BLOCK + SPAN) + 64), _give_runs,
+                              "doc long, key long, runs array<struct<start:long,end:long>>, open array<int>", only), "found")
+    # a repeat whose copy isn't the fingerprint's first place is found by whole stretches of MIN_WORDS words; a second
+    # place has no other before it, unless in a stretch of equal lines, where not every place is kept
+    open_at = found.select("doc", "key", F.explode("open").alias("pos")).distinct()
+    second = pairs.groupBy("hash").agg(F.min(F.struct("doc", "key", "pos")).alias("second"))
+    hashes = few(pairs.join(open_at, ["doc", "key", "pos"]).join(second, "hash")
+                 .where("struct(doc, key, pos) <> second or (doc = c_doc and key = c_key)").select("hash").distinct(), "open")
+    number = hashes.count()
+    spots = few(marks.join(F.broadcast(hashes) if fits(number, 16) else hashes, "hash").groupBy("doc", "key").agg(F.collect_list("pos").alias("cells")), "spots")
+    size = spots.agg(F.sum(F.size("cells") * 4 + 64)).first()[0] or 0
+    stretches = written(_at_documents(docs, spots, fits(size, 1), _give_stretches, "hash long, doc long, key long, pos int"), "stretches")
+    more = _repeats(stretches, "first_stretches").select("doc", "key", F.struct(F.col("pos").cast("long").alias("start"), (F.col("pos") + MIN_WORDS).cast("long").alias("end")).alias("run"))
+    all_runs = found.select("doc", "key", F.explode("runs").alias("run")).unionByName(more)
+    # rows alike in doc_id and text give the same runs, each once
+    runs = few(mapped(all_runs.groupBy("doc", "key").agg(F.collect_list("run").alias("runs")), _union_of_runs,
+                      "doc long, key long, runs array<struct<start:long,end:long>>"), "runs")
     return runs, fits(runs.agg(F.sum(F.size("runs") * 16 + 64)).first()[0] or 0, 1)
 
 

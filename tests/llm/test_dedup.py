@@ -198,3 +198,34 @@ def test_winnowing_guarantee():
     same = np.full(300, w[0])
     at, hashes = line_dedup.winnow(same)
     assert len(set(hashes.tolist())) == 1 and np.diff(at).max() <= line_dedup.WINDOW
+
+
+def removed_of(spark, texts):
+    got = line_dedup.report(documents(spark, texts)).collect()
+    return {r["doc_id"]: r["n_removed"] for r in got}
+
+
+def test_repeats_behind_an_earlier_short_or_edited_one(spark):
+    """The fingerprints' first places lie in repeats of under 50 words; whole ones follow among later documents."""
+    texts, doc = [], 0
+    for trial, n in enumerate((50, 55, 60, 80, 120) * 4):
+        passage = words(5000 + trial, n)
+        cut = trial % max(1, n - 45)
+        edited = list(passage)
+        for i in range(trial % 40, n, 40):
+            edited[i] = f"edited{trial}x{i}"
+        firsts = (passage[cut : cut + 45], edited)
+        for part in (firsts[trial % 2], passage, passage, passage[:45] + words(7000 + trial, 9) + passage[3:]):
+            doc += 1
+            texts.append((doc, " ".join([*words(9000 + doc, 30), *part, *words(11000 + doc, 30)])))
+    want = {d: n for (d, _), n in plain_line_dedup(texts).items()}
+    assert sum(n > 0 for n in want.values()) >= 30
+    assert removed_of(spark, texts) == want
+
+
+def test_line_dedup_equals_brute_force_on_whole_table(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id is not null and text is not null")
+    texts = [(r[0], r[1]) for r in docs.select("doc_id", "text").collect()]
+    want = {doc: n for (doc, _), n in plain_line_dedup(texts).items()}
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.report(docs).collect()}
+    assert {d: (want[d], got[d]) for d in want if want[d] != got[d]} == {}
