@@ -229,3 +229,14 @@ def test_line_dedup_equals_brute_force_on_whole_table(spark):
     want = {doc: n for (doc, _), n in plain_line_dedup(texts).items()}
     got = {r["doc_id"]: r["n_removed"] for r in line_dedup.report(docs).collect()}
     assert {d: (want[d], got[d]) for d in want if want[d] != got[d]} == {}
+
+
+def test_repeated_rows_with_a_repeated_passage(spark):
+    """Equal rows that repeat an earlier passage stay as many rows."""
+    passage = " ".join(words(71, 60))
+    row = (2, " ".join(words(72, 30)) + " " + passage)
+    texts = [(1, passage + " " + " ".join(words(73, 30))), row, row, row]
+    docs = documents(spark, texts)
+    got = sorted((r["doc_id"], r["n_removed"], r["n_runs"]) for r in line_dedup.report(docs).collect())
+    assert got == [(1, 0, 0), (2, 60, 1), (2, 60, 1), (2, 60, 1)]
+    assert sorted(r["doc_id"] for r in line_dedup.deduplicated(docs).collect()) == [1, 2, 2, 2]
