@@ -7,13 +7,15 @@ information-theoretic sanitisation, the corpus gives
 
     PMI(e; t) = log2(n(e,t) * N / (n(e) * n(t)))     IC(e) = log2(N / n(e))
 
-over N documents, n(e) and n(e,t) counted over distinct contexts (``REACH`` words on
-either side; copies of a passage count once) and n(t) over documents.  A term with
+over N distinct texts, n(e) and n(e,t) counted over distinct contexts (``REACH`` words on
+either side; copies of a passage count once) and n(t) over distinct texts, so that copies of
+a document count once everywhere.  A term with
 n(e,t) of at least ``MIN_CONTEXTS`` and PMI >= ``ALPHA`` * IC discloses the entity, and
 is a span in every document that mentions it.
 
 Counts cover all documents.  Only contexts of mentions are gathered, pre-aggregated
-before each shuffle; term counts over the corpus are taken for candidate terms alone.
+before each shuffle; of the corpus, hashes of texts are counted, and candidate terms
+by how many documents have the same text.
 The tables of candidates and of disclosing terms are broadcast if their counted
 size allows it, and joined by a shuffle if not.
 
@@ -33,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BROADCAST_BYTES, lacking, mapped, own_name, written
+from ._shared import BROADCAST_BYTES, join_small, lacking, mapped, own_name, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Added kind of span.
@@ -133,29 +135,37 @@ def mentions(docs: DataFrame) -> DataFrame:
     return mapped(lacking(docs, [("text", "string")]), run, "entity long, context long, terms array<string>")
 
 
-def _document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``term, n_t``: documents that contain each candidate term."""
-    if candidates.count() * 256 <= BROADCAST_BYTES:
-        wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in candidates.toLocalIterator()))
+def _text_counts(docs: DataFrame, texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``term, n_t``: distinct texts that contain each candidate term; ``texts (key, n)``: how many documents have each text.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts: dict[str, int] = {}
-            for batch in batches:
-                for value in batch.column(0):
-                    for term in wanted.value.intersection(_terms(value.as_py() or "")):
-                        counts[term] = counts.get(term, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+    Documents are counted by term and by n; of a text that n documents have, each n make one.
+    """
+    small = candidates.count() * 256 <= BROADCAST_BYTES
+    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in candidates.toLocalIterator())) if small else None
+    slim = lacking(docs, [("text", "string")]).withColumn("key", F.xxhash64("text"))
+    copied = join_small(slim, texts.where("n > 1"), ["key"], "left", 64).select("text", F.coalesce("n", F.lit(1)).alias("n"))
 
-        partial = mapped(lacking(docs, [("text", "string")]), run, "term string, n long")
-        return partial.groupBy("term").agg(F.sum("n").alias("n_t"))
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, int], int] = {}
         for batch in batches:
-            for value in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(set(_terms(value.as_py() or ""))), pa.string())], ["term"])
-
-    seen = mapped(lacking(docs, [("text", "string")]), each, "term string").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    return seen.join(candidates, "term", "left_semi")
+            for value, n in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                terms = set(_terms(value.as_py() or ""))
+                for term in terms if wanted is None else wanted.value.intersection(terms):
+                    counts[term, n] = counts.get((term, n), 0) + 1
+            if len(counts) > 500_000:
+                yield table(counts)
+                counts = {}
+        yield table(counts)
+
+    def table(counts: dict[tuple[str, int], int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([t for t, _ in counts], pa.string()), pa.array([n for _, n in counts], pa.int64()),
+                                           pa.array(list(counts.values()), pa.int64())], ["term", "n", "docs"])
+
+    seen = mapped(copied, run, "term string, n long, docs long")
+    if not small:
+        seen = seen.join(candidates, "term", "left_semi")
+    each = seen.groupBy("term", "n").agg(F.sum("docs").alias("docs"))
+    return each.groupBy("term").agg(F.sum(F.expr("docs div n")).alias("n_t"))
 
 
 def disclosing(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, alpha: float = ALPHA) -> DataFrame:
@@ -164,10 +174,11 @@ def disclosing(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, alpha: float =
     pairs = written(seen.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
                     .agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_contexts), "pairs")
     candidates = written(pairs.select("term").distinct(), "candidates")
-    of_term = _document_counts(docs, candidates)
+    texts = written(lacking(docs, [("text", "string")]).groupBy(F.xxhash64("text").alias("key")).agg(F.count(F.lit(1)).alias("n")), "texts")
+    of_term = _text_counts(docs, texts, candidates)
     of_entity = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= min_contexts)
-    total = F.lit(float(max(docs.count(), 1)))
-    # n_t counts documents and n_et contexts, of which a document may hold several
+    total = F.lit(float(max(texts.count(), 1)))
+    # n_t counts texts and n_et contexts, of which a text may hold several
     shared = F.least(F.col("n_et"), F.col("n_t"))
     return written(
         pairs.join(of_term, "term").join(of_entity, "entity")

@@ -127,6 +127,20 @@ def test_disclosing_terms(spark):
     assert "brightfox" not in clean[1000] and "[EMAIL]" in clean[1000] and clean[1] == dict(rows)[1]
 
 
+def test_disclosing_terms_of_copied_documents(spark, monkeypatch):
+    """Copies of every document change no term, nor its figures."""
+    common = words(11, 400)
+    rows = [(i, " ".join(common[(i * 7) % 380 : (i * 7) % 380 + 20]) + " nothing here") for i in range(300)]
+    rows += [(1000 + i, f"{common[i]} {common[i + 50]} the brightfox wrote from fox@mail.example.com to {common[i + 90]}") for i in range(6)]
+    found = lambda texts: sorted((r["entity"], r["term"], round(r["pmi"], 9), round(r["ic"], 9)) for r in pii.disclosing(documents(spark, texts)).collect())
+    once, copied = found(rows), [(10_000 * k + i, t) for i, t in rows for k in range(100)]
+    assert "brightfox" in {r[1] for r in once} and found(copied) == once
+    only = [(i, t) for i, t in copied if i % 10_000 >= 1000] + rows[:300]
+    assert found(only) == once
+    monkeypatch.setattr(pii, "BROADCAST_BYTES", 0)
+    assert found(only) == once
+
+
 def test_disclosing_terms_by_shuffle(spark, monkeypatch):
     rows = [(i, f"w{i} padding text") for i in range(60)] + [(100 + i, f"see{i} brightfox at fox@mail.example.com") for i in range(5)]
     docs = documents(spark, rows)
