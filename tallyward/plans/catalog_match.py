@@ -41,7 +41,7 @@ def match_supplier_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     country = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
     master = c.select(F.col("c_custkey").cast("string").alias("supplier_id"), name.alias("name"), F.lit("").alias("vat_id"), country.alias("country"), F.col("c_custkey").alias("load_order"))
     lost = F.concat(F.substring(name, 1, 5), F.expr("substring(concat_ws(' ', substring(sha2(cast(c_custkey AS string), 224), 1, 14), c_mktsegment, 'Trading'), 7)"))
-    probes = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("probe_id"), lost.alias("name"), F.lit("").alias("vat_id"), F.when(F.col("c_custkey") % 2 == 0, country).otherwise(F.lit("ZZ")).alias("country"))
+    probes = c.select(F.col("c_custkey").alias("probe_id"), lost.alias("name"), F.lit("").alias("vat_id"), F.when(F.col("c_custkey") % 2 == 0, country).otherwise(F.lit("ZZ")).alias("country"))
     return _flat(match.supplier(probes, master), "c_custkey", "supplier", F.round("supplier.score", 6).alias("score"))
 
 

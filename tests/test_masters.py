@@ -107,3 +107,23 @@ def test_other_masters_load(spark, tmp_path):
     assert [r["load_order"] for r in masters.suppliers(spark, f"file://{tmp_path}/s.json").collect()] == [0, 1]
     assert masters.taxes(spark, f"file://{tmp_path}/x.json").first()["rate"] == 20.0
     assert masters.purchase_orders(spark, f"file://{tmp_path}/p.json").select(F.col("po_id")).first()[0] == "I"
+
+
+def test_every_customer_is_matched(spark):
+    """The query on similar names, against all pairs; no customer is left out."""
+    from difflib import SequenceMatcher
+
+    from tallyward.plans import catalog_match
+
+    folder = "/root/testdata/sf0.001"
+    names, countries = {}, {}
+    for r in spark.read.parquet(f"{folder}/customer.parquet").select(
+            "c_custkey", "c_mktsegment", "c_nationkey", F.sha2(F.col("c_custkey").cast("string"), 224).substr(1, 14).alias("start")).collect():
+        names[r[0]], countries[r[0]] = f"{r[3]} {r[1]} Trading".lower(), r[2]
+    got = {r["c_custkey"]: (r["status"], r["matched_id"]) for r in catalog_match.match_supplier_fuzzy(spark, folder).collect()}
+    assert got.keys() == names.keys()
+    for k, name in names.items():
+        asked = name[:5] + name[6:]
+        scored = sorted(((SequenceMatcher(None, asked, m).ratio(), j) for j, m in names.items() if k % 2 or countries[j] == countries[k]), reverse=True)
+        best, second = scored[0], scored[1][0] if len(scored) > 1 else 0
+        assert got[k] == (("MATCHED", str(best[1])) if best[0] >= 0.9 and best[0] - second >= 0.08 else ("AMBIGUOUS" if best[0] >= 0.9 else "UNMATCHED", ""))
