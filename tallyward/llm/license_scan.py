@@ -79,11 +79,12 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 _KNOWN = tuple((name, re.compile(pattern, re.DOTALL)) for name, pattern in SENTENCES)
 #: A sentence without any of these words is not looked up.
-_HINT = re.compile(r"licen[sc]e|permission|permitted|copyright|redistribut|warranty|as is|liable|free software|creative commons|public domain|neither the name|without fee|cc0|\bcc by", re.IGNORECASE)
+_HINT = re.compile(r"licen[sc]e|permission|permitted|copyright|redistribut|warranty|as\s+is|liable|free\s+software|creative\s+commons|public\s+domain|neither\s+the\s+name|without\s+fee|cc0|\bcc\s+by", re.IGNORECASE)
 #: Sentences end at a stop, question or exclamation mark before a gap, at a colon before a line's end, or at a blank line.
 _ENDS = re.compile(r"[.!?](?=\s|$)|:(?=\s*\n)|\n\s*\n|\n(?=\s*(?:[0-9]+\.|[-*])\s)")
-#: Stops that end no sentence.
-_SHORT = re.compile(r"(?:^|\s)(?:v|e\.g|i\.e|inc|ltd|no|[0-9]+)$", re.IGNORECASE)
+#: Stops that end no sentence; nor does one after a number with which a sentence begins, as in lists.
+_SHORT = re.compile(r"(?:^|\s)(?:v|e\.g|i\.e|inc|ltd|no)$", re.IGNORECASE)
+_NUMBER = re.compile(r"\s*[0-9]+")
 _GAP = re.compile(r"\s+")
 _QUOTES = str.maketrans({"“": '"', "”": '"', "„": '"', "‘": "'", "’": "'", "`": "'"})
 
@@ -96,7 +97,7 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
     """Spans of sentences of a whole text."""
     start = 0
     for m in _ENDS.finditer(text):
-        if m[0] == "." and _SHORT.search(text, max(start, m.start() - 8), m.start()):
+        if m[0] == "." and (_SHORT.search(text, max(start, m.start() - 8), m.start()) or _NUMBER.fullmatch(text, start, m.start())):
             continue
         if text[start : m.end()].strip():
             yield start, m.end()

@@ -111,6 +111,19 @@ def test_long_runs_take_linear_time():
         pii.base_spans(text)
 
 
+def test_licence_references_across_gaps_and_before_more_text():
+    free = "This is free and unencumbered software released into the public{}domain."
+    cc = "Available under a Creative{}Commons BY-SA 4.0"
+    for gap in (" ", "  ", "\n", " \n "):
+        assert [x[0] for x in license_scan.identify(free.format(gap))] == ["UNLICENSE"]
+        assert [x[:2] for x in license_scan.identify(cc.format(gap))] == [("CCref(v)", "by-sa 4.0")]
+    gpl = "Released under the GNU General Public License, version 3."
+    for text in (gpl, gpl + " More text follows here.", "Notes.\n" + gpl + " More text."):
+        assert [x[:2] for x in license_scan.identify(text)] == [("GPLref(v)", "3")]
+    listed = "1. Redistributions of source code must retain the above copyright notice, and so on.\n2. Redistributions in binary form must reproduce the above copyright notice, too."
+    assert [x[0] for x in license_scan.identify(listed)] == ["BSDsource", "BSDbinary"]
+
+
 def test_disclosing_terms(spark):
     """A nickname that stands beside one address only is a span; common words are not."""
     common = words(11, 400)
