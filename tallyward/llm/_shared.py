@@ -13,7 +13,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +25,14 @@ BROADCAST_BYTES = 48 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; our own only where none is named."""
+    """The folder that driver and executors share; our own only where none is named and there is one machine."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None)
     if not named:
         named = context.getCheckpointDir()
-    if not named:  # a single machine, as in tests
+    if not named:
+        if not (context.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tallyward-")
         context.setCheckpointDir(named)
     return named.rstrip("/")
@@ -50,6 +54,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a source for which a table made of a small part of it gets one file.
+FEW_BYTES = 1 << 30
+
+
+def few(df: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """:func:`written` for a table that is small beside ``source``, as few files.
+
+    The number of files follows the source's size as the optimizer knows it, at most the number of shuffle
+    partitions.  ``df`` must end in a shuffle, of which it only merges the reading tasks.
+    """
+    spark = df.sparkSession
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.coalesce(max(1, min(most, max(FEW_LEAST, -(-size // FEW_BYTES))))), name)
+
+
+#: Files of such a table if its source is small, so that all cores have work.
+FEW_LEAST = 12
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete what :func:`written` made, once nothing reads it any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str, row_bytes: int,
                limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join ``small``, broadcast if its counted size is within ``limit``, else shuffled.
@@ -62,12 +94,12 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str, row_by
     return big.join(small, on, how)
 
 
-#: Rows of an Arrow batch that a task works on at a time.
-SLICE_ROWS = 1000
+#: Rows of an Arrow batch, and bytes of their texts, that a task works on at a time; at least one row.
+SLICE_ROWS, SLICE_BYTES = 1000, 8 << 20
 
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``df.mapInArrow`` over slices of bounded rows, giving memory back to the system at a task's end.
+    """``df.mapInArrow`` over slices of bounded rows and bytes, giving memory back to the system at a task's end.
 
     Python workers outlive their tasks; what a task has freed must not count against the next stage.
     """
@@ -82,8 +114,18 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, SLICE_ROWS):
-        yield batch.slice(start, SLICE_ROWS)
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    start, done = 0, 0
+    while start < batch.num_rows:
+        within = int(np.searchsorted(ends, done + SLICE_BYTES, side="right")) - start
+        rows = max(1, min(SLICE_ROWS, within))
+        yield batch.slice(start, rows)
+        start += rows
+        done = ends[start - 1]
 
 
 def _release() -> None:

@@ -137,7 +137,7 @@ def test_disclosing_terms(spark):
     at = text.index("brightfox")
     assert (at, at + 9, "term") in [tuple(s) for s in spans[1000]] and spans[1] == []
     clean = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
-    assert "brightfox" not in clean[1000] and "[EMAIL]" in clean[1000] and clean[1] == dict(rows)[1]
+    assert "brightfox" not in clean[1000] and "[WORD] [EMAIL]" in clean[1000] and clean[1] == dict(rows)[1]
 
 
 def test_disclosing_terms_of_copied_documents(spark, monkeypatch):
@@ -163,6 +163,80 @@ def test_disclosing_terms_by_shuffle(spark, monkeypatch):
     assert "brightfox" not in "".join(r["text"] for r in pii.sanitised(docs).collect())
 
 
+def plain_disclosing(texts):
+    """Entities by name, level and disclosing terms, counted over sets of plain Python."""
+    import math
+    from collections import defaultdict
+
+    units, terms_of = defaultdict(set), defaultdict(set)
+    for text in set(t or "" for t in texts):
+        spans = pii.protected(text)
+        for span in spans:
+            before, after = pii._context(text, spans, span)
+            names = pii.generalisations(text, span)
+            for level, (name, unit) in enumerate(zip(names, ((*before, "|", *after), names[0], names[0]), strict=True)):
+                units[name, level].add(unit)
+                for term in {*before, *after}:
+                    terms_of[name, level, term].add(unit)
+    n_t, total = defaultdict(int), len(set(t or "" for t in texts))
+    for text in set(t or "" for t in texts):
+        for term in set(pii._terms(text)):
+            n_t[term] += 1
+    out = set()
+    for (name, level, term), found in terms_of.items():
+        if len(found) < pii.LEAST[level]:
+            continue
+        n_e = min(len(units[name, level]), total)
+        ic = math.log2(total / n_e)
+        if ic > 0 and math.log2(min(len(found), n_t[term]) * total / (n_e * n_t[term])) >= pii.ALPHA * ic:
+            out.add((name, level, term))
+    return out
+
+
+def plain_added(text, disclosed):
+    """Secrets and terms of a text as the operator has to add them."""
+    spans = pii.protected(text)
+    names = {(n, level) for s in spans for level, n in enumerate(pii.generalisations(text, s))}
+    given = {t for n, level, t in disclosed if (n, level) in names}
+    out = [s for s in spans if s[2] == pii.SECRET]
+    for m in re.finditer(r"[^\W_]+", text):
+        if m[0].lower() in given and all(b <= m.start() or a >= m.end() for a, b, _ in spans):
+            out.append((*m.span(), pii.TERM))
+    return sorted(out)
+
+
+def test_added_spans_on_whole_table(spark):
+    """Secrets, and the words that give them away, equal brute force over all documents; there are some of both."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    texts = {r[0]: r[1] or "" for r in docs.select("doc_id", "text").collect()}
+    disclosed = plain_disclosing(texts.values())
+    got = {(r["entity"], r["level"], r["term"]) for r in pii.disclosing(docs).collect()}
+    assert len(got) == len(disclosed) and {(level, t) for _, level, t in got} == {(level, t) for _, level, t in disclosed}
+    assert "token" in {t for _, _, t in disclosed}
+    added = {r["doc_id"]: sorted(tuple(s) for s in r["spans"] if s["kind"] not in pii.KINDS) for r in pii.spans(docs).collect()}
+    assert added == {i: plain_added(t, disclosed) for i, t in texts.items()}
+    assert sum(s[2] == pii.SECRET for x in added.values() for s in x) >= 10 and sum(s[2] == pii.TERM for x in added.values() for s in x) >= 5
+
+
+def test_words_that_disclose_a_kind_are_removed(spark):
+    """A cue beside many different secrets goes; where it stands beside none it is no span."""
+    filler = words(31, 300)
+    rows = [(i, " ".join(filler[(i * 5) % 280 : (i * 5) % 280 + 20])) for i in range(300)]
+    rows += [(1000 + i, f"{filler[i]} passphrase=k3y{i}abc9def7ghi5jk {filler[i + 20]}") for i in range(8)]
+    docs = documents(spark, rows)
+    assert {("passphrase", pii.KIND)} <= {(r["term"], r["level"]) for r in pii.disclosing(docs).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
+    assert clean[1000] == f"{filler[0]} =[SECRET] {filler[20]}" and clean[5] == dict(rows)[5]
+
+
+@pytest.mark.parametrize("text", ["1.2.3." + "0" * 5000 + "1", "1.2.3." + "9" * 5000, "0" * 6000 + ".1.1.1 " + "7" * 5000, "a1" * 3000, "+1 " + "2" * 6000])
+def test_very_long_runs_of_digits(text):
+    with_limit = [(a, b, k) for a, b, k in pii.protected(text) if k == "ip"]
+    assert with_limit == ([(0, len(text), "ip")] if text.startswith("1.2.3.0") else [(0, 6006, "ip")] if text.startswith("0") else [])
+    for span in pii.protected(text):
+        assert len(pii.entities(text, span)) == 3
+
+
 def test_personal_data_of_awkward_rows(spark):
     texts = awkward()
     assert pii.digests(clashing(documents(spark, texts))).count() == len(texts)
