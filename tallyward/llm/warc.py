@@ -23,6 +23,8 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from datetime import datetime, timezone
 from itertools import chain
 
 import pyarrow as pa
@@ -48,21 +50,36 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One WARC record: a response with its payload, or a revisit without."""
+@dataclass(frozen=True)
+class Page:
+    """What a record is made of; ``refers_to`` and ``refers_url`` name the response of a revisit."""
+
+    page_id: int | None
+    url: str | None
+    digest: str
+    refers_to: int | None = None
+    refers_url: str | None = None
+
+
+def record(page: Page, payload: bytes, record_id: uuid.UUID, date: str) -> bytes:
+    """One WARC record: a response with its HTTP message, or a revisit with the message's header alone."""
+    uri = lambda u: (u or "").replace("\r", "%0D").replace("\n", "%0A")
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    block = http + payload if page.refers_to is None else http
     lines = [
         "WARC/1.1",
-        f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        "WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A"),
-        f"WARC-Payload-Digest: sha1:{digest}",
-        f"X-Payload-Length: {len(payload)}",
+        f"WARC-Type: {'response' if page.refers_to is None else 'revisit'}",
+        f"WARC-Record-ID: <urn:uuid:{record_id}>",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {uri(page.url)}",
+        f"WARC-Payload-Digest: sha1:{page.digest}",
+        f"X-Page-ID: {'' if page.page_id is None else page.page_id}",
     ]
-    if refers_to is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-        payload = b""
-    lines.append(f"Content-Length: {len(payload)}")
-    return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + payload + b"\r\n\r\n"
+    if page.refers_to is not None:
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To-Target-URI: {uri(page.refers_url)}",
+                  f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page-ID: {page.refers_to}"]
+    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def parse_header(head: bytes) -> dict[str, str]:
@@ -84,10 +101,12 @@ def _gzip(level: int) -> object:
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """One monolithic archive per partition of ``pages (page_id, url, html, digest, refers_to)``.
+    """One monolithic archive per partition of ``pages (page_id, url, html, digest, refers_to, refers_url)``.
 
-    Returns a row ``archive, records`` for each archive written.
+    Returns a row ``archive, records`` for each archive written.  Date and run are set here, so a task
+    that runs again writes the same bytes; record ids are made of the run, the partition and the row.
     """
+    date, writing = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), uuid.uuid4()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, path = filesystem(folder)
@@ -95,12 +114,13 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         own, name = f"{path}/.{uuid.uuid4().hex}", f"part-{part:05d}.warc.gz"
         count, out, packer = 0, None, _gzip(LEVEL)
         for batch in batches:
-            for page_id, url, html, digest, refers_to in zip(*(batch.column(i) for i in range(5)), strict=True):
+            for page_id, url, html, digest, refers_to, refers_url in zip(*(batch.column(i) for i in range(6)), strict=True):
                 if out is None:
                     target.create_dir(path, recursive=True)
                     out = target.open_output_stream(own, compression=None)
                 payload = (html.as_py() or "").encode("utf-8", "surrogatepass")
-                out.write(packer.compress(record(page_id.as_py(), url.as_py(), payload, digest.as_py(), refers_to.as_py())))
+                page = Page(page_id.as_py(), url.as_py(), digest.as_py(), refers_to.as_py(), refers_url.as_py())
+                out.write(packer.compress(record(page, payload, uuid.uuid5(writing, f"{part}/{count}"), date)))
                 count += 1
         if out is not None:
             out.write(packer.flush())
@@ -181,8 +201,16 @@ def normalise(source: fs.FileSystem, path: str, target_path: str) -> int:
     return len(index) // _ENTRY
 
 
+#: Tasks of a step at most.
+MOST_TASKS = 10_000
+
+
 def normalise_archives(archives: DataFrame, folder: str, target_folder: str) -> DataFrame:
-    """Normalise each row's ``archive`` of ``folder``; returns ``archive, records``."""
+    """Normalise each row's ``archive`` of ``folder``, a task for each; returns ``archive, records``.
+
+    ``archives`` must be cheap to count, so callers pass a written table.
+    """
+    dealt = archives.select("archive").repartitionByRange(max(1, min(archives.count(), MOST_TASKS)), "archive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, path = filesystem(folder)
@@ -193,22 +221,20 @@ def normalise_archives(archives: DataFrame, folder: str, target_folder: str) ->
                 count = normalise(source, f"{path}/{name}", f"{goal}/{name}")
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count], pa.int64())], ["archive", "records"])
 
-    return mapped(archives.select("archive"), run, "archive string, records long")
+    return mapped(dealt, run, "archive string, records long")
 
 
 def read_records(archives: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """Records of normalised archives, by their indexes; ``archives (archive, records)``.
 
-    Each task takes stretches of at most ``SPLIT`` records.  The digest of a
+    Each task takes a stretch of at most ``SPLIT`` records.  ``archives`` must be cheap to count.  The digest of a
     response is computed again from its payload; a difference is an error.
     """
     begins = F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(SPLIT).cast("long")))
     stretches = archives.where("records > 0").select("archive", begins.alias("begin"))
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
-    def number(field: str | None) -> int | None:
-        value = (field or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(value) if value else None
+    number = lambda field: int(field) if field else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, path = filesystem(folder)
@@ -222,23 +248,25 @@ def read_records(archives: DataFrame, folder: str, with_payload: bool = False) -
                         whole = zlib.decompress(archive.read_at(size, offset), 31)
                         head, _, body = whole.partition(b"\r\n\r\n")
                         fields = parse_header(head)
-                        payload = body[: int(fields["content-length"])]
+                        message, _, payload = body[: int(fields["content-length"])].partition(b"\r\n\r\n")
                         digest = fields["warc-payload-digest"].removeprefix("sha1:")
                         kind = fields["warc-type"]
                         if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
                             raise ValueError(f"{name}: the payload at {offset} differs from its digest")
-                        rows.append((number(fields["warc-record-id"]), int(fields["x-payload-length"]), digest, kind,
-                                     number(fields.get("warc-refers-to"))) + ((payload,) if with_payload else ()))
+                        rows.append((number(fields["x-page-id"]), int(parse_header(message)["content-length"]), digest, kind,
+                                     number(fields.get("x-refers-to-page-id"))) + ((payload,) if with_payload else ()))
                 columns = list(zip(*rows, strict=True))
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)],
                                                  [f.split()[0] for f in schema.split(", ")] + ["payload"] * with_payload)
 
-    return mapped(stretches.repartition("archive", "begin"), run, schema + ", payload binary" * with_payload)
+    number_of = archives.agg(F.sum(F.ceil(F.col("records") / SPLIT))).first()[0] or 0
+    dealt = stretches.repartitionByRange(max(1, min(int(number_of), MOST_TASKS)), "archive", "begin")
+    return mapped(dealt, run, schema + ", payload binary" * with_payload)
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """``page_id, url, html, digest, refers_to``: refers_to is the response's page_id for revisits.
+    """``page_id, url, html, digest, refers_to, refers_url``: refers_to is the response's page_id for revisits.
 
     Digests that occur more than once are counted with a partial aggregate; they are
     few beside the pages, so pages keep their place if the counted table is small,
@@ -248,12 +276,13 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     digested = lacking(pages, [("page_id", "long"), ("url", "string"), ("html", "string")]).withColumn(
         "digest", F.sha1(F.coalesce("html", F.lit(""))))
     large = F.octet_length("html") >= MIN_REVISIT
-    repeated = written(digested.where(large).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n"))
-                       .where("n > 1 and kept is not null").select("digest", "kept"), "repeated")
-    if repeated.count() * 160 <= BROADCAST_BYTES:
+    repeated = written(digested.where(large).groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("kept"), F.count(F.lit(1)).alias("n"))
+                       .where("n > 1 and kept.page_id is not null").select("digest", F.col("kept.page_id").alias("kept"), F.col("kept.url").alias("kept_url")), "repeated")
+    if (repeated.agg(F.sum(F.lit(160) + F.coalesce(F.octet_length("kept_url"), F.lit(0)))).first()[0] or 0) <= BROADCAST_BYTES:
         repeated = F.broadcast(repeated)
     refers = F.when(large & F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
-    return digested.join(repeated, "digest", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    return digested.join(repeated, "digest", "left").select(
+        "page_id", "url", "html", "digest", refers.alias("refers_to"), F.when(refers.isNotNull(), F.col("kept_url")).alias("refers_url"))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
@@ -261,7 +290,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     first, second = scratch_path(spark, "warc"), scratch_path(spark, "warc-normalised")
     made = written(write_archives(with_revisits(pages), first), "archives")
-    normal = written(normalise_archives(made.repartition(F.col("archive")), first, second), "normalised")
+    normal = written(normalise_archives(made, first, second), "normalised")
     source, path = filesystem(first)
     if source.get_file_info(path).type == fs.FileType.Directory:
         source.delete_dir(path)  # the monolithic ones aren't needed any more

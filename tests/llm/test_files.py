@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import uuid
 import zlib
 from collections import defaultdict
 
@@ -35,9 +36,40 @@ def test_round_trip_matches_sql(spark):
     assert warc.round_trip(pages(spark, [])).count() == 0
 
 
+def test_records_have_the_mandatory_fields_and_ids_of_their_own(spark, tmp_path):
+    """Ids are unique for repeated and null page ids too; payloads of megabytes come back whole."""
+    long = "é<p>" * 1_500_000
+    rows = [(1, "u", "same"), (1, "u", "same"), (None, None, None), (None, "v", "x"), (5, "w", long), (6, "w", long)]
+    folder = f"file://{tmp_path}/w"
+    made = warc.write_archives(warc.with_revisits(pages(spark, rows)), folder).cache()
+    made.collect()
+    heads = []
+    for archive in (tmp_path / "w").glob("part-*.gz"):
+        raw = gzip.decompress(archive.read_bytes())
+        while raw:
+            head, _, raw = raw.partition(b"\r\n\r\n")
+            heads.append(warc.parse_header(head))
+            raw = raw[int(heads[-1]["content-length"]) + 4 :]
+    assert len(heads) == 6 == len({h["warc-record-id"] for h in heads})
+    assert all({"warc-type", "warc-date", "content-type", "content-length", "warc-target-uri"} <= set(h) for h in heads)
+    normal = warc.normalise_archives(made, folder, f"file://{tmp_path}/n").cache()
+    got = {r["page_id"]: r for r in warc.read_records(normal, f"file://{tmp_path}/n", with_payload=True).where("page_id > 1").collect()}
+    assert bytes(got[6]["payload"]).decode() == long and got[5]["refers_to"] == 6 and got[5]["payload_bytes"] == len(long.encode())
+
+
+def test_every_archive_has_a_task(spark, tmp_path):
+    """Neither rewriting nor reading lands in one task."""
+    rows = [(i, "u", f"page {i} " * 40) for i in range(300)]
+    folder = f"file://{tmp_path}/w"
+    made = warc.write_archives(warc.with_revisits(pages(spark, rows).repartition(8)), folder).cache()
+    assert made.count() == 8
+    normal = warc.normalise_archives(made, folder, f"file://{tmp_path}/n")
+    assert normal.rdd.glom().map(len).collect() == [1] * 8
+
+
 def test_normalised_archive_is_a_member_per_record(tmp_path):
     """A monolithic stream, and one of several members, become members that each inflate alone; the index finds them."""
-    records = [warc.record(i, f"http://{i}", (b"payload %d " % i) * (i * 40_000 + 1), "00", None) for i in range(4)]
+    records = [warc.record(warc.Page(i, f"http://{i}", "00"), (b"payload %d " % i) * (i * 40_000 + 1), uuid.uuid4(), "2024-01-01T00:00:00Z") for i in range(4)]
     local = fs.LocalFileSystem()
     whole = b"".join(records)
     for raw in (gzip.compress(whole), b"".join(gzip.compress(r) for r in records), gzip.compress(whole[:100]) + gzip.compress(whole[100:])):
@@ -52,7 +84,7 @@ def test_normalised_archive_is_a_member_per_record(tmp_path):
 
 
 def test_a_record_cut_short_is_an_error(tmp_path):
-    (tmp_path / "in.gz").write_bytes(gzip.compress(warc.record(1, "u", b"x" * 5000, "00", None)[:-500]))
+    (tmp_path / "in.gz").write_bytes(gzip.compress(warc.record(warc.Page(1, "u", "00"), b"x" * 5000, uuid.uuid4(), "2024-01-01T00:00:00Z")[:-500]))
     with pytest.raises(ValueError, match="cut short"):
         warc.normalise(fs.LocalFileSystem(), str(tmp_path / "in.gz"), str(tmp_path / "out.gz"))
 
