@@ -4,13 +4,16 @@ score = sigmoid(w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^
 
 The pairwise part costs time linear in the features of a document, by the
 sum-of-squares identity, and learns that two features together mean more than
-their weights.  Features are 32-bit hashes.  A model holds only those that the
-training sample ties to the label (chi-squared above ``MIN_CHI2``), so its size is
-bounded by ``MAX_FEATURES`` whatever the corpus, and unknown words have no weight.
-
-Training runs on the driver over a bounded sample: at most ``MAX_TRAIN_ROWS``
-labelled rows, half of each class if there are so many, chosen by a hash of the
-id, each as its distinct feature hashes.
+their weights.  Features are hashed into ``BUCKETS`` places of a fixed table.  The model
+holds those that the training sample ties to the label, by themselves (chi-squared above
+``MIN_CHI2``) or as one of a pair: where two features stand together, the label differs by ``MIN_PAIR``
+standard deviations from what both say alone.  Pairs are counted exactly among the ``PAIRED``
+most frequent features; rarer ones meet too seldom in a sample of this size to differ that much.
+All others have no weight, and the model's size is bounded whatever the corpus.
+
+Training runs on the driver over a bounded sample: about ``MAX_TRAIN_ROWS``
+labelled documents, half of each class if there are so many, chosen by a hash of the
+id, one row of each id, each as its distinct feature hashes.
 """
 
 from __future__ import annotations
@@ -21,37 +24,110 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._shared import held_out, lacking, mapped
 
-#: Bound of the training sample, in labelled rows.
+#: Bound of the training sample, in labelled documents.
 MAX_TRAIN_ROWS = 12_000
 #: Bounds of the model.
-MAX_FEATURES, RANK = 16_384, 8
+BUCKETS, MAX_FEATURES, RANK = 1 << 18, 16_384, 8
 #: Association a feature needs; the chance of as much by accident is under one in a million.
 MIN_CHI2, MIN_ROWS = 25.0, 4
+#: Features among which pairs are counted, and the deviation one pair of some two million needs.
+PAIRED, MIN_PAIR = 2048, 6.5
+BATCH = 256
+
+#: Distinct 32-bit hashes of a text, and of the metadata columns named beside it.
+Features = Callable[..., np.ndarray]
+Metadata = tuple[tuple[str, T.DataType | str], ...]
+
 
-Features = Callable[[str], np.ndarray]
+def buckets_of(hashes: np.ndarray) -> np.ndarray:
+    """The distinct places of hashes in the table."""
+    return np.unique(hashes & np.uint32(BUCKETS - 1))
 
 
 class FactorizationMachine:
-    """A trained model: sorted feature hashes with weights and latent factors."""
+    """A trained model: a table from buckets to rows of weights and latent factors."""
 
-    def __init__(self, keys: np.ndarray, bias: float, weights: np.ndarray, factors: np.ndarray) -> None:
-        self.bias, self.weights, self.factors = bias, weights, factors
-        self.known = {int(k): i for i, k in enumerate(keys)}
+    def __init__(self, buckets: np.ndarray, bias: float, weights: np.ndarray, factors: np.ndarray) -> None:
+        self.bias, self.weights, self.factors = bias, weights.astype(np.float32), factors.astype(np.float32)
+        self.row = np.full(BUCKETS, -1, np.int32)
+        self.row[buckets] = np.arange(len(buckets))
 
     def score(self, features: np.ndarray) -> float:
         """Probability of label 1 from the distinct hashes of one document."""
-        at = [i for i in map(self.known.get, features.tolist()) if i is not None]
+        at = self.row[buckets_of(features)]
+        at = at[at >= 0]
         z = self.bias
-        if at:
+        if len(at):
             v = self.factors[at]
             total = v.sum(0)
             z += float(self.weights[at].sum()) + 0.5 * float(total @ total - (v * v).sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _step(value: np.ndarray, gradient: np.ndarray, squares: np.ndarray, rate: float) -> None:
+    """Adagrad, in place."""
+    squares += gradient * gradient
+    value -= rate * gradient / np.sqrt(squares)
+
+
+def _alone(seen: np.ndarray, hit: np.ndarray, n: int, ones: float) -> np.ndarray:
+    """Chi-squared of each feature's presence against the label."""
+    expected, spread = seen * ones / n, seen * (1 - seen / n) * (ones / n) * (1 - ones / n)
+    return np.where(spread > 0, (hit - expected) ** 2 / np.maximum(spread, 1e-9), 0)
+
+
+def _paired(places: list[np.ndarray], labels: np.ndarray, seen: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Features of a pair whose rows have another share of label 1 than both features' own shares add up to.
+
+    Shares add up as log odds.  Rows are counted in blocks of a dense matrix of the most frequent features.
+    """
+    n, ones = len(labels), labels.sum()
+    varied = np.minimum(seen, n - seen)
+    chosen = np.sort(np.argsort(-varied, kind="stable")[:PAIRED])
+    chosen = chosen[varied[chosen] >= MIN_ROWS]
+    column = np.full(BUCKETS, -1, np.int32)
+    column[chosen] = np.arange(len(chosen))
+    both, both_hit = (np.zeros((len(chosen), len(chosen)), np.float32) for _ in range(2))
+    for want, out in ((0, both), (1, both_hit)):
+        rows = np.flatnonzero(labels > 0) if want else np.flatnonzero(labels <= 0)
+        for begin in range(0, len(rows), 1024):
+            part = [column[places[i]] for i in rows[begin : begin + 1024]]
+            dense = np.zeros((len(part), len(chosen)), np.float32)
+            for line, cols in enumerate(part):
+                dense[line, cols[cols >= 0]] = 1
+            out += dense.T @ dense
+    both += both_hit
+    odds = lambda k, of: np.log((k + 0.5) / (of - k + 0.5)).astype(np.float32)
+    own = odds(hit[chosen], seen[chosen])
+    kept = np.zeros(len(chosen), bool)
+    for begin in range(0, len(chosen), 256):  # bounded memory
+        line = slice(begin, begin + 256)
+        share = 1 / (1 + np.exp(-np.clip(own[line, None] + own[None, :] - odds(ones, n), -30, 30)))
+        count = both[line]
+        off = np.abs(both_hit[line] - count * share) >= MIN_PAIR * np.sqrt(count * share * (1 - share) + 1)
+        off[np.arange(off.shape[0]), np.arange(begin, begin + off.shape[0])] = False
+        kept[line] |= off.any(1)
+        kept |= off.any(0)
+    return chosen[kept]
+
+
+def select(places: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """The buckets that get weights, sorted."""
+    n, ones = len(labels), float(labels.sum())
+    seen = np.bincount(np.concatenate(places), minlength=BUCKETS)
+    hit = np.bincount(np.concatenate([p for p, y in zip(places, labels, strict=True) if y > 0]), minlength=BUCKETS)
+    chi2 = _alone(seen, hit, n, ones)
+    good = np.flatnonzero((chi2 >= MIN_CHI2) & (seen >= MIN_ROWS))
+    paired = _paired(places, labels, seen, hit)[: MAX_FEATURES // 2]
+    best = good[np.argsort(-chi2[good], kind="stable")]
+    best = best[~np.isin(best, paired)][: MAX_FEATURES - len(paired)]
+    return np.sort(np.concatenate([best, paired]))
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: int = 40, rate: float = 0.08,
         decay: float = 2e-3, dropout: float = 0.6, seed: int = 7) -> FactorizationMachine:
     """Adagrad on the logistic loss, classes weighted alike.
@@ -61,69 +137,73 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: in
 
     No rows, or rows of one class, give a constant: the smoothed share of label 1.
     """
-    labels = np.asarray(labels, float)
+    labels = np.asarray(labels, np.float32)
     n, ones = len(labels), float(labels.sum())
     prior = (ones + 1) / (n + 2)
-    constant = FactorizationMachine(np.zeros(0, np.uint32), float(np.log(prior / (1 - prior))), np.zeros(0), np.zeros((0, rank)))
+    constant = FactorizationMachine(np.zeros(0, np.int64), float(np.log(prior / (1 - prior))), np.zeros(0), np.zeros((0, rank)))
     if ones in (0, n):
         return constant
-    # counts by sorting the bare hashes; positions are kept for the chosen features alone
-    keys, seen = np.unique(np.concatenate(rows), return_counts=True)
-    own, own_seen = np.unique(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y > 0]), return_counts=True)
-    seen, hit = seen.astype(float), np.zeros(len(keys))
-    hit[np.searchsorted(keys, own)] = own_seen
-    expected = seen * ones / n
-    spread = seen * (1 - seen / n) * (ones / n) * (1 - ones / n)
-    chi2 = np.where(spread > 0, (hit - expected) ** 2 / np.maximum(spread, 1e-9), 0)
-    good = np.flatnonzero((chi2 >= MIN_CHI2) & (seen >= MIN_ROWS))
+    places = [buckets_of(r) for r in rows]
+    good = select(places, labels)
     if not len(good):
         return constant
-    good = keys[np.sort(good[np.argsort(-chi2[good], kind="stable")[:MAX_FEATURES]])]
-    del keys, seen, hit, own, own_seen, expected, spread, chi2
-    at = [np.minimum(np.searchsorted(good, r), len(good) - 1) for r in rows]
-    at = [i[good[i] == r].astype(np.int32) for i, r in zip(at, rows, strict=True)]
-    column, starts = np.concatenate(at), np.concatenate([[0], np.cumsum([len(i) for i in at])])
-    del at
+    row = np.full(BUCKETS, -1, np.int32)
+    row[good] = np.arange(len(good))
+    at = [r[r >= 0] for r in (row[p] for p in places)]
+    del places
 
     random = np.random.default_rng(seed)
-    bias, w, v = 0.0, np.zeros(len(good)), random.normal(0, 0.02, (len(good), rank))
-    gb, gw, gv = 1e-6, np.full(len(good), 1e-6), np.full((len(good), rank), 1e-6)
-    cost = np.where(labels > 0, n / (2 * ones), n / (2 * (n - ones)))
+    size = len(good)
+    w, v = np.zeros(size, np.float32), random.normal(0, 0.02, (size, rank)).astype(np.float32)
+    gw, gv = np.full(size, 1e-6, np.float32), np.full((size, rank), 1e-6, np.float32)
+    bias, gb = 0.0, 1e-6
+    cost = np.where(labels > 0, n / (2 * ones), n / (2 * (n - ones))).astype(np.float32)
+    dense = np.zeros((BATCH, size), np.float32)
     for _ in range(epochs):
         order = random.permutation(n)
-        for begin in range(0, n, 256):
-            batch = order[begin : begin + 256]
-            sizes = starts[batch + 1] - starts[batch]
-            local = np.repeat(np.arange(len(batch)), sizes)
-            cols = column[np.concatenate([np.arange(starts[b], starts[b + 1]) for b in batch])] if sizes.sum() else column[:0]
-            stays = random.random(len(cols)) >= dropout * random.random(len(batch))[local]
-            local, cols = local[stays], cols[stays]
-            latent = v[cols]
-            total = np.zeros((len(batch), rank))
-            np.add.at(total, local, latent)
-            squares = np.bincount(local, weights=(latent**2).sum(1), minlength=len(batch))
-            z = bias + np.bincount(local, weights=w[cols], minlength=len(batch)) + 0.5 * ((total**2).sum(1) - squares)
+        for begin in range(0, n, BATCH):
+            batch = order[begin : begin + BATCH]
+            cells = [i[random.random(len(i)) >= dropout * random.random()] for i in (at[b] for b in batch)]
+            line, cols = np.repeat(np.arange(len(batch)), [len(c) for c in cells]), np.concatenate(cells)
+            x = dense[: len(batch)]
+            x[line, cols] = 1
+            total = x @ v
+            z = bias + x @ w + 0.5 * ((total * total).sum(1) - x @ (v * v).sum(1))
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[batch]) * cost[batch] / len(batch)
-            used, inverse = np.unique(cols, return_inverse=True)
-            dw = np.bincount(inverse, weights=error[local], minlength=len(used)) + decay * w[used] / n * len(batch)
-            dv = np.zeros((len(used), rank))
-            np.add.at(dv, inverse, error[local][:, None] * (total[local] - latent))
-            dv += decay * v[used] / n * len(batch)
-            gb += error.sum() ** 2
-            gw[used] += dw**2
-            gv[used] += dv**2
-            bias -= rate * error.sum() / np.sqrt(gb)
-            w[used] -= rate * dw / np.sqrt(gw[used])
-            v[used] -= rate * dv / np.sqrt(gv[used])
+            down = error @ x
+            share = decay * len(batch) / n
+            slope = x.T @ (error[:, None] * total) - down[:, None] * v + share * v
+            _step(w, down + share * w, gw, rate)
+            _step(v, slope, gv, rate)
+            gb += float(error.sum()) ** 2
+            bias -= rate * float(error.sum()) / gb**0.5
+            x[line, cols] = 0
     return FactorizationMachine(good, float(bias), w, v)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, features: Features,
+def _inputs(docs: DataFrame, metadata: Metadata) -> DataFrame:
+    """``doc_id, text`` and the metadata columns; those that ``docs`` lacks are null."""
+    have = {c.lower() for c in docs.columns}
+    for name, kind in metadata:
+        if name.lower() not in have:
+            docs = docs.withColumn(name, F.lit(None).cast(kind))
+    return lacking(docs, [("doc_id", "long"), ("text", "string"), *metadata])
+
+
+def _features_of(batch: pa.RecordBatch, features: Features, first: int) -> Iterator[np.ndarray]:
+    """The features of each row; the text is column ``first``, metadata follow it."""
+    more = [batch.column(i).to_pylist() for i in range(first + 1, batch.num_columns)]
+    for at, text in enumerate(batch.column(first)):
+        yield features(text.as_py() or "", *[m[at] for m in more])
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, features: Features, metadata: Metadata = (),
            max_rows: int = MAX_TRAIN_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
     """The bounded training sample: feature hashes and labels, never of held-out rows.
 
     A document that several label rows name has the largest of their labels; rows
-    with a null id or label teach nothing, and so do labels without a document.
+    with a null id or label teach nothing, and so do labels without a document.  Of
+    documents that share an id one is taken, so the sample is bounded by the labels chosen.
     """
     known = (lacking(labels, [("doc_id", "long"), (label, "int")]).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
              .groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("y")).where(~held_out("doc_id")))
@@ -132,38 +212,41 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, features: Features,
     lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("training")), F.lit(1_000_000)).cast("double") / 1e6
     share = F.when(F.col("y") == 1, most[1] / max(counts.get(1, 0), 1)).otherwise(most[0] / max(counts.get(0, 0), 1))
     chosen = known.where(lot < share)  # at most about max_rows rows of 12 bytes: bounded, so it can be broadcast
-    rows = lacking(docs, [("doc_id", "long"), ("text", "string")]).join(F.broadcast(chosen), "doc_id").select("y", "text")
+    rows = _inputs(docs, metadata).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text", *[name for name, _ in metadata])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([features(t.as_py() or "").astype(np.uint32).tobytes() for t in batch.column(1)], pa.binary())], ["y", "x"])
+            found = [x.astype(np.uint32).tobytes() for x in _features_of(batch, features, 2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["doc_id", "y", "x"])
 
-    got = sorted({(r["y"], bytes(r["x"])) for r in mapped(rows, run, "y int, x binary").collect()})  # copies count once
+    one = mapped(rows, run, "doc_id long, y int, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
+    got = sorted({(r["y"], bytes(r["x"])) for r in one.select("y", "x").toLocalIterator()})  # copies count once
     return [np.frombuffer(x, np.uint32) for _, x in got], np.array([y for y, _ in got], float)
 
 
-def scorer(docs: DataFrame, model: FactorizationMachine, features: Features, cutoff: float) -> DataFrame:
+def scorer(docs: DataFrame, model: FactorizationMachine, features: Features, cutoff: float, metadata: Metadata = ()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``, in one pass without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [shared.value.score(features(t.as_py() or "")) for t in batch.column(1)]
+            scores = [shared.value.score(x) for x in _features_of(batch, features, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    scored = mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, "doc_id long, score double")
+    scored = mapped(_inputs(docs, metadata), run, "doc_id long, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= F.lit(cutoff)).cast("int").alias("predicted"))
 
 
-def keep_where(docs: DataFrame, model: FactorizationMachine, features: Features, kept: Callable[[float], bool]) -> DataFrame:
+def keep_where(docs: DataFrame, model: FactorizationMachine, features: Features, kept: Callable[[float], bool], metadata: Metadata = ()) -> DataFrame:
     """The rows of ``docs`` whose score ``kept`` accepts, with all their columns, without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    places = {c.lower(): i for i, c in enumerate(docs.columns)}
+    wanted = [places.get(name) for name in ("text", *[name for name, _ in metadata])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([kept(shared.value.score(features(t.as_py() or ""))) for t in batch.column(at)], pa.bool_()))
+            inputs = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows) if i is None else batch.column(i) for i in wanted], [str(i) for i in range(len(wanted))])
+            yield batch.filter(pa.array([kept(shared.value.score(x)) for x in _features_of(inputs, features, 0)], pa.bool_()))
 
     return mapped(docs, run, docs.schema)

@@ -2,16 +2,17 @@
 
 Features are the distinct lower-cased words, structure statistics as quantised
 bins (length, share of symbols, of upper case, of digits, of repeated words and
-lines, mean word and line length, stop marks), and the text's measured length as
-metadata.  Pairs of bins and words get their weight from the low-rank factors,
+lines, mean word and line length, stop marks), and as metadata the length that the
+table states (``n_chars``: its bin, and whether it is the text's own).  Pairs of bins and words get their weight from the low-rank factors,
 scored in linear time by the sum-of-squares identity; see :mod:`.fm`.
 
 Defined results as for :mod:`.toxicity`: empty and null texts have the bins of an
-empty text and get a score like any other.
+empty text and get a score like any other.  A null or missing ``n_chars`` is a bin of its own.
 """
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from . import fm
 
 CUTOFF = 0.3
+METADATA: fm.Metadata = (("n_chars", "long"),)
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>~^_=+{}[]\\/@!")
 _DIGITS = str.maketrans("", "", "0123456789")
 _GAPS = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
@@ -32,7 +34,7 @@ def statistics(text: str) -> dict[str, float]:
     size, n = max(len(text), 1), max(len(words), 1)
     share = lambda part: 40 * part
     return {
-        "chars": 2 * np.log2(1 + len(text)),
+        "length": 2 * np.log2(1 + len(text)),
         "words": 2 * np.log2(1 + len(words)),
         "word length": 2 * sum(map(len, words)) / n,
         "line words": 2 * np.log2(1 + len(words) / max(len(lines), 1)),
@@ -48,24 +50,43 @@ def statistics(text: str) -> dict[str, float]:
     }
 
 
-def features(text: str) -> np.ndarray:
-    """Distinct 32-bit hashes of words and of (statistic, bin), each bin with its two neighbours."""
-    hashed = {zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in set(text.lower().translate(_GAPS).split())}
+@functools.lru_cache(maxsize=1 << 16)
+def _word(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+@functools.lru_cache(maxsize=1 << 12)
+def _bin(name: str, place: int) -> int:
+    return zlib.crc32(f"{name}:{place}".encode(), 1)
+
+
+def metadata(text: str, n_chars: int | None) -> list[int]:
+    """Hashes of the stated length's bin with its neighbours, and of how it compares with the text."""
+    if n_chars is None:
+        return [_bin("no stated length", 0)]
+    place = int(2 * np.log2(1 + max(n_chars, 0)))
+    return [_bin("stated length", place + d) for d in (-1, 0, 1)] + [_bin("stated against own", (n_chars > len(text)) - (n_chars < len(text)))]
+
+
+def features(text: str, n_chars: int | None = None) -> np.ndarray:
+    """Distinct 32-bit hashes of words, of (statistic, bin), each bin with its two neighbours, and of metadata."""
+    hashed = set(map(_word, set(text.lower().translate(_GAPS).split())))
     for name, value in statistics(text).items():
-        hashed.update(zlib.crc32(f"{name}:{int(value) + d}".encode(), 1) for d in (-1, 0, 1))
+        hashed.update(_bin(name, int(value) + d) for d in (-1, 0, 1))
+    hashed.update(metadata(text, n_chars))
     return np.array(sorted(hashed), np.uint32)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> fm.FactorizationMachine:
     """Fit on the labelled, not held-out rows of ``docs``."""
-    return fm.fit(*fm.sample(docs, labels, "quality", features))
+    return fm.fit(*fm.sample(docs, labels, "quality", features, METADATA))
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row."""
-    return fm.scorer(docs, train(docs, labels), features, CUTOFF)
+    return fm.scorer(docs, train(docs, labels), features, CUTOFF, METADATA)
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents of good quality, with all their columns."""
-    return fm.keep_where(docs, train(docs, labels), features, lambda score: score >= CUTOFF)
+    return fm.keep_where(docs, train(docs, labels), features, lambda score: score >= CUTOFF, METADATA)

@@ -12,7 +12,9 @@ labels of one class, every score is the smoothed share of label 1.
 
 from __future__ import annotations
 
+import functools
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,13 +26,17 @@ PREFIXES = (4, 5, 6)
 _GAPS = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def _hashes(word: str) -> tuple[int, ...]:
+    """Of a word and its beginnings."""
+    starts = [zlib.crc32(word[:n].encode("utf-8", "surrogatepass"), 1) for n in PREFIXES if len(word) >= n]
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")), *starts
+
+
 def features(text: str) -> np.ndarray:
     """Distinct 32-bit hashes of words and word beginnings."""
     words = set(text.lower().translate(_GAPS).split())
-    starts = {w[:n] for w in words for n in PREFIXES if len(w) >= n}
-    hashed = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
-    hashed += [zlib.crc32(s.encode("utf-8", "surrogatepass"), 1) for s in starts]
-    return np.unique(np.array(hashed, np.uint32))
+    return np.unique(np.fromiter(chain.from_iterable(map(_hashes, words)), np.uint32))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> fm.FactorizationMachine:

@@ -69,3 +69,54 @@ def test_interactions_are_learned():
         y.append(float(a and b))
     m = fm.fit(rows, np.array(y))
     assert m.score(np.array([1, 2], np.uint32)) > 0.5 > max(m.score(np.array([1], np.uint32)), m.score(np.array([2], np.uint32)))
+
+
+def mixed(rng, n, label):
+    """Rows of two features among noise, labelled by both."""
+    rows, y = [], []
+    for _ in range(n):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append(np.unique(np.array([1] * a + [2] * b + rng.integers(10, 400, 12).tolist(), np.uint32)))
+        y.append(float(label(a, b)))
+    return rows, np.array(y)
+
+
+def accuracy(model, rows, y):
+    return np.mean([(model.score(r) >= 0.5) == (t > 0) for r, t in zip(rows, y, strict=True)])
+
+
+def test_features_without_a_tie_of_their_own_are_learned_in_pairs():
+    """Neither feature says anything alone; the machine beats a linear model, which is its rank 0."""
+    rng = np.random.default_rng(5)
+    train, test = mixed(rng, 6000, lambda a, b: a != b), mixed(rng, 800, lambda a, b: a != b)
+    places = [fm.buckets_of(r) for r in train[0]]
+    assert {1, 2} <= set(fm.select(places, train[1]).tolist())
+    assert accuracy(fm.fit(*train), *test) > 0.95 and accuracy(fm.fit(*train, rank=0), *test) < 0.6
+
+
+def test_pairs_that_add_up_are_no_interaction():
+    """Independent evidence isn't taken for a pair."""
+    rng = np.random.default_rng(6)
+    rows, y = [], []
+    for _ in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append(np.unique(np.array([1] * a + [2] * b + rng.integers(10, 300, 12).tolist(), np.uint32)))
+        y.append(float(rng.random() < 1 / (1 + np.exp(1 - 0.6 * a - 0.6 * b))))
+    places = [fm.buckets_of(r) for r in rows]
+    assert set(fm.select(places, np.array(y)).tolist()) <= {1, 2}
+
+
+def test_a_labelled_id_of_many_documents_counts_once(spark):
+    docs = documents(spark, [(1, f"text number {i}") for i in range(300)] + [(2, "other words"), (3, "more words")])
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    rows, y = fm.sample(docs, labels, "toxic", toxicity.features)
+    assert len(rows) == len(y) <= 3
+
+
+def test_quality_reads_stated_lengths_and_stands_their_lack(spark):
+    text = "Plain words of a plain text."
+    assert set(quality_model.features(text, None)) != set(quality_model.features(text, len(text))) != set(quality_model.features(text, 9000))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, [(i, text * (1 + i % 2)) for i in range(40)])
+    assert quality_model.scores(docs.drop("n_chars"), labels).count() == 40
+    assert quality_model.keep(docs.drop("n_chars"), labels).columns == docs.drop("n_chars").columns
