@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import written
+from ._shared import dropped, written
 
 
 def _least_neighbour(links: DataFrame) -> DataFrame:
@@ -41,8 +41,9 @@ def connected_components(links: DataFrame) -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u <> v").distinct())
-        current = written(small, "links")
+        old, current = current, written(small, "links")
         before, state = state, _state(current)
+        dropped(old)
         if before == state:
             break
     return current.select("u", F.col("v").alias("root"))

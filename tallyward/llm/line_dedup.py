@@ -1,8 +1,9 @@
 """Line dedup by winnowing: repeated passages are found across all documents and their later runs deleted.
 
-A text is reflowed: a *line* is ``LINE`` consecutive words, and one begins at every
-word, so that a passage is found wherever real line breaks fall and in the middle
-of a sentence too.  Line hashes are winnowed: of each ``WINDOW`` consecutive ones
+Two kinds of lines are hashed.  A *physical line* of ``LEAST_WORDS`` words or more that occurs
+earlier is deleted as it stands.  For passages that begin or end within physical lines, the
+text is reflowed: a line is ``LINE`` consecutive words, and one begins at every
+word.  These line hashes are winnowed: of each ``WINDOW`` consecutive ones
 the least is a fingerprint.  Two texts that share ``LINE + WINDOW - 1`` words
 (``MIN_WORDS``, 50) are thereby guaranteed to share a fingerprint.
 
@@ -13,21 +14,22 @@ occurrence.  Since a run holds a fingerprint in every window, extension never ne
 more than ``WINDOW - 1`` words on either side, so what travels are blocks of word hashes
 around first occurrences and not the text.
 
-The first occurrence may lie in another repeat that is too short, or shorter than one
-with a later occurrence.  So a fingerprint of three places or more about which words are
-left that aren't in a run goes on: each stretch of ``MIN_WORDS`` words around all its places is
-hashed, and those that occur earlier are runs too.  Thereby all repeats are found, whatever their
-earlier copies.
+Two later places of a fingerprint may agree further with each other than with the first.
+Then both leave the first place after equally many words, on the same side, with the same next word.
+Places that share these three with another place are joined by the hashes of the stretches of ``MIN_WORDS`` words
+that hold that word, and stretches that occur earlier are runs too.  Thereby all repeats are
+found, whatever their earlier copies: the words deleted are exactly those in a stretch of ``MIN_WORDS`` words or
+in a physical line that occurs earlier.
 
-Only fingerprints are shuffled for the search, about two in ``WINDOW + 1`` words at 20
+Only fingerprints and lines are shuffled for the search, about two in ``WINDOW + 1`` words at 20
 bytes, first pre-aggregated.  Positions go back to their documents as one row per
 document; the table of these is broadcast if the counted repeats allow it, and joined by
 a shuffle if not.
 
 Defined results: rows with a null doc_id or text pass unchanged and are nobody's
 earlier copy.  Rows alike in doc_id and text count as one, so repeats within such
-a pair of rows aren't deleted.  Documents of fewer than ``MIN_WORDS`` words are
-unchanged.  Line breaks and gaps don't matter for equality; words do, exactly.
+a pair of rows aren't deleted.  Lines of fewer than ``LEAST_WORDS`` words are never deleted by themselves.
+Gaps don't matter for equality; words do, exactly.
 """
 
 from __future__ import annotations
@@ -36,12 +38,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BROADCAST_BYTES, lacking, mapped, own_name, written
+from ._shared import BROADCAST_BYTES, dropped, few, lacking, mapped, own_name, written
 
 MIN_WORDS, LINE = 50, 16
+#: Words of a physical line that is deleted by itself; shorter ones recur by chance.
+LEAST_WORDS = 6
 WINDOW = MIN_WORDS - LINE + 1
 #: Words kept on either side of a fingerprint's line.
 REACH = WINDOW - 1
@@ -126,18 +131,34 @@ def _raw(cell: pa.Scalar) -> bytes:
     return (cell.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``hash, doc, key, pos``: the fingerprints of each text; key: the hash of the whole text."""
+def physical_lines(raw: bytes, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word positions, sizes in words, and hashes of the lines of ``LEAST_WORDS`` words or more."""
+    breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+    edges = np.unique(np.concatenate([[0], np.searchsorted(starts, breaks), [len(words)]]))
+    at, sizes = edges[:-1], np.diff(edges)
+    at, sizes = at[sizes >= LEAST_WORDS], sizes[sizes >= LEAST_WORDS]
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(_Q, len(words)), dtype=np.uint64)])
+    hashes = _mix((sums[at + sizes] - sums[at]) * _powers(_Q_BACK, len(words) + 1)[at] + sizes.astype(np.uint64) * _P)
+    return at, sizes, hashes
+
+
+def marks(docs: DataFrame) -> DataFrame:
+    """``hash, doc, key, pos, size``: fingerprints (size 0) and physical lines (size in words) of each text; key: the hash of the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple] = []
             size = 0
             for doc, key, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-                at, hashes = winnow(words_of(_raw(text))[2])
-                if len(at):
-                    parts.append((hashes, np.full(len(at), doc.as_py()), np.full(len(at), key.as_py()), at))
-                    size += len(at)
+                raw = _raw(text)
+                starts, _, words = words_of(raw)
+                prints, hashes = winnow(words)
+                lines, sizes, of_lines = physical_lines(raw, starts, words)
+                n = len(prints) + len(lines)
+                if n:
+                    parts.append((np.concatenate([hashes, of_lines]), np.full(n, doc.as_py()), np.full(n, key.as_py()), np.concatenate([prints, lines]),
+                                  np.concatenate([np.zeros(len(prints), np.int64), sizes])))
+                    size += n
                 if size > 200_000:
                     yield table(parts)
                     parts, size = [], 0
@@ -145,10 +166,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 yield table(parts)
 
     def table(parts: list[tuple]) -> pa.RecordBatch:
-        hashes, doc, key, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([_signed(hashes), pa.array(doc), pa.array(key), pa.array(at.astype(np.int32))], ["hash", "doc", "key", "pos"])
+        hashes, doc, key, at, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([_signed(hashes), pa.array(doc), pa.array(key), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32))],
+                                          ["hash", "doc", "key", "pos", "size"])
 
-    return mapped(_keyed(docs), run, "hash long, doc long, key long, pos int")
+    return mapped(_keyed(docs), run, "hash long, doc long, key long, pos int, size int")
 
 
 def _text_key(text: Column | str) -> Column:
@@ -197,74 +219,98 @@ def _give_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                  pa.array([padded[b * BLOCK : b * BLOCK + BLOCK + SPAN].tobytes() for b in blocks], pa.binary())], ["c_doc", "c_key", "c_block", "around"])
 
 
-def extended(own: np.ndarray, first: np.ndarray) -> tuple[int, int]:
-    """Words that two contexts share before and after their line; -1 if the lines differ."""
+def reached(own: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each two contexts share their line, and the words they share before and after it."""
     same = (own == first) & (own != 0)
-    if not same[REACH : REACH + LINE].all():
-        return -1, -1
-    before, after = ~same[:REACH][::-1], ~same[REACH + LINE :]
-    return int(before.argmax()) if before.any() else REACH, int(after.argmax()) if after.any() else REACH
-
-
-def _runs_of(words: np.ndarray, cells: list[dict]) -> list[tuple[int, int]]:
-    """Word runs [from, to) that repeat an earlier occurrence, of MIN_WORDS words at least."""
-    by_diagonal: dict[tuple, list[tuple[int, int]]] = {}
-    for cell in cells:
-        block = np.frombuffer(cell["around"], np.uint32)
-        around = _contexts_around(words, np.array([x["pos"] for x in cell["at"]], np.int64))
-        for own, x in zip(around, cell["at"], strict=True):
-            offset = x["c_pos"] - cell["c_block"] * BLOCK
-            before, after = extended(own, block[offset : offset + SPAN])
-            if before >= 0:
-                by_diagonal.setdefault((cell["c_doc"], cell["c_key"], x["pos"] - x["c_pos"]), []).append((x["pos"] - before, x["pos"] + LINE + after))
-    runs: list[tuple[int, int]] = []
-    for pieces in by_diagonal.values():
-        for a, b in _merged(pieces):
-            if b - a >= MIN_WORDS:
-                runs.append((a, b))
-    return _merged(runs)
-
-
-def _merged(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(pieces):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    stop = lambda differ: np.where(differ.any(1), differ.argmax(1), REACH)
+    return same[:, REACH : REACH + LINE].all(1), stop(~same[:, :REACH][:, ::-1]), stop(~same[:, REACH + LINE :])
+
+
+def merged(starts: np.ndarray, ends: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping and touching ranges as one, within each group; in order of start without groups."""
+    if not len(starts):
+        return starts, ends
+    if group is None:
+        group = np.zeros(len(starts), np.int64)
+    rank = np.unique(group, return_inverse=True)[1].astype(np.int64) * (int(ends.max()) + 2)
+    a, b = starts + rank, ends + rank
+    order = np.argsort(a, kind="stable")
+    a, b, rank = a[order], np.maximum.accumulate(b[order]), rank[order]
+    cut = np.flatnonzero(a[1:] > b[:-1])
+    heads, tails = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(a) - 1]])
+    return a[heads] - rank[heads], b[tails] - rank[heads]
 
 
-_RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+class _Lists:
+    """Columns of lists of structs, filled row by row from arrays."""
 
+    def __init__(self, **kinds: pa.DataType) -> None:
+        self.kinds, self.parts, self.ends = kinds, [], [0]
 
-def _starts(at: np.ndarray, n: int) -> np.ndarray:
-    """Starts of the stretches of ``MIN_WORDS`` words that hold a line at one of the positions, in a text of ``n`` words."""
-    starts = np.unique(at[:, None] - np.arange(MIN_WORDS - LINE + 1))
-    return starts[(starts >= 0) & (starts <= n - MIN_WORDS)]
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.ends.append(self.ends[-1] + len(columns[0]))
 
+    def array(self) -> pa.Array:
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)] or [[] for _ in self.kinds]
+        cells = [pa.array(c, kind) if len(c) else pa.array([], kind) for c, kind in zip(columns, self.kinds.values(), strict=True)]
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.StructArray.from_arrays(cells, list(self.kinds)))
 
-def _open(at: np.ndarray, n: int, runs: list[tuple[int, int]]) -> np.ndarray:
+
+def _ranges() -> _Lists:
+    return _Lists(start=pa.int64(), end=pa.int64())
+
+
+def _uncovered(at: np.ndarray, n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of the positions lie in a stretch of ``MIN_WORDS`` words that isn't within a run."""
     free = np.ones(max(n - MIN_WORDS + 1, 0), bool)
-    for a, b in runs:
-        free[a : b - MIN_WORDS + 1] = False
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        free[a : max(a, b - MIN_WORDS + 1)] = False
     sums = np.concatenate([[0], np.cumsum(free)])
     return sums[np.clip(at + 1, 0, len(free))] > sums[np.clip(at - (MIN_WORDS - LINE), 0, len(free))]
 
 
 def _give_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs, and the positions left open: of fingerprints about which a longer repeat may still have its earlier copy elsewhere."""
+    """Runs found against first places; and of each fingerprint how far it agrees with its first place, and the next word on either side.
+
+    A next word of zero: nothing follows there, or nothing within a stretch that holds the line.  open: a stretch that
+    holds the line isn't within a run.
+    """
+    wide = BLOCK + SPAN
     for batch in batches:
-        for doc, key, text, cells in zip(*(batch.column(i) for i in range(4)), strict=True):
-            words, found = words_of(_raw(text))[2], cells.as_py()
-            runs = _runs_of(words, found)
-            at = np.unique([x["pos"] for cell in found for x in cell["at"]])
-            at = at[_open(at, len(words), runs)]
-            if runs or len(at):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc.as_py()]), pa.array([key.as_py()]), pa.array([[{"start": a, "end": b} for a, b in runs]], _RUNS),
-                     pa.array([at.tolist()], pa.list_(pa.int32()))], ["doc", "key", "runs", "open"])
+        runs, places = _ranges(), _Lists(hash=pa.int64(), pos=pa.int32(), left=pa.int32(), before=pa.int64(), right=pa.int32(), after=pa.int64(), open=pa.bool_())
+        flat = batch.column(3).flatten()
+        bounds = np.asarray(batch.column(3).offsets) - batch.column(3).offsets[0].as_py()
+        c_doc, c_key, c_block = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        at = flat.field(3)
+        at_ends = np.concatenate([[0], np.cumsum(pc.list_value_length(at).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        hashes, positions, firsts = (at.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        around = np.frombuffer(b"".join(flat.field(4).to_pylist()), np.uint32).reshape(-1, wide)
+        for row, text in enumerate(batch.column(2)):
+            words = words_of(_raw(text))[2]
+            own = _short(words, SPAN)
+            i, j = bounds[row], bounds[row + 1]
+            cells = np.repeat(np.arange(i, j), np.diff(at_ends[i : j + 1]))
+            part = slice(at_ends[i], at_ends[j])
+            pos, c_pos, code = positions[part].astype(np.int64), firsts[part].astype(np.int64), hashes[part]
+            found = []
+            for begin in range(0, len(pos), 4096):  # bounded memory on very long texts
+                some = slice(begin, begin + 4096)
+                mine = own[pos[some, None] + np.arange(SPAN)]
+                theirs = around[cells[some, None], (c_pos[some] - c_block[cells[some]].astype(np.int64) * BLOCK)[:, None] + np.arange(SPAN)]
+                same, left, right = reached(mine, theirs)
+                line = np.arange(len(same))
+                before = np.where(left < REACH, mine[line, np.maximum(REACH - 1 - left, 0)], 0)
+                after = np.where(right < REACH, mine[line, np.minimum(REACH + LINE + right, SPAN - 1)], 0)
+                found.append((same, left, before, right, after))
+            same, left, before, right, after = (np.concatenate(x) for x in zip(*found, strict=True))
+            diagonal = _mix((c_doc[cells].astype(np.uint64) * _P + c_key[cells].astype(np.uint64)) * _Q + (pos - c_pos).astype(np.uint64)).view(np.int64)
+            a, b = merged(pos[same] - left[same], pos[same] + LINE + right[same], diagonal[same])
+            whole = b - a >= MIN_WORDS
+            a, b = merged(a[whole], b[whole])
+            runs.add(a, b)
+            places.add(code[same], pos[same], left[same], before[same].astype(np.int64), right[same], after[same].astype(np.int64), _uncovered(pos[same], len(words), a, b))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), runs.array(), places.array()], ["doc", "key", "runs", "places"])
 
 
 def _stretches(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -274,78 +320,96 @@ def _stretches(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _give_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the stretches that hold a fingerprint's line and the word at which it leaves its first place."""
     for batch in batches:
         for doc, key, text, cells in zip(*(batch.column(i) for i in range(4)), strict=True):
             words = words_of(_raw(text))[2]
-            starts = _starts(np.array(cells.as_py(), np.int64), len(words))
+            wanted = np.zeros(max(len(words) - MIN_WORDS + 1, 0) + 1, np.int64)
+            for cell in cells.as_py():
+                low, high = cell["pos"] + LINE - MIN_WORDS, cell["pos"]  # starts of stretches that hold the line
+                if cell["side"]:
+                    low = max(low, cell["pos"] + LINE + cell["reach"] - MIN_WORDS + 1)
+                else:
+                    high = min(high, cell["pos"] - cell["reach"] - 1)
+                low, high = max(low, 0), min(high, len(words) - MIN_WORDS)
+                if low <= high:
+                    wanted[low] += 1
+                    wanted[high + 1] -= 1
+            starts = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
             if len(starts):
                 yield pa.RecordBatch.from_arrays(
                     [_signed(_stretches(words, starts)), pa.array(np.full(len(starts), doc.as_py())), pa.array(np.full(len(starts), key.as_py())),
                      pa.array(starts.astype(np.int32))], ["hash", "doc", "key", "pos"])
 
 
-def _repeats(places: DataFrame, name: str) -> DataFrame:
-    """``places (hash, doc, key, pos)`` whose hash occurs earlier, with the first place as ``c_doc, c_key, c_pos``.
+def _fits(table: DataFrame, row_bytes: int | Column) -> bool:
+    """Whether the rows of a written table may be broadcast."""
+    size = table.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
+
 
-    First occurrences are a table of their own, so that a hot hash's rows can be split where they are joined.
+def _repeats(places: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """``places (hash, doc, key, pos, …)`` whose hash occurs earlier, with the first place as ``c_doc, c_key, c_pos``.
+
+    First places are a table of their own, broadcast if it is small, so that a hot hash's rows can be split where they are joined.
     """
     place = F.struct("doc", "key", "pos")
-    first = written(places.groupBy("hash").agg(F.min(place).alias("c"), F.max(place).alias("other")).where("c <> other")
-                    .select("hash", F.col("c.doc").alias("c_doc"), F.col("c.key").alias("c_key"), F.col("c.pos").alias("c_pos"))
-                    .hint("rebalance"), name)
-    return places.join(first, "hash").where("doc <> c_doc or key <> c_key or pos <> c_pos")
+    first = few(places.groupBy("hash").agg(F.min(place).alias("c"), F.max(place).alias("other")).where("c <> other")
+                .select("hash", F.col("c.doc").alias("c_doc"), F.col("c.key").alias("c_key"), F.col("c.pos").alias("c_pos")), docs, name)
+    small = F.broadcast(first) if _fits(first, 80) else first
+    return places.join(small, "hash").where("doc <> c_doc or key <> c_key or pos <> c_pos")
 
 
 def _union_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cells = batch.column(2)
+        cells, runs = batch.column(2), _ranges()
         flat, bounds = cells.flatten(), np.asarray(cells.offsets) - cells.offsets[0].as_py()
         starts, ends = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-        rows = []
         for i, j in zip(bounds[:-1], bounds[1:], strict=True):
-            order = np.argsort(starts[i:j], kind="stable")
-            a, b = starts[i:j][order], np.maximum.accumulate(ends[i:j][order])
-            cut = np.flatnonzero(a[1:] > b[:-1])
-            rows.append([{"start": x, "end": y} for x, y in zip(a[np.r_[0, cut + 1]].tolist(), b[np.r_[cut, len(b) - 1]].tolist(), strict=True)])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, _RUNS)], ["doc", "key", "runs"])
+            runs.add(*merged(starts[i:j], ends[i:j]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), runs.array()], ["doc", "key", "runs"])
 
 
-def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """``doc, key, runs``: the word runs to delete from each document that has any; and whether they may be broadcast.
+_RUNS = "array<struct<start:long,end:long>>"
 
-    Tables that are small beside their partitions are written as few files.
-    """
-    few = lambda df, name: written(df.hint("rebalance"), name)
-    marks = written(fingerprints(docs), "marks")
-    pairs = few(_repeats(marks, "first").select("hash", "doc", "key", "pos", "c_doc", "c_key", "c_pos"), "pairs").withColumn("c_block", F.expr(f"c_pos div {BLOCK}").cast("int"))
-    count = pairs.count()
-    fits = lambda rows, row_bytes: rows * row_bytes <= BROADCAST_BYTES
-    touched = pairs.select("doc", "key").distinct()
-    wanted = (pairs.groupBy("c_doc", "c_key").agg(F.collect_set("c_block").alias("cells"))
-              .select(F.col("c_doc").alias("doc"), F.col("c_key").alias("key"), "cells"))
-    contexts = _at_documents(docs, wanted, fits(count, 24), _give_contexts, "c_doc long, c_key long, c_block int, around binary")
-    at = pairs.groupBy("doc", "key", "c_doc", "c_key", "c_block").agg(F.collect_set(F.struct("pos", "c_pos")).alias("at"))
+
+def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc, key, runs``: the word runs to delete from each document that has any; and whether they may be broadcast."""
+    found_marks = written(marks(docs), "marks")
+    every = written(_repeats(found_marks, docs, "first").select("hash", "doc", "key", "pos", "size", "c_doc", "c_key", "c_pos"), "pairs")
+    dropped(found_marks)
+    lines = every.where("size > 0")
+    pairs = every.where("size = 0").withColumn("c_block", F.expr(f"c_pos div {BLOCK}").cast("int"))
+    # blocks of words around first places, from the documents that hold these
+    wanted = few(pairs.groupBy("c_doc", "c_key").agg(F.collect_set("c_block").alias("cells"))
+                 .select(F.col("c_doc").alias("doc"), F.col("c_key").alias("key"), "cells"), docs, "wanted")
+    contexts = _at_documents(docs, wanted, _fits(wanted, F.size("cells") * 4 + 80), _give_contexts, "c_doc long, c_key long, c_block int, around binary")
+    at = pairs.groupBy("doc", "key", "c_doc", "c_key", "c_block").agg(F.collect_set(F.struct("hash", "pos", "c_pos")).alias("at"))
     cell = F.struct("c_doc", "c_key", "c_block", "at", "around")
     listed = at.join(contexts, ["c_doc", "c_key", "c_block"]).groupBy("doc", "key").agg(F.collect_list(cell).alias("cells"))
-    only = touched if fits(touched.count(), 64) else None
-    found = few(_at_documents(docs, listed, fits(count, 4 * (BLOCK + SPAN) + 64), _give_runs,
-                              "doc long, key long, runs array<struct<start:long,end:long>>, open array<int>", only), "found")
-    # a repeat whose copy isn't the fingerprint's first place is found by whole stretches of MIN_WORDS words; a second
-    # place has no other before it, unless in a stretch of equal lines, where not every place is kept
-    open_at = found.select("doc", "key", F.explode("open").alias("pos")).distinct()
-    second = pairs.groupBy("hash").agg(F.min(F.struct("doc", "key", "pos")).alias("second"))
-    hashes = few(pairs.join(open_at, ["doc", "key", "pos"]).join(second, "hash")
-                 .where("struct(doc, key, pos) <> second or (doc = c_doc and key = c_key)").select("hash").distinct(), "open")
-    number = hashes.count()
-    spots = few(marks.join(F.broadcast(hashes) if fits(number, 16) else hashes, "hash").groupBy("doc", "key").agg(F.collect_list("pos").alias("cells")), "spots")
-    size = spots.agg(F.sum(F.size("cells") * 4 + 64)).first()[0] or 0
-    stretches = written(_at_documents(docs, spots, fits(size, 1), _give_stretches, "hash long, doc long, key long, pos int"), "stretches")
-    more = _repeats(stretches, "first_stretches").select("doc", "key", F.struct(F.col("pos").cast("long").alias("start"), (F.col("pos") + MIN_WORDS).cast("long").alias("end")).alias("run"))
-    all_runs = found.select("doc", "key", F.explode("runs").alias("run")).unionByName(more)
+    # each pair brings at most its own block, so this bounds the size of the list, which is never written
+    small = _fits(pairs.select("doc"), 4 * (BLOCK + SPAN) + 96)
+    touched = None if small else few(pairs.select("doc", "key").distinct(), docs, "touched")
+    only = touched if touched is not None and _fits(touched, 64) else None
+    schema = f"doc long, key long, runs {_RUNS}, places array<struct<hash:long,pos:int,left:int,before:long,right:int,after:long,open:boolean>>"
+    found = written(_at_documents(docs, listed, small, _give_runs, schema, only), "found")
+    # places that leave their first place at the same spot with the same word
+    side = lambda number, reach, word: F.struct(F.lit(number).alias("side"), F.col(f"p.{reach}").alias("reach"), F.col(f"p.{word}").alias("word"))
+    sides = (found.select("doc", "key", F.explode("places").alias("p"))
+             .select("doc", "key", "p.hash", "p.pos", "p.open", F.explode(F.array(side(0, "left", "before"), side(1, "right", "after"))).alias("s"))
+             .select("hash", "s.side", "s.reach", "s.word", "doc", "key", "pos", "open").where("word <> 0"))
+    spot = ["hash", "side", "reach", "word"]
+    shared = few(sides.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("open")).where("n > 1 and open").select(*spot), docs, "shared")
+    spots = few(sides.join(F.broadcast(shared) if _fits(shared, 80) else shared, spot).groupBy("doc", "key")
+                .agg(F.collect_set(F.struct("pos", "side", "reach")).alias("cells")), docs, "spots")
+    stretches = written(_at_documents(docs, spots, _fits(spots, F.size("cells") * 24 + 80), _give_stretches, "hash long, doc long, key long, pos int"), "stretches")
+    run = lambda size: F.struct(F.col("pos").cast("long").alias("start"), (F.col("pos") + size).cast("long").alias("end")).alias("run")
+    all_runs = (found.select("doc", "key", F.explode("runs").alias("run"))
+                .unionByName(_repeats(stretches, docs, "first_stretches").select("doc", "key", run(F.lit(MIN_WORDS))))
+                .unionByName(lines.select("doc", "key", run(F.col("size")))))
     # rows alike in doc_id and text give the same runs, each once
-    runs = few(mapped(all_runs.groupBy("doc", "key").agg(F.collect_list("run").alias("runs")), _union_of_runs,
-                      "doc long, key long, runs array<struct<start:long,end:long>>"), "runs")
-    return runs, fits(runs.agg(F.sum(F.size("runs") * 16 + 64)).first()[0] or 0, 1)
+    runs = few(mapped(all_runs.groupBy("doc", "key").agg(F.collect_set("run").alias("runs")), _union_of_runs, f"doc long, key long, runs {_RUNS}"), docs, "runs")
+    return runs, _fits(runs, F.size("runs") * 16 + 80)
 
 
 def without(text: str, runs: list[tuple[int, int]]) -> str:

@@ -6,7 +6,7 @@ bit's majority gives a 64-bit fingerprint.  Fingerprints that differ in at most
 
 All links are found, without comparing all pairs: 64 bits are cut into
 ``radius + agree`` blocks, and two fingerprints within the radius agree on at
-least ``agree`` of them.  So each distinct fingerprint goes to one bucket per
+least ``agree`` of them.  ``agree`` grows with the counted fingerprints, so that buckets don't grow with them.  So each distinct fingerprint goes to one bucket per
 choice of ``agree`` blocks, and only buckets are compared, by the bit-sliced
 kernel of :mod:`.bitslice`.  A bucket above ``TILE`` members is dealt out as
 pairs of chunks, so no task holds a whole hot bucket.  Tasks return spanning
@@ -33,8 +33,10 @@ from . import bitslice
 from ._shared import BROADCAST_BYTES, lacking, mapped, own_name, written
 from .components import connected_components
 
-#: Bits that linked fingerprints may differ in, and blocks that they share.
-RADIUS, AGREE = 4, 2
+#: Bits that linked fingerprints may differ in.
+RADIUS = 4
+#: Fingerprints that a bucket holds on average, beyond which buckets are cut finer.
+CROWD = 4
 WORDS, SEED = 4, 42
 #: Members of a bucket that one task compares at a time with as many others.
 TILE = 2048
@@ -168,7 +170,15 @@ def _compare(radius: int):
     return run
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, agree: int = AGREE, tile: int = TILE) -> DataFrame:
+def blocks_to_agree(count: int, radius: int = RADIUS) -> int:
+    """Blocks that a bucket's fingerprints share, two at least: so many that ``count`` random ones would not crowd it."""
+    agree = 2
+    while agree < 6 and count > CROWD << (64 * agree // (radius + agree)):
+        agree += 1
+    return agree
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, agree: int = 2, tile: int = TILE) -> DataFrame:
     """Links ``(u, v)`` that connect what all pairs of ``nodes (fp)`` within ``radius`` connect."""
     dealt = nodes.select("fp", F.explode(_bucket_keys(F.col("fp"), radius, agree)).alias("b")).select("b.key", "fp")
     sizes = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -186,7 +196,7 @@ def components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(doc_id, key, fp, component_id)`` per row of ``docs``; component_id: the smallest doc_id reachable."""
     marked = written(fingerprints(docs), "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = connected_components(links(nodes.select("fp"), radius))
+    roots = connected_components(links(nodes.select("fp"), radius, blocks_to_agree(nodes.count(), radius)))
     grouped = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
