@@ -6,9 +6,10 @@ document is normalised at byte level (A-Z lowered, every other ASCII character
 that is no letter or digit taken for a gap), scanned once, and the hits' offsets
 are mapped to words and back to characters of the original.
 
-The benchmark is a stated query set.  It is broadcast in shards of at most
-``SHARD_CHARS`` characters; a larger benchmark takes several scans, whose hits are
-merged, so the result doesn't depend on the sharding.
+The benchmark is a stated query set of any size.  Its items, long ones in overlapping pieces, are dealt
+into shards of about ``SHARD_CHARS`` characters, each broadcast by itself, so that a task builds one automaton of
+bounded size, once.  One shard is the rule and takes one scan; of several, each takes a scan that yields
+the texts with hits, which are then merged, so the result doesn't depend on the sharding.
 
 Defined results: a null or empty text, of a document or an item, has no words and
 no hits.  Items without an id are matched but not named.  Repeated items count
@@ -23,16 +24,16 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import lacking, mapped
+from ._shared import BROADCAST_BYTES, few, lacking, mapped, written
 
 WINDOW = 10
-#: Characters of benchmark text in one automaton, which takes some 100 bytes for each.
-SHARD_CHARS = 2_000_000
-#: Characters of the whole benchmark: the proven bound of what is broadcast.
-MOST_CHARS = 256_000_000
+#: Characters of benchmark text in one automaton, which takes some 500 bytes for each.
+SHARD_CHARS = 400_000
+#: Words of an item that stay in one piece.
+PIECE_WORDS = 5_000
 
 _GAPS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -50,23 +51,18 @@ def windows(text: str | None, size: int = WINDOW) -> list[str]:
     return [(b" " + b" ".join(words[i : i + size]) + b" ").decode("latin-1") for i in spans]
 
 
-def shards(items: list[tuple], limit: int = SHARD_CHARS) -> list[tuple]:
-    """``items (id, text)`` in groups of at most ``limit`` characters, at least one item each."""
-    out: list[list[tuple]] = []
-    room = 0
-    for item in sorted(items, key=lambda x: (str(x[0]), x[1] or "")):
-        size = len(item[1] or "")
-        if not out or size > room:
-            out.append([])
-            room = limit
-        out[-1].append(item)
-        room -= size
-    return [tuple(x) for x in out]
+def pieces(text: str | None, size: int = WINDOW, most: int = PIECE_WORDS) -> list[str]:
+    """The text in pieces of at most ``most`` words (``size`` at least) that together have its windows."""
+    words = normalised(text).decode("utf-8", "surrogatepass").split(" ")[1:-1]
+    if len(words) <= max(most, size):
+        return [" ".join(words)] if words else []
+    step = max(most, size) - size + 1
+    return [" ".join(words[i : i + step + size - 1]) for i in range(0, len(words) - size + 1, step)]
 
 
 @functools.lru_cache(maxsize=1)
 def _automaton(items: tuple, size: int) -> ahocorasick.Automaton | None:
-    """Patterns with their length in words and the items that hold them; once per Python worker."""
+    """Patterns with their length in words and the items that hold them; kept for a worker's next task."""
     owners: dict[str, set[str]] = {}
     for item_id, text in items:
         for pattern in windows(text, size):
@@ -113,7 +109,8 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, in
     return [(int(characters[starts[a]]), int(characters[ends[b - 1]])) for a, b in runs]
 
 
-_SCHEMA = "doc_id long, n_words long, runs array<struct<start:long,end:long>>, items array<string>, spans array<struct<start:long,end:long>>"
+_RUNS = "array<struct<start:long,end:long>>"
+_SCHEMA = f"doc_id long, n_words long, runs {_RUNS}, items array<string>, spans {_RUNS}"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -121,34 +118,61 @@ def _pairs(runs: list[tuple[int, int]]) -> list[dict]:
     return [{"start": a, "end": b} for a, b in runs]
 
 
-def _scan_all(texts: list[str | None], groups: list, size: int) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
-    """Words, merged hit runs and items of each text, with one automaton in memory at a time."""
-    merged: list[tuple[int, list[tuple[int, int]], set[str]]] = []
-    for number, group in enumerate(groups):
-        machine = _automaton(group.value, size)
-        found = [scan(text, machine) for text in texts]
-        merged = [(a[0], a[1] + b[1], a[2] | b[2]) for a, b in zip(merged, found, strict=True)] if number else found
-    if len(groups) > 1:
-        for at, (count, runs, names) in enumerate(merged):
-            joined: list[tuple[int, int]] = []
-            for a, b in sorted(runs):
-                if joined and a <= joined[-1][1]:
-                    joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
-                else:
-                    joined.append((a, b))
-            merged[at] = (count, joined, names)
-    return merged
-
-
-def _query_set(benchmark: DataFrame, shard_chars: int) -> list:
-    """The benchmark as broadcasts of bounded size, its whole size checked first."""
-    items = lacking(benchmark, [("item_id", "string"), ("text", "string")]).distinct()
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping and touching runs as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _query_set(benchmark: DataFrame, size: int, shard_chars: int) -> list:
+    """The benchmark's shards as broadcasts, each of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, p) for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for p in pieces(text.as_py(), size)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in range(2)], ["item_id", "text"])
+
+    items = few(mapped(lacking(benchmark, [("item_id", "string"), ("text", "string")]), run, "item_id string, text string").distinct(), benchmark, "benchmark")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    if total > MOST_CHARS:
-        raise ValueError(f"the benchmark has {total} characters; split it into query sets of at most {MOST_CHARS}")
-    groups = shards([tuple(r) for r in items.collect()], shard_chars) or [()]
+    number = max(1, -(-total // shard_chars))
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(number))
     context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(g) for g in groups]
+    return [context.broadcast(tuple(sorted((tuple(r) for r in items.where(shard == k).toLocalIterator()), key=str))) for k in range(number)]
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
+def _hits_by_text(docs: DataFrame, groups: list, size: int) -> DataFrame:
+    """``key, runs, items`` of the texts that any of several shards hits, a scan for each shard."""
+    slim = lacking(docs, [("text", "string")]).where("text is not null").select(_text_key(F.col("text")).alias("key"), "text")
+
+    def scanned(group) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            machine = _automaton(group.value, size)
+            for batch in batches:
+                found = [(key, runs, items) for key, (_, runs, items) in zip(batch.column(0).to_pylist(), (scan(t.as_py(), machine) for t in batch.column(1)), strict=True) if runs]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in found], pa.int64()), pa.array([_pairs(r) for _, r, _ in found], _SPANS),
+                                                  pa.array([sorted(i) for _, _, i in found], pa.list_(pa.string()))], ["key", "runs", "items"])
+
+        return mapped(slim, run, f"key long, runs {_RUNS}, items array<string>")
+
+    every = functools.reduce(DataFrame.unionByName, map(scanned, groups))
+    one = lambda c: F.array_distinct(F.flatten(F.collect_set(c))).alias(c)
+    return written(every.groupBy("key").agg(one("runs"), one("items")), "benchmark-hits")
+
+
+def _by_key(docs: DataFrame, found: DataFrame, names: list[str], how: str) -> DataFrame:
+    """``docs`` joined with ``found`` by text, which is broadcast if its counted size allows it."""
+    size = found.agg(F.sum(F.size("runs") * 16 + F.size("items") * 64 + 80)).first()[0] or 0
+    side = found.select(F.col("key").alias("hit_text_key"), *[F.col(n).alias(f"hit_{n}") for n in names])
+    return docs.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, _text_key(docs["text"]) == side["hit_text_key"], how)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
@@ -156,20 +180,32 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shard_chars:
 
     Overlapping and touching runs are merged.
     """
-    groups = _query_set(benchmark, shard_chars)
+    groups = _query_set(benchmark, size, shard_chars)
+    slim = lacking(docs, [("doc_id", "long"), ("text", "string")])
+
+    def table(ids: pa.Array, texts: list[str | None], found: list[tuple[int, list[tuple[int, int]], list[str]]]) -> pa.RecordBatch:
+        spans = [_pairs(original_spans(t, r)) if r else [] for t, (_, r, _) in zip(texts, found, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array([n for n, _, _ in found], pa.int64()), pa.array([_pairs(r) for _, r, _ in found], _SPANS),
+             pa.array([i for _, _, i in found], pa.list_(pa.string())), pa.array(spans, _SPANS)],
+            ["doc_id", "n_words", "runs", "items", "spans"])
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _automaton(groups[0].value, size)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            yield table(batch.column(0), texts, [(n, runs, sorted(items)) for n, runs, items in (scan(t, machine) for t in texts)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            found = _scan_all(texts, groups, size)
-            spans = [_pairs(original_spans(t, r)) if r else [] for t, (_, r, _) in zip(texts, found, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for n, _, _ in found], pa.int64()),
-                 pa.array([_pairs(r) for _, r, _ in found], _SPANS),
-                 pa.array([sorted(x) for _, _, x in found], pa.list_(pa.string())), pa.array(spans, _SPANS)],
-                ["doc_id", "n_words", "runs", "items", "spans"])
+            runs = [_merged([(x["start"], x["end"]) for x in r or ()]) for r in batch.column(2).to_pylist()]
+            yield table(batch.column(0), texts, [(scan(t, None)[0], r, sorted(i or ())) for t, r, i in zip(texts, runs, batch.column(3).to_pylist(), strict=True)])
 
-    return mapped(lacking(docs, [("doc_id", "long"), ("text", "string")]), run, _SCHEMA)
+    if len(groups) == 1:
+        return mapped(slim, scanned, _SCHEMA)
+    joined = _by_key(slim, _hits_by_text(docs, groups, size), ["runs", "items"], "left").select("doc_id", "text", "hit_runs", "hit_items")
+    return mapped(joined, given, _SCHEMA)
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -182,14 +218,16 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """The documents in which no window of the benchmark occurs, with all their columns; no shuffle."""
-    groups = _query_set(benchmark, shard_chars)
+    """The documents in which no window of the benchmark occurs, with all their columns; no shuffle with one shard."""
+    groups = _query_set(benchmark, size, shard_chars)
     at = docs.columns.index("text")
+    if len(groups) > 1:
+        return _by_key(docs, _hits_by_text(docs, groups, size), [], "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _automaton(groups[0].value, size)
         for batch in batches:
-            found = _scan_all(batch.column(at).to_pylist(), groups, size)
-            yield batch.filter(pa.array([not runs for _, runs, _ in found], pa.bool_()))
+            yield batch.filter(pa.array([not scan(t.as_py(), machine)[1] for t in batch.column(at)], pa.bool_()))
 
     return mapped(docs, run, docs.schema)
 
