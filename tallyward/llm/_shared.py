@@ -55,7 +55,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Bytes of a source for which a table made of a small part of it gets one file.
-FEW_BYTES = 1 << 30
+FEW_BYTES = 64 << 20
 
 
 def few(df: DataFrame, source: DataFrame, name: str) -> DataFrame:

@@ -46,7 +46,7 @@ from ._shared import BROADCAST_BYTES, dropped, few, lacking, mapped, own_name, w
 
 MIN_WORDS, LINE = 50, 16
 #: Words of a physical line that is deleted by itself; shorter ones recur by chance.
-LEAST_WORDS = 6
+LEAST_WORDS = 2
 WINDOW = MIN_WORDS - LINE + 1
 #: Words kept on either side of a fingerprint's line.
 REACH = WINDOW - 1
@@ -83,11 +83,16 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _P_BACK, _Q_BACK = (np.uint64(pow(int(x), -1, 1 << 64)) for x in (_P, _Q))
 
 
+def edges_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte starts and byte ends of the words of a text."""
+    edge = np.diff(np.concatenate([[False], ~_GAP[np.frombuffer(raw, np.uint8)], [False]]).view(np.int8))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts, byte ends and 64-bit hashes of the words of a text."""
     data = np.frombuffer(raw, np.uint8)
-    edge = np.diff(np.concatenate([[False], ~_GAP[data], [False]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    starts, ends = edges_of(raw)
     sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_P, len(data)), dtype=np.uint64)])
     back = _powers(_P_BACK, len(data) + 1)
     return starts, ends, _mix((sums[ends] - sums[starts]) * back[starts])
@@ -103,14 +108,16 @@ def _slide(values: np.ndarray, size: int, pick) -> np.ndarray:
     return out
 
 
-def winnow(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of a text's fingerprints."""
+def winnow(words: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the fingerprints of a text, or of texts strung together; ``ends``: where each word's text ends."""
     if len(words) < MIN_WORDS:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(_Q, len(words)), dtype=np.uint64)])
     n = len(words) - LINE + 1
     lines = _mix((sums[LINE:] - sums[:n]) * _powers(_Q_BACK, n))
     least = _slide(lines, WINDOW, np.minimum)
+    if ends is not None:  # windows beyond a text's end choose none
+        least = np.where(np.arange(len(least)) + MIN_WORDS <= ends[: len(least)], least, np.uint64(0))
     pad = np.zeros(WINDOW - 1, np.uint64)
     chosen = _slide(np.concatenate([pad, least, pad]), WINDOW, np.maximum) == lines
     at = np.flatnonzero(chosen)
@@ -142,33 +149,43 @@ def physical_lines(raw: bytes, starts: np.ndarray, words: np.ndarray) -> tuple[n
     return at, sizes, hashes
 
 
+#: Bytes of texts that are worked on at a time; at least one text.
+STRUNG = 1 << 20
+
+
+def _strung(texts: pa.Array) -> Iterator[tuple[slice, list[bytes]]]:
+    """Rows whose texts are worked on together."""
+    begin, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        raw = _raw(text)
+        if held and size + len(raw) > STRUNG:
+            yield slice(begin, i), held
+            begin, held, size = i, [], 0
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield slice(begin, begin + len(held)), held
+
+
 def marks(docs: DataFrame) -> DataFrame:
     """``hash, doc, key, pos, size``: fingerprints (size 0) and physical lines (size in words) of each text; key: the hash of the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: list[tuple] = []
-            size = 0
-            for doc, key, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-                raw = _raw(text)
-                starts, _, words = words_of(raw)
-                prints, hashes = winnow(words)
-                lines, sizes, of_lines = physical_lines(raw, starts, words)
-                n = len(prints) + len(lines)
-                if n:
-                    parts.append((np.concatenate([hashes, of_lines]), np.full(n, doc.as_py()), np.full(n, key.as_py()), np.concatenate([prints, lines]),
-                                  np.concatenate([np.zeros(len(prints), np.int64), sizes])))
-                    size += n
-                if size > 200_000:
-                    yield table(parts)
-                    parts, size = [], 0
-            if parts:
-                yield table(parts)
-
-    def table(parts: list[tuple]) -> pa.RecordBatch:
-        hashes, doc, key, at, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([_signed(hashes), pa.array(doc), pa.array(key), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32))],
-                                          ["hash", "doc", "key", "pos", "size"])
+            ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for rows, raws in _strung(batch.column(2)):
+                whole = b"\n".join(raws)
+                starts, _, words = words_of(whole)
+                # the first word of each text, and where the last one ends
+                first = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])]))
+                row = np.repeat(np.arange(len(raws)), np.diff(first))
+                prints, hashes = winnow(words, np.repeat(first[1:], np.diff(first)))
+                lines, sizes, of_lines = physical_lines(whole, starts, words)
+                at = np.concatenate([prints, lines])
+                own = row[at]
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(np.concatenate([hashes, of_lines])), pa.array(ids[rows][own]), pa.array(keys[rows][own]), pa.array((at - first[own]).astype(np.int32)),
+                     pa.array(np.concatenate([np.zeros(len(prints), np.int64), sizes]).astype(np.int32))], ["hash", "doc", "key", "pos", "size"])
 
     return mapped(_keyed(docs), run, "hash long, doc long, key long, pos int, size int")
 
@@ -320,21 +337,25 @@ def _stretches(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _give_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the stretches that hold a fingerprint's line and the word at which it leaves its first place."""
+    """Hashes of the stretches that hold a fingerprint's line and a word at which it leaves its first place together with another.
+
+    On a side where it leaves its first place alone, no stretch reaches beyond that.
+    """
     for batch in batches:
         for doc, key, text, cells in zip(*(batch.column(i) for i in range(4)), strict=True):
             words = words_of(_raw(text))[2]
             wanted = np.zeros(max(len(words) - MIN_WORDS + 1, 0) + 1, np.int64)
+            most: dict[int, list[int]] = {}
             for cell in cells.as_py():
-                low, high = cell["pos"] + LINE - MIN_WORDS, cell["pos"]  # starts of stretches that hold the line
-                if cell["side"]:
-                    low = max(low, cell["pos"] + LINE + cell["reach"] - MIN_WORDS + 1)
-                else:
-                    high = min(high, cell["pos"] - cell["reach"] - 1)
-                low, high = max(low, 0), min(high, len(words) - MIN_WORDS)
-                if low <= high:
-                    wanted[low] += 1
-                    wanted[high + 1] -= 1
+                reach = most.setdefault(cell["pos"], [cell["left"], cell["right"], cell["left"], cell["right"]])
+                reach[cell["side"]] = REACH
+            for pos, (left, right, own_left, own_right) in most.items():
+                low, high = max(pos - left, 0), min(pos + LINE + right, len(words)) - MIN_WORDS
+                # those within what is shared with the first place are told already
+                for a, b in ((low, min(high, pos - own_left - 1)), (max(low, pos - own_left, pos + LINE + own_right - MIN_WORDS + 1), high)):
+                    if a <= b:
+                        wanted[a] += 1
+                        wanted[b + 1] -= 1
             starts = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
             if len(starts):
                 yield pa.RecordBatch.from_arrays(
@@ -351,13 +372,15 @@ def _fits(table: DataFrame, row_bytes: int | Column) -> bool:
 def _repeats(places: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """``places (hash, doc, key, pos, …)`` whose hash occurs earlier, with the first place as ``c_doc, c_key, c_pos``.
 
-    First places are a table of their own, broadcast if it is small, so that a hot hash's rows can be split where they are joined.
+    Hashes that occur once are most; they go by a count.  Counts and first places are tables of their own, broadcast if
+    they are small, so that a hot hash's rows can be split where they are joined.
     """
     place = F.struct("doc", "key", "pos")
-    first = few(places.groupBy("hash").agg(F.min(place).alias("c"), F.max(place).alias("other")).where("c <> other")
-                .select("hash", F.col("c.doc").alias("c_doc"), F.col("c.key").alias("c_key"), F.col("c.pos").alias("c_pos")), docs, name)
-    small = F.broadcast(first) if _fits(first, 80) else first
-    return places.join(small, "hash").where("doc <> c_doc or key <> c_key or pos <> c_pos")
+    twice = few(places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), docs, name)
+    repeated = written(places.join(F.broadcast(twice) if _fits(twice, 64) else twice, "hash"), f"{name}-all")
+    first = few(repeated.groupBy("hash").agg(F.min(place).alias("c"), F.max(place).alias("other")).where("c <> other")
+                .select("hash", F.col("c.doc").alias("c_doc"), F.col("c.key").alias("c_key"), F.col("c.pos").alias("c_pos")), docs, f"{name}-first")
+    return repeated.join(F.broadcast(first) if _fits(first, 80) else first, "hash").where("doc <> c_doc or key <> c_key or pos <> c_pos")
 
 
 def _union_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +399,7 @@ _RUNS = "array<struct<start:long,end:long>>"
 def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
     """``doc, key, runs``: the word runs to delete from each document that has any; and whether they may be broadcast."""
     found_marks = written(marks(docs), "marks")
-    every = written(_repeats(found_marks, docs, "first").select("hash", "doc", "key", "pos", "size", "c_doc", "c_key", "c_pos"), "pairs")
+    every = written(_repeats(found_marks, docs, "repeats").select("hash", "doc", "key", "pos", "size", "c_doc", "c_key", "c_pos"), "pairs")
     dropped(found_marks)
     lines = every.where("size > 0")
     pairs = every.where("size = 0").withColumn("c_block", F.expr(f"c_pos div {BLOCK}").cast("int"))
@@ -396,16 +419,16 @@ def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
     # places that leave their first place at the same spot with the same word
     side = lambda number, reach, word: F.struct(F.lit(number).alias("side"), F.col(f"p.{reach}").alias("reach"), F.col(f"p.{word}").alias("word"))
     sides = (found.select("doc", "key", F.explode("places").alias("p"))
-             .select("doc", "key", "p.hash", "p.pos", "p.open", F.explode(F.array(side(0, "left", "before"), side(1, "right", "after"))).alias("s"))
-             .select("hash", "s.side", "s.reach", "s.word", "doc", "key", "pos", "open").where("word <> 0"))
+             .select("doc", "key", "p.hash", "p.pos", "p.left", "p.right", "p.open", F.explode(F.array(side(0, "left", "before"), side(1, "right", "after"))).alias("s"))
+             .select("hash", "s.side", "s.reach", "s.word", "doc", "key", "pos", "left", "right", "open").where("word <> 0"))
     spot = ["hash", "side", "reach", "word"]
     shared = few(sides.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("open")).where("n > 1 and open").select(*spot), docs, "shared")
     spots = few(sides.join(F.broadcast(shared) if _fits(shared, 80) else shared, spot).groupBy("doc", "key")
-                .agg(F.collect_set(F.struct("pos", "side", "reach")).alias("cells")), docs, "spots")
-    stretches = written(_at_documents(docs, spots, _fits(spots, F.size("cells") * 24 + 80), _give_stretches, "hash long, doc long, key long, pos int"), "stretches")
+                .agg(F.collect_set(F.struct("pos", "side", "left", "right")).alias("cells")), docs, "spots")
+    stretches = written(_at_documents(docs, spots, _fits(spots, F.size("cells") * 32 + 80), _give_stretches, "hash long, doc long, key long, pos int"), "stretches")
     run = lambda size: F.struct(F.col("pos").cast("long").alias("start"), (F.col("pos") + size).cast("long").alias("end")).alias("run")
     all_runs = (found.select("doc", "key", F.explode("runs").alias("run"))
-                .unionByName(_repeats(stretches, docs, "first_stretches").select("doc", "key", run(F.lit(MIN_WORDS))))
+                .unionByName(_repeats(stretches, docs, "stretch-repeats").select("doc", "key", run(F.lit(MIN_WORDS))))
                 .unionByName(lines.select("doc", "key", run(F.col("size")))))
     # rows alike in doc_id and text give the same runs, each once
     runs = few(mapped(all_runs.groupBy("doc", "key").agg(F.collect_set("run").alias("runs")), _union_of_runs, f"doc long, key long, runs {_RUNS}"), docs, "runs")
@@ -415,7 +438,7 @@ def repeated_runs(docs: DataFrame) -> tuple[DataFrame, bool]:
 def without(text: str, runs: list[tuple[int, int]]) -> str:
     """The text without runs of words; what follows a run keeps the gap before it."""
     raw = text.encode("utf-8", "surrogatepass")
-    starts, ends, _ = words_of(raw)
+    starts, ends = edges_of(raw)
     out, done = [], 0
     for a, b in runs:
         out.append(raw[done : starts[a]])

@@ -121,7 +121,7 @@ def test_empty_tables(spark):
 
 
 def plain_line_dedup(texts):
-    """Words deleted: those in a stretch of 50 words, or in a physical line of six or more, that occurs earlier; documents in order."""
+    """Words deleted: those in a stretch of 50 words, or in a physical line of two or more, that occurs earlier; documents in order."""
     key = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)
     order = sorted((i, key(t), t) for i, t in set(texts) if i is not None and t is not None)
     seen, lines, out = set(), set(), {}
@@ -244,8 +244,8 @@ def test_repeated_rows_with_a_repeated_passage(spark):
 
 
 def test_short_physical_lines(spark):
-    """A line of six words or more goes where it occurs again, in the same document too; shorter ones stay."""
-    line, brief = " ".join(words(81, 11)), "one two three four five"
+    """A line of two words or more goes where it occurs again, in the same document too; shorter ones stay."""
+    line, brief = " ".join(words(81, 11)), "one"
     texts = [(1, f"a b\n{line}\n{brief}\nc"), (2, f"{line} \n{brief}\n d"), (3, f"start {line}\n{brief}\n  {line.replace(' ', '  ')}\r\n{line}"), (4, line), (5, "x\n" + line)]
     assert removed_of(spark, texts) == {1: 0, 2: 11, 3: 22, 4: 11, 5: 11} == {d: n for (d, _), n in plain_line_dedup(texts).items()}
     left = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(documents(spark, texts)).collect()}
