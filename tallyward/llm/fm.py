@@ -38,7 +38,7 @@ MIN_CHI2, MIN_ROWS = 25.0, 4
 PAIRED, MIN_PAIR = 2048, 6.5
 BATCH = 256
 
-#: Distinct 32-bit hashes of a text, and of the metadata columns named beside it.
+#: 32-bit hashes of a text, and of the metadata columns named beside it.
 Features = Callable[..., np.ndarray]
 Metadata = tuple[tuple[str, T.DataType | str], ...]
 
@@ -57,9 +57,9 @@ class FactorizationMachine:
         self.row[buckets] = np.arange(len(buckets))
 
     def score(self, features: np.ndarray) -> float:
-        """Probability of label 1 from the distinct hashes of one document."""
-        at = self.row[buckets_of(features)]
-        at = at[at >= 0]
+        """Probability of label 1 from the hashes of one document, each of which counts once."""
+        at = self.row[features & np.uint32(BUCKETS - 1)]
+        at = np.unique(at[at >= 0])
         z = self.bias
         if len(at):
             v = self.factors[at]
@@ -216,7 +216,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, features: Features, m
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x.astype(np.uint32).tobytes() for x in _features_of(batch, features, 2)]
+            found = [np.unique(x).tobytes() for x in _features_of(batch, features, 2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["doc_id", "y", "x"])
 
     one = mapped(rows, run, "doc_id long, y int, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))

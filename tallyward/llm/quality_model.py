@@ -14,47 +14,46 @@ from __future__ import annotations
 
 import functools
 import zlib
+from itertools import islice
+from math import log2
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from . import fm
+from .toxicity import words_of
 
 CUTOFF = 0.3
 METADATA: fm.Metadata = (("n_chars", "long"),)
-_SYMBOLS = str.maketrans("", "", "#*$%&|<>~^_=+{}[]\\/@!")
-_DIGITS = str.maketrans("", "", "0123456789")
-_GAPS = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
+_SYMBOLS, _DIGITS = b"#*$%&|<>~^_=+{}[]\\/@!", b"0123456789"
 
 
 def statistics(text: str) -> dict[str, float]:
     """The structure statistics, each on a scale that a few bins cover."""
     words = text.split()
     lines = [x for x in text.split("\n") if x.strip()]
+    raw = text.encode("utf-8", "surrogatepass")
     size, n = max(len(text), 1), max(len(words), 1)
+    symbols, digits = (len(raw) - len(raw.translate(None, which)) for which in (_SYMBOLS, _DIGITS))
     share = lambda part: 40 * part
     return {
-        "length": 2 * np.log2(1 + len(text)),
-        "words": 2 * np.log2(1 + len(words)),
+        "length": 2 * log2(1 + len(text)),
+        "words": 2 * log2(1 + len(words)),
         "word length": 2 * sum(map(len, words)) / n,
-        "line words": 2 * np.log2(1 + len(words) / max(len(lines), 1)),
-        "symbols": share((len(text) - len(text.translate(_SYMBOLS))) / size),
-        "symbols a word": share((len(text) - len(text.translate(_SYMBOLS))) / n / 4),
-        "digits": share((len(text) - len(text.translate(_DIGITS))) / size),
+        "line words": 2 * log2(1 + len(words) / max(len(lines), 1)),
+        "symbols": share(symbols / size),
+        "symbols a word": share(symbols / n / 4),
+        "digits": share(digits / size),
         "upper": share(sum(map(str.isupper, words)) / n),
         "repeated words": share(1 - len(set(words)) / n),
-        "same as before": share(sum(a == b for a, b in zip(words, words[1:], strict=False)) / n),
+        "same as before": share(sum(map(eq, words, islice(words, 1, None))) / n),
         "repeated lines": share(1 - len(set(lines)) / max(len(lines), 1)),
-        "full stops": share(min(1.0, text.count(".") / n)),
-        "bars": share(min(1.0, text.count("|") / n)),
+        "full stops": share(min(1.0, raw.count(b".") / n)),
+        "bars": share(min(1.0, raw.count(b"|") / n)),
     }
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def _word(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
-
-
 @functools.lru_cache(maxsize=1 << 12)
 def _bin(name: str, place: int) -> int:
     return zlib.crc32(f"{name}:{place}".encode(), 1)
@@ -64,17 +63,16 @@ def metadata(text: str, n_chars: int | None) -> list[int]:
     """Hashes of the stated length's bin with its neighbours, and of how it compares with the text."""
     if n_chars is None:
         return [_bin("no stated length", 0)]
-    place = int(2 * np.log2(1 + max(n_chars, 0)))
+    place = int(2 * log2(1 + max(n_chars, 0)))
     return [_bin("stated length", place + d) for d in (-1, 0, 1)] + [_bin("stated against own", (n_chars > len(text)) - (n_chars < len(text)))]
 
 
 def features(text: str, n_chars: int | None = None) -> np.ndarray:
-    """Distinct 32-bit hashes of words, of (statistic, bin), each bin with its two neighbours, and of metadata."""
-    hashed = set(map(_word, set(text.lower().translate(_GAPS).split())))
+    """32-bit hashes of distinct words, of (statistic, bin), each bin with its two neighbours, and of metadata."""
+    hashed = list(map(zlib.crc32, words_of(text)))
     for name, value in statistics(text).items():
-        hashed.update(_bin(name, int(value) + d) for d in (-1, 0, 1))
-    hashed.update(metadata(text, n_chars))
-    return np.array(sorted(hashed), np.uint32)
+        hashed += [_bin(name, int(value) + d) for d in (-1, 0, 1)]
+    return np.array(hashed + metadata(text, n_chars), np.uint32)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> fm.FactorizationMachine:

@@ -23,20 +23,28 @@ from . import fm
 
 CUTOFF = 0.5
 PREFIXES = (4, 5, 6)
-_GAPS = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
+#: Bytes of a lower-cased text: letters, digits and all beyond ASCII stay.
+GAPS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def words_of(text: str) -> set[bytes]:
+    """Distinct lower-cased words, in UTF-8."""
+    return set(text.lower().encode("utf-8", "surrogatepass").translate(GAPS).split())
 
 
 @functools.lru_cache(maxsize=1 << 16)
-def _hashes(word: str) -> tuple[int, ...]:
+def _hashes(word: bytes) -> tuple[int, ...]:
     """Of a word and its beginnings."""
-    starts = [zlib.crc32(word[:n].encode("utf-8", "surrogatepass"), 1) for n in PREFIXES if len(word) >= n]
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")), *starts
+    if word.isascii():
+        return zlib.crc32(word), *[zlib.crc32(word[:n], 1) for n in PREFIXES if len(word) >= n]
+    letters = word.decode("utf-8", "surrogatepass")
+    starts = [zlib.crc32(letters[:n].encode("utf-8", "surrogatepass"), 1) for n in PREFIXES if len(letters) >= n]
+    return zlib.crc32(word), *starts
 
 
 def features(text: str) -> np.ndarray:
-    """Distinct 32-bit hashes of words and word beginnings."""
-    words = set(text.lower().translate(_GAPS).split())
-    return np.unique(np.fromiter(chain.from_iterable(map(_hashes, words)), np.uint32))
+    """32-bit hashes of distinct words and of their beginnings."""
+    return np.fromiter(chain.from_iterable(map(_hashes, words_of(text))), np.uint32)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> fm.FactorizationMachine:
