@@ -121,6 +121,17 @@ def similarity(new: pd.Series, prior: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(new, prior, strict=True)], dtype="float64")
 
 
+def may_be_similar(new: Column | str, prior: Column | str, least: float) -> Column:
+    """False only where :func:`similarity` is below ``least``.
+
+    Matching blocks of M characters leave T - 2M of both texts' T to delete and insert, so the edit distance is
+    at most (1 - ratio) T.  Spark looks for a distance only up to that limit, along a band.
+    """
+    new, prior = col(new), col(prior)
+    limit = F.floor((F.length(new) + F.length(prior)) * F.lit(1 - least) + F.lit(1e-9)).cast("int")
+    return F.call_function("levenshtein", new, prior, limit) >= 0
+
+
 def sufficient(value: Column | str) -> Column:
     """Whether a page's own text is enough to go by."""
     text = strip(F.coalesce(col(value), F.lit("")))
@@ -140,6 +151,20 @@ def copy_label(value: Column | str) -> Column:
     return F.coalesce(col(value), F.lit("")).rlike(COPY_LABEL)
 
 
+def quoted(value: Column | str) -> Column:
+    """A text in quotes, single ones unless they stand in it, None for null."""
+    value = col(value)
+    plain = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    double = F.contains(value, F.lit("'")) & ~F.contains(value, F.lit('"'))
+    single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(value.isNull(), F.lit("None")).when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
+
+
+def listed(values: Column) -> Column:
+    """Texts in quotes, in brackets."""
+    return F.concat(F.lit("["), F.array_join(F.transform(values, quoted), ", "), F.lit("]"))
+
+
 def captured(value: Column, pattern: str, group: int = 1) -> Column:
     """A group of the leftmost match, null without one or if the group is empty."""
     return blank_to_null(F.regexp_extract(value, pattern, group))

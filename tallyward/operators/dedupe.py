@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from .shared import checkpointed
+from .shared import checkpointed, dropped
 
 # Near-equal texts, to remark on and to decline.
 ADVISORY, DECLINE = 0.92, 0.97
@@ -57,10 +57,11 @@ MONEY = ("currency", "gross_total")
 
 
 def near_texts(rows: DataFrame, least: float = DECLINE) -> DataFrame:
-    """``currency, gross_total, content_hash, p_hash``: different texts with near-equal wording and equal amounts.
+    """``currency, gross_total, content_hash, p_hash, score``: different texts with near-equal wording and equal amounts.
 
     Joined on currency and gross and, since a ratio of r needs lengths of r / (2 - r), on
-    neighbouring classes of length, so that unlike texts never meet.  Copies of a text are
+    neighbouring classes of length, so that unlike texts never meet.  Of these, pairs are compared whose edit
+    distance allows the ratio.  Copies of a text are
     compared once.  The ratio depends on which text is the new one, so both orders count.
     """
     can = rows.where("form <> '' and currency <> '' and gross_total <> ''")
@@ -68,9 +69,9 @@ def near_texts(rows: DataFrame, least: float = DECLINE) -> DataFrame:
     texts = can.groupBy(*MONEY, "content_hash").agg(F.min("form").alias("form")).withColumn("size", size)
     other = texts.select(*MONEY, F.col("content_hash").alias("p_hash"), F.col("form").alias("p_form"),
                          F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"))
-    close = F.least(F.length("form"), F.length("p_form")) >= F.greatest(F.length("form"), F.length("p_form")) * (least / (2 - least))
-    return (texts.join(other, [*MONEY, "size"]).where("content_hash <> p_hash").where(close)
-            .withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*MONEY, "content_hash", "p_hash"))
+    may = (F.col("content_hash") != F.col("p_hash")) & t.may_be_similar("form", "p_form", least)
+    return (texts.join(other, [*MONEY, "size"]).where(may).select(*MONEY, "content_hash", "p_hash", "form", "p_form")
+            .withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*MONEY, "content_hash", "p_hash", "score"))
 
 
 def _leaders(state: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,36 +102,51 @@ def _predecessors(state: DataFrame, near: DataFrame) -> DataFrame:
         found = out.join(_leaders(state, keys), keys, "left")
         out = found.select(*out.columns, _before("b1", "b2", same_file).alias(f"{method}_b"), _before("o1", "o2", same_file).alias(f"{method}_o"))
     texts = _leaders(state, [*MONEY, "content_hash"]).withColumnRenamed("content_hash", "p_hash")
+    scored = lambda first, second: F.min(F.when(_before(first, second).isNotNull(), F.struct(
+        _before(first, second)["seq"].alias("seq"), _before(first, second)["file"].alias("file"), F.col("score"))))
     close = (state.select("seq", "file", *MONEY, "content_hash").join(near, [*MONEY, "content_hash"]).join(texts, [*MONEY, "p_hash"])
-             .groupBy("seq").agg(F.min(_before("b1", "b2")).alias(f"{METHODS[3]}_b"), F.min(_before("o1", "o2")).alias(f"{METHODS[3]}_o")))
+             .groupBy("seq").agg(scored("b1", "b2").alias(f"{METHODS[3]}_b"), scored("o1", "o2").alias(f"{METHODS[3]}_o")))
     return out.join(close, "seq", "left")
 
 
-def settle(rows: DataFrame, rounds: int = 200) -> DataFrame:
-    """``seq, verdict, method, matched_against, booked``: rows of :func:`evidence` settled in booking order.
+def settle(rows: DataFrame) -> DataFrame:
+    """``seq, verdict, method, matched_against, score, booked``: rows of :func:`evidence` settled in booking order.
 
     Rows that can't be booked never stand in another's way.  The method is the
-    strongest tier with a booked predecessor, the match its first.  Each round ends in
-    a checkpoint in the folder all machines share.
+    strongest tier with a booked predecessor, the match its first; score is the similarity of near-equal texts.  Each round ends in
+    a table in the folder all machines share.  The first open row has only settled predecessors, so each
+    round settles some and the last row is settled at last.
     """
     near = checkpointed(near_texts(rows))
     own = ["seq", "file", "file_hash", "content_hash", "business_key", *MONEY, "bookable", "copy_label"]
     state = checkpointed(rows.select(*own, F.lit("open").alias("state")))
-    for _ in range(rounds):
+    any_of = lambda end: F.coalesce(*[F.col(f"{m}_{end}.seq") for m in METHODS]).isNotNull()
+    while not state.where("state = 'open'").isEmpty():
         found = _predecessors(state, near)
-        any_of = lambda end: F.coalesce(*[F.col(f"{m}_{end}") for m in METHODS]).isNotNull()
         new = (F.when(any_of("b"), F.lit("dup")).when(any_of("o"), F.lit("open")).when(F.col("bookable"), F.lit("booked")).otherwise(F.lit("dropped")))
-        state = checkpointed(found.select(*own, F.when(F.col("state") == "open", new).otherwise(F.col("state")).alias("state")))
-        if state.where("state = 'open'").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"duplicates not settled in {rounds} rounds")
-    named = F.coalesce(*[F.when(F.col(f"{m}_b").isNotNull(), F.struct(F.lit(m).alias("m"), F.col(f"{m}_b.file").alias("f"))) for m in METHODS])
+        before, state = state, checkpointed(found.select(*own, F.when(F.col("state") == "open", new).otherwise(F.col("state")).alias("state")))
+        dropped(before)
+    score = lambda m: F.col(f"{m}_b.score") if m == METHODS[3] else F.lit(None).cast("double")
+    named = F.coalesce(*[F.when(F.col(f"{m}_b").isNotNull(), F.struct(F.lit(m).alias("m"), F.col(f"{m}_b.file").alias("f"), score(m).alias("score"))) for m in METHODS])
     dup, remark = F.col("state") == "dup", F.col("copy_label") & (F.col("state") != "dup")
     return _predecessors(state, near).select(
         "seq", F.when(dup, F.lit(DUPLICATE)).when(remark, F.lit(REMARK)).otherwise(F.lit(NONE)).alias("verdict"),
         F.when(dup, named["m"]).when(remark, F.lit("copy_indicator")).otherwise(F.lit("")).alias("method"),
-        F.when(dup, named["f"]).otherwise(F.lit("")).alias("matched_against"), (F.col("state") == "booked").alias("booked"))
+        F.when(dup, named["f"]).otherwise(F.lit("")).alias("matched_against"), F.when(dup, named["score"]).alias("score"), (F.col("state") == "booked").alias("booked"))
+
+
+def reason(currency: Column, gross: Column) -> Column:
+    """Why a row of :func:`settle` with ``method, matched_against, score`` is a duplicate."""
+    method, prior = F.col("method"), t.quoted("matched_against")
+    said = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    # The words of each tier.
+    return (F.when(method == METHODS[0], said("Byte-identical to already-booked file ", prior, "."))
+            .when(method == METHODS[1], said("Content-identical (normalized text) to already-booked document ", prior, "."))
+            .when(method == METHODS[2], said("Same supplier+invoice_number+invoice_date+currency+gross_total as already-booked document ", prior, "."))
+            .when(method == METHODS[3], said(
+                "High-confidence duplicate: near-total text similarity (similarity=", F.format_string("%.3f", F.col("score")), ") AND exact matching currency (", currency,
+                ") AND exact matching gross_total (", gross, ") against already-booked ", prior, " — independent identity fields (invoice number/date/supplier) were unavailable to build a "
+                "business-key match, but textual and financial corroboration together are strong enough to auto-decline.")))
 
 
 def advisories(rows: DataFrame, booked: DataFrame) -> DataFrame:
@@ -142,5 +158,6 @@ def advisories(rows: DataFrame, booked: DataFrame) -> DataFrame:
     mine = rows.where("form <> ''").withColumn("size", F.floor(F.log(F.length("form")) / step).cast("int"))
     prior = first.withColumn("at", F.floor(F.log(F.length("p_form")) / step).cast("int")).select(
         "*", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)).alias("size"))
-    near = mine.join(prior, "size").where("prior < seq and prior_file <> file").withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= ADVISORY)
+    may = t.may_be_similar("form", "p_form", ADVISORY)
+    near = mine.join(prior, "size").where("prior < seq and prior_file <> file").where(may).select("seq", "form", "p_form", "prior", "prior_file").withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= ADVISORY)
     return near.groupBy("seq").agg(F.min_by("prior_file", "prior").alias("matched_against"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as v
-from ..functions.text import captured, let, strip
+from ..functions.text import captured, strip
+from .shared import spare
 
 RAW_TAX = "struct<tax_type:string,tax_rate_raw:string,tax_amount_raw:string>"
 TEXT_FIELDS = ("invoice_number", "po_number", "currency", "invoice_date_raw", "due_date_raw", "supplier_name", "buyer_name", "supplier_vat_id",
@@ -33,8 +34,8 @@ def _country(vat: Column) -> Column:
     return captured(vat, r"^([A-Z]{2})")
 
 
-def _name(text: Column, pattern: str) -> Column:
-    found = captured(text, pattern)
+def _name(found: Column) -> Column:
+    """A captured name, null for labels that stand where names do."""
     return F.when(~F.lower(strip(found)).isin(*v.NOT_NAMES), F.regexp_replace(strip(found), "[,.]+$", ""))
 
 
@@ -47,57 +48,58 @@ def _tax_name(kind: Column) -> Column:
     return F.when(F.upper(kind) == "TAX", F.lit("VAT")).otherwise(F.upper(kind))
 
 
-def _taxes(text: Column, subtotal: Column) -> Column:
-    """Taxes with a rate; else, beside a subtotal, a total tax amount; else null."""
-    kinds, rates, amounts = (_every(text, v.RATED_TAX, g) for g in (1, 2, 3))
-    rated = F.transform(F.arrays_zip(kinds.alias("k"), rates.alias("r"), amounts.alias("a")), lambda x: F.struct(
-        _tax_name(x["k"]).alias("tax_type"), F.replace(x["r"], F.lit(","), F.lit(".")).alias("tax_rate_raw"), x["a"].alias("tax_amount_raw")))
-    stated = F.regexp_extract(text, v.TOTAL_TAX, 2)
-    total = F.array(F.struct(_tax_name(F.regexp_extract(text, v.TOTAL_TAX, 1)).alias("tax_type"), F.lit("").alias("tax_rate_raw"), stated.alias("tax_amount_raw")))
-    return F.when(F.size(rated) > 0, rated.cast(f"array<{RAW_TAX}>")).when(subtotal.isNotNull() & (stated != ""), total.cast(f"array<{RAW_TAX}>"))
-
-
-def fields(text: Column) -> Column:
-    """The struct of all fields of a text, each null if it isn't found, with ``confidence_notes``."""
-    plain = strip(F.coalesce(text, F.lit("")))
-    return let(unglued(plain), _fields)
-
-
-def _fields(t: Column) -> Column:
-    invoice_number = captured(t, v.INVOICE_NUMBER)
-    symbols = F.create_map(*[F.lit(x) for pair in v.SYMBOLS.items() for x in pair])
-    due = captured(t, v.DUE_DATE)
-    dates = F.array_distinct(_every(t, v.DATES, 0))
-    lone = F.when(due.isNull() & (F.size(dates) == 1), F.get(dates, F.lit(0)))
-    vat = F.get(_vat_ids(t), F.lit(0))
-    others = F.filter(_vat_ids(F.coalesce(_after_buyer(t), F.lit(""))), lambda x: ~x.eqNullSafe(vat))
-    labelled = captured(t, v.TOTAL)
-    amounts = F.zip_with(_every(t, v.ANY_AMOUNT, 1), _every(t, v.ANY_AMOUNT, 2), lambda a, b: F.when(a != "", a).otherwise(b))
-    last = F.try_element_at(amounts, F.lit(-1))
-    subtotal = captured(t, v.SUBTOTAL)
-    taxes = _taxes(t, subtotal)
-    net, rate, tax = captured(t, v.NET_BASE), captured(t, v.KM_RATE, 1), captured(t, v.KM_RATE, 2)
-    pair = subtotal.isNull() & taxes.isNull() & net.isNotNull() & rate.isNotNull()
-    pair_tax = F.array(F.struct(F.lit("VAT").alias("tax_type"), F.replace(rate, F.lit(","), F.lit(".")).alias("tax_rate_raw"), tax.alias("tax_amount_raw"))).cast(f"array<{RAW_TAX}>")
+def extracted(rows: DataFrame, text: str = "text", name: str = "fields", condition: Column | None = None) -> DataFrame:
+    """``rows`` with the struct of all fields of a text, each null if it isn't found, with ``confidence_notes``.
+
+    The struct is null where ``condition`` doesn't hold, and nothing is searched there.
+    Each pattern is a column of its own, computed once, so that fields which nobody asks for are never searched.
+    """
+    x = spare(rows, "found")
+    c = lambda key: F.col(x + key)
+    plain = strip(F.coalesce(F.col(text), F.lit("")))
+    start = rows.withColumn(x + "text", unglued(plain if condition is None else F.when(condition, plain)))
+    t = c("text")
+    firsts = {key: captured(t, pattern) for key, pattern in (
+        ("number", v.INVOICE_NUMBER), ("order", v.ORDER_NUMBER), ("code", v.CODE), ("symbol", v.SYMBOL), ("dated", v.INVOICE_DATE), ("due", v.DUE_DATE), ("supplier", v.SUPPLIER), ("buyer", v.BUYER),
+        ("terms", v.TERMS), ("labelled", v.TOTAL), ("subtotal", v.SUBTOTAL), ("net", v.NET_BASE))}
+    firsts |= {"rate": captured(t, v.KM_RATE, 1), "rate_tax": captured(t, v.KM_RATE, 2), "stated_kind": F.regexp_extract(t, v.TOTAL_TAX, 1), "stated": F.regexp_extract(t, v.TOTAL_TAX, 2),
+               "after": _after_buyer(t), "vats": _vat_ids(t), "dates": F.array_distinct(_every(t, v.DATES, 0)),
+               "before_sign": _every(t, v.ANY_AMOUNT, 1), "after_sign": _every(t, v.ANY_AMOUNT, 2)}
+    firsts |= {key: _every(t, v.RATED_TAX, group) for key, group in (("kinds", 1), ("rates", 2), ("amounts", 3))}
+    first = start.withColumns({x + key: value for key, value in firsts.items()})
+    rated = F.transform(F.arrays_zip(c("kinds").alias("k"), c("rates").alias("r"), c("amounts").alias("a")), lambda z: F.struct(
+        _tax_name(z["k"]).alias("tax_type"), F.replace(z["r"], F.lit(","), F.lit(".")).alias("tax_rate_raw"), z["a"].alias("tax_amount_raw"))).cast(f"array<{RAW_TAX}>")
+    one = lambda kind, rate, amount: F.array(F.struct(kind.alias("tax_type"), rate.alias("tax_rate_raw"), amount.alias("tax_amount_raw"))).cast(f"array<{RAW_TAX}>")
+    total = F.when(c("subtotal").isNotNull() & (c("stated") != ""), one(_tax_name(c("stated_kind")), F.lit(""), c("stated")))
+    amounts = F.zip_with(c("before_sign"), c("after_sign"), lambda a, b: F.when(a != "", a).otherwise(b))
+    second = first.withColumns({
+        x + "vat": F.get(c("vats"), F.lit(0)), x + "after_vats": _vat_ids(F.coalesce(c("after"), F.lit(""))), x + "last": F.try_element_at(amounts, F.lit(-1)),
+        x + "taxes": F.when(F.size(c("kinds")) > 0, rated).otherwise(total),
+        # a net amount beside a rate, in the form of a line of a tax table, where neither subtotal nor tax was found
+        x + "pair": c("subtotal").isNull() & (F.size(c("kinds")) <= 0) & c("net").isNotNull() & c("rate").isNotNull()})
+    symbols = F.create_map(*[F.lit(s) for pair in v.SYMBOLS.items() for s in pair])
+    others = F.filter(c("after_vats"), lambda z: ~z.eqNullSafe(c("vat")))
     cells = {
-        "invoice_number": F.when(~invoice_number.rlike(v.LIKE_PHONE) & ~invoice_number.rlike(v.LIKE_DATE), invoice_number),
-        "po_number": captured(t, v.ORDER_NUMBER),
-        "currency": F.coalesce(captured(t, v.CODE), F.try_element_at(symbols, captured(t, v.SYMBOL))),
-        "invoice_date_raw": F.coalesce(captured(t, v.INVOICE_DATE), lone),
-        "due_date_raw": due,
-        "supplier_name": _name(t, v.SUPPLIER),
-        "buyer_name": _name(t, v.BUYER),
-        "supplier_vat_id": vat,
-        "supplier_country": _country(vat),
+        "invoice_number": F.when(~c("number").rlike(v.LIKE_PHONE) & ~c("number").rlike(v.LIKE_DATE), c("number")),
+        "po_number": c("order"),
+        "currency": F.coalesce(c("code"), F.try_element_at(symbols, c("symbol"))),
+        "invoice_date_raw": F.coalesce(c("dated"), F.when(c("due").isNull() & (F.size(c("dates")) == 1), F.get(c("dates"), F.lit(0)))),
+        "due_date_raw": c("due"),
+        "supplier_name": _name(c("supplier")),
+        "buyer_name": _name(c("buyer")),
+        "supplier_vat_id": c("vat"),
+        "supplier_country": _country(c("vat")),
         "buyer_country": _country(F.get(others, F.lit(0))),
-        "payment_term_text": strip(captured(t, v.TERMS)),
-        "gross_total_raw": F.coalesce(labelled, last),
-        "subtotal_raw": F.when(pair, net).otherwise(subtotal),
+        "payment_term_text": strip(c("terms")),
+        "gross_total_raw": F.coalesce(c("labelled"), c("last")),
+        "subtotal_raw": F.when(c("pair"), c("net")).otherwise(c("subtotal")),
     }
     notes = F.array_compact(F.array(
         F.when(t == "", F.lit("no text available")),
-        F.when(labelled.isNull() & last.isNotNull(), F.lit("gross_total_raw is the last amount of the text: low confidence"))))
-    return F.struct(*[cells[n].alias(n) for n in TEXT_FIELDS], F.when(pair, pair_tax).otherwise(taxes).alias("header_taxes_raw"), notes.alias("confidence_notes"))
+        F.when(c("labelled").isNull() & c("last").isNotNull(), F.lit("gross_total_raw is the last amount of the text: low confidence"))))
+    taxes = F.when(c("pair"), one(F.lit("VAT"), F.replace(c("rate"), F.lit(","), F.lit(".")), c("rate_tax"))).otherwise(c("taxes"))
+    whole = F.struct(*[cells[n].alias(n) for n in TEXT_FIELDS], taxes.alias("header_taxes_raw"), notes.alias("confidence_notes"))
+    return second.select(*[F.col(f"`{k}`") for k in rows.columns if k.lower() != name.lower()], (whole if condition is None else F.when(condition, whole)).alias(name))
 
 
 def any_field(found: Column) -> Column:

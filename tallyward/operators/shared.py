@@ -1,15 +1,50 @@
-"""Cutting lineage in the folder that all machines share."""
+"""Steps that several operators share: computing columns once, and cutting lineage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def spare(df: DataFrame, stem: str) -> str:
+    """A prefix with which no column of ``df`` begins."""
+    prefix = f"_{stem}_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
+def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once per row, also where filters on it follow.
+
+    The optimizer moves a filter below the projection that makes its column, and would evaluate
+    that column's whole derivation a second time there.  It moves none below a generator of one row.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
+    return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to ``spark.checkpoint.dir`` and read from there; a folder of our own only where none is named."""
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tallyward-"))  # a single machine, as in tests
-    return df.checkpoint()
+    """``df`` written once to ``spark.checkpoint.dir``, as Parquet, and read from there; a folder of our own only where none is named and there is one machine."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not (context.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="tallyward-")
+        context.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete what :func:`checkpointed` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

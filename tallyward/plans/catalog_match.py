@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedupe, match
+from ..operators import dedupe, match, rules
 from . import rendered
 from .catalog_money import cents_text, table
+from .catalog_text import READ, quote
 from .pipeline import Masters, adjudicate
 from .twins import collapse
 
@@ -35,14 +36,20 @@ def match_supplier_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_supplier_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company names made of customers' segments and keys, with a letter lost, against a master of them."""
-    c = table(spark, sf_dir, "customer")
-    name = F.concat_ws(" ", F.sha2(F.col("c_custkey").cast("string"), 224).substr(1, 14), "c_mktsegment", F.lit("Trading"))
-    country = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
-    master = c.select(F.col("c_custkey").cast("string").alias("supplier_id"), name.alias("name"), F.lit("").alias("vat_id"), country.alias("country"), F.col("c_custkey").alias("load_order"))
-    lost = F.concat(F.substring(name, 1, 5), F.expr("substring(concat_ws(' ', substring(sha2(cast(c_custkey AS string), 224), 1, 14), c_mktsegment, 'Trading'), 7)"))
-    probes = c.select(F.col("c_custkey").alias("probe_id"), lost.alias("name"), F.lit("").alias("vat_id"), F.when(F.col("c_custkey") % 2 == 0, country).otherwise(F.lit("ZZ")).alias("country"))
-    return _flat(match.supplier(probes, master), "c_custkey", "supplier", F.round("supplier.score", 6).alias("score"))
+    """Every customer's company name with a letter lost, against a master of all of them: by key, names that are there once, twice in nearly the same spelling, and not at all.
+
+    Names begin with digits of a hash, so that no two are similar by chance; even keys are looked up in their country, odd ones in the whole master.
+    """
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    first = F.sha2(k.cast("string"), 224).substr(1, 28)
+    name, country = F.concat_ws(" ", first, "c_mktsegment"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
+    row = lambda id_, text: (id_.alias("supplier_id"), text.alias("name"), F.lit("").alias("vat_id"), country.alias("country"), k.alias("load_order"))
+    master = c.select(*row(k.cast("string"), name)).unionByName(c.where(k % 10 == 5).select(*row(F.concat(k.cast("string"), F.lit("b")), F.concat(name, F.lit("s")))))
+    lost = F.concat_ws(" ", F.concat(first.substr(1, 5), first.substr(7, 22)), "c_mktsegment")
+    asked = F.when(k % 10 == 3, F.concat(F.lit("zz zz yy yy "), F.reverse(F.lower("c_mktsegment")), F.lit(" qq"))).otherwise(lost)
+    probes = c.select(k.alias("probe_id"), asked.alias("name"), F.lit("").alias("vat_id"), F.when(k % 2 == 0, country).otherwise(F.lit("ZZ")).alias("country"))
+    done = match.supplier(probes, master)
+    return _flat(done, "c_custkey", "supplier", F.round("supplier.score", 6).alias("score"))
 
 
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,23 +120,39 @@ def dup_business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", key.alias("business_key"))
 
 
+#: A text of an order that is like no other order's, in SQL of both engines.
+_NEAR = "concat('order ', sha2(CAST(k AS STRING), 256), ' of the customer')"
+
+
 def dup_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with a copy of every fourth under another file, in booking order; some rows can't be booked."""
+    """Orders, each with a later copy under another file, in booking order; some rows can't be booked.
+
+    Copies by key: of the file or the text, of the business key alone, of the text but for a letter, and a text labelled a copy.
+    """
+    k = F.col("k")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
-    text = F.concat(F.lit("order "), F.col("k").cast("string"))
-    common = [F.when(F.col("k") % 8 == 0, F.sha2(text, 256)).otherwise(F.lit("")).alias("file_hash"), text.alias("full_text"), F.lit("S").alias("supplier_identity"), F.col("k").cast("string").alias("invoice_number"),
-              F.when(F.col("k") % 3 == 0, F.lit("")).otherwise(F.lit("2024-01-01")).alias("invoice_date"), F.lit("EUR").alias("currency"), cents_text(F.col("cents")).alias("gross_total")]
-    first = orders.select((F.col("k") * 2).alias("seq"), F.concat(F.lit("f"), F.col("k").cast("string")).alias("file"), *common, (F.col("k") % 5 != 0).alias("bookable"))
-    copy = orders.where("k % 4 = 0").select((F.col("k") * 2 + 1).alias("seq"), F.concat(F.lit("g"), F.col("k").cast("string")).alias("file"), *common, (F.col("k") % 7 != 0).alias("bookable"))
-    return dedupe.settle(dedupe.evidence(first.unionByName(copy)))
+    text = F.expr(_NEAR)
+    common = (F.lit("S").alias("supplier_identity"), k.cast("string").alias("invoice_number"), F.when(k % 4 == 2, F.lit("")).otherwise(F.lit("2024-01-01")).alias("invoice_date"), F.lit("EUR").alias("currency"))
+    first = orders.select((k * 2).alias("seq"), F.concat(F.lit("f"), k.cast("string")).alias("file"), F.when(k % 8 == 0, F.sha2(text, 256)).otherwise(F.lit("")).alias("file_hash"),
+                          text.alias("full_text"), *common, cents_text(F.col("cents")).alias("gross_total"), (k % 5 != 0).alias("bookable"))
+    other = F.when(k % 4 == 0, text).when(k % 4 == 1, F.concat(F.lit("another text "), text.substr(1, 40))).when(k % 4 == 2, F.concat(text.substr(1, 30), text.substr(32, 200))).otherwise(F.concat(F.lit("Copy tax invoice "), k.cast("string")))
+    copy = orders.select((k * 2 + 1).alias("seq"), F.concat(F.lit("g"), k.cast("string")).alias("file"), F.when(k % 8 == 0, F.sha2(text, 256)).otherwise(F.lit("")).alias("file_hash"),
+                         other.alias("full_text"), *common, cents_text(F.col("cents") + F.when(k % 4 == 3, 1).otherwise(0)).alias("gross_total"), (k % 7 != 0).alias("bookable"))
+    return dedupe.settle(dedupe.evidence(first.unionByName(copy))).select("seq", "verdict", "method", "matched_against", "booked", F.round("score", 6).alias("score"))
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-equal documents of one language and source, which stand for currency and gross."""
-    docs = table(spark, sf_dir, "documents").where("text is not null")
-    rows = docs.select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("file"), F.lit("").alias("file_hash"), F.col("text").alias("full_text"), F.lit("").alias("supplier_identity"),
-                       F.lit("").alias("invoice_number"), F.lit("").alias("invoice_date"), F.col("lang").alias("currency"), F.col("source").alias("gross_total"), F.lit(True).alias("bookable"))
-    return dedupe.near_texts(dedupe.evidence(rows)).select("currency", "gross_total", "content_hash", "p_hash")
+    """Texts of an equal amount that are near-equal: an order's text, one with a letter lost, and one that lost too many, under the order's gross; with the orders that hold them."""
+    k = F.col("k")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    text = F.expr(_NEAR)
+    texts = orders.select("k", "cents", F.explode(F.array(text, F.concat(text.substr(1, 30), text.substr(32, 200)), F.concat(text.substr(1, 20), text.substr(41, 200)))).alias("full_text"))
+    rows = texts.select(k.alias("seq"), k.cast("string").alias("file"), F.lit("").alias("file_hash"), "full_text", F.lit("").alias("supplier_identity"), F.lit("").alias("invoice_number"),
+                        F.lit("").alias("invoice_date"), F.lit("EUR").alias("currency"), cents_text(F.col("cents")).alias("gross_total"), F.lit(True).alias("bookable"))
+    found = dedupe.evidence(rows)
+    near = dedupe.near_texts(found)
+    member = found.select("content_hash", F.col("seq").alias("o_orderkey")).distinct()
+    return near.join(member, "content_hash").select("o_orderkey", "currency", "gross_total", "content_hash", "p_hash", F.round("score", 6).alias("score"))
 
 
 def masters(spark: SparkSession, sf_dir: str) -> Masters:
@@ -156,6 +179,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = adjudicate(pages, files, masters(spark, sf_dir))
     one = F.get("payables", F.lit(0))
     return done.select("file", F.size("payables").alias("n_payables"), F.size("declined").alias("n_declined"), F.coalesce(F.get("declined", F.lit(0))["doc_type"], F.lit("")).alias("decline_type"),
+                       F.coalesce(F.get("declined", F.lit(0))["reason"], F.lit("")).alias("reason"),
                        F.coalesce(one["supplier"]["supplier_id"], F.lit("")).alias("supplier_id"), F.coalesce(one["buyer"]["business_unit_code"], F.lit("")).alias("business_unit_code"),
                        F.coalesce(F.get(one["taxes"], F.lit(0))["tax_type_code"], F.lit("")).alias("tax_code"), F.coalesce(one["payment_term_id"], F.lit("")).alias("payment_term_id"),
                        F.coalesce(one["po_id"], F.lit("")).alias("po_id"), F.coalesce(one["gross_total"], F.lit("")).alias("gross_total"))
@@ -164,6 +188,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     match_supplier_exact, match_supplier_fuzzy, match_bu_country, match_tax, match_payment_term, match_po, master_existence, dup_content_hash, dup_business_key, dup_registry, near_duplicates, end_to_end)}
 
+_NEAR_DUCK = "concat('order ', sha256(CAST(k AS VARCHAR)), ' of the customer')"
 _TAX = rendered.duck_sql(_TAX_MASTER, nation="nation")
 _FORM = f"lower({collapse('coalesce(text, ' + repr('') + ')')})"
 ORACLE_SQL = {
@@ -191,14 +216,40 @@ ORACLE_SQL = {
     "master_existence": "SELECT c_custkey, c_nationkey, c_nationkey IN (SELECT s_nationkey FROM supplier) AS known FROM customer",
     "dup_content_hash": f"SELECT doc_id, CASE WHEN {_FORM} = '' THEN '' ELSE sha256({_FORM}) END AS content_hash FROM documents",
     "dup_business_key": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE sha256('s' || (o_orderkey % 7) || '|inv-' || (o_orderkey % 50) || '|2024-01-01|eur|10.00') END AS business_key FROM orders",
-    "dup_registry": "WITH g AS (SELECT o_orderkey AS k, o_orderkey % 5 <> 0 AS fb, o_orderkey % 7 <> 0 AS cb FROM orders), "
-                    "r AS (SELECT k * 2 AS seq, 'NONE' AS verdict, '' AS method, '' AS matched_against, fb AS booked FROM g UNION ALL "
-                    "SELECT k * 2 + 1, CASE WHEN fb THEN 'DUPLICATE_OF_BOOKED_PAYABLE' ELSE 'NONE' END, CASE WHEN NOT fb THEN '' WHEN k % 8 = 0 THEN 'file_hash' ELSE 'content_hash' END, CASE WHEN fb THEN 'f' || k ELSE '' END, NOT fb AND cb "
-                    "FROM g WHERE k % 4 = 0) SELECT * FROM r",
-    "end_to_end": rendered.duck_sql(
-        rendered.WITH + f", e AS (SELECT *, {rendered.plain('gross')} AS g FROM doc) SELECT 'doc-' || lpad(CAST(k AS VARCHAR), 9, '0') || '.pdf' AS file, CAST(CASE WHEN shape IN (0, 1, 2) THEN 1 ELSE 0 END AS INT) AS n_payables, "
-        "CAST(CASE WHEN shape IN (0, 1, 2) THEN 0 ELSE 1 END AS INT) AS n_declined, CASE shape WHEN 3 THEN 'non_payable_document' WHEN 4 THEN 'non_payable_document' WHEN 5 THEN 'internal_approval_form' WHEN 6 THEN 'unknown' "
-        "WHEN 7 THEN 'unknown' ELSE '' END AS decline_type, CASE WHEN shape IN (0, 2) AND c IN (SELECT s_suppkey FROM supplier) THEN CAST(c AS VARCHAR) ELSE '' END AS supplier_id, "
-        "CASE WHEN shape IN (0, 2) THEN 'DE001' ELSE '' END AS business_unit_code, CASE WHEN shape = 0 THEN 'EE-VAT20' ELSE '' END AS tax_code, CASE WHEN shape = 0 THEN 'T30' ELSE '' END AS payment_term_id, "
-        "CASE WHEN shape = 0 AND k % 16 = 0 THEN 'ID' || k ELSE '' END AS po_id, CASE WHEN shape IN (0, 1, 2) THEN g ELSE '' END AS gross_total FROM e"),
+    "dup_registry": "WITH g AS (SELECT o_orderkey AS k, o_orderkey % 5 <> 0 AS fb, o_orderkey % 7 <> 0 AS cb, CAST(o_orderkey % 4 AS INT) AS kind FROM orders), "
+                    "c AS (SELECT *, fb AND kind <> 3 AS dup FROM g), "
+                    "r AS (SELECT k * 2 AS seq, 'NONE' AS verdict, '' AS method, '' AS matched_against, fb AS booked, CAST(NULL AS DOUBLE) AS score FROM c UNION ALL "
+                    "SELECT k * 2 + 1, CASE WHEN dup THEN 'DUPLICATE_OF_BOOKED_PAYABLE' WHEN kind = 3 THEN 'ADVISORY' ELSE 'NONE' END, "
+                    "CASE WHEN dup THEN CASE WHEN k % 8 = 0 THEN 'file_hash' WHEN kind = 0 THEN 'content_hash' WHEN kind = 1 THEN 'business_key' ELSE 'high_confidence_near_duplicate' END "
+                    "WHEN kind = 3 THEN 'copy_indicator' ELSE '' END, CASE WHEN dup THEN 'f' || k ELSE '' END, NOT dup AND cb, "
+                    f"CASE WHEN dup AND kind = 2 THEN round(2.0::DOUBLE * (length({_NEAR_DUCK}) - 1) / (2 * length({_NEAR_DUCK}) - 1), 6) END FROM c) SELECT * FROM r",
+    # what was planted: the text and the one that lost a letter are near, in both orders; their matching blocks hold all letters but one
+    "near_duplicates": f"WITH t AS (SELECT o_orderkey, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders), "
+                       f"p AS (SELECT *, {_NEAR_DUCK} AS a, substr({_NEAR_DUCK}, 1, 30) || substr({_NEAR_DUCK}, 32) AS b FROM t), q AS (SELECT * FROM p UNION ALL SELECT * REPLACE (b AS a, a AS b) FROM p) "
+                       "SELECT o_orderkey, 'EUR' AS currency, CAST(c // 100 AS VARCHAR) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS gross_total, sha256(a) AS content_hash, sha256(b) AS p_hash, "
+                       "round(2.0::DOUBLE * least(length(a), length(b)) / (length(a) + length(b)), 6) AS score FROM q",
+    # what was planted: the name that lost a letter is its own; a second spelling in the master makes it ambiguous
+    "match_supplier_fuzzy": "WITH p AS (SELECT c_custkey, CAST(c_custkey % 10 AS INT) AS kind, 29 + length(c_mktsegment) AS n FROM customer) "
+                            "SELECT c_custkey, CASE kind WHEN 3 THEN 'UNMATCHED' WHEN 5 THEN 'AMBIGUOUS' ELSE 'MATCHED' END AS status, CASE WHEN kind IN (3, 5) THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS matched_id, "
+                            "'fuzzy_name_blocked_by_country' AS method, CASE WHEN kind <> 3 THEN round(2.0::DOUBLE * (n - 1) / (2 * n - 1), 6) END AS score FROM p",
+    "end_to_end": f"""{READ},
+a AS (
+  SELECT *, reason = '' AS candidate, lower({collapse("text")}) AS form, 'doc-' || lpad(CAST(k AS VARCHAR), 9, '0') || '.pdf' AS file,
+         CASE WHEN reason <> '' THEN reason
+              WHEN invoice_number IS NULL AND supplier_name IS NULL AND invoice_date_raw IS NULL AND subtotal_raw IS NULL
+                THEN {quote("INSUFFICIENT_EVIDENCE: evidence.minimum_corroboration: " + rules.BARE_TOTAL)}
+              WHEN currency IS NULL THEN 'INSUFFICIENT_EVIDENCE: financial.missing_currency: currency is blank on a payable' ELSE '' END AS why FROM r),
+b AS (SELECT *, min(CASE WHEN why = '' THEN file END) OVER (PARTITION BY candidate, form) AS first_file FROM a),
+e AS (SELECT *, candidate AND coalesce(first_file < file, false) AS dup FROM b)
+SELECT file, CAST(CASE WHEN why = '' AND NOT dup THEN 1 ELSE 0 END AS INT) AS n_payables, CAST(CASE WHEN why = '' AND NOT dup THEN 0 ELSE 1 END AS INT) AS n_declined,
+       CASE WHEN dup THEN 'duplicate_payable' WHEN why <> '' THEN doc_type ELSE '' END AS decline_type,
+       CASE WHEN dup THEN 'DUPLICATE_OF_BOOKED_PAYABLE: Content-identical (normalized text) to already-booked document ''' || first_file || '''.' ELSE why END AS reason,
+       CASE WHEN why = '' AND NOT dup THEN coalesce(by_vat, by_name, '') ELSE '' END AS supplier_id,
+       CASE WHEN why = '' AND NOT dup AND buyer_country = 'DE' THEN 'DE001' ELSE '' END AS business_unit_code,
+       CASE WHEN why = '' AND NOT dup AND coalesce(supplier_country, buyer_country) = 'EE' AND upper(kinds[1]) = 'VAT' AND rates[1] = '20' AND structured THEN 'EE-VAT20' ELSE '' END AS tax_code,
+       CASE WHEN why = '' AND NOT dup AND lower(payment_term_text) = 'net 30' THEN 'T30' ELSE '' END AS payment_term_id,
+       CASE WHEN why = '' AND NOT dup AND po_number IN (SELECT 'PO-' || o_orderkey FROM orders WHERE o_orderkey % 16 = 0) THEN replace(po_number, 'PO-', 'ID') ELSE '' END AS po_id,
+       CASE WHEN why = '' AND NOT dup THEN CAST(g AS VARCHAR) ELSE '' END AS gross_total
+FROM e LEFT JOIN (SELECT 'EE' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS v, CAST(s_suppkey AS VARCHAR) AS by_vat FROM supplier) ON v = supplier_vat_id
+LEFT JOIN (SELECT 'supplier ' || s_suppkey || ' ltd' AS n, CAST(s_suppkey AS VARCHAR) AS by_name FROM supplier) ON supplier_vat_id IS NULL AND n = lower(supplier_name)""",
 }

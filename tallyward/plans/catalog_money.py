@@ -126,8 +126,9 @@ def credit_memo_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facts_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rendered.documents(spark, table(spark, sf_dir, "orders"))
-    read = docs.withColumn("c", classify.verdict(F.col("text"))).where(classify.payable(F.col("c"))).withColumn("f", extract.fields(F.col("text")))
-    return read.select("k", model.facts_of(F.col("f"), F.col("c.doc_class")).alias("x")).select(
+    payable = classify.classified(docs.select("k", "text")).where(classify.payable(F.col("classification")))
+    read = extract.extracted(payable)
+    return read.select("k", model.facts_of(F.col("fields"), F.col("classification.doc_class")).alias("x")).select(
         "k", F.col("x.invoice_type").alias("invoice_type"), F.get("x.line_items", F.lit(0))["unit_price"].alias("unit_price"), F.size("x.header_taxes").alias("n_taxes"),
         F.col("x.stated_gross").alias("stated_gross"))
 
@@ -179,10 +180,11 @@ def normalize_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comparison keys of names, tax numbers, order numbers, terms and countries."""
+    """Comparison keys of names, tax numbers, order numbers, terms and countries; some in full-width letters, or with letters that fold to two."""
     c = table(spark, sf_dir, "customer")
-    name = F.concat(F.lit("  "), "c_name", F.lit(",  Ltd. "))
-    return c.select("c_custkey", t.name_key(name).alias("name_key"), t.vat_key(F.concat(F.lit("ee 10-"), F.col("c_custkey").cast("string"))).alias("vat_key"),
+    wide = F.col("c_custkey") % 3 == 0
+    name = F.concat(F.when(wide, F.lit("  Ｓｔｒａße ")).otherwise(F.lit("  ")), "c_name", F.lit(",  Ltd. "))
+    return c.select("c_custkey", t.name_key(name).alias("name_key"), t.vat_key(F.concat(F.when(wide, F.lit("ｅｅ　１０-")).otherwise(F.lit("ee 10-")), F.col("c_custkey").cast("string"))).alias("vat_key"),
                     t.order_key(F.concat(F.lit(" po-"), F.col("c_custkey").cast("string"), F.lit(" /a  b"))).alias("order_key"),
                     t.term_key(F.concat(F.lit("Net. "), (F.col("c_custkey") % 90).cast("string"), F.lit("  Days."))).alias("term_key"), t.country_key(F.lit(" ee ")).alias("country_key"))
 
@@ -277,13 +279,11 @@ ORACLE_SQL = {
     "credit_memo_signs": rendered.duck_sql(
         f"SELECT o_orderkey, s || a AS stated_gross, s || a AS unit_price, s || '1.00' AS discount_amount, true AS idempotent FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '-' END AS s, "
         f"{rendered.plain('c')} AS a FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders))"),
-    "facts_bridge": f"{_DOC} SELECT k, CASE shape WHEN 2 THEN 'CREDIT_MEMO' ELSE 'INVOICE' END AS invoice_type, CASE shape WHEN 1 THEN {_plain('gross')} ELSE {_plain('net')} END AS unit_price, "
-                    f"CAST(CASE shape WHEN 1 THEN 0 ELSE 1 END AS INT) AS n_taxes, {_plain('gross')} AS stated_gross FROM doc WHERE shape IN (0, 1, 2)",
     "normalize_number": rendered.duck_sql(f"SELECT o_orderkey, {_number_case(0)} AS raw, {_number_case(1)} AS value FROM ({_PARTS})"),
     "normalize_date": rendered.duck_sql(f"SELECT o_orderkey, {_date_case(0)} AS raw, {_date_case(1)} AS value FROM ({_DAYS})"),
     "normalize_currency": f"SELECT o_orderkey, {_CURRENCY_ROWS} AS raw, CASE CAST(o_orderkey % 9 AS INT) " + " ".join(
         f"WHEN {i} THEN " + ("NULL" if v is None else f"'{v}'") for i, (_, v) in enumerate(_CURRENCIES)) + " END AS value FROM orders",
-    "normalize_keys": f"SELECT c_custkey, lower({collapse(chr(39) + '  ' + chr(39) + ' || replace(c_name, ' + repr(',') + ', ' + repr(' ') + ') || ' + repr('   Ltd  '))}) AS name_key, 'EE10' || c_custkey AS vat_key, "
+    "normalize_keys": f"SELECT c_custkey, lower({collapse('CASE WHEN c_custkey % 3 = 0 THEN ' + repr('strasse ') + ' ELSE ' + repr('  ') + ' END || replace(c_name, ' + repr(',') + ', ' + repr(' ') + ') || ' + repr('   Ltd  '))}) AS name_key, 'EE10' || c_custkey AS vat_key, "
                       "'PO-' || c_custkey || ' /A B' AS order_key, 'net ' || (c_custkey % 90) || ' days' AS term_key, 'EE' AS country_key FROM customer",
     "printed_forms_grounded": f"{_DOC}, p AS (SELECT *, {_plain('gross')} AS plain, regexp_replace(CAST(gross // 100 AS VARCHAR), '(\\d)(\\d{{3}})$', '\\1,\\2') AS us FROM doc) "
                               "SELECT k, CAST(CASE WHEN gross >= 100000 THEN 4 ELSE 2 END AS INT) AS n_forms, contains(text, plain) OR contains(text, replace(plain, '.', ',')) "

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions import values as n
 from ..operators import classify, dedupe, extract, match, model, rules, segment
-from ..operators.shared import checkpointed
+from ..operators.shared import checkpointed, fixed
 
 PAYABLE_FIELDS = (
     "invoice_type", "currency", "line_items", "taxes", "discount_amount", "freight_charges", "insurance_charges", "extra_charges", "excise_duties", "gross_total",
@@ -41,38 +41,28 @@ class Masters:
     orders: DataFrame
 
 
-def reading(text: Column) -> Column:
-    """``struct<classification, fields, facts, canonical, early>`` of a text, each null past the first decline.
-
-    early: ``struct<doc_type, reason>`` of what never becomes a candidate, null for candidates.
-    Each step is bound once, so that filters on the outcome don't multiply the steps before it.
-    """
-    only = lambda condition, value: F.when(condition, value)
-
-    def early(c: Column, f: Column, x: Column, k: Column) -> Column:
-        entry = lambda reason: F.struct(c["doc_type"].alias("doc_type"), reason.alias("reason"))
-        return (F.when(~classify.payable(c), entry(c["reason"]))
-                .when(f.isNull(), entry(F.lit("payable by its class, but no field was found")))
-                .when(x.isNull(), entry(F.lit("payable by its class, but there is no usable gross")))
-                .when(k.isNull(), entry(F.lit("no structure reproduces the stated gross"))))
-
-    def whole(c: Column, f: Column, x: Column, k: Column) -> Column:
-        return F.struct(c.alias("classification"), f.alias("fields"), x.alias("facts"), k.alias("canonical"), early(c, f, x, k).alias("early"))
-
-    def with_facts(c: Column, f: Column) -> Column:
-        return t.let(only(f.isNotNull(), model.facts_of(f, c["doc_class"])), lambda x: t.let(only(x.isNotNull(), model.canonical(x)), lambda k: whole(c, f, x, k)))
-
-    def with_fields(c: Column) -> Column:
-        found = t.let(only(classify.payable(c), extract.fields(text)), lambda f: only(extract.any_field(f), f))
-        return t.let(found, lambda f: with_facts(c, f))
-
-    return t.let(classify.verdict(text), with_fields)
+# Why a payable never becomes a candidate.
+NO_FIELDS = ("Classified as payable but no extractable fields (no stated gross total found in the available text) — no OCR/LLM vision available in this environment to interpret "
+             "the scanned page. Declining rather than guessing.")
+NO_FACTS = "Classified as payable but could not build financial facts (missing or unnormalizable stated gross total)."
+NO_STRUCTURE = ("Could not reconcile a candidate payable against erp.py: No ambiguous charges to resolve, and the baseline structure does not reproduce the document's stated gross exactly.")
 
 
 def read(segments: DataFrame) -> DataFrame:
-    """``segments`` with the parts of :func:`reading` as columns."""
-    kept = segments.columns
-    return segments.withColumn("reading", reading(F.col("text"))).select(*kept, "reading.*")
+    """``segments`` with ``classification, fields, facts, canonical, early``, each null past the first decline.
+
+    early: ``struct<doc_type, reason>`` of what never becomes a candidate, null for candidates.  Patterns are columns computed
+    once; nothing is searched in texts that aren't payable, nothing built where no field was found.
+    """
+    seen = classify.classified(segments)
+    c, f, x, k = (F.col(name) for name in ("classification", "fields", "facts", "canonical"))
+    found = extract.extracted(seen, condition=classify.payable(c))
+    found = fixed(found, "fields", F.when(extract.any_field(f), f))
+    built = fixed(found, "facts", F.when(f.isNotNull(), model.facts_of(f, c["doc_class"])))
+    built = fixed(built, "canonical", F.when(x.isNotNull(), model.canonical(x)))
+    entry = lambda reason: F.struct(c["doc_type"].alias("doc_type"), reason.alias("reason"))
+    early = (F.when(~classify.payable(c), entry(c["reason"])).when(f.isNull(), entry(F.lit(NO_FIELDS))).when(x.isNull(), entry(F.lit(NO_FACTS))).when(k.isNull(), entry(F.lit(NO_STRUCTURE))))
+    return built.select("*", early.alias("early"))
 
 
 def resolve(candidates: DataFrame, masters: Masters, unicode: bool = True) -> DataFrame:
@@ -104,10 +94,32 @@ def resolve(candidates: DataFrame, masters: Masters, unicode: bool = True) -> Da
         "po_number": f("po_number"), "po_id": match.id_or_blank(F.col("po")),
         "subtotal": F.when(base["invoice_type"] == "CREDIT_MEMO", n.magnitude(subtotal)).otherwise(subtotal), "total_tax_amount": F.lit("")}
     payload = F.struct(*[(cells[x] if x in cells else base[x]).alias(x) for x in PAYABLE_FIELDS]).cast(PAYABLE)
-    # identifiers come from the masters themselves, so only codes that came with the text could be unknown
-    known = {"supplier": F.lit(True), "unit": F.lit(True), "term": F.lit(True), "po": F.lit(True), "taxes": F.array().cast("array<string>")}
+    checked, known = known_identifiers(fixed(joined, "payload", payload), masters)
     issues = rules.adjudicate(F.col("payload"), F.col("fields"), F.col("classification"), F.col("text"), known)
-    return joined.withColumn("payload", payload).withColumn("issues", issues).select(*candidates.columns, "payload", "issues")
+    return checked.withColumn("issues", issues).select(*candidates.columns, "payload", "issues")
+
+
+def known_identifiers(rows: DataFrame, masters: Masters) -> tuple[DataFrame, dict[str, Column]]:
+    """``rows`` with a flag per identifier of ``payload``, whether its master has it, and the tax codes that none has.
+
+    Each master's distinct identifiers are joined once, broadcast if their counted rows are few.
+    """
+    p = F.col("payload")
+    flags = {}
+    for flag, value, ids in (
+            ("supplier", p["supplier"]["supplier_id"], masters.suppliers.select("supplier_id")), ("unit", p["buyer"]["business_unit_code"], masters.units.select("business_unit_code")),
+            ("term", p["payment_term_id"], masters.aliases.select("payment_term_id").unionByName(masters.days.select("payment_term_id"))), ("po", p["po_id"], masters.orders.select("po_id"))):
+        name = f"known_{flag}"
+        rows = match.exists(rows.withColumn("probed", value), "probed", ids.toDF("n"), "n", name).drop("probed")
+        flags[flag] = F.col(name)
+    codes = masters.taxes.select(F.col("code").alias("n"))
+    lines = F.flatten(F.transform(F.coalesce(p["line_items"], F.array()), lambda line: F.coalesce(line["taxes"], F.array().cast(f"array<{model.TAX}>"))))
+    used = F.array_distinct(F.transform(F.concat(F.coalesce(p["taxes"], F.array().cast(f"array<{model.TAX}>")), lines), lambda tax: tax["tax_type_code"]))
+    rows = rows.withColumn("used_codes", F.filter(used, t.present))
+    unknown = (match.exists(rows.select("seq", F.explode("used_codes").alias("probed")), "probed", codes, "n", "has").where(~F.col("has"))
+               .groupBy("seq").agg(F.collect_set("probed").alias("unknown_codes")))
+    rows = rows.join(unknown.withColumnRenamed("seq", "unknown_seq"), F.col("seq") == F.col("unknown_seq"), "left").drop("unknown_seq", "used_codes")
+    return rows, flags | {"taxes": F.coalesce(F.col("unknown_codes"), F.array().cast("array<string>"))}
 
 
 def adjudicate(pages: DataFrame, files: DataFrame, masters: Masters, unicode: bool = True) -> DataFrame:
@@ -128,7 +140,7 @@ def adjudicate(pages: DataFrame, files: DataFrame, masters: Masters, unicode: bo
     verdicts = dedupe.settle(proof)
     judged = candidates.join(verdicts, "seq")
     late = (F.when(F.col("verdict") == dedupe.DUPLICATE, F.struct(F.lit(DUPLICATE_TYPE).alias("doc_type"), F.concat(
-        F.lit(f"{dedupe.DUPLICATE}: "), "method", F.lit(" of "), "matched_against").alias("reason")))
+        F.lit(f"{dedupe.DUPLICATE}: "), dedupe.reason(F.col("payload.currency"), F.col("payload.gross_total"))).alias("reason")))
         .when(~F.col("booked"), F.struct(F.col("classification.doc_type").alias("doc_type"), rules.message(F.col("issues")).alias("reason"))))
     outcome = rows.where("early is not null").select("doc_id", "seg_no", F.lit(None).cast(PAYABLE).alias("payable"), F.col("early").alias("decline")).unionByName(
         judged.select("doc_id", "seg_no", F.when(F.col("booked"), F.col("payload")).alias("payable"), late.alias("decline")))

@@ -1,8 +1,10 @@
 """Business documents rendered from the order tables, in SQL that Spark and DuckDB both read.
 
 Digits come from integers, never from doubles, so both engines render the same text.
-Eight shapes by order key: a full invoice, a lone total, a credit note, a delivery
-note, a reminder, an internal form, nothing, and an invoice mixed with a packing list.
+Sixteen shapes by order key; of these the first eight are a full invoice, a lone total, a credit note, a delivery
+note, a reminder, an internal form, nothing, and an invoice mixed with a packing list.  The others reach what
+these don't: a label where a name belongs, an amount without a label, a net amount beside a rate in a tax table, no currency,
+a total that doesn't add up, words of an invoice without any field, a bare total, and one text in many files.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 _BASE = """
 base AS (
   SELECT o_orderkey AS k, o_custkey AS c, cast(round(o_totalprice * 100) AS bigint) AS net, cast(cast(o_orderdate AS date) AS string) AS d,
-         cast(o_orderkey % 8 AS int) AS shape, cast(o_orderkey % 3 AS int) AS loc,
+         cast(o_orderkey % 16 AS int) AS shape, cast(o_orderkey % 3 AS int) AS loc,
          CASE cast(o_orderkey % 4 AS int) WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' ELSE 'ZAR' END AS cur
   FROM {orders}),
 sums AS (SELECT *, (net * 20 + 50) {div} 100 AS tax, net + (net * 20 + 50) {div} 100 AS gross FROM base),
@@ -32,25 +34,43 @@ def plain(cents: str) -> str:
     return f"concat(cast({cents} {{div}} 100 AS string), '.', lpad(cast({cents} % 100 AS string), 2, '0'))"
 
 
+_NL = "chr(10)"
+
+
+def _lines(*lines: str) -> str:
+    """SQL for a text of lines, each given as SQL expressions."""
+    return "concat(" + ", ".join(f"{line}, {_NL}" for line in lines) + ")"
+
+
+_K, _C = "cast(k AS string)", "cast(c AS string)"
+_PARTIES = _lines(f"'Supplier: Supplier ', {_C}, ' Ltd'", f"'VAT No: EE', lpad({_C}, 9, '0')", f"'Bill To: Customer ', {_C}", f"'VAT ID: DE', lpad({_K}, 9, '0')")
+_DATES = _lines("'Invoice Date: ', d", "'Due Date: ', substr(d, 9, 2), '.', substr(d, 6, 2), '.', substr(d, 1, 4)", "'Payment terms: Net 30'")
+_TOTAL = "'Total: ', cur, ' ', gross_text"
+#: The one text of many files.
+SAME = _lines("'INVOICE'", "'Invoice No: SAME-1'", "'Supplier: Supplier 1 Ltd'", "'Qty Unit price'", "'Total: EUR 120.00'")
+_SHAPES = (
+    _lines("'INVOICE'", f"'Invoice No: INV-', {_K}", "parties, dates, 'PO No. PO-', cast(k AS string)", "'Qty Unit price Description'", "'Subtotal: ', cur, net_text", "'VAT 20% ', tax_text", _TOTAL),
+    _lines("'INVOICE'", f"'Invoice Number ', {_K}, '/A'", f"'Vendor: Seller ', {_C}", "'Amount due ', cur, ' ', gross_text", "'Date ', d"),
+    _lines("'CREDIT NOTE'", f"'CreditNoteNo.: ', {_K}", f"parties, 'referring to invoice INV-', {_K}", "'Subtotal ', net_text", "'TOTAL VAT ', tax_text", "'TOTAL', cur, ' ', gross_text"),
+    _lines("'DELIVERY NOTE'", f"'Delivery No: D-', {_K}", "'Waybill of ', d", "'Pieces: ', cast(k % 50 AS string)"),
+    _lines("'REMINDER'", "'Dunning letter, your payment of ', d, ' is late'"),
+    _lines("'Donation and Sponsorship form'", "'Requestor: office ', cast(k % 9 AS string)", "'Group CFO: yes'", _TOTAL),
+    "''",
+    _lines("'INVOICE'", f"'Invoice No: INV-', {_K}", "parties, 'Packing list'", _TOTAL),
+    _lines("'INVOICE'", f"'Invoice No: INV-', {_K}", "'Supplier: Ship to'", f"'Bill To: Customer ', {_C}", "'Qty Unit price'", _TOTAL),
+    _lines("'INVOICE'", f"'Invoice Number ', {_K}, '/B'", f"'Vendor: Seller ', {_C}", "'Payment terms: Net 14'", "'Quantity one at ', cur, ' ', gross_text"),
+    _lines("'ARVE'", f"'Arve nr: A-', {_K}", "'Müüja: Supplier ', cast(c % 9 + 1 AS string), ' Ltd'", "'Summa km-ta 20% ', net_text", "'KM 20% ', tax_text", "'Kokku: ', cur, ' ', gross_text"),
+    _lines("'INVOICE'", f"'Invoice No: INV-', {_K}", f"'Bill To: Customer ', {_C}", "'Qty'", "'Total: ', gross_text"),
+    _lines("'INVOICE'", f"'Invoice No: INV-', {_K}", "parties, 'Subtotal: ', cur, net_text", "'VAT 20% ', tax_text", "'Total: ', cur, ' ', net_text"),
+    _lines("'vendor; vat; subtotal; quantity; nothing more'"),
+    _lines("'Amount due ', cur, ' ', gross_text", "'VAT Qty'"),
+    SAME,
+)
 _LINES = f"""
 shown AS (SELECT *, {printed("net")} AS net_text, {printed("tax")} AS tax_text, {printed("gross")} AS gross_text FROM sums),
-head AS (
-  SELECT *, concat('Supplier: Supplier ', cast(c AS string), ' Ltd', chr(10), 'VAT No: EE', lpad(cast(c AS string), 9, '0'), chr(10),
-                   'Bill To: Customer ', cast(c AS string), chr(10), 'VAT ID: DE', lpad(cast(k AS string), 9, '0'), chr(10)) AS parties,
-         concat('Invoice Date: ', d, chr(10), 'Due Date: ', substr(d, 9, 2), '.', substr(d, 6, 2), '.', substr(d, 1, 4), chr(10), 'Payment terms: Net 30', chr(10)) AS dates
-  FROM shown),
+head AS (SELECT *, {_PARTIES} AS parties, {_DATES} AS dates FROM shown),
 doc AS (
-  SELECT k, c, d, shape, loc, cur, net, tax, gross, CASE shape
-    WHEN 0 THEN concat('INVOICE', chr(10), 'Invoice No: INV-', cast(k AS string), chr(10), parties, dates, 'PO No. PO-', cast(k AS string), chr(10), 'Qty Unit price Description', chr(10),
-                       'Subtotal: ', cur, net_text, chr(10), 'VAT 20% ', tax_text, chr(10), 'Total: ', cur, ' ', gross_text, chr(10))
-    WHEN 1 THEN concat('INVOICE', chr(10), 'Invoice Number ', cast(k AS string), '/A', chr(10), 'Vendor: Seller ', cast(c AS string), chr(10), 'Amount due ', cur, ' ', gross_text, chr(10), 'Date ', d, chr(10))
-    WHEN 2 THEN concat('CREDIT NOTE', chr(10), 'CreditNoteNo.: ', cast(k AS string), chr(10), parties, 'referring to invoice INV-', cast(k AS string), chr(10), 'Subtotal ', net_text, chr(10), 'TOTAL VAT ', tax_text, chr(10),
-                       'TOTAL', cur, ' ', gross_text, chr(10))
-    WHEN 3 THEN concat('DELIVERY NOTE', chr(10), 'Delivery No: D-', cast(k AS string), chr(10), 'Waybill of ', d, chr(10), 'Pieces: ', cast(k % 50 AS string), chr(10))
-    WHEN 4 THEN concat('REMINDER', chr(10), 'Dunning letter, your payment of ', d, ' is late', chr(10))
-    WHEN 5 THEN concat('Donation and Sponsorship form', chr(10), 'Requestor: office ', cast(k % 9 AS string), chr(10), 'Group CFO: yes', chr(10), 'Total: ', cur, ' ', gross_text, chr(10))
-    WHEN 6 THEN ''
-    ELSE concat('INVOICE', chr(10), 'Invoice No: INV-', cast(k AS string), chr(10), parties, 'Packing list', chr(10), 'Total: ', cur, ' ', gross_text, chr(10)) END AS text
+  SELECT k, c, d, shape, loc, cur, net, tax, gross, CASE shape {" ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(_SHAPES))} END AS text
   FROM head)
 """
 

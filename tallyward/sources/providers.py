@@ -58,7 +58,9 @@ def recognise(pages: DataFrame, factory: Callable[[], Recogniser] | None) -> Dat
     def read(references: Iterator[pd.Series]) -> Iterator[pd.Series]:
         engine = factory()
 
-        def one(reference: str) -> str:
+        def one(reference: str | None) -> str | None:
+            if reference is None:
+                return None
             try:
                 return engine(reference) or ""
             except Exception:  # noqa: BLE001 - isolates the page
@@ -67,9 +69,9 @@ def recognise(pages: DataFrame, factory: Callable[[], Recogniser] | None) -> Dat
         for batch in references:
             yield batch.map(one)
 
-    enough = sufficient("embedded_text")
-    poor = pages.where(~enough).withColumn("ocr_text", read(F.concat_ws("#", "path", F.col("page_number").cast("string"))))
-    return pages.where(enough).withColumn("ocr_text", F.lit(None).cast("string")).unionByName(poor)
+    # one pass: pages that need no recognition, or have none to recognise, hand the provider a null
+    poor = ~sufficient("embedded_text") & F.col("page_error").isNull() & F.col("render_error").isNull()
+    return pages.withColumn("ocr_text", read(F.when(poor, F.concat_ws("#", "path", F.col("page_number").cast("string")))))
 
 
 def choose_text(embedded: Column, ocr: Column) -> tuple[Column, Column]:

@@ -14,6 +14,6 @@ from ..operators import classify, extract
 
 def routed(texts: DataFrame) -> DataFrame:
     """``texts (…, text)`` with classification, route (extract or decline) and fields of payable ones."""
-    out = texts.withColumn("classification", classify.verdict(F.col("text")))
     pay = classify.payable(F.col("classification"))
-    return out.withColumn("route", F.when(pay, F.lit("extract")).otherwise(F.lit("decline"))).withColumn("fields", F.when(pay, extract.fields(F.col("text"))))
+    out = classify.classified(texts).withColumn("route", F.when(pay, F.lit("extract")).otherwise(F.lit("decline")))
+    return extract.extracted(out, condition=pay)

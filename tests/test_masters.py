@@ -116,14 +116,18 @@ def test_every_customer_is_matched(spark):
     from tallyward.plans import catalog_match
 
     folder = "/root/testdata/sf0.001"
-    names, countries = {}, {}
-    for r in spark.read.parquet(f"{folder}/customer.parquet").select(
-            "c_custkey", "c_mktsegment", "c_nationkey", F.sha2(F.col("c_custkey").cast("string"), 224).substr(1, 14).alias("start")).collect():
-        names[r[0]], countries[r[0]] = f"{r[3]} {r[1]} Trading".lower(), r[2]
-    got = {r["c_custkey"]: (r["status"], r["matched_id"]) for r in catalog_match.match_supplier_fuzzy(spark, folder).collect()}
-    assert got.keys() == names.keys()
-    for k, name in names.items():
-        asked = name[:5] + name[6:]
-        scored = sorted(((SequenceMatcher(None, asked, m).ratio(), j) for j, m in names.items() if k % 2 or countries[j] == countries[k]), reverse=True)
+    master, probes = [], {}
+    for k, segment, nation, start in spark.read.parquet(f"{folder}/customer.parquet").select(
+            "c_custkey", "c_mktsegment", "c_nationkey", F.sha2(F.col("c_custkey").cast("string"), 224).substr(1, 28)).collect():
+        name = f"{start} {segment}".lower()
+        master.append((str(k), name, nation))
+        if k % 10 == 5:
+            master.append((f"{k}b", name + "s", nation))
+        probes[k] = (f"zz zz yy yy {segment.lower()[::-1]} qq" if k % 10 == 3 else name[:5] + name[6:], nation if k % 2 == 0 else None)
+    got = {r["c_custkey"]: (r["status"], r["matched_id"], r["score"]) for r in catalog_match.match_supplier_fuzzy(spark, folder).collect()}
+    assert got.keys() == probes.keys()
+    for k, (asked, nation) in probes.items():
+        scored = sorted(((SequenceMatcher(None, asked, m).ratio(), i) for i, m, n in master if nation is None or n == nation), reverse=True)
         best, second = scored[0], scored[1][0] if len(scored) > 1 else 0
-        assert got[k] == (("MATCHED", str(best[1])) if best[0] >= 0.9 and best[0] - second >= 0.08 else ("AMBIGUOUS" if best[0] >= 0.9 else "UNMATCHED", ""))
+        status = "UNMATCHED" if best[0] < 0.9 else "MATCHED" if best[0] - second >= 0.08 else "AMBIGUOUS"
+        assert got[k] == (status, best[1] if status == "MATCHED" else "", round(best[0], 6) if best[0] >= 0.82 else None)

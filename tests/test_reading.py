@@ -48,7 +48,7 @@ def test_classes(spark):
         "total due 55 for the thing there": ("AMBIGUOUS_UNSOLVABLE", "unknown", 0.2),
         "short": ("AMBIGUOUS_UNSOLVABLE", "unknown", 0.0), "": ("AMBIGUOUS_UNSOLVABLE", "unknown", 0.0), None: ("AMBIGUOUS_UNSOLVABLE", "unknown", 0.0),
     }
-    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, text string").orderBy("i").select(classify.verdict(F.col("text")).alias("c"))
+    rows = classify.classified(spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, text string"), name="c").orderBy("i")
     got = [(r["c"]["doc_class"], r["c"]["doc_type"], round(r["c"]["confidence"], 6)) for r in rows.collect()]
     expected = list(cases.values())
     expected[1] = (*expected[1][:2], got[1][2])
@@ -70,7 +70,7 @@ FIELDS = [
 
 
 def test_fields(spark):
-    rows = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(FIELDS)], "i int, text string").orderBy("i").select(extract.fields(F.col("text")).alias("f"))
+    rows = extract.extracted(spark.createDataFrame([(i, c) for i, (c, _) in enumerate(FIELDS)], "i int, text string"), name="f").orderBy("i")
     for (text, expected), r in zip(FIELDS, rows.collect(), strict=True):
         assert {k: r["f"][k] for k in expected} == expected, text
 
@@ -80,13 +80,13 @@ def test_taxes(spark):
         "VAT 20% 20.00": [("VAT", "20", "20.00")], "VAT20%": [("VAT", "20", "")], "MwSt 19 % 1,90\nTax 7%": [("MWST", "19", "1,90"), ("VAT", "7", "")], "Subtotal 100\nTOTALVAT 15.22": [("VAT", "", "15.22")], "TOTAL VAT 15.22": None,
         "Subtotal 100\nTotalVAT20%": None, "Summa km-ta 22% 100,00\nKM 22% 22,00": [("VAT", "22", "22,00")], "Summa km-ta 100,00": None, "KM 22% 22,00": None, "vat 2,5%": [("VAT", "2.5", "")],
     }
-    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, text string").orderBy("i").select(extract.fields(F.col("text")).alias("f"))
+    rows = extract.extracted(spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, text string"), name="f").orderBy("i")
     got = [None if r["f"]["header_taxes_raw"] is None else [tuple(x) for x in r["f"]["header_taxes_raw"]] for r in rows.collect()]
     assert dict(zip(cases, got, strict=True)) == cases
 
 
 def test_nothing_found_and_line_agreement(spark):
-    row = spark.createDataFrame([("nothing here",), ("",), (None,)], "text string").select(extract.any_field(extract.fields(F.col("text")))).collect()
+    row = extract.extracted(spark.createDataFrame([("nothing here",), ("",), (None,)], "text string"), name="f").select(extract.any_field(F.col("f"))).collect()
     assert [r[0] for r in row] == [False, False, False]
     cases = [(2.0, 5.0, 10.0, True), (2.0, 5.0, 10.02, True), (100.0, 5.0, 504.0, True), (2.0, 5.0, 12.0, False), (0.0, 5.0, 0.0, True), (1.0, 5.0, 0.0, False)]
     rows = spark.createDataFrame(cases, "q double, p double, t double, ok boolean").select((extract.line_agrees(F.col("q"), F.col("p"), F.col("t")) == F.col("ok")).alias("same"))

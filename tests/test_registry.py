@@ -78,3 +78,21 @@ def test_advisories_and_empty(spark):
     booked = spark.createDataFrame([(1,)], "seq int")
     assert [(r["seq"], r["matched_against"]) for r in dedupe.advisories(rows, booked).collect()] == [(2, "a")]
     assert dedupe.settle(dedupe.evidence(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_no_pair_is_lost_to_the_bound_on_similarity(spark):
+    """The edit distance bounds the ratio from above: what difflib finds near, the bound lets pass."""
+    from pyspark.sql import functions as F
+
+    from tallyward.functions import text as t
+
+    rng = random.Random(4)
+    base = "the total of the order is 1250.50 and zebras quit jumping, naïve café Ümläut 汉字"
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choices(base, k=rng.randint(0, 60)))
+        b = "".join(c for c in a if rng.random() > 0.1) + "".join(rng.choices(base, k=rng.randint(0, 4)))
+        pairs.append((a, b))
+    rows = spark.createDataFrame(pairs, "a string, b string").select(t.similarity("a", "b").alias("score"), *[t.may_be_similar("a", "b", x).alias(f"at{i}") for i, x in enumerate((0.5, 0.82, 0.97))]).collect()
+    assert all(r[f"at{i}"] for r in rows for i, x in enumerate((0.5, 0.82, 0.97)) if r["score"] >= x)
+    assert sum(not r["at2"] for r in rows) > 100
