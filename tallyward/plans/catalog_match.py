@@ -190,10 +190,33 @@ QUERIES = {f.__name__: f for f in (
 
 _NEAR_DUCK = "concat('order ', sha256(CAST(k AS VARCHAR)), ' of the customer')"
 _TAX = rendered.duck_sql(_TAX_MASTER, nation="nation")
+
+
+def _name_key(x: str) -> str:
+    spaced = f"regexp_replace({x}, '[,.]', ' ', 'g')"
+    return f"lower({collapse(spaced)})"
+
+
+def _vat_key(x: str) -> str:
+    return f"upper(regexp_replace({x}, '[\\s-]', '', 'g'))"
+
+
+def _order_key(x: str) -> str:
+    return f"upper({collapse(x)})"
+
+
 _FORM = f"lower({collapse('coalesce(text, ' + repr('') + ')')})"
 ORACLE_SQL = {
-    "match_supplier_exact": "SELECT s_suppkey, CASE WHEN k IN (0, 2) THEN 'MATCHED' ELSE 'UNMATCHED' END AS status, CASE WHEN k IN (0, 2) THEN CAST(s_suppkey AS VARCHAR) ELSE '' END AS matched_id, "
-                            "CASE k WHEN 0 THEN 'exact_vat_id' WHEN 1 THEN 'exact_vat_id' WHEN 2 THEN 'exact_normalized_name' ELSE '' END AS method FROM (SELECT s_suppkey, s_suppkey % 5 AS k FROM supplier)",
+    "match_supplier_exact": f"""
+WITH m AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_suppkey AS o, {_vat_key("'EE' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0')")} AS v, {_name_key("s_name")} AS n FROM supplier),
+p AS (
+  SELECT s_suppkey, {_vat_key("CASE s_suppkey % 5 WHEN 0 THEN 'ee ' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') WHEN 1 THEN 'XX1' ELSE '' END")} AS v,
+         {_name_key("CASE s_suppkey % 5 WHEN 1 THEN s_name WHEN 2 THEN lower(s_name) || ', ' WHEN 3 THEN 'nobody' ELSE '' END")} AS n FROM supplier),
+r AS (
+  SELECT s_suppkey, p.v, CASE WHEN p.v <> '' THEN a.id WHEN p.n <> '' THEN b.id END AS id
+  FROM p LEFT JOIN (SELECT v, max_by(id, o) AS id FROM m GROUP BY 1) a ON a.v = p.v LEFT JOIN (SELECT n, max_by(id, o) AS id FROM m GROUP BY 1) b ON b.n = p.n)
+SELECT s_suppkey, CASE WHEN id IS NULL THEN 'UNMATCHED' ELSE 'MATCHED' END AS status, coalesce(id, '') AS matched_id,
+       CASE WHEN v <> '' THEN 'exact_vat_id' WHEN id IS NOT NULL THEN 'exact_normalized_name' ELSE '' END AS method FROM r""",
     "match_bu_country": "WITH u AS (SELECT s_nationkey AS n, count(DISTINCT s_suppkey) AS c, min(s_suppkey) AS s FROM supplier GROUP BY 1), "
                         "p AS (SELECT c_custkey, c_custkey % 7 = 0 AS explicit, coalesce(c, 0) AS c, s, 'N' || chr(65 + c_nationkey) || lpad(CAST(s AS VARCHAR), 4, '0') AS code FROM customer LEFT JOIN u ON c_nationkey = n), "
                         "r AS (SELECT *, NOT explicit AND c = 1 AS m FROM p) "
@@ -210,9 +233,15 @@ ORACLE_SQL = {
     "match_payment_term": "WITH p AS (SELECT o_orderkey, o_orderkey % 3 = 0 AS named, [0, 7, 10, 14, 30, -5][o_orderkey // 3 % 6 + 1] AS d FROM orders) "
                           "SELECT o_orderkey, CASE WHEN named OR d IN (7, 14, 30) THEN 'MATCHED' WHEN d = 0 THEN 'AMBIGUOUS' ELSE 'UNMATCHED' END AS status, "
                           "CASE WHEN named THEN 'T30' WHEN d IN (7, 14, 30) THEN 'T' || d ELSE '' END AS matched_id, CASE WHEN named THEN 'exact_text_alias' WHEN d IN (7, 14, 30) THEN 'unique_day_count' ELSE '' END AS method FROM p",
-    "match_po": "WITH p AS (SELECT o_orderkey AS k, o_orderkey % 2 = 0 AS m FROM orders) SELECT k AS o_orderkey, CASE WHEN m THEN 'MATCHED' ELSE 'UNMATCHED' END AS status, CASE WHEN m THEN 'ID' || k ELSE '' END AS matched_id, "
-                "CASE WHEN m THEN 'exact_po_number' ELSE '' END AS method, CASE WHEN m THEN concat_ws('; ', CASE WHEN k % 2 <> k % 3 THEN 'another supplier in the master' END, CASE WHEN k % 5 = 0 THEN 'another currency in the master' END) "
-                "WHEN k % 10 = 9 THEN 'no order number' ELSE 'order number not in the master' END AS reason FROM p",
+    "match_po": f"""
+WITH m AS (
+  SELECT {_order_key("'PO-' || o_orderkey")} AS n, max_by({{'id': 'ID' || o_orderkey, 's': 's' || (o_orderkey % 3), 'c': 'EUR'}}, o_orderkey) AS o FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
+p AS (
+  SELECT o_orderkey, {_order_key("CASE WHEN o_orderkey % 10 = 9 THEN '' ELSE ' po-' || o_orderkey END")} AS n, 's' || (o_orderkey % 2) AS s, CASE WHEN o_orderkey % 5 = 0 THEN 'USD' ELSE '' END AS c FROM orders)
+SELECT o_orderkey, CASE WHEN o IS NULL THEN 'UNMATCHED' ELSE 'MATCHED' END AS status, coalesce(o.id, '') AS matched_id, CASE WHEN o IS NULL THEN '' ELSE 'exact_po_number' END AS method,
+       CASE WHEN p.n = '' THEN 'no order number' WHEN o IS NULL THEN 'order number not in the master'
+            ELSE concat_ws('; ', CASE WHEN p.s <> o.s THEN 'another supplier in the master' END, CASE WHEN p.c <> '' AND p.c <> o.c THEN 'another currency in the master' END) END AS reason
+FROM p LEFT JOIN m ON p.n = m.n""",
     "master_existence": "SELECT c_custkey, c_nationkey, c_nationkey IN (SELECT s_nationkey FROM supplier) AS known FROM customer",
     "dup_content_hash": f"SELECT doc_id, CASE WHEN {_FORM} = '' THEN '' ELSE sha256({_FORM}) END AS content_hash FROM documents",
     "dup_business_key": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE sha256('s' || (o_orderkey % 7) || '|inv-' || (o_orderkey % 50) || '|2024-01-01|eur|10.00') END AS business_key FROM orders",

@@ -263,6 +263,21 @@ QUERIES = {f.__name__: f for f in (
 _DOC = rendered.duck_sql(rendered.WITH)
 
 
+def _cents(x: str) -> str:
+    """SQL for cents as a text with a decimal point."""
+    return f"CAST({x} // 100 AS VARCHAR) || '.' || lpad(CAST({x} % 100 AS VARCHAR), 2, '0')"
+
+
+def _months(x: str) -> str:
+    """SQL for the number of a month's name."""
+    return f"CASE lower({x}) " + " ".join(f"WHEN '{name}' THEN {number}" for name, number in n.MONTHS.items()) + " END"
+
+
+def _symbols(x: str) -> str:
+    """SQL branches for a currency sign at either end."""
+    return " ".join(f"WHEN starts_with({x}, '{sign}') OR ends_with({x}, '{sign}') THEN '{code}'" for sign, code in n.CURRENCY_SYMBOLS.items())
+
+
 def _plain(x: str) -> str:
     return rendered.duck_sql(rendered.plain(x))
 
@@ -273,16 +288,45 @@ ORACLE_SQL = {
     "erp_line_tax": f"{_L} SELECT l_orderkey, l_linenumber, tax FROM x",
     "erp_header_tax": f"SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN {money('o_totalprice * (o_orderkey % 5 * 5) / 100.0::DOUBLE')} ELSE 0 END - 3.0::DOUBLE AS tax FROM orders",
     "erp_gross": f"{_G} SELECT o_orderkey, gross, cents / 100 AS stated, CAST(gross AS DECIMAL(18,2)) = CAST(cents AS DECIMAL(18,2)) / 100 AS reconciles FROM g",
-    "reconcile_exact": "SELECT o_orderkey, o_orderkey % 4 = 0 AS reconciles FROM orders",
-    "charge_hypotheses": "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'charge_taxed_together' WHEN 1 THEN 'charge_post_tax' WHEN 2 THEN 'baseline' ELSE 'irreconcilable' END AS hypothesis, "
-                         "CAST(CASE o_orderkey % 4 WHEN 0 THEN 2 WHEN 3 THEN 0 ELSE 1 END AS INT) AS n_lines FROM orders",
+    "reconcile_exact": f"""
+WITH p AS (
+  SELECT o_orderkey, c, CASE o_orderkey % 4 WHEN 0 THEN {_cents('c')} WHEN 1 THEN {_cents('(c + 1)')} WHEN 2 THEN 'n/a' ELSE '' END AS stated
+  FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders))
+SELECT o_orderkey, coalesce(TRY_CAST(stated AS DECIMAL(38,2)) = CAST(c AS DECIMAL(38,2)) / 100, false) AS reconciles FROM p""",
+    "charge_hypotheses": f"""
+WITH p AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders),
+t AS (SELECT *, CAST(round({money("(c / 100 + 90.0::DOUBLE) * 7 / 100.0::DOUBLE")} * 100) AS BIGINT) AS with_fee, CAST(round({money("c / 100 * 7 / 100.0::DOUBLE")} * 100) AS BIGINT) AS without FROM p),
+s AS (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN c + 9000 + with_fee WHEN 1 THEN c + 9000 + without WHEN 2 THEN c + without ELSE 99999999999 END AS stated FROM t)
+SELECT o_orderkey, CASE stated WHEN c + 9000 + with_fee THEN 'charge_taxed_together' WHEN c + 9000 + without THEN 'charge_post_tax' WHEN c + without THEN 'baseline' ELSE 'irreconcilable' END AS hypothesis,
+       CAST(CASE stated WHEN c + 9000 + with_fee THEN 2 WHEN c + 9000 + without THEN 1 WHEN c + without THEN 1 ELSE 0 END AS INT) AS n_lines FROM s""",
     "credit_memo_signs": rendered.duck_sql(
         f"SELECT o_orderkey, s || a AS stated_gross, s || a AS unit_price, s || '1.00' AS discount_amount, true AS idempotent FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '-' END AS s, "
         f"{rendered.plain('c')} AS a FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders))"),
-    "normalize_number": rendered.duck_sql(f"SELECT o_orderkey, {_number_case(0)} AS raw, {_number_case(1)} AS value FROM ({_PARTS})"),
-    "normalize_date": rendered.duck_sql(f"SELECT o_orderkey, {_date_case(0)} AS raw, {_date_case(1)} AS value FROM ({_DAYS})"),
-    "normalize_currency": f"SELECT o_orderkey, {_CURRENCY_ROWS} AS raw, CASE CAST(o_orderkey % 9 AS INT) " + " ".join(
-        f"WHEN {i} THEN " + ("NULL" if v is None else f"'{v}'") for i, (_, v) in enumerate(_CURRENCIES)) + " END AS value FROM orders",
+    "normalize_number": rendered.duck_sql(f"""
+WITH r AS (SELECT o_orderkey, {_number_case(0)} AS raw FROM ({_PARTS})),
+a AS (SELECT *, raw LIKE '(%)' AS parens, CASE WHEN raw LIKE '(%)' THEN raw[2:-2] ELSE raw END AS x FROM r),
+b AS (SELECT *, trim(regexp_replace(regexp_replace(trim(regexp_replace(trim(x), '%$', '')), '^[€$£¥₹ ]+|[€$£¥₹ ]+$', '', 'g'), '^[A-Z]{{3}}\\s*|\\s*[A-Z]{{3}}$', '', 'g')) AS y FROM a),
+c AS (SELECT *, parens OR y LIKE '-%' AS minus, replace(trim(regexp_replace(y, '^[-+]', '')), ' ', '') AS d FROM b),
+e AS (
+  SELECT *, CASE WHEN NOT regexp_matches(d, '^[0-9.,]+$') THEN NULL
+                 WHEN contains(d, '.') AND regexp_matches(d, ',[^.]*$') THEN replace(replace(d, '.', ''), ',', '.')
+                 WHEN contains(d, '.') AND contains(d, ',') THEN replace(d, ',', '')
+                 WHEN regexp_matches(d, '^[^,]*,[^,]{{1,2}}$') THEN replace(d, ',', '.')
+                 WHEN contains(d, ',') THEN NULL
+                 WHEN regexp_matches(d, '\\..*\\.') THEN replace(d, '.', '') ELSE d END AS v FROM c)
+SELECT o_orderkey, raw, CASE WHEN raw = '' THEN '' ELSE CASE WHEN minus THEN '-' ELSE '' END || v END AS value FROM e"""),
+    "normalize_date": rendered.duck_sql(f"""
+WITH r AS (SELECT o_orderkey, {_date_case(0)} AS raw FROM ({_DAYS})),
+a AS (
+  SELECT *, CASE WHEN regexp_matches(raw, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN [raw[1:4], raw[6:7], raw[9:10]]
+                 WHEN regexp_matches(raw, '^\\d{{1,2}}[./-]\\d{{1,2}}[./-]\\d{{4}}$') THEN list_reverse(string_split(replace(replace(raw, '.', '-'), '/', '-'), '-'))
+                 WHEN regexp_matches(raw, '^\\d{{1,2}} [A-Za-z]+ \\d{{4}}$') THEN [split_part(raw, ' ', 3), CAST({_months("split_part(raw, ' ', 2)")} AS VARCHAR), split_part(raw, ' ', 1)] END AS p FROM r),
+b AS (SELECT *, CAST(p[1] AS INT) AS y, CAST(p[2] AS INT) AS m, CAST(p[3] AS INT) AS d FROM a)
+SELECT o_orderkey, raw, CASE WHEN CASE WHEN y >= {n.ERA_FROM} THEN y - {n.ERA_YEARS} ELSE y END BETWEEN {n.YEARS[0]} AND {n.YEARS[1]} AND m BETWEEN 1 AND 12 AND d BETWEEN 1 AND 31
+  THEN printf('%04d-%02d-%02d', CASE WHEN y >= {n.ERA_FROM} THEN y - {n.ERA_YEARS} ELSE y END, m, d) END AS value FROM b"""),
+    "normalize_currency": f"""
+WITH r AS (SELECT o_orderkey, {_CURRENCY_ROWS} AS raw FROM orders)
+SELECT o_orderkey, raw, CASE WHEN trim(raw) = '' THEN '' WHEN upper(trim(raw)) IN ({", ".join(repr(c) for c in n.CURRENCY_CODES)}) THEN upper(trim(raw)) {_symbols("trim(raw)")} END AS value FROM r""",
     "normalize_keys": f"SELECT c_custkey, lower({collapse('CASE WHEN c_custkey % 3 = 0 THEN ' + repr('strasse ') + ' ELSE ' + repr('  ') + ' END || replace(c_name, ' + repr(',') + ', ' + repr(' ') + ') || ' + repr('   Ltd  '))}) AS name_key, 'EE10' || c_custkey AS vat_key, "
                       "'PO-' || c_custkey || ' /A B' AS order_key, 'net ' || (c_custkey % 90) || ' days' AS term_key, 'EE' AS country_key FROM customer",
     "printed_forms_grounded": f"{_DOC}, p AS (SELECT *, {_plain('gross')} AS plain, regexp_replace(CAST(gross // 100 AS VARCHAR), '(\\d)(\\d{{3}})$', '\\1,\\2') AS us FROM doc) "
