@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bitslice
-from ._shared import BROADCAST_BYTES, lacking, mapped, own_name, written
+from ._shared import BROADCAST_BYTES, few, lacking, mapped, own_name, written
 from .components import connected_components
 
 #: Bits that linked fingerprints may differ in.
@@ -192,16 +192,21 @@ def links(nodes: DataFrame, radius: int = RADIUS, agree: int = 2, tile: int = TI
     return mapped(rows.repartition(F.col("key"), F.col("tile")).sortWithinPartitions("key", "tile"), _compare(radius), "u long, v long")
 
 
-def components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(doc_id, key, fp, component_id)`` per row of ``docs``; component_id: the smallest doc_id reachable."""
+def _grouped(docs: DataFrame, radius: int) -> DataFrame:
+    """``(doc_id, key, fp, root, component_id)`` per row of ``docs``; root: the same for all rows of a group."""
     marked = written(fingerprints(docs), "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     roots = connected_components(links(nodes.select("fp"), radius, blocks_to_agree(nodes.count(), radius)))
     grouped = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = grouped.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "key", "fp", "component_id")
+    named = grouped.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "key", "fp", "root", "component_id")
+
+
+def components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``(doc_id, key, fp, component_id)`` per row of ``docs``; component_id: the smallest doc_id reachable."""
+    return _grouped(docs, radius).drop("root")
 
 
 def as_hex(fp: Column) -> Column:
@@ -209,16 +214,31 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _within(docs: DataFrame, few_rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with ``few_rows (doc_id, key)`` on id and text, broadcast if their counted size allows it."""
+    name, key = own_name(docs, "one_id"), own_name(docs, "one_key")
+    side = few_rows.select(F.col("doc_id").alias(name), F.col("key").alias(key))
+    if few_rows.count() * 64 <= BROADCAST_BYTES:
+        side = F.broadcast(side)
+    return docs.join(side, (docs["doc_id"].cast("long") == side[name]) & (text_key(docs["text"]) == side[key]), how)
+
+
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns.
 
-    Rows without an id can't be told apart from others of their group; they stay.
-    Rows that share an id are judged by their own texts; of those that share the kept
-    id within a group, all stay.
+    Rows that share an id are judged by their own texts; of those with the smallest id of their group the one with the least
+    text key stays, and of rows alike in id and text any one.  Rows without an id can't be told apart from others of their
+    group; they stay.
     """
-    name, key = own_name(docs, "gone_id"), own_name(docs, "gone_key")
-    gone = written(components(docs, radius).where("doc_id <> component_id")
-                   .select(F.col("doc_id").alias(name), F.col("key").alias(key)).distinct(), "gone")
-    if gone.count() * 64 <= BROADCAST_BYTES:
-        gone = F.broadcast(gone)
-    return docs.join(gone, (docs["doc_id"].cast("long") == gone[name]) & (text_key(docs["text"]) == gone[key]), "left_anti")
+    rows = written(_grouped(docs, radius).where("doc_id is not null").groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("n")), "grouped")
+    kept = rows.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("kept"))
+    judged = rows.join(kept, "root")
+    gone = few(judged.where("struct(doc_id, key) <> kept").select("doc_id", "key").distinct(), docs, "gone")
+    twice = few(judged.where("struct(doc_id, key) = kept and n > 1").select("doc_id", "key").distinct(), docs, "twice")
+    left = _within(docs, gone, "left_anti")
+    if twice.isEmpty():
+        return left
+    once, again = _within(left, twice, "left_anti"), _within(left, twice, "left_semi")
+    name, key = own_name(docs, "one_id"), own_name(docs, "one_key")
+    one = again.withColumn(name, F.col("doc_id").cast("long")).withColumn(key, text_key(F.col("text"))).dropDuplicates([name, key]).drop(name, key)
+    return once.unionByName(one)

@@ -219,3 +219,24 @@ def test_stages_on_an_empty_table(spark, tmp_path):
     folder = str(tmp_path / "e")
     tables(spark, folder, spark.createDataFrame([], SCHEMA), [], [])
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_stages_on_awkward_rows_with_clashing_columns(spark, tmp_path):
+    """Nulls, ties, repeated rows, one id with several texts, a very long text: every stage keeps the columns, and rows are those that brute force keeps."""
+    from .test_dedup import plain_kept
+
+    folder = str(tmp_path / "a")
+    texts = [*awkward(300), (9, "one text " + " ".join(words(51, 80))), (9, "another text " + " ".join(words(52, 80))), (10, None), (None, None)]
+    docs = clashing(documents(spark, texts))
+    tables(spark, folder, docs, [(1, 1, 0), (None, 1, 1), (9, None, None)], [(1, None), (2, ""), (None, "no such words anywhere in here at all")])
+    at = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, at, folder)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        out.write.parquet(f"{folder}/{name}")
+        before, at = at, spark.read.parquet(f"{folder}/{name}")
+        if name == "simhash_near_dedup":
+            assert sorted(str(r["doc_id"]) for r in at.collect()) == sorted(map(str, plain_kept([(r["doc_id"], r["text"]) for r in before.collect()])))
+    packed = corpus_pipeline.STAGES[-1][1](spark, at, folder).collect()
+    assert sum(r["length"] for r in packed) == sum({(r["doc_id"], r["doc_tokens"]): r["doc_tokens"] for r in packed if r["start"] == 0 and r["doc_id"] is not None}.values()) + sum(
+        r["doc_tokens"] for r in packed if r["start"] == 0 and r["doc_id"] is None)
