@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and
 returns a DataFrame, which is written as Parquet and read again as the next one's
 documents.
+
+Defined results, for all stages: an empty table gives an empty one, and extra columns of any name are kept up to the last
+stage.  Null texts are scored like empty ones, have no lines and no benchmark passages, and are grouped with empty texts; of a
+group one row with an id stays.  Rows without an id are never anybody's earlier copy: line dedup leaves them as they are, and
+near-dedup can't tell them apart and keeps them.  Rows that share an id are judged by their own texts; rows alike in
+id and text are one document to line dedup and leave one row to near-dedup.  Ties go to the smaller id, then to the
+smaller hash of the text.
 """
 
 from __future__ import annotations
