@@ -54,15 +54,17 @@ def match_supplier_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A unit per supplier; its country is its nation."""
-    code = F.concat(F.lit("N"), F.expr("char(65 + s_nationkey)"))
-    s = table(spark, sf_dir, "supplier")
-    return s.select(F.lit("C1").alias("company_code"), F.concat(code, F.lpad(F.col("s_suppkey").cast("string"), 4, "0")).alias("business_unit_code"),
-                    F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("location_code"), code.alias("country"), F.col("s_suppkey").alias("load_order"))
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        F.lit("C1").alias("company_code"), F.concat(F.lit("B"), F.lpad(key.cast("string"), 5, "0")).alias("business_unit_code"), F.concat(F.lit("L"), key.cast("string")).alias("location_code"),
+        F.concat(F.lit("N"), F.expr("char(65 + s_nationkey)")).alias("country"), key.alias("load_order"))
 
 
 def match_bu_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    probes = c.select(F.col("c_custkey").alias("probe_id"), F.concat(F.lit("n"), F.expr("char(97 + c_nationkey)")).alias("buyer_country"), F.when(F.col("c_custkey") % 7 == 0, F.lit("XX999")).otherwise(F.lit("")).alias("bu_code"))
+    """Unknown and known codes in another spelling, and countries of one unit, several, or none."""
+    k = F.col("c_custkey")
+    asked = F.when(k % 7 == 0, F.lit("XX999")).when(k % 7 == 1, F.concat(F.lit(" b"), F.lpad((k % 10 + 1).cast("string"), 5, "0"))).otherwise(F.lit(""))
+    probes = table(spark, sf_dir, "customer").select(k.alias("probe_id"), F.concat(F.lit("n"), F.expr("char(97 + c_nationkey)")).alias("buyer_country"), asked.alias("bu_code"))
     return _flat(match.buyer(probes, _units(spark, sf_dir)), "c_custkey", "buyer", "company_code", "business_unit_code", "location_code")
 
 
@@ -114,9 +116,11 @@ def dup_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dup_business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each order's customer, number, date, currency and gross; every sixth number is blank."""
     k = F.col("o_orderkey")
-    number = F.when(k % 6 == 0, F.lit(" ")).otherwise(F.concat(F.lit("INV-"), (k % 50).cast("string"), F.lit(" ")))
-    key = dedupe.business_key(F.concat(F.lit("S"), (k % 7).cast("string")), number, F.lit("2024-01-01"), F.lit("eur"), F.lit("10.00"))
+    number = F.when(k % 6 == 0, F.lit(" ")).otherwise(F.concat(F.lit("INV-"), k.cast("string"), F.lit(" ")))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    key = dedupe.business_key(F.concat(F.lit("S"), F.col("o_custkey").cast("string")), number, F.col("o_orderdate").cast("date").cast("string"), F.lit("EUR"), cents_text(cents))
     return table(spark, sf_dir, "orders").select("o_orderkey", key.alias("business_key"))
 
 
@@ -217,11 +221,16 @@ r AS (
   FROM p LEFT JOIN (SELECT v, max_by(id, o) AS id FROM m GROUP BY 1) a ON a.v = p.v LEFT JOIN (SELECT n, max_by(id, o) AS id FROM m GROUP BY 1) b ON b.n = p.n)
 SELECT s_suppkey, CASE WHEN id IS NULL THEN 'UNMATCHED' ELSE 'MATCHED' END AS status, coalesce(id, '') AS matched_id,
        CASE WHEN v <> '' THEN 'exact_vat_id' WHEN id IS NOT NULL THEN 'exact_normalized_name' ELSE '' END AS method FROM r""",
-    "match_bu_country": "WITH u AS (SELECT s_nationkey AS n, count(DISTINCT s_suppkey) AS c, min(s_suppkey) AS s FROM supplier GROUP BY 1), "
-                        "p AS (SELECT c_custkey, c_custkey % 7 = 0 AS explicit, coalesce(c, 0) AS c, s, 'N' || chr(65 + c_nationkey) || lpad(CAST(s AS VARCHAR), 4, '0') AS code FROM customer LEFT JOIN u ON c_nationkey = n), "
-                        "r AS (SELECT *, NOT explicit AND c = 1 AS m FROM p) "
-                        "SELECT c_custkey, CASE WHEN m THEN 'MATCHED' WHEN NOT explicit AND c > 1 THEN 'AMBIGUOUS' ELSE 'UNMATCHED' END AS status, CASE WHEN m THEN code ELSE '' END AS matched_id, CASE WHEN m THEN 'country_unique_bu' ELSE '' END AS method, "
-                        "CASE WHEN m THEN 'C1' ELSE '' END AS company_code, CASE WHEN m THEN code ELSE '' END AS business_unit_code, CASE WHEN m THEN 'L' || s ELSE '' END AS location_code FROM r",
+    "match_bu_country": """
+WITH m AS (SELECT s_suppkey AS s, 'B' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS code, 'N' || chr(65 + s_nationkey) AS country FROM supplier),
+u AS (SELECT country, count(DISTINCT code) AS n, min(code) AS code FROM m GROUP BY 1),
+p AS (
+  SELECT c_custkey, 'N' || chr(65 + c_nationkey) AS country, upper(trim(CASE c_custkey % 7 WHEN 0 THEN 'XX999' WHEN 1 THEN ' b' || lpad(CAST(c_custkey % 10 + 1 AS VARCHAR), 5, '0') ELSE '' END)) AS asked FROM customer),
+r AS (SELECT c_custkey, asked, n, CASE WHEN asked <> '' THEN asked WHEN n = 1 THEN u.code END AS wanted FROM p LEFT JOIN u ON u.country = p.country)
+SELECT c_custkey, CASE WHEN s IS NOT NULL THEN 'MATCHED' WHEN asked = '' AND n > 1 THEN 'AMBIGUOUS' ELSE 'UNMATCHED' END AS status, coalesce(code, '') AS matched_id,
+       CASE WHEN s IS NULL THEN '' WHEN asked <> '' THEN 'exact_bu_code' ELSE 'country_unique_bu' END AS method,
+       CASE WHEN s IS NULL THEN '' ELSE 'C1' END AS company_code, coalesce(code, '') AS business_unit_code, coalesce('L' || s, '') AS location_code
+FROM r LEFT JOIN m ON m.code = wanted""",
     "match_tax": f"WITH m AS ({_TAX}), p AS (SELECT l_orderkey, l_linenumber, 'C' || (l_suppkey % 27) AS country, CASE l_linenumber % 3 WHEN 0 THEN 'VAT' WHEN 1 THEN 'GST' ELSE '' END AS kind, round(l_tax * 100) AS rate FROM lineitem), "
                  "d AS (SELECT DISTINCT country, kind, rate FROM p), "
                  "f AS (SELECT d.country, d.kind, d.rate, list_sort(list_distinct(list(m.code))) AS codes FROM d JOIN m ON m.country = d.country AND abs(m.rate - d.rate) <= 0.005::DOUBLE "
@@ -244,7 +253,9 @@ SELECT o_orderkey, CASE WHEN o IS NULL THEN 'UNMATCHED' ELSE 'MATCHED' END AS st
 FROM p LEFT JOIN m ON p.n = m.n""",
     "master_existence": "SELECT c_custkey, c_nationkey, c_nationkey IN (SELECT s_nationkey FROM supplier) AS known FROM customer",
     "dup_content_hash": f"SELECT doc_id, CASE WHEN {_FORM} = '' THEN '' ELSE sha256({_FORM}) END AS content_hash FROM documents",
-    "dup_business_key": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE sha256('s' || (o_orderkey % 7) || '|inv-' || (o_orderkey % 50) || '|2024-01-01|eur|10.00') END AS business_key FROM orders",
+    "dup_business_key": "WITH p AS (SELECT *, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'inv-' || o_orderkey END AS number, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders) "
+                        "SELECT o_orderkey, CASE WHEN number = '' THEN '' ELSE sha256(concat_ws('|', 's' || o_custkey, number, CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 'eur', "
+                        "(c // 100) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0'))) END AS business_key FROM p",
     "dup_registry": "WITH g AS (SELECT o_orderkey AS k, o_orderkey % 5 <> 0 AS fb, o_orderkey % 7 <> 0 AS cb, CAST(o_orderkey % 4 AS INT) AS kind FROM orders), "
                     "c AS (SELECT *, fb AND kind <> 3 AS dup FROM g), "
                     "r AS (SELECT k * 2 AS seq, 'NONE' AS verdict, '' AS method, '' AS matched_against, fb AS booked, CAST(NULL AS DOUBLE) AS score FROM c UNION ALL "

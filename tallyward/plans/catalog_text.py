@@ -97,7 +97,7 @@ def extract_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fields(spark, sf_dir, "gross_total_raw", "subtotal_raw")
+    return _fields(spark, sf_dir, "gross_total_raw", "subtotal_raw", "confidence_notes").withColumn("notes", F.array_join("confidence_notes", "; ")).drop("confidence_notes")
 
 
 def extract_taxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +224,8 @@ ORACLE_SQL = {
     "extract_identity": f"{_FOUND} SELECT k, invoice_number, po_number, currency FROM f",
     "extract_dates": f"{_FOUND} SELECT k, invoice_date_raw, due_date_raw, payment_term_text FROM f",
     "extract_parties": f"{_FOUND} SELECT k, supplier_name, buyer_name, supplier_vat_id, supplier_country, buyer_country FROM f",
-    "extract_amounts": f"{_FOUND} SELECT k, gross_total_raw, subtotal_raw FROM f",
+    "extract_amounts": f"{_FOUND} SELECT k, gross_total_raw, subtotal_raw, CASE WHEN x = '' THEN 'no text available' WHEN labelled IS NULL AND last_amount IS NOT NULL "
+                       "THEN 'gross_total_raw is the last amount of the text: low confidence' ELSE '' END AS notes FROM f",
     "extract_taxes": f"{_FOUND} SELECT k, {_TAXES} AS taxes FROM f",
     "facts_bridge": f"{READ} SELECT k, CASE WHEN g IS NOT NULL THEN CASE rung WHEN 2 THEN 'CREDIT_MEMO' ELSE 'INVOICE' END END AS invoice_type, CAST(CASE WHEN structured THEN s ELSE g END AS VARCHAR) AS unit_price, "
                     "CAST(CASE WHEN g IS NOT NULL THEN CASE WHEN structured THEN 1 ELSE 0 END END AS INT) AS n_taxes, CAST(g AS VARCHAR) AS stated_gross FROM r WHERE rung IN (2, 5)",
