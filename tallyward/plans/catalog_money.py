@@ -207,9 +207,13 @@ def ocr_glue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("k", extract.unglued(F.replace("text", F.lit(" "), F.lit(""))).alias("repaired"))
 
 
+#: Payables by key: a good one, and as many with a defect.
+DEFECTS = 13
+
+
 def adjudicate_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One defect by key % 12 put into an otherwise good payable: its issues in order."""
-    k = F.col("o_orderkey") % 12
+    """One defect by key put into an otherwise good payable: its issues in order."""
+    k = F.col("o_orderkey") % DEFECTS
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     good = cents_text(cents)
     bad = lambda i, wrong, right: F.when(k == i, wrong).otherwise(right)
@@ -224,7 +228,7 @@ def adjudicate_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "invoice_date": F.lit(""), "due_date": F.lit(""),
         "supplier": F.struct(bad(6, F.lit("ACME"), F.lit("Other")).alias("name"), bad(5, F.lit("nobody"), F.lit("")).alias("supplier_id"), F.lit("").alias("address"), F.lit("").alias("vat_id")),
         "buyer": F.struct(F.lit("acme").alias("company_code"), F.lit("").alias("business_unit_code"), F.lit("").alias("location_code")), "payment_term_id": F.lit(""), "po_number": F.lit(""), "po_id": F.lit(""),
-        "subtotal": F.lit(""), "total_tax_amount": F.lit("")}
+        "subtotal": bad(12, F.lit("x1"), F.lit("")), "total_tax_amount": F.lit("")}
     payable = F.struct(*[v.alias(x) for x, v in cells.items()])
     text = F.when(k == 3, F.lit("no amounts")).otherwise(F.concat(F.lit("INV-"), F.col("o_orderkey").cast("string"), F.lit(" total "), gross))
     fields = F.struct(F.when(k != 4, F.lit("INV")).alias("invoice_number"), F.lit(None).cast("string").alias("supplier_name"), F.lit(None).cast("string").alias("invoice_date_raw"), F.lit(None).cast("string").alias("subtotal_raw"))
@@ -246,16 +250,6 @@ def adjudicate_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     (rules.message(F.col("issues")) == "").alias("ok"))
 
 
-_DEFECTS = ("", "schema.invoice_type", "schema.line_item_type", "groundedness.gross_total,groundedness.invoice_number", "evidence.minimum_corroboration", "master_data.supplier_id", "identity.supplier_equals_buyer",
-            "financial.missing_currency", "credit_memo.negative_gross,credit_memo.negative_line_amount", "tax.implausible_rate", "erp.reconciliation", "classification.thin_invoice_evidence")
-_WHY = ("", "SCHEMA_VIOLATION", "SCHEMA_VIOLATION", "GROUNDEDNESS_FAILURE", "INSUFFICIENT_EVIDENCE", "MASTER_DATA_INVALID", "CONFLICTING_SIGNALS", "INSUFFICIENT_EVIDENCE", "BUSINESS_RULE_VIOLATION", "BUSINESS_RULE_VIOLATION",
-        "ERP_MISMATCH_IRRECONCILABLE", "INSUFFICIENT_EVIDENCE")
-
-
-def _cases(values: tuple[str, ...]) -> str:
-    return f"CASE CAST(o_orderkey % {len(values)} AS INT) " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
-
-
 QUERIES = {f.__name__: f for f in (
     erp_line_base, erp_line_tax, erp_header_tax, erp_gross, reconcile_exact, charge_hypotheses, credit_memo_signs, facts_bridge, normalize_number, normalize_date, normalize_currency, normalize_keys,
     printed_forms_grounded, line_sanity, ocr_glue, adjudicate_issues, adjudicate_first_failure)}
@@ -283,6 +277,37 @@ def _plain(x: str) -> str:
 
 
 _STICKY = "EUR|USD|GBP|CHF|THB|SGD|MYR|ZAR|KES|GHS|DKK|PLN|AUD|CAD|SEK|NOK|RON|VND|INR|JPY|GHC"
+def _defects() -> str:
+    """SQL for each order's payable with its defect, and the checks that fail on it in their order."""
+    cents = "CAST(round(o_totalprice * 100) AS BIGINT)"
+    tax = money("c / 100 * rate / 100.0::DOUBLE")
+    checks = (
+        ("schema.invoice_type", "kind NOT IN ('INVOICE', 'CREDIT_MEMO')"), ("schema.line_item_type", "item NOT IN ('GOODS', 'SERVICE', 'FREIGHT', 'TAX')"),
+        ("schema.numeric_value", "subtotal <> '' AND TRY_CAST(subtotal AS DOUBLE) IS NULL"), ("groundedness.gross_total", "NOT contains(text, gross)"),
+        ("groundedness.invoice_number", "NOT contains(text, 'INV-' || o_orderkey)"), ("evidence.minimum_corroboration", "number IS NULL"),
+        ("classification.credit_memo_evidence", "kind = 'CREDIT_MEMO' AND len(list_filter(evidence, lambda e: contains(lower(e), 'credit'))) = 0"),
+        ("classification.thin_invoice_evidence", "kind <> 'CREDIT_MEMO' AND len(evidence) < 2"), ("master_data.supplier_id", "supplier_id <> '' AND NOT known"),
+        ("identity.supplier_equals_buyer", "lower(name) = 'acme'"), ("financial.malformed_number", "subtotal <> '' AND TRY_CAST(subtotal AS DOUBLE) IS NULL"), ("financial.missing_currency", "currency = ''"),
+        ("credit_memo.negative_gross", "kind = 'CREDIT_MEMO' AND CAST(gross AS DOUBLE) < 0"), ("credit_memo.negative_line_amount", "kind = 'CREDIT_MEMO' AND CAST(price AS DOUBLE) < 0"),
+        ("tax.implausible_rate", "abs(rate) > 100"), ("erp.reconciliation", f"CAST(CAST(price AS DECIMAL(18,2)) + CAST({money('CAST(price AS DOUBLE) * rate / 100.0::DOUBLE')} AS DECIMAL(18,2)) AS DECIMAL(18,2)) <> CAST(gross AS DECIMAL(18,2))"))
+    why = {"schema": "SCHEMA_VIOLATION", "groundedness": "GROUNDEDNESS_FAILURE", "evidence.minimum_corroboration": "INSUFFICIENT_EVIDENCE", "classification.credit_memo_evidence": "CONFLICTING_SIGNALS",
+           "classification.thin_invoice_evidence": "INSUFFICIENT_EVIDENCE", "master_data": "MASTER_DATA_INVALID", "identity": "CONFLICTING_SIGNALS", "financial.malformed_number": "SCHEMA_VIOLATION",
+           "financial.missing_currency": "INSUFFICIENT_EVIDENCE", "credit_memo": "BUSINESS_RULE_VIOLATION", "tax": "BUSINESS_RULE_VIOLATION", "erp": "ERP_MISMATCH_IRRECONCILABLE"}
+    failed = ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in checks)
+    reasons = " ".join(f"WHEN '{name}' THEN '{why.get(name) or why[name.split('.')[0]]}'" for name, _ in checks)
+    return f"""
+WITH c AS (SELECT o_orderkey, o_orderkey % {DEFECTS} AS k, {cents} AS c, CASE WHEN o_orderkey % {DEFECTS} = 9 THEN 150 ELSE 0 END AS rate FROM orders),
+g AS (SELECT *, {_cents('c')} AS good, {_cents('(c + 1)')} AS more, c + CAST(round({tax} * 100) AS BIGINT) AS taxed FROM c),
+p AS (
+  SELECT *, CASE k WHEN 1 THEN 'RECEIPT' WHEN 8 THEN 'CREDIT_MEMO' ELSE 'INVOICE' END AS kind, CASE k WHEN 2 THEN 'GIFT' ELSE 'SERVICE' END AS item, CASE k WHEN 12 THEN 'x1' ELSE '' END AS subtotal,
+         CASE k WHEN 8 THEN '-' || good WHEN 9 THEN {_cents('taxed')} WHEN 10 THEN more ELSE good END AS gross, CASE k WHEN 8 THEN '-' || good ELSE good END AS price,
+         CASE WHEN k <> 4 THEN 'INV' END AS number, CASE k WHEN 11 THEN ['invoice identity pattern'] WHEN 8 THEN ['Credit note', 'x'] ELSE ['a', 'b'] END AS evidence,
+         CASE k WHEN 5 THEN 'nobody' ELSE '' END AS supplier_id, k <> 5 AS known, CASE k WHEN 6 THEN 'ACME' ELSE 'Other' END AS name, CASE k WHEN 7 THEN '' ELSE 'EUR' END AS currency FROM g),
+t AS (SELECT *, CASE k WHEN 3 THEN 'no amounts' ELSE 'INV-' || o_orderkey || ' total ' || gross END AS text FROM p),
+f AS (SELECT o_orderkey, list_filter([{failed}], lambda x: x IS NOT NULL) AS failed FROM t),
+w AS (SELECT *, CASE failed[1] {reasons} ELSE '' END AS decline_reason FROM f)"""
+
+
 ORACLE_SQL = {
     "erp_line_base": f"{_L} SELECT l_orderkey, l_linenumber, base FROM x",
     "erp_line_tax": f"{_L} SELECT l_orderkey, l_linenumber, tax FROM x",
@@ -336,6 +361,6 @@ SELECT o_orderkey, raw, CASE WHEN trim(raw) = '' THEN '' WHEN upper(trim(raw)) I
                    "OR (l_extendedprice <> 0 AND abs(l_quantity * p_retailprice - l_extendedprice) / abs(l_extendedprice) <= 0.01::DOUBLE) AS agrees FROM lineitem JOIN part ON l_partkey = p_partkey",
     "ocr_glue": f"{_DOC} SELECT k, regexp_replace(regexp_replace(regexp_replace(replace(text, ' ', ''), '\\b({_STICKY})(\\d)', '\\1 \\2', 'g'), '(\\d)({_STICKY})\\b', '\\1 \\2', 'g'), "
                 f"'(?i)\\b(total|subtotal|amount|sum)({_STICKY})\\b', '\\1 \\2', 'g') AS repaired FROM doc",
-    "adjudicate_issues": f"SELECT o_orderkey, {_cases(_DEFECTS)} AS checks FROM orders",
-    "adjudicate_first_failure": f"SELECT o_orderkey, {_cases(_WHY)} AS decline_reason, split_part({_cases(_DEFECTS)}, ',', 1) AS first_check, o_orderkey % 12 = 0 AS ok FROM orders",
+    "adjudicate_issues": f"{_defects()} SELECT o_orderkey, array_to_string(failed, ',') AS checks FROM w",
+    "adjudicate_first_failure": f"{_defects()} SELECT o_orderkey, decline_reason, coalesce(failed[1], '') AS first_check, len(failed) = 0 AS ok FROM w",
 }
