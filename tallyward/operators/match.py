@@ -83,8 +83,8 @@ def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
 
     A ratio of r needs lengths of at least r / (2 - r), so candidates are joined on the
     block and a band of lengths wide enough that the runner-up counts too: what lies
-    outside scores under ``ACCEPT - MARGIN``, which no margin test depends on.  Nor are names compared whose edit distance
-    allows no more.  A best score below that is not told.
+    outside scores under ``ACCEPT - MARGIN``, which no margin test depends on.  Nor are names compared whose letters or edit distance
+    allow no more.  A best score below that is not told.
     """
     blocks = keyed.groupBy("m_country").agg(F.count(F.lit(1)).alias("block_size"))
     whole = keyed.count()
@@ -94,9 +94,9 @@ def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
     known = known.withColumn("block", F.when(inside, F.col("p_country")).otherwise(F.lit("*"))).withColumn(
         "candidates", F.when(inside, F.col("block_size")).otherwise(F.lit(whole)))
     size = F.length("p_name")
-    reach = known.select("*", F.explode(F.sequence(F.ceil(size * least).cast("int"), F.floor(size / least).cast("int"))).alias("size"))
-    copies = keyed.select("supplier_id", "load_order", "m_name", F.length("m_name").alias("size"), F.explode(F.array(F.col("m_country"), F.lit("*"))).alias("block"))
-    may = t.may_be_similar("p_name", "m_name", ACCEPT - MARGIN)
+    reach = known.withColumn("letters", t.letters("p_name")).select("*", F.explode(F.sequence(F.ceil(size * least).cast("int"), F.floor(size / least).cast("int"))).alias("size"))
+    copies = keyed.select("supplier_id", "load_order", "m_name", F.length("m_name").alias("size"), t.letters("m_name").alias("m_letters"), F.explode(F.array(F.col("m_country"), F.lit("*"))).alias("block"))
+    may = t.may_share(F.col("letters"), F.col("m_letters"), ACCEPT - MARGIN) & t.may_be_similar("p_name", "m_name", ACCEPT - MARGIN)
     scored = (reach.join(copies, ["block", "size"]).where(may).select("probe_id", "supplier_id", "load_order", "p_name", "m_name")
               .withColumn("score", t.similarity("p_name", "m_name")).where(F.col("score") >= ACCEPT - MARGIN))
     rank = Window.partitionBy("probe_id").orderBy(F.desc("score"), F.asc("load_order"))

@@ -94,5 +94,8 @@ def test_no_pair_is_lost_to_the_bound_on_similarity(spark):
         b = "".join(c for c in a if rng.random() > 0.1) + "".join(rng.choices(base, k=rng.randint(0, 4)))
         pairs.append((a, b))
     rows = spark.createDataFrame(pairs, "a string, b string").select(t.similarity("a", "b").alias("score"), *[t.may_be_similar("a", "b", x).alias(f"at{i}") for i, x in enumerate((0.5, 0.82, 0.97))]).collect()
+    shared = spark.createDataFrame(pairs, "a string, b string").select(t.similarity("a", "b").alias("score"), *[
+        t.may_share(t.letters("a"), t.letters("b"), x).alias(f"at{i}") for i, x in enumerate((0.5, 0.82, 0.97))]).collect()
+    assert all(r[f"at{i}"] for r in shared for i, x in enumerate((0.5, 0.82, 0.97)) if r["score"] >= x) and sum(not r["at2"] for r in shared) > 50
     assert all(r[f"at{i}"] for r in rows for i, x in enumerate((0.5, 0.82, 0.97)) if r["score"] >= x)
     assert sum(not r["at2"] for r in rows) > 100
