@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,11 +50,11 @@ def _tax_name(kind: Column) -> Column:
     return F.when(F.upper(kind) == "TAX", F.lit("VAT")).otherwise(F.upper(kind))
 
 
-def extracted(rows: DataFrame, text: str = "text", name: str = "fields", condition: Column | None = None) -> DataFrame:
+def extracted(rows: DataFrame, text: str = "text", name: str = "fields", condition: Column | None = None, only: Sequence[str] | None = None) -> DataFrame:
     """``rows`` with the struct of all fields of a text, each null if it isn't found, with ``confidence_notes``.
 
     The struct is null where ``condition`` doesn't hold, and nothing is searched there.
-    Each pattern is a column of its own, computed once, so that fields which nobody asks for are never searched.
+    Each pattern is a column of its own, computed once; of the fields ``only`` names, and no others, patterns are searched.
     """
     x = spare(rows, "found")
     c = lambda key: F.col(x + key)
@@ -98,7 +100,8 @@ def extracted(rows: DataFrame, text: str = "text", name: str = "fields", conditi
         F.when(t == "", F.lit("no text available")),
         F.when(c("labelled").isNull() & c("last").isNotNull(), F.lit("gross_total_raw is the last amount of the text: low confidence"))))
     taxes = F.when(c("pair"), one(F.lit("VAT"), F.replace(c("rate"), F.lit(","), F.lit(".")), c("rate_tax"))).otherwise(c("taxes"))
-    whole = F.struct(*[cells[n].alias(n) for n in TEXT_FIELDS], taxes.alias("header_taxes_raw"), notes.alias("confidence_notes"))
+    cells |= {"header_taxes_raw": taxes, "confidence_notes": notes}
+    whole = F.struct(*[value.alias(n) for n, value in cells.items() if only is None or n in only])
     return second.select(*[F.col(f"`{k}`") for k in rows.columns if k.lower() != name.lower()], (whole if condition is None else F.when(condition, whole)).alias(name))
 
 

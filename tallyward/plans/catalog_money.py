@@ -127,7 +127,7 @@ def credit_memo_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facts_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rendered.documents(spark, table(spark, sf_dir, "orders"))
     payable = classify.classified(docs.select("k", "text")).where(classify.payable(F.col("classification")))
-    read = extract.extracted(payable)
+    read = extract.extracted(payable, only=("currency", "gross_total_raw", "subtotal_raw", "header_taxes_raw"))
     return read.select("k", model.facts_of(F.col("fields"), F.col("classification.doc_class")).alias("x")).select(
         "k", F.col("x.invoice_type").alias("invoice_type"), F.get("x.line_items", F.lit(0))["unit_price"].alias("unit_price"), F.size("x.header_taxes").alias("n_taxes"),
         F.col("x.stated_gross").alias("stated_gross"))

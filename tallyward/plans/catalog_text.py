@@ -81,7 +81,7 @@ def disposition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fields(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return extract.extracted(_docs(spark, sf_dir)).select("k", *[f"fields.{n}" for n in names])
+    return extract.extracted(_docs(spark, sf_dir), only=names).select("k", *[f"fields.{n}" for n in names])
 
 
 def extract_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
