@@ -145,7 +145,7 @@ def first_centroids(vectors: DataFrame, clusters: int) -> np.ndarray:
     """The vectors whose hashed ids are smallest, in that order, as integers: at most ``clusters`` rows come to the driver."""
     lot = F.sha2(F.concat(F.lit("1:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     rows = vectors.select(lot.alias("lot"), "x").orderBy(F.asc_nulls_last("lot"), "x").limit(clusters).collect()
-    return _integers(np.array([r["x"] for r in rows], float).reshape(len(rows), -1))
+    return _integers(np.array([r["x"] for r in rows], float)) if rows else np.zeros((0, 0), object)
 
 
 def moved(centroids: np.ndarray, sums: Sums) -> np.ndarray:
