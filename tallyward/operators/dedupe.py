@@ -1,4 +1,4 @@
-"""Duplicates of what was booked before: an order-aware fixpoint without mutable state.
+"""Duplicates of what was booked before: an order-aware without a registry to pass around.
 
 Rows come in booking order.  A row is a duplicate only of an earlier row that was
 itself booked, by equal file, equal text, equal business key, or near-equal text
@@ -6,18 +6,24 @@ with equal currency and gross.  So
 
     booked(c) = bookable(c) and no booked predecessor;   dup(c) = a booked predecessor
 
-which is settled in rounds: rows whose predecessors are all settled are settled next.
-The tiers never form pairs of rows: in each round a key's first open and first booked
-row, and the first of another file, tell all others enough.
+which only rows that share a key, or an amount, can decide for each other.  So groups of linked rows are settled
+one by one, each in booking order, and a group too large for a task in parts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from .shared import checkpointed, dropped
+from . import near
+from .links import groups
+from .shared import checkpointed
 
 # Near-equal texts, to remark on and to decline.
 ADVISORY, DECLINE = 0.92, 0.97
@@ -59,80 +65,167 @@ MONEY = ("currency", "gross_total")
 def near_texts(rows: DataFrame, least: float = DECLINE) -> DataFrame:
     """``currency, gross_total, content_hash, p_hash, score``: different texts with near-equal wording and equal amounts.
 
-    Joined on currency and gross and, since a ratio of r needs lengths of r / (2 - r), on
-    neighbouring classes of length, so that unlike texts never meet.  Of these, pairs are compared whose edit
-    distance allows the ratio.  Copies of a text are
-    compared once.  The ratio depends on which text is the new one, so both orders count.
+    Copies of a text are compared once.  The ratio depends on which text is the new one, so both orders count.  Texts of
+    one amount, however many, meet only by grams that near texts can't all lack; see :mod:`.near`.
     """
     can = rows.where("form <> '' and currency <> '' and gross_total <> ''")
-    size = F.floor(F.log(F.length("form")) / F.log(F.lit((2 - least) / least))).cast("int")
-    texts = can.groupBy(*MONEY, "content_hash").agg(F.min("form").alias("form")).withColumn("size", size)
-    other = texts.select(*MONEY, F.col("content_hash").alias("p_hash"), F.col("form").alias("p_form"),
-                         F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"))
-    may = (F.col("content_hash") != F.col("p_hash")) & t.may_be_similar("form", "p_form", least)
-    return (texts.join(other, [*MONEY, "size"]).where(may).select(*MONEY, "content_hash", "p_hash", "form", "p_form")
-            .withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*MONEY, "content_hash", "p_hash", "score"))
-
-
-def _leaders(state: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key the first booked and the first open bookable row, and the first of each from any other file.
-
-    Aggregates only, which are partial before their shuffle, so a hot key costs a row per task.
-    """
-    row = F.struct("seq", "file")
-    of = lambda s, more: F.min(F.when((F.col("state") == s) & more, row))
-    able = state.where(F.col("bookable") & F.col("state").isin("booked", "open"))
+    texts = checkpointed(can.groupBy(*MONEY, F.col("content_hash").alias("id")).agg(F.min("form").alias("form"), F.lit(0).alias("seq")))
+    return near.pairs(texts, texts, least, MONEY, ordered=False).withColumnsRenamed({"id": "content_hash", "p_id": "p_hash"})
+
+
+#: Bytes of a linked group, texts included, that one task settles.
+GROUP_BYTES = 32 << 20
+KEYS = METHODS[:3]
+SETTLED = "at long, state string, method string, matched_against string, score double"
+
+
+def _linked(state: DataFrame) -> DataFrame:
+    """``state`` with ``group``: rows that share a key or an amount, in any number of steps; null where a row shares none."""
+    told = lambda mark, c: F.when(F.col(c) != "", F.concat(F.lit(mark), F.col(c)))
+    amount = F.when((F.col("form") != "") & (F.col("currency") != "") & (F.col("gross_total") != ""), F.concat_ws("|", F.lit("a"), *MONEY))
+    keys = state.select("at", F.explode(F.filter(F.array(*[told(m[0], m) for m in KEYS], amount), lambda k: k.isNotNull())).alias("key"))
+    shared = keys.groupBy("key").agg(F.min("at").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "b")
+    links = checkpointed(keys.join(shared, "key").where("at <> b").select(F.col("at").alias("a"), "b"))
+    return state.join(checkpointed(groups(links)), "at", "left")
+
+
+def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of whole groups, in booking order, one group after the other: each is compared with what was booked before it."""
+    group: list[tuple] = []
+    for batch in batches:
+        cells = list(batch.itertuples(index=False))
+        out: list[tuple] = []
+        for row in cells:
+            if group and row.group != group[0].group:
+                out += _booked_in_turn(group)
+                group = []
+            group.append(row)
+        yield pd.DataFrame(out, columns=["at", "state", "method", "matched_against", "score"]).astype({"at": "int64", "score": "float64"})
+    yield pd.DataFrame(_booked_in_turn(group), columns=["at", "state", "method", "matched_against", "score"]).astype({"at": "int64", "score": "float64"})
+
+
+def _booked_in_turn(rows: list) -> list[tuple]:
+    able = [(r.currency, r.gross_total) if r.form and r.currency and r.gross_total else None for r in rows]
+    often = {a for a, n in Counter(able).items() if a and n > 1}
+    first: dict[str, dict[str, str]] = {k: {} for k in KEYS}
+    texts: dict[tuple, near.Booked] = {a: near.Booked(DECLINE) for a in often}
+    files: dict[tuple, list[str]] = {a: [] for a in often}
+    seen, out = set(), []
+    for row, amount in zip(rows, able, strict=True):
+        hit = None
+        for method in KEYS:
+            prior = first[method].get(getattr(row, method)) if getattr(row, method) else None
+            if prior is not None and (prior != row.file or method == "business_key"):
+                hit = method, prior, None
+                break
+        if hit is None and amount in often:
+            found = texts[amount].first(row.form, lambda i, a=amount, f=row.file: files[a][i] != f)
+            if found:
+                hit = METHODS[3], files[amount][found[0]], found[1]
+        if hit:
+            out.append((row.at, "dup", *hit))
+            continue
+        out.append((row.at, "booked" if row.bookable else "dropped", "", "", None))
+        if row.bookable:
+            for method in KEYS:
+                first[method].setdefault(getattr(row, method), row.file)
+            if amount in often and (amount, row.content_hash) not in seen:
+                seen.add((amount, row.content_hash))
+                texts[amount].add(row.form)
+                files[amount].append(row.file)
+    return out
+
+
+def _first(booked: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the first booked row, and the first of another file; partial before its shuffle, so a hot key costs a row a task."""
+    row = F.struct("at", "file")
     for k in keys:
-        able = able.where(F.col(k) != "")
-    one = able.groupBy(*keys).agg(of("booked", F.lit(True)).alias("b1"), of("open", F.lit(True)).alias("o1"))
-    two = able.join(one, keys).groupBy(*keys).agg(of("booked", F.col("file") != F.col("b1.file")).alias("b2"), of("open", F.col("file") != F.col("o1.file")).alias("o2"))
+        booked = booked.where(F.col(k) != "")
+    one = booked.groupBy(*keys).agg(F.min(row).alias("b1"))
+    two = booked.join(one, keys).groupBy(*keys).agg(F.min(F.when(F.col("file") != F.col("b1.file"), row)).alias("b2"))
     return one.join(two, keys)
 
 
-def _before(first: str, second: str, same_file: bool = False) -> Column:
-    """The leader that precedes a row, of another file unless ``same_file``."""
-    leader = F.col(first) if same_file else F.when(F.col(f"{first}.file") != F.col("file"), F.col(first)).otherwise(F.col(second))
-    return F.when(leader["seq"] < F.col("seq"), leader)
-
-
-def _predecessors(state: DataFrame, near: DataFrame) -> DataFrame:
-    """``state`` with ``<method>_b`` and ``<method>_o``: each tier's first booked and first open predecessor."""
-    out = state
-    for method, keys, same_file in (("file_hash", ["file_hash"], False), ("content_hash", ["content_hash"], False), ("business_key", ["business_key"], True)):
-        found = out.join(_leaders(state, keys), keys, "left")
-        out = found.select(*out.columns, _before("b1", "b2", same_file).alias(f"{method}_b"), _before("o1", "o2", same_file).alias(f"{method}_o"))
-    texts = _leaders(state, [*MONEY, "content_hash"]).withColumnRenamed("content_hash", "p_hash")
-    scored = lambda first, second: F.min(F.when(_before(first, second).isNotNull(), F.struct(
-        _before(first, second)["seq"].alias("seq"), _before(first, second)["file"].alias("file"), F.col("score"))))
-    close = (state.select("seq", "file", *MONEY, "content_hash").join(near, [*MONEY, "content_hash"]).join(texts, [*MONEY, "p_hash"])
-             .groupBy("seq").agg(scored("b1", "b2").alias(f"{METHODS[3]}_b"), scored("o1", "o2").alias(f"{METHODS[3]}_o")))
-    return out.join(close, "seq", "left")
-
-
-def settle(rows: DataFrame) -> DataFrame:
+def _against(rows: DataFrame, booked: DataFrame, least: float = DECLINE, same: tuple[str, ...] = MONEY, tiers: tuple[str, ...] = KEYS) -> DataFrame:
+    """``rows`` with ``hit``: the strongest tier with a booked row before it, the first such row's file, and the score; null without."""
+    before = lambda b: F.when(b["at"] < F.col("at"), b)
+    out = rows
+    for method in tiers:
+        other = F.col("b1") if method == "business_key" else F.when(F.col("b1.file") != F.col("file"), F.col("b1")).otherwise(F.col("b2"))
+        out = out.join(_first(booked, [method]), method, "left").withColumn(f"by_{method}", before(other)).drop("b1", "b2")
+    found = lambda m: F.when(F.col(f"by_{m}").isNotNull(), F.struct(F.lit(m).alias("method"), F.col(f"by_{m}.file").alias("file"), F.lit(None).cast("double").alias("score")))
+    hit = F.coalesce(*[found(m) for m in tiers]) if tiers else F.lit(None).cast("struct<method:string,file:string,score:double>")
+    keyed = checkpointed(out.select(*rows.columns, hit.alias("hit")))
+    able = lambda df: df.where(" and ".join(f"{c} <> ''" for c in ("form", *same)))
+    new = checkpointed(able(keyed.where("hit is null")).select(*same, F.col("at").alias("id"), F.col("at").alias("seq"), "file", "form"))
+    prior = checkpointed(able(booked).groupBy(*same, "content_hash").agg(F.min_by(F.struct("at", "file", "form"), "at").alias("b")).select(
+        *same, F.col("b.at").alias("id"), F.col("b.at").alias("seq"), F.col("b.file").alias("file"), F.col("b.form").alias("form")))
+    close = (near.pairs(new, prior, least, same).join(new.select("id", "file"), "id").join(prior.select(F.col("id").alias("p_id"), F.col("file").alias("p_file")), "p_id").where("file <> p_file")
+             .groupBy("id").agg(F.min_by(F.struct(F.lit(METHODS[3]).alias("method"), F.col("p_file").alias("file"), "score"), "p_id").alias("text_hit")))
+    return keyed.join(close, keyed["at"] == close["id"], "left").select(*rows.columns, F.coalesce("hit", "text_hit").alias("hit"))
+
+
+def _part(open_: DataFrame) -> DataFrame:
+    """``group, until``: how far a group goes in booking order before it holds :data:`GROUP_BYTES`; null if to its end."""
+    sizes = open_.groupBy("group").agg(F.sum(200 + 4 * F.length("form")).alias("bytes"))
+    large = sizes.where(F.col("bytes") > GROUP_BYTES)
+    halves = [2.0**-k for k in range(1, 31)]
+    at = open_.join(F.broadcast(large), "group").groupBy("group", "bytes").agg(F.percentile_approx("at", halves).alias("ends"))
+    step = F.least(F.ceil(F.log2(F.col("bytes") / GROUP_BYTES)), F.lit(len(halves))).cast("int")
+    return at.select("group", F.element_at("ends", step).alias("until"))
+
+
+def settle(rows: DataFrame, remarks: bool = False) -> DataFrame:
     """``seq, verdict, method, matched_against, score, booked``: rows of :func:`evidence` settled in booking order.
 
-    Rows that can't be booked never stand in another's way.  The method is the
-    strongest tier with a booked predecessor, the match its first; score is the similarity of near-equal texts.  Each round ends in
-    a table in the folder all machines share.  The first open row has only settled predecessors, so each
-    round settles some and the last row is settled at last.
+    Rows that can't be booked never stand in another's way.  The method is the strongest tier with a booked
+    predecessor, the match its first; score is the similarity of near-equal texts.
+
+    Rows that share no key are settled where they stand.  Others are settled by linked groups, each in one task in booking
+    order, whatever the length of its chains.  Of a group larger than :data:`GROUP_BYTES` the first part is settled so; later rows
+    are held against what that booked, by joins over all tasks, and what is still open goes on.  With ``remarks``, rows that aren't
+    duplicates tell the first booked text of another file, of any amount, that is near.
     """
-    near = checkpointed(near_texts(rows))
-    own = ["seq", "file", "file_hash", "content_hash", "business_key", *MONEY, "bookable", "copy_label"]
-    state = checkpointed(rows.select(*own, F.lit("open").alias("state")))
-    any_of = lambda end: F.coalesce(*[F.col(f"{m}_{end}.seq") for m in METHODS]).isNotNull()
-    while not state.where("state = 'open'").isEmpty():
-        found = _predecessors(state, near)
-        new = (F.when(any_of("b"), F.lit("dup")).when(any_of("o"), F.lit("open")).when(F.col("bookable"), F.lit("booked")).otherwise(F.lit("dropped")))
-        before, state = state, checkpointed(found.select(*own, F.when(F.col("state") == "open", new).otherwise(F.col("state")).alias("state")))
-        dropped(before)
-    score = lambda m: F.col(f"{m}_b.score") if m == METHODS[3] else F.lit(None).cast("double")
-    named = F.coalesce(*[F.when(F.col(f"{m}_b").isNotNull(), F.struct(F.lit(m).alias("m"), F.col(f"{m}_b.file").alias("f"), score(m).alias("score"))) for m in METHODS])
-    dup, remark = F.col("state") == "dup", F.col("copy_label") & (F.col("state") != "dup")
-    return _predecessors(state, near).select(
-        "seq", F.when(dup, F.lit(DUPLICATE)).when(remark, F.lit(REMARK)).otherwise(F.lit(NONE)).alias("verdict"),
-        F.when(dup, named["m"]).when(remark, F.lit("copy_indicator")).otherwise(F.lit("")).alias("method"),
-        F.when(dup, named["f"]).otherwise(F.lit("")).alias("matched_against"), F.when(dup, named["score"]).alias("score"), (F.col("state") == "booked").alias("booked"))
+    own = ["seq", "file", *KEYS, "form", *MONEY, "copy_label", "bookable"]
+    ranked = checkpointed(rows.select(*own).repartitionByRange("seq").sortWithinPartitions("seq").withColumn("at", F.monotonically_increasing_id()))
+    state = checkpointed(_linked(ranked))
+    slim = ["at", "group", "file", *KEYS, "form", *MONEY, "bookable"]
+    open_, done, large, large_booked, late = state.where("group is not null").select(*slim), [], None, [], []
+    while True:
+        part = checkpointed(_part(open_))
+        whole = part.isEmpty()
+        chosen = open_ if whole else open_.join(F.broadcast(part), "group", "left").where("until is null or at <= until").select(*slim)
+        settled = checkpointed(chosen.repartition("group").sortWithinPartitions("group", "at").mapInPandas(_settled, SETTLED))
+        done.append(settled)
+        large = large or part.select("group")  # groups only shrink
+        booked = checkpointed(chosen.join(F.broadcast(large), "group").join(settled.where("state = 'booked'").select("at"), "at").select(*slim))
+        large_booked.append(booked)
+        if whole:
+            break
+        rest = checkpointed(_against(open_.join(F.broadcast(part), "group").where("at > until").select(*slim), booked))
+        late.append(rest.where("hit is not null").select(*slim))
+        open_ = rest.where("hit is null").select(*slim)
+    if late:
+        # Which tier told may change with what was booked in later parts.
+        every = lambda parts: checkpointed(reduce(DataFrame.unionByName, parts))
+        named = _against(every(late), every(large_booked))
+        done.append(named.select("at", F.lit("dup").alias("state"), F.col("hit.method").alias("method"), F.col("hit.file").alias("matched_against"), F.col("hit.score").alias("score")))
+    told = state.join(reduce(DataFrame.unionByName, done), "at", "left").withColumn(
+        "state", F.coalesce("state", F.when(F.col("bookable"), F.lit("booked")).otherwise(F.lit("dropped"))))
+    dup = F.col("state") == "dup"
+    verdict = F.when(dup, F.lit(DUPLICATE)).when(F.col("copy_label"), F.lit(REMARK)).otherwise(F.lit(NONE))
+    method = F.when(dup, F.col("method")).when(F.col("copy_label"), F.lit("copy_indicator")).otherwise(F.lit(""))
+    out = told.select("seq", "at", verdict.alias("verdict"), method.alias("method"), F.coalesce("matched_against", F.lit("")).alias("matched_against"), "score", (F.col("state") == "booked").alias("booked"))
+    if not remarks:
+        return out.drop("at")
+    out = checkpointed(out)
+    texts = state.select("at", "file", "content_hash", "form")
+    near_ = _against(texts.join(out.where(F.col("verdict") != DUPLICATE).select("at"), "at"), texts.join(out.where("booked").select("at"), "at"), ADVISORY, (), ()).where("hit is not null")
+    seen = out.join(near_.select("at", "hit"), "at", "left")
+    noted = F.col("hit").isNotNull()
+    return seen.select(
+        "seq", F.when(noted, F.lit(REMARK)).otherwise(F.col("verdict")).alias("verdict"), F.when(noted, F.lit("near_duplicate")).otherwise(F.col("method")).alias("method"),
+        F.when(noted, F.col("hit.file")).otherwise(F.col("matched_against")).alias("matched_against"), F.when(noted, F.col("hit.score")).otherwise(F.col("score")).alias("score"), "booked")
 
 
 def reason(currency: Column, gross: Column) -> Column:
@@ -147,17 +240,3 @@ def reason(currency: Column, gross: Column) -> Column:
                 "High-confidence duplicate: near-total text similarity (similarity=", F.format_string("%.3f", F.col("score")), ") AND exact matching currency (", currency,
                 ") AND exact matching gross_total (", gross, ") against already-booked ", prior, " — independent identity fields (invoice number/date/supplier) were unavailable to build a "
                 "business-key match, but textual and financial corroboration together are strong enough to auto-decline.")))
-
-
-def advisories(rows: DataFrame, booked: DataFrame) -> DataFrame:
-    """``seq, matched_against``: the first booked text of another file that is near-equal, of any amount; for diagnosis only."""
-    first = (rows.join(booked, "seq", "left_semi").where("content_hash <> ''").groupBy("content_hash")
-             .agg(F.min_by(F.struct("seq", "file", "form"), "seq").alias("p")).select(
-                 F.col("p.seq").alias("prior"), F.col("p.file").alias("prior_file"), F.col("p.form").alias("p_form")))
-    step = F.log(F.lit((2 - ADVISORY) / ADVISORY))
-    mine = rows.where("form <> ''").withColumn("size", F.floor(F.log(F.length("form")) / step).cast("int"))
-    prior = first.withColumn("at", F.floor(F.log(F.length("p_form")) / step).cast("int")).select(
-        "*", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)).alias("size"))
-    may = t.may_be_similar("form", "p_form", ADVISORY)
-    near = mine.join(prior, "size").where("prior < seq and prior_file <> file").where(may).select("seq", "form", "p_form", "prior", "prior_file").withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= ADVISORY)
-    return near.groupBy("seq").agg(F.min_by("prior_file", "prior").alias("matched_against"))

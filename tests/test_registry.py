@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 from difflib import SequenceMatcher
 
-from tallyward.operators import dedupe
+from tallyward.operators import dedupe, links
+from tallyward.operators.shared import checkpointed
 
 SCHEMA = "seq int, file string, file_hash string, full_text string, supplier_identity string, invoice_number string, invoice_date string, currency string, gross_total string, bookable boolean"
 
 
-def sequential(rows):
+def sequential(rows, remarks=False):
     """One row after the other, as a clerk would: booked rows are remembered."""
     booked, out = [], {}
     for seq, file, fh, text, *key, currency, gross, ok in sorted(rows):
@@ -24,14 +25,15 @@ def sequential(rows):
         if hit:
             out[seq] = ("DUPLICATE_OF_BOOKED_PAYABLE", hit[0], hit[1]["file"], False)
         else:
-            out[seq] = ("NONE", "", "", ok)
+            near = first(lambda b: form and b["form"] and b["file"] != file and SequenceMatcher(None, form, b["form"]).ratio() >= 0.92) if remarks else None
+            out[seq] = ("ADVISORY", "near_duplicate", near["file"], ok) if near else ("NONE", "", "", ok)
             if ok:
                 booked.append({"file": file, "fh": fh, "form": form, "bk": bk, "cur": currency.strip(), "gross": gross.strip()})
     return out
 
 
-def settled(spark, rows):
-    got = dedupe.settle(dedupe.evidence(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+def settled(spark, rows, remarks=False):
+    got = dedupe.settle(dedupe.evidence(spark.createDataFrame(rows, SCHEMA).repartition(3)), remarks)
     return {r["seq"]: (r["verdict"], r["method"], r["matched_against"], r["booked"]) for r in got.collect()}
 
 
@@ -73,11 +75,65 @@ def test_long_runs_of_unbookable_copies(spark):
     assert got[59] == ("NONE", "", "", False) and got[60][3] and all(got[i][2] == "f60" for i in range(61, 80))
 
 
-def test_advisories_and_empty(spark):
-    rows = dedupe.evidence(spark.createDataFrame([(1, "a", "", LONG, "", "", "", "", "", True), (2, "b", "", LONG + " but not quite", "", "", "", "", "", True)], SCHEMA))
-    booked = spark.createDataFrame([(1,)], "seq int")
-    assert [(r["seq"], r["matched_against"]) for r in dedupe.advisories(rows, booked).collect()] == [(2, "a")]
-    assert dedupe.settle(dedupe.evidence(spark.createDataFrame([], SCHEMA))).count() == 0
+def varied(rng, n):
+    """Rows of a few amounts, keys and wordings, all linked with each other in some way."""
+    words = LONG.split()
+
+    def text():
+        own = list(words)
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 5])):
+            own[rng.randrange(len(own))] = rng.choice(["alpha", "beta", "x", ""])
+        return " ".join(own)
+
+    return [(i, f"f{rng.randint(0, n // 2)}", rng.choice(["", "", "", f"h{rng.randint(0, n // 4)}"]), rng.choice([text(), text(), text(), "", "short"]), rng.choice(["", "S"]), f"N{rng.randint(0, n // 4)}", "D",
+             rng.choice(["EUR", "EUR", ""]), rng.choice(["49.00", "49.00", "50.00"]), rng.random() < 0.7) for i in range(n)]
+
+
+def test_near_texts_of_any_amount_are_remarked(spark):
+    rng = random.Random(8)
+    rows = varied(rng, 150)
+    got = settled(spark, rows, remarks=True)
+    assert got == sequential(rows, remarks=True) and sum(v[1] == "near_duplicate" for v in got.values()) > 5
+    assert dedupe.settle(dedupe.evidence(spark.createDataFrame([], SCHEMA)), remarks=True).count() == 0
+
+
+def test_groups_too_large_for_a_task_are_settled_in_parts(spark, monkeypatch):
+    """The same rows of one hot amount, in one part and in many; links joined in one task and by rounds."""
+    rng = random.Random(9)
+    rows = varied(rng, 120)
+    wanted = sequential(rows)
+    assert len({v[1] for v in wanted.values()}) == 5
+    monkeypatch.setattr(dedupe, "GROUP_BYTES", 20_000)
+    monkeypatch.setattr(links, "LOCAL_LINKS", 0)
+    assert settled(spark, rows) == wanted
+
+
+def test_a_chain_is_settled_in_one_part(spark):
+    """Each row shares a key with the next only, so every second one is booked."""
+    rows = [(i, f"f{i}", f"h{i // 2}", f"text {(i + 1) // 2}", "", "", "", "", "", True) for i in range(10_000)]
+    got = dedupe.settle(dedupe.evidence(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    assert {r["seq"] for r in got.where("booked").collect()} == set(range(0, 10_000, 2))
+
+
+def test_stars_reach_what_links_reach(spark):
+    rng = random.Random(2)
+    pairs = {tuple(sorted(rng.sample(range(400), 2), reverse=True)) for _ in range(300)} | {(i + 1, i) for i in range(1000, 1100)}
+    frame = checkpointed(spark.createDataFrame(sorted(pairs), "a long, b long"))
+    local = {(r["at"], r["group"]) for r in links.groups(frame).collect()}
+    found = links._stars(frame)
+    assert local == {(r["a"], r["b"]) for r in found.collect()} | {(r["b"], r["b"]) for r in found.select("b").distinct().collect()}
+
+
+def test_texts_of_one_amount_give_the_pairs_of_brute_force(spark):
+    rng = random.Random(12)
+    texts = sorted({r[3] for r in varied(rng, 260)} | {" ".join(rng.choices(LONG.split(), k=rng.randint(1, 40))) for _ in range(60)} | {"a", "ab", "abc", "abcd", "abcde", "abcdef"})
+    for least in (0.97, 0.92):
+        rows = dedupe.evidence(spark.createDataFrame([(i, str(i), "", x, "", "", "", "EUR", "49.00", True) for i, x in enumerate(texts)], SCHEMA))
+        form = {r["content_hash"]: r["form"] for r in rows.select("content_hash", "form").collect() if r["form"]}
+        wanted = {(a, b) for a in form for b in form if a != b and 2 * min(len(form[a]), len(form[b])) >= least * (len(form[a]) + len(form[b]))
+                  and SequenceMatcher(None, form[a], form[b]).ratio() >= least}
+        got = [(r["content_hash"], r["p_hash"]) for r in dedupe.near_texts(rows, least).collect()]
+        assert len(got) == len(set(got)) and set(got) == wanted and wanted
 
 
 def test_no_pair_is_lost_to_the_bound_on_similarity(spark):
