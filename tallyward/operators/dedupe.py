@@ -105,6 +105,7 @@ def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _booked_in_turn(rows: list) -> list[tuple]:
+    """``at, state, method, matched_against, score`` of each row of a group."""
     able = [(r.currency, r.gross_total) if r.form and r.currency and r.gross_total else None for r in rows]
     often = {a for a, n in Counter(able).items() if a and n > 1}
     first: dict[str, dict[str, str]] = {k: {} for k in KEYS}

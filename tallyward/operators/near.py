@@ -20,6 +20,7 @@ import functools
 import math
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,8 @@ from .shared import checkpointed
 
 #: Grams two prefixes have to share, and places of the table of counts.
 SHARED, PLACES = 8, 1 << 18
+#: Texts that a text meets as they are.
+FEW = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -116,18 +119,31 @@ def tokens(texts: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
 def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...] = (), ordered: bool = True) -> DataFrame:
     """``*same, id, p_id, score``: each of ``new (*same, id, seq, form)`` with each different text of ``prior`` that is near and, if ``ordered``, comes before it.
 
-    ``same`` have to be equal.  Both are written tables.  Tokens that many texts share come last in every prefix, and pairs are
+    ``same`` have to be equal; where few texts share them, these meet as they are, others by their tokens.  Both are written tables.  Tokens that many texts share come last in every prefix, and pairs are
     counted where their tokens meet, so texts are moved only for pairs that share enough.
     """
-    counts = rarity(new.select("form").unionByName(prior.select("form")), least)
-    mine = tokens(new.select(*same, "id", "seq", "form"), counts, least)
-    other = tokens(prior.select(*same, F.col("id").alias("p_id"), F.col("seq").alias("p_seq"), "form"), counts, least).withColumnsRenamed({"size": "p_size", "need": "p_need"})
-    ratio = F.lit(least / (2 - least))
-    fits = (F.col("p_size") >= ratio * F.col("size")) & (F.col("size") >= ratio * F.col("p_size")) & ((F.col("p_seq") < F.col("seq")) if ordered else (F.col("id") != F.col("p_id")))
-    met = (mine.join(other, [*same, "token"]).where(fits).groupBy(*same, "id", "p_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("need", "p_need")).alias("need"))
-           .where("n >= need").select(*same, "id", "p_id"))
-    texts = met.join(new.select(*same, "id", "form"), [*same, "id"]).join(prior.select(*same, F.col("id").alias("p_id"), F.col("form").alias("p_form")), [*same, "p_id"])
-    close = texts.where((F.col("form") != F.col("p_form")) & t.may_be_similar("form", "p_form", least))
+    fits = lambda size, p_size: (p_size >= F.lit(least / (2 - least)) * size) & (size >= F.lit(least / (2 - least)) * p_size)
+    turn = (F.col("p_seq") < F.col("seq")) if ordered else (F.col("id") != F.col("p_id"))
+    renamed = lambda df: df.select(*same, F.col("id").alias("p_id"), F.col("seq").alias("p_seq"), F.col("form").alias("p_form"))
+    new, prior = new.select(*same, "id", "seq", "form"), prior.select(*same, "id", "seq", "form")
+    met = []
+    if same:
+        crowded = checkpointed(prior.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).select(*same))
+        apart = lambda df, how: df.join(crowded, list(same), how)
+        met.append(apart(new, "left_anti").join(renamed(prior), list(same)).where(turn & fits(F.length("form"), F.length("p_form"))))
+        if crowded.isEmpty():
+            new = None
+        else:
+            new, prior = checkpointed(apart(new, "left_semi")), checkpointed(apart(prior, "left_semi"))
+    if new is not None:
+        counts = rarity(new.select("form").unionByName(prior.select("form")), least)
+        other = renamed(prior).withColumnRenamed("p_form", "form")
+        mine, other = tokens(new, counts, least), tokens(other, counts, least).withColumnsRenamed({"size": "p_size", "need": "p_need"})
+        shared = (mine.join(other, [*same, "token"]).where(turn & fits(F.col("size"), F.col("p_size"))).groupBy(*same, "id", "p_id")
+                  .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("need", "p_need")).alias("need")).where("n >= need").select(*same, "id", "p_id"))
+        met.append(shared.join(new, [*same, "id"]).join(renamed(prior), [*same, "p_id"]))
+    cells = [*same, "id", "p_id", "form", "p_form"]
+    close = reduce(DataFrame.unionByName, [m.select(*cells) for m in met]).where((F.col("form") != F.col("p_form")) & t.may_be_similar("form", "p_form", least))
     return checkpointed(close.withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*same, "id", "p_id", "score"))
 
 
@@ -175,8 +191,8 @@ class Booked:
     def __init__(self, least: float) -> None:
         self.least = least
         self.texts: list[str] = []
-        self.rows = [np.zeros((16, CLASSES), np.uint16) for _ in LOCAL_Q]
-        self.sizes = np.zeros(16, np.int64)
+        self.rows: list[np.ndarray] = []
+        self.sizes = np.zeros(0, np.int64)
 
     @staticmethod
     def _row(text: str, q: int) -> np.ndarray:
@@ -184,6 +200,13 @@ class Booked:
 
     def first(self, text: str, other: Callable[[int], bool]) -> tuple[int, float] | None:
         """Number and score of the first booked text for which ``other`` holds and that is near."""
+        if len(self.texts) <= 8:
+            for i, prior in enumerate(self.texts):
+                if 2 * min(len(prior), len(text)) >= self.least * (len(prior) + len(text)) and other(i):
+                    match = SequenceMatcher(None, text, prior)
+                    if match.quick_ratio() >= self.least and (score := match.ratio()) >= self.least:
+                        return i, score
+            return None
         sizes, size = self.sizes[: len(self.texts)], len(text)
         found = np.flatnonzero(2 * np.minimum(sizes, size) >= self.least * (sizes + size))
         if size < 60_000:  # the counts of longer texts, and of texts near them, might not fit
@@ -204,10 +227,18 @@ class Booked:
         return None
 
     def add(self, text: str) -> None:
-        n = len(self.texts)
-        if n == len(self.sizes):
-            self.rows, self.sizes = [np.concatenate([r, np.zeros_like(r)]) for r in self.rows], np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        for q, rows in zip(LOCAL_Q, self.rows, strict=True):
-            rows[n] = self._row(text, q)
-        self.sizes[n] = len(text)
         self.texts.append(text)
+        n = len(self.texts)
+        if n <= 8:  # a few are compared as they are
+            return
+        if n == 9 or n > len(self.sizes):
+            old, room = (0 if n == 9 else n - 1), 2 * n
+            sizes, rows = np.zeros(room, np.int64), [np.zeros((room, CLASSES), np.uint16) for _ in LOCAL_Q]
+            sizes[:old] = self.sizes[:old]
+            for new, had in zip(rows, self.rows, strict=False):
+                new[:old] = had[:old]
+            self.rows, self.sizes = rows, sizes
+        for i in range(0 if n == 9 else n - 1, n):
+            self.sizes[i] = len(self.texts[i])
+            for q, rows in zip(LOCAL_Q, self.rows, strict=True):
+                rows[i] = self._row(self.texts[i], q)
