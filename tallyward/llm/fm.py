@@ -7,8 +7,8 @@ sum-of-squares identity, and learns that two features together mean more than
 their weights.  Features are hashed into ``BUCKETS`` places of a fixed table.  The model
 holds those that the training sample ties to the label, by themselves (chi-squared above
 ``MIN_CHI2``) or as one of a pair: where two features stand together, the label differs by ``MIN_PAIR``
-standard deviations from what both say alone.  Pairs are counted exactly among the ``PAIRED``
-most frequent features; rarer ones meet too seldom in a sample of this size to differ that much.
+standard deviations from what both say alone.  Pairs are counted exactly: of the ``PAIRED`` most frequent features with each
+other, and with every rarer one of ``MIN_TOGETHER`` rows or more.
 All others have no weight, and the model's size is bounded whatever the corpus.
 
 Training runs on the driver over a bounded sample: about ``MAX_TRAIN_ROWS``
@@ -18,6 +18,7 @@ id, one row of each id, each as its distinct feature hashes.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,8 +35,8 @@ MAX_TRAIN_ROWS = 12_000
 BUCKETS, MAX_FEATURES, RANK = 1 << 18, 16_384, 8
 #: Association a feature needs; the chance of as much by accident is under one in a million.
 MIN_CHI2, MIN_ROWS = 25.0, 4
-#: Features among which pairs are counted, and the deviation one pair of some two million needs.
-PAIRED, MIN_PAIR = 2048, 6.5
+#: Frequent features, rows in which a pair has to stand, and the deviation it needs; among some ten million pairs a few reach it by accident.
+PAIRED, MIN_TOGETHER, MIN_PAIR = 2048, 20, 5.0
 BATCH = 256
 
 #: 32-bit hashes of a text, and of the metadata columns named beside it.
@@ -80,39 +81,52 @@ def _alone(seen: np.ndarray, hit: np.ndarray, n: int, ones: float) -> np.ndarray
     return np.where(spread > 0, (hit - expected) ** 2 / np.maximum(spread, 1e-9), 0)
 
 
+def _unlike(both: np.ndarray, both_hit: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """Where rows with two features have another share of label 1 than the sum of both features' log odds says."""
+    share = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    return (both >= MIN_TOGETHER) & (np.abs(both_hit - both * share) >= MIN_PAIR * np.sqrt(both * share * (1 - share) + 1))
+
+
 def _paired(places: list[np.ndarray], labels: np.ndarray, seen: np.ndarray, hit: np.ndarray) -> np.ndarray:
     """Features of a pair whose rows have another share of label 1 than both features' own shares add up to.
 
-    Shares add up as log odds.  Rows are counted in blocks of a dense matrix of the most frequent features.
+    Rows are columns of a dense table of the most frequent features, of bounded size; a rarer feature's rows are summed from it.
     """
     n, ones = len(labels), labels.sum()
     varied = np.minimum(seen, n - seen)
     chosen = np.sort(np.argsort(-varied, kind="stable")[:PAIRED])
-    chosen = chosen[varied[chosen] >= MIN_ROWS]
+    chosen = chosen[varied[chosen] >= MIN_TOGETHER]
     column = np.full(BUCKETS, -1, np.int32)
     column[chosen] = np.arange(len(chosen))
-    both, both_hit = (np.zeros((len(chosen), len(chosen)), np.float32) for _ in range(2))
-    for want, out in ((0, both), (1, both_hit)):
-        rows = np.flatnonzero(labels > 0) if want else np.flatnonzero(labels <= 0)
-        for begin in range(0, len(rows), 1024):
-            part = [column[places[i]] for i in rows[begin : begin + 1024]]
-            dense = np.zeros((len(part), len(chosen)), np.float32)
-            for line, cols in enumerate(part):
-                dense[line, cols[cols >= 0]] = 1
-            out += dense.T @ dense
-    both += both_hit
+    table = np.zeros((n, len(chosen)), np.float32)
+    for line, row in enumerate(places):
+        at = column[row]
+        table[line, at[at >= 0]] = 1
     odds = lambda k, of: np.log((k + 0.5) / (of - k + 0.5)).astype(np.float32)
-    own = odds(hit[chosen], seen[chosen])
+    own, base = odds(hit[chosen], seen[chosen]), odds(ones, n)
     kept = np.zeros(len(chosen), bool)
+    positive = table * (labels > 0)[:, None].astype(np.float32)
     for begin in range(0, len(chosen), 256):  # bounded memory
         line = slice(begin, begin + 256)
-        share = 1 / (1 + np.exp(-np.clip(own[line, None] + own[None, :] - odds(ones, n), -30, 30)))
-        count = both[line]
-        off = np.abs(both_hit[line] - count * share) >= MIN_PAIR * np.sqrt(count * share * (1 - share) + 1)
+        off = _unlike(table[:, line].T @ table, table[:, line].T @ positive, own[line, None] + own[None, :] - base)
         off[np.arange(off.shape[0]), np.arange(begin, begin + off.shape[0])] = False
         kept[line] |= off.any(1)
         kept |= off.any(0)
-    return chosen[kept]
+    rarer = np.flatnonzero((seen >= MIN_TOGETHER) & (column < 0) & (varied >= MIN_TOGETHER))
+    cell = np.full(BUCKETS, -1, np.int32)
+    cell[rarer] = np.arange(len(rarer))
+    found = [(c[c >= 0], line) for line, c in ((line, cell[row]) for line, row in enumerate(places))]
+    which, lines = np.concatenate([c for c, _ in found]), np.repeat([line for _, line in found], [len(c) for c, _ in found])
+    order = np.argsort(which, kind="stable")
+    ends = np.searchsorted(which[order], np.arange(len(rarer) + 1))
+    rare = []
+    for i, feature in enumerate(rarer.tolist()):
+        rows = lines[order[ends[i] : ends[i + 1]]]
+        off = _unlike(table[rows].sum(0), positive[rows].sum(0), own + odds(hit[feature], seen[feature]) - base)
+        if off.any():
+            rare.append(feature)
+            kept |= off
+    return np.concatenate([chosen[kept], np.array(rare, np.int64)])
 
 
 def select(places: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -128,12 +142,17 @@ def select(places: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([best, paired]))
 
 
+#: Shares of its features that a row may lose in training; which is best, rows decide that are kept out of a first fit.
+DROPOUTS, KEPT_OUT = (0.0, 0.6), 5
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: int = 40, rate: float = 0.08,
-        decay: float = 2e-3, dropout: float = 0.6, seed: int = 7) -> FactorizationMachine:
+        decay: float = 2e-3, dropout: float | None = None, seed: int = 7) -> FactorizationMachine:
     """Adagrad on the logistic loss, classes weighted alike.
 
-    Each row loses a random share of its features in each epoch, up to ``dropout``,
-    so that one insult alone has to weigh enough.
+    Each row may lose a random share of its features in each epoch, up to ``dropout``, so that one insult alone has to weigh enough.  Where
+    only two features together mean something, that would teach that one of them does; so whether rows lose any is decided
+    by the loss on every fifth row, kept out of trial fits.
 
     No rows, or rows of one class, give a constant: the smoothed share of label 1.
     """
@@ -151,7 +170,21 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: in
     row[good] = np.arange(len(good))
     at = [r[r >= 0] for r in (row[p] for p in places)]
     del places
+    train = functools.partial(_train, good=good, rank=rank, epochs=epochs, rate=rate, decay=decay, seed=seed)
+    if dropout is None:
+        out = np.random.default_rng(seed).permutation(n) % KEPT_OUT == 0
+        inside, outside = ([a for a, o in zip(at, out, strict=True) if o == want] for want in (False, True))
+        losses = [_loss(train(inside, labels[~out], dropout=d), [good[a].astype(np.uint32) for a in outside], labels[out]) for d in DROPOUTS]
+        dropout = DROPOUTS[int(np.argmin(losses))]
+    return train(at, labels, dropout=dropout)
+
 
+def _train(at: list[np.ndarray], labels: np.ndarray, good: np.ndarray, rank: int, epochs: int, rate: float, decay: float, dropout: float, seed: int) -> FactorizationMachine:
+    """The machine over the buckets ``good``, from each row's places among them."""
+    n, ones = len(labels), float(labels.sum())
+    if ones in (0, n):
+        prior = (ones + 1) / (n + 2)
+        return FactorizationMachine(np.zeros(0, np.int64), float(np.log(prior / (1 - prior))), np.zeros(0), np.zeros((0, rank)))
     random = np.random.default_rng(seed)
     size = len(good)
     w, v = np.zeros(size, np.float32), random.normal(0, 0.02, (size, rank)).astype(np.float32)
@@ -163,8 +196,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: in
         order = random.permutation(n)
         for begin in range(0, n, BATCH):
             batch = order[begin : begin + BATCH]
-            cells = [i[random.random(len(i)) >= dropout * random.random()] for i in (at[b] for b in batch)]
+            cells = [at[b] for b in batch]
             line, cols = np.repeat(np.arange(len(batch)), [len(c) for c in cells]), np.concatenate(cells)
+            if dropout:
+                stay = random.random(len(cols)) >= (dropout * random.random(len(batch)))[line]
+                line, cols = line[stay], cols[stay]
             x = dense[: len(batch)]
             x[line, cols] = 1
             total = x @ v
@@ -181,6 +217,13 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: in
     return FactorizationMachine(good, float(bias), w, v)
 
 
+def _loss(model: FactorizationMachine, rows: list[np.ndarray], labels: np.ndarray) -> float:
+    """Mean logistic loss, classes weighted alike."""
+    p = np.clip([model.score(r) for r in rows], 1e-6, 1 - 1e-6)
+    loss = -np.where(labels > 0, np.log(p), np.log(1 - p))
+    return float(np.mean([loss[labels == y].mean() for y in (0, 1) if (labels == y).any()]))
+
+
 def _inputs(docs: DataFrame, metadata: Metadata) -> DataFrame:
     """``doc_id, text`` and the metadata columns; those that ``docs`` lacks are null."""
     have = {c.lower() for c in docs.columns}

@@ -120,3 +120,41 @@ def test_quality_reads_stated_lengths_and_stands_their_lack(spark):
     docs = documents(spark, [(i, text * (1 + i % 2)) for i in range(40)])
     assert quality_model.scores(docs.drop("n_chars"), labels).count() == 40
     assert quality_model.keep(docs.drop("n_chars"), labels).columns == docs.drop("n_chars").columns
+
+
+def insults(seed, n):
+    """Three insults of one, two and five rows in a hundred; toxic only next to the mention of a group."""
+    rng = np.random.default_rng(seed)
+    rows, y, which, mention = [], [], [], []
+    for _ in range(n):
+        said, group = [k for k, p in ((1, 0.01), (2, 0.02), (3, 0.05)) if rng.random() < p], rng.random() < 0.4
+        rows.append(np.unique(np.array(said + [9] * group + rng.integers(100, 5000, 30).tolist(), np.uint32)))
+        y.append(float(bool(said) and group))
+        which.append(said)
+        mention.append(group)
+    return rows, np.array(y), which, np.array(mention)
+
+
+def test_insults_are_toxic_only_next_to_a_group():
+    """With default settings; a linear model, which is rank 0, calls insults alone toxic."""
+    train, test = insults(1, 12_000), insults(2, 6000)
+    alone = {}
+    for rank in (fm.RANK, 0):
+        machine = fm.fit(*train[:2], rank=rank)
+        said = np.array([machine.score(r) >= 0.5 for r in test[0]])
+        for k in (1, 2, 3):
+            only = np.array([w == [k] for w in test[2]])
+            alone[rank, k] = said[only & ~test[3]].mean()
+            assert rank == 0 or said[only & test[3]].mean() > 0.95
+    assert all(alone[fm.RANK, k] < 0.05 for k in (1, 2, 3)) and max(alone[0, k] for k in (1, 2, 3)) > 0.5
+
+
+def test_a_rare_feature_that_matters_with_a_frequent_one_is_selected():
+    rng = np.random.default_rng(5)
+    rows, y = [], []
+    for _ in range(12_000):
+        rare, group = rng.random() < 215 / 12_000, rng.random() < 0.4
+        rows.append(np.unique(np.array([1] * rare + [9] * group + rng.integers(100, 5000, 30).tolist(), np.uint32)))
+        y.append(float(group) if rare else float(rng.random() < 0.5))
+    got = fm.select([fm.buckets_of(r) for r in rows], np.array(y)).tolist()
+    assert {1, 9} <= set(got) and len(got) < 40
