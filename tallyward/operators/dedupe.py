@@ -238,6 +238,6 @@ def reason(currency: Column, gross: Column) -> Column:
             .when(method == METHODS[1], said("Content-identical (normalized text) to already-booked document ", prior, "."))
             .when(method == METHODS[2], said("Same supplier+invoice_number+invoice_date+currency+gross_total as already-booked document ", prior, "."))
             .when(method == METHODS[3], said(
-                "High-confidence duplicate: near-total text similarity (similarity=", F.format_string("%.3f", F.col("score")), ") AND exact matching currency (", currency,
+                "High-confidence duplicate: near-total text similarity (similarity=", F.format_string("%.3f", F.bround("score", 3)), ") AND exact matching currency (", currency,
                 ") AND exact matching gross_total (", gross, ") against already-booked ", prior, " — independent identity fields (invoice number/date/supplier) were unavailable to build a "
                 "business-key match, but textual and financial corroboration together are strong enough to auto-decline.")))

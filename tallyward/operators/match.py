@@ -7,10 +7,13 @@ rows are few; a larger one is joined by a shuffle.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from . import near
+from .shared import checkpointed
 
 MATCHED, UNMATCHED, AMBIGUOUS = "MATCHED", "UNMATCHED", "AMBIGUOUS"
 # Acceptance of similar names, and what rates may differ by.
@@ -84,7 +87,7 @@ def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
     A ratio of r needs lengths of at least r / (2 - r), so candidates are joined on the
     block and a band of lengths wide enough that the runner-up counts too: what lies
     outside scores under ``ACCEPT - MARGIN``, which no margin test depends on.  Nor are names compared whose letters or edit distance
-    allow no more.  A best score below that is not told.
+    allow no more.  Names that find none to accept so are then asked for their two best at any score; see :func:`_best_two`.
     """
     blocks = keyed.groupBy("m_country").agg(F.count(F.lit(1)).alias("block_size"))
     whole = keyed.count()
@@ -102,12 +105,51 @@ def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
     rank = Window.partitionBy("probe_id").orderBy(F.desc("score"), F.asc("load_order"))
     top = (scored.withColumn("place", F.row_number().over(rank)).withColumn("next", F.lead("score", 1, 0.0).over(rank)).where("place = 1")
            .select("probe_id", "supplier_id", "score", "next"))
-    all_ = known.select("probe_id", "candidates").join(top, "probe_id", "left")
+    decided = checkpointed(known.select("probe_id", "p_name", "block", "candidates").join(top.where(F.col("score") >= ACCEPT), "probe_id", "left"))
+    low = _best_two(decided.where("score is null").select("p_name", "block").distinct(), keyed)
+    all_ = decided.join(low, ["p_name", "block"], "left").select("probe_id", "candidates", "supplier_id", F.coalesce("score", "low").alias("score"), F.coalesce("next", "low_next").alias("next"))
     how = "fuzzy_name_blocked_by_country"
     clear = (F.col("score") >= ACCEPT) & (F.col("score") - F.col("next") >= MARGIN)
+    # Fixed value: the words that tell both scores.
+    told = F.format_string(f"best=%.3f runner_up=%.3f (threshold={ACCEPT}, margin={MARGIN})", F.bround("score", 3), F.bround("next", 3))
     return all_.select("probe_id", F.when(clear, result(MATCHED, F.col("supplier_id"), how, F.col("score"), F.col("candidates")))
-                       .when(F.col("score") >= ACCEPT, result(AMBIGUOUS, None, how, F.col("score"), F.col("candidates"), "the runner-up is too close"))
-                       .otherwise(result(UNMATCHED, None, how, F.col("score"), F.col("candidates"), "no name is similar enough")).alias("similar"))
+                       .when(F.col("score") >= ACCEPT, result(AMBIGUOUS, None, how, F.col("score"), F.col("candidates"), told))
+                       .when(F.col("score").isNotNull(), result(UNMATCHED, None, how, F.col("score"), F.col("candidates"), told))
+                       .otherwise(result(UNMATCHED, reason="no candidates in country block")).alias("similar"))
+
+
+#: Names of a master in a tile, and names asked for in a task.
+TILE, ASKED = 4000, 2000
+
+
+def _best_two(asked: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``p_name, block, low, low_next``: for each of ``asked (p_name, block)`` the best and the second best score in its block, whatever they are.
+
+    A block is dealt in tiles of some :data:`TILE` names and a tile's questions in parts, by hash, so that no task holds a whole block or all that ask it;
+    the best two of all tiles are the best two of their best.  A name that the master has twice is its own runner-up.
+    """
+    wanted = checkpointed(asked)
+    n = wanted.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select("block", F.ceil(F.col("n") / ASKED).cast("int").alias("parts"))
+    copies = keyed.select("m_name", F.explode(F.array(F.col("m_country"), F.lit("*"))).alias("block")).join(sized(n.select("block")), "block", "left_semi")
+    names = checkpointed(copies.groupBy("block", "m_name").agg(F.count(F.lit(1)).alias("times")))
+    tiles = names.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    dealt = tiles.join(n, "block")
+    deal = lambda df, c, count: df.withColumn(count, F.pmod(F.xxhash64(c), F.col(f"{count}s")).cast("int"))
+    spread = lambda df, count: df.withColumn(count, F.explode(F.sequence(F.lit(0), F.col(f"{count}s") - 1)))
+    master = spread(deal(names.join(dealt, "block"), "m_name", "tile"), "part").select("block", "tile", "part", "m_name", "times")
+    probes = spread(deal(wanted.join(dealt, "block"), "p_name", "part"), "tile").select("block", "tile", "part", "p_name")
+
+    def run(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
+        if own.empty or ask.empty:
+            return pd.DataFrame({"p_name": [], "block": [], "scores": []})
+        tile, times = near.Names(own["m_name"].tolist()), own["times"].tolist()
+        rows = [(name, sorted((s for s, i in tile.best(name) for _ in range(min(times[i], 2))), reverse=True)[:2]) for name in ask["p_name"]]
+        return pd.DataFrame({"p_name": [r[0] for r in rows], "block": ask["block"].iloc[0], "scores": [r[1] for r in rows]})
+
+    at = ["block", "tile", "part"]
+    found = master.groupBy(*at).cogroup(probes.groupBy(*at)).applyInPandas(run, "p_name string, block string, scores array<double>")
+    best = found.groupBy("p_name", "block").agg(F.slice(F.reverse(F.array_sort(F.flatten(F.collect_list("scores")))), 1, 2).alias("top"))
+    return best.select("p_name", "block", F.get("top", F.lit(0)).alias("low"), F.coalesce(F.get("top", F.lit(1)), F.lit(0.0)).alias("low_next"))
 
 
 def buyer(probes: DataFrame, units: DataFrame, unicode: bool = True) -> DataFrame:

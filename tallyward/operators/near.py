@@ -151,24 +151,32 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def most_shared(text: np.ndarray, others: list[np.ndarray], back: int, ahead: int) -> np.ndarray:
-    """No fewer characters than any order-keeping match of ``text`` with each of ``others`` holds.
+def grid(texts: list[str]) -> np.ndarray:
+    """The characters of texts, a column each; 0 beyond a text's end."""
+    cells = [codes(x) for x in texts]
+    out = np.zeros((max(map(len, cells), default=0), len(cells)), np.uint32)
+    for i, c in enumerate(cells):
+        out[: len(c), i] = c
+    return out
+
+
+def most_shared(text: np.ndarray, others: np.ndarray, back: int, ahead: int) -> np.ndarray:
+    """No fewer characters than any order-keeping match of ``text`` with each column of the grid ``others`` holds.
 
     A matched character lies at most ``back`` before and ``ahead`` after its own place.  So each 64 characters are matched, at their best, within
     that reach: their longest common subsequence, with the 64 as bits of a word, for all others at once.
     """
     known, own = np.unique(text, return_inverse=True)
-    width = max((len(o) for o in others), default=0)
-    seen = np.zeros((width, len(others)), np.int64)  # 0: no character of text
-    for i, o in enumerate(others):
-        at = np.minimum(np.searchsorted(known, o), len(known) - 1)
-        seen[: len(o), i] = np.where(known[at] == o, at + 1, 0)
-    shared = np.zeros(len(others), np.int64)
+    if not len(known):
+        return np.zeros(others.shape[1], np.int64)
+    at = np.minimum(np.searchsorted(known, others), len(known) - 1)
+    seen = np.where(known[at] == others, at + 1, 0)  # 0: no character of text
+    shared = np.zeros(others.shape[1], np.int64)
     for begin in range(0, len(text), 64):
         size = min(64, len(text) - begin)
         masks = np.zeros(len(known) + 1, np.uint64)
         np.bitwise_or.at(masks, own[begin : begin + size] + 1, np.uint64(1) << np.arange(size, dtype=np.uint64))
-        rest = np.full(len(others), np.uint64(2**64 - 1))
+        rest = np.full(others.shape[1], np.uint64(2**64 - 1))
         for line in seen[max(begin - back, 0) : begin + size + ahead]:
             hit = rest & masks[line]
             rest = (rest + hit) | (rest - hit)
@@ -176,6 +184,31 @@ def most_shared(text: np.ndarray, others: list[np.ndarray], back: int, ahead: in
     return shared
 
 
+class Names:
+    """Names in one task, a tile of a master, asked for the two most like another, exactly and at any score.
+
+    Names are tried in order of what they can reach at most, so that few are compared in full.
+    """
+
+    def __init__(self, names: list[str]) -> None:
+        self.names, self.cells = names, grid(names)
+        self.sizes = np.array([len(x) for x in names], np.int64)
+
+    def best(self, name: str) -> list[tuple[float, int]]:
+        """Scores and numbers of all that reach the second best score, at least."""
+        total = self.sizes + len(name)
+        most = np.where(total > 0, 2 * most_shared(codes(name), self.cells, len(name), len(self.cells)) / np.maximum(total, 1), 1.0)
+        found: list[tuple[float, int]] = []
+        top = [-1.0, -1.0]
+        for i in np.argsort(-most, kind="stable").tolist():
+            if most[i] < top[1] - 1e-9:
+                break
+            score = SequenceMatcher(None, name, self.names[i]).ratio()
+            top = sorted([*top, score], reverse=True)[:2]
+            found.append((score, i))
+        return [(s, i) for s, i in found if s >= top[1]]
+
+
 #: Characters of grams, and classes into which grams are counted, within one task.
 LOCAL_Q, CLASSES = (2, 4), 512
 
@@ -220,7 +253,7 @@ class Booked:
             total = size + sizes[part]
             least = np.ceil(self.least * total / 2 - 1e-6)
             back, ahead = (int(max((n - least).max(initial=0), 0)) for n in (size, sizes[part]))
-            for i, n, m in zip(part, most_shared(mine, [codes(self.texts[i]) for i in part], back, ahead), least, strict=True):
+            for i, n, m in zip(part, most_shared(mine, grid([self.texts[i] for i in part]), back, ahead), least, strict=True):
                 if n >= m and (score := SequenceMatcher(None, text, self.texts[i]).ratio()) >= self.least:
                     return i, score
             step = min(2 * step, 512)

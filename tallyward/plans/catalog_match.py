@@ -49,7 +49,20 @@ def match_supplier_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = F.when(k % 10 == 3, F.concat(F.lit("zz zz yy yy "), F.reverse(F.lower("c_mktsegment")), F.lit(" qq"))).otherwise(lost)
     probes = c.select(k.alias("probe_id"), asked.alias("name"), F.lit("").alias("vat_id"), F.when(k % 2 == 0, country).otherwise(F.lit("ZZ")).alias("country"))
     done = match.supplier(probes, master)
-    return _flat(done, "c_custkey", "supplier", F.round("supplier.score", 6).alias("score"))
+    score = F.col("supplier.score")
+    return _flat(done, "c_custkey", "supplier", F.round(F.when(score >= match.ACCEPT - match.MARGIN, score), 6).alias("score"))
+
+
+def match_supplier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier's name as parts are called, against all parts' brands, types and containers: nothing matches, so the two best scores are told."""
+    part = table(spark, sf_dir, "part").select("p_type", "p_brand", "p_partkey")
+    master = part.groupBy(F.concat_ws(" ", "p_brand", "p_type").alias("name")).agg(F.min("p_partkey").alias("load_order")).select(
+        F.col("load_order").cast("string").alias("supplier_id"), "name", F.lit("").alias("vat_id"), F.concat(F.lit("N"), (F.length("name") % 3).cast("string")).alias("country"), "load_order")
+    k = F.col("s_suppkey")
+    asked = F.concat_ws(" ", F.lit("Brand"), (k % 57).cast("string"), F.element_at(F.array(*[F.lit(x) for x in ("COPPER PROMO", "LARGE STEEL", "tin small", "Zinc")]), (k % 4 + 1).cast("int")))
+    probes = table(spark, sf_dir, "supplier").select(k.alias("probe_id"), asked.alias("name"), F.lit("").alias("vat_id"), F.when(k % 2 == 0, F.lit("N1")).otherwise(F.lit("")).alias("country"))
+    done = match.supplier(probes, master)
+    return _flat(done, "s_suppkey", "supplier", F.round("supplier.score", 6).alias("score"), F.col("supplier.candidate_count").alias("candidate_count"), F.col("supplier.reason").alias("reason"))
 
 
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +158,19 @@ def dup_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.settle(dedupe.evidence(first.unionByName(copy))).select("seq", "verdict", "method", "matched_against", "booked", F.round("score", 6).alias("score"))
 
 
+def dup_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' texts, each with a later one under another amount that lost eight letters, too many, or none but says it is a copy; near texts are remarked, and copies of what wasn't booked are not."""
+    k = F.col("k")
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")).withColumn("text", F.expr(_NEAR))
+    row = lambda seq, mark, text, cents, able: rows.select(
+        seq.alias("seq"), F.concat(F.lit(mark), k.cast("string")).alias("file"), F.lit("").alias("file_hash"), text.alias("full_text"), *[F.lit("").alias(x) for x in ("supplier_identity", "invoice_number", "invoice_date")],
+        F.lit("EUR").alias("currency"), cents_text(cents).alias("gross_total"), able.alias("bookable"))
+    later = F.when(k % 3 == 0, F.concat(F.col("text").substr(1, 30), F.col("text").substr(39, 200))).when(k % 3 == 1, F.concat(F.col("text").substr(1, 20), F.col("text").substr(41, 200))).otherwise(
+        F.concat(F.col("text").substr(1, 80), F.lit(" copy")))
+    both = row(k * 2, "f", F.col("text"), k * 10, k % 5 != 0).unionByName(row(k * 2 + 1, "g", later, k * 10 + 1, F.lit(True)))
+    return dedupe.settle(dedupe.evidence(both), remarks=True).select("seq", "verdict", "method", "matched_against", "booked", F.round("score", 6).alias("score"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of an equal amount that are near-equal: an order's text, one with a letter lost, and one that lost too many, under the order's gross; with the orders that hold them."""
     k = F.col("k")
@@ -190,7 +216,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    match_supplier_exact, match_supplier_fuzzy, match_bu_country, match_tax, match_payment_term, match_po, master_existence, dup_content_hash, dup_business_key, dup_registry, near_duplicates, end_to_end)}
+    match_supplier_exact, match_supplier_fuzzy, match_supplier_scores, match_bu_country, match_tax, match_payment_term, match_po, master_existence, dup_content_hash, dup_business_key, dup_registry, dup_advisories, near_duplicates, end_to_end)}
 
 _NEAR_DUCK = "concat('order ', sha256(CAST(k AS VARCHAR)), ' of the customer')"
 _TAX = rendered.duck_sql(_TAX_MASTER, nation="nation")
@@ -263,6 +289,11 @@ FROM p LEFT JOIN m ON p.n = m.n""",
                     "CASE WHEN dup THEN CASE WHEN k % 8 = 0 THEN 'file_hash' WHEN kind = 0 THEN 'content_hash' WHEN kind = 1 THEN 'business_key' ELSE 'high_confidence_near_duplicate' END "
                     "WHEN kind = 3 THEN 'copy_indicator' ELSE '' END, CASE WHEN dup THEN 'f' || k ELSE '' END, NOT dup AND cb, "
                     f"CASE WHEN dup AND kind = 2 THEN round(2.0::DOUBLE * (length({_NEAR_DUCK}) - 1) / (2 * length({_NEAR_DUCK}) - 1), 6) END FROM c) SELECT * FROM r",
+    # what was planted: of 86 letters the later text has 78, 66, or 80 and a label; a text is remarked only after one that was booked
+    "dup_advisories": "WITH g AS (SELECT s_suppkey AS k, s_suppkey % 5 <> 0 AS able, CAST(s_suppkey % 3 AS INT) AS kind FROM supplier) "
+                      "SELECT k * 2 AS seq, 'NONE' AS verdict, '' AS method, '' AS matched_against, able AS booked, CAST(NULL AS DOUBLE) AS score FROM g UNION ALL "
+                      "SELECT k * 2 + 1, CASE WHEN kind = 2 OR (kind = 0 AND able) THEN 'ADVISORY' ELSE 'NONE' END, CASE WHEN able AND kind <> 1 THEN 'near_duplicate' WHEN kind = 2 THEN 'copy_indicator' ELSE '' END, "
+                      "CASE WHEN able AND kind <> 1 THEN 'f' || k ELSE '' END, true, CASE WHEN able AND kind = 0 THEN round(156.0::DOUBLE / 164, 6) WHEN able AND kind = 2 THEN round(2.0::DOUBLE * 81 / 171, 6) END FROM g",
     # what was planted: the text and the one that lost a letter are near, in both orders; their matching blocks hold all letters but one
     "near_duplicates": f"WITH t AS (SELECT o_orderkey, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders), "
                        f"p AS (SELECT *, {_NEAR_DUCK} AS a, substr({_NEAR_DUCK}, 1, 30) || substr({_NEAR_DUCK}, 32) AS b FROM t), q AS (SELECT * FROM p UNION ALL SELECT * REPLACE (b AS a, a AS b) FROM p) "

@@ -43,7 +43,9 @@ def test_similar_names_against_all_pairs(spark):
     names = list(dict.fromkeys(base + [b[:-1] + "x" for b in base] + [b + "yz" for b in base]))
     master = spark.createDataFrame([(str(i), n, "", "EE", i) for i, n in enumerate(names)], "supplier_id string, name string, vat_id string, country string, load_order int")
     asked = [(i, n[:3] + "q" + n[3:], "", "EE") for i, n in enumerate(names)]
-    got = results(match.supplier(spark.createDataFrame(asked, "probe_id int, name string, vat_id string, country string"), master), "supplier")
+    done = match.supplier(spark.createDataFrame(asked, "probe_id int, name string, vat_id string, country string"), master).collect()
+    got = {r["probe_id"]: (r["supplier"]["status"], r["supplier"]["matched_id"]) for r in done}
+    told = {r["probe_id"]: (r["supplier"]["score"], r["supplier"]["reason"]) for r in done}
     norm = [" ".join(n.split()) for n in names]
     for i, n, *_ in asked:
         q = " ".join(n.split())
@@ -52,7 +54,32 @@ def test_similar_names_against_all_pairs(spark):
         scored = sorted(((SequenceMatcher(None, q, m).ratio(), -j) for j, m in enumerate(norm)), reverse=True)
         best, second = scored[0], scored[1]
         expected = ("MATCHED", str(-best[1])) if best[0] >= 0.9 and best[0] - second[0] >= 0.08 else ("AMBIGUOUS" if best[0] >= 0.9 else "UNMATCHED", "")
-        assert got[i][:2] == expected
+        assert got[i][:2] == expected and told[i][0] == best[0]
+        assert told[i][1] == ("" if expected[0] == "MATCHED" else f"best={best[0]:.3f} runner_up={second[0]:.3f} (threshold=0.9, margin=0.08)")
+
+
+def test_the_two_best_names_at_any_score(spark, monkeypatch):
+    """In tiles and parts, against all pairs; names that the master has twice, and blocks that are asked for without having any."""
+    from difflib import SequenceMatcher
+    import random
+
+    rng = random.Random(11)
+    name = lambda: " ".join("".join(rng.choices("abcdeéz", k=rng.randint(1, 7))) for _ in range(rng.randint(1, 4)))
+    rows = [(str(i), name(), "", rng.choice(["EE", "LV", ""]), i) for i in range(150)]
+    rows.append((*rows[7][:1], rows[7][1], "", rows[7][3], 150))
+    asked = [(i, name(), "", rng.choice(["EE", "LV", "FR", ""])) for i in range(60)] + [(60, rows[7][1] + "q", "", "")]
+    monkeypatch.setattr(match, "TILE", 40)
+    monkeypatch.setattr(match, "ASKED", 10)
+    got = match.supplier(spark.createDataFrame(asked, "probe_id int, name string, vat_id string, country string"),
+                         spark.createDataFrame(rows, "supplier_id string, name string, vat_id string, country string, load_order int"))
+    told = {r["probe_id"]: r["supplier"] for r in got.collect()}
+    exact = {n for _, n, *_ in rows}
+    for i, asked_name, _, country in asked:
+        if asked_name not in exact:
+            block = [n for _, n, _, c, _ in rows if c == country] if country in ("EE", "LV") else [n for _, n, *_ in rows]
+            best, second = sorted((SequenceMatcher(None, asked_name, n).ratio() for n in block), reverse=True)[:2]
+            assert told[i]["score"] == best and told[i]["candidate_count"] == len(block)
+            assert told[i]["status"] == "MATCHED" or told[i]["reason"] == f"best={best:.3f} runner_up={second:.3f} (threshold=0.9, margin=0.08)"
 
 
 def test_units(spark, tmp_path):
@@ -131,3 +158,22 @@ def test_every_customer_is_matched(spark):
         best, second = scored[0], scored[1][0] if len(scored) > 1 else 0
         status = "UNMATCHED" if best[0] < 0.9 else "MATCHED" if best[0] - second >= 0.08 else "AMBIGUOUS"
         assert got[k] == (status, best[1] if status == "MATCHED" else "", round(best[0], 6) if best[0] >= 0.82 else None)
+
+
+def test_scores_told_for_every_supplier(spark):
+    """The query on names that match nothing, against all pairs."""
+    from difflib import SequenceMatcher
+
+    from tallyward.plans import catalog_match
+
+    folder = "/root/testdata/sf0.001"
+    names = sorted({f"{b} {t}".lower() for b, t in spark.read.parquet(f"{folder}/part.parquet").select("p_brand", "p_type").collect()})
+    got = catalog_match.match_supplier_scores(spark, folder).collect()
+    assert len(got) == spark.read.parquet(f"{folder}/supplier.parquet").count()
+    for r in got:
+        k = r["s_suppkey"]
+        asked = f"brand {k % 57} " + ("copper promo", "large steel", "tin small", "zinc")[k % 4]
+        block = [n for n in names if k % 2 or len(n) % 3 == 1] or names
+        best, second = [*sorted((SequenceMatcher(None, asked, n).ratio() for n in block), reverse=True), 0.0][:2]
+        assert (r["status"], r["score"], r["candidate_count"]) == ("UNMATCHED", round(best, 6), len(block))
+        assert r["reason"] == f"best={best:.3f} runner_up={second:.3f} (threshold=0.9, margin=0.08)"
