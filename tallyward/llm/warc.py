@@ -93,7 +93,12 @@ def parse_header(head: bytes) -> dict[str, str]:
 
 def _finish(target: fs.FileSystem, own: str, final: str) -> None:
     """Rename; if the same task has already left its archive, keep either (they're equal)."""
-    target.move(own, final)
+    try:
+        target.move(own, final)
+    except OSError:  # some file systems don't rename onto a file that is there
+        if target.get_file_info(final).type != fs.FileType.File:
+            raise
+        target.delete_file(own)
 
 
 def _gzip(level: int) -> object:

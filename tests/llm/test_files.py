@@ -240,3 +240,28 @@ def test_stages_on_awkward_rows_with_clashing_columns(spark, tmp_path):
     packed = corpus_pipeline.STAGES[-1][1](spark, at, folder).collect()
     assert sum(r["length"] for r in packed) == sum({(r["doc_id"], r["doc_tokens"]): r["doc_tokens"] for r in packed if r["start"] == 0 and r["doc_id"] is not None}.values()) + sum(
         r["doc_tokens"] for r in packed if r["start"] == 0 and r["doc_id"] is None)
+
+
+def test_a_task_that_runs_twice_keeps_one_archive(tmp_path):
+    """Also on file systems that refuse to rename onto a file; without such a file the error stands."""
+
+    class Strict:
+        def __init__(self):
+            self.local = fs.LocalFileSystem()
+
+        def move(self, own, final):
+            if self.local.get_file_info(final).type == fs.FileType.File:
+                raise OSError("file exists")
+            self.local.move(own, final)
+
+        def __getattr__(self, name):
+            return getattr(self.local, name)
+
+    for target in (fs.LocalFileSystem(), Strict()):
+        for _ in range(2):
+            (tmp_path / "own").write_bytes(b"same")
+            warc._finish(target, str(tmp_path / "own"), str(tmp_path / "final"))
+        assert [x.name for x in tmp_path.iterdir()] == ["final"]
+        (tmp_path / "final").unlink()
+    with pytest.raises(OSError):
+        warc._finish(Strict(), str(tmp_path / "none"), str(tmp_path / "final"))
