@@ -98,20 +98,26 @@ def _paired(places: list[np.ndarray], labels: np.ndarray, seen: np.ndarray, hit:
     chosen = chosen[varied[chosen] >= MIN_TOGETHER]
     column = np.full(BUCKETS, -1, np.int32)
     column[chosen] = np.arange(len(chosen))
-    table = np.zeros((n, len(chosen)), np.float32)
-    for line, row in enumerate(places):
-        at = column[row]
-        table[line, at[at >= 0]] = 1
+    table = np.zeros((n, len(chosen)), np.uint8)
+    both, both_hit = (np.zeros((len(chosen), len(chosen)), np.float32) for _ in range(2))
+    for begin in range(0, n, 1024):  # in parts, so that memory stays near the table's
+        part = slice(begin, min(begin + 1024, n))
+        for line in range(part.start, part.stop):
+            at = column[places[line]]
+            table[line, at[at >= 0]] = 1
+        dense, hits = table[part].astype(np.float32), table[part][labels[part] > 0].astype(np.float32)
+        both += dense.T @ dense
+        both_hit += hits.T @ hits
     odds = lambda k, of: np.log((k + 0.5) / (of - k + 0.5)).astype(np.float32)
     own, base = odds(hit[chosen], seen[chosen]), odds(ones, n)
     kept = np.zeros(len(chosen), bool)
-    positive = table * (labels > 0)[:, None].astype(np.float32)
-    for begin in range(0, len(chosen), 256):  # bounded memory
+    for begin in range(0, len(chosen), 256):
         line = slice(begin, begin + 256)
-        off = _unlike(table[:, line].T @ table, table[:, line].T @ positive, own[line, None] + own[None, :] - base)
+        off = _unlike(both[line], both_hit[line], own[line, None] + own[None, :] - base)
         off[np.arange(off.shape[0]), np.arange(begin, begin + off.shape[0])] = False
         kept[line] |= off.any(1)
         kept |= off.any(0)
+    del both, both_hit
     rarer = np.flatnonzero((seen >= MIN_TOGETHER) & (column < 0) & (varied >= MIN_TOGETHER))
     cell = np.full(BUCKETS, -1, np.int32)
     cell[rarer] = np.arange(len(rarer))
@@ -122,7 +128,7 @@ def _paired(places: list[np.ndarray], labels: np.ndarray, seen: np.ndarray, hit:
     rare = []
     for i, feature in enumerate(rarer.tolist()):
         rows = lines[order[ends[i] : ends[i + 1]]]
-        off = _unlike(table[rows].sum(0), positive[rows].sum(0), own + odds(hit[feature], seen[feature]) - base)
+        off = _unlike(table[rows].sum(0, dtype=np.float32), table[rows[labels[rows] > 0]].sum(0, dtype=np.float32), own + odds(hit[feature], seen[feature]) - base)
         if off.any():
             rare.append(feature)
             kept |= off
