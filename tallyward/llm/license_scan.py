@@ -110,6 +110,10 @@ NAMES: tuple[tuple[str, str], ...] = (
     ("PostgreSQL", r"postgresql licen[sc]e"),
     ("X11", r"x11 licen[sc]e"),
     ("CECILL-{v}", r"cecill(?: licen[sc]e)?[, -]+(?:version |v\.? ?)?(?P<v>[0-9]\.[0-9]|b\b|c\b)"),
+    ("SSPL-1.0", r"(?:server side public licen[sc]e|sspl)(?: \(sspl\))?(?:[, -]+(?:version |v\.? ?)?1(?:\.0)?)?"),
+    ("BUSL-1.1", r"(?:business source licen[sc]e|busl)(?: \(b[u]?sl\))?(?:[, -]+(?:version |v\.? ?)?1\.1)?"),
+    ("Elastic-2.0", r"elastic licen[sc]e(?:[, -]+(?:version |v\.? ?)?2(?:\.0)?)?|elastic-2\.0"),
+    ("UPL-1.0", r"(?:universal permissive licen[sc]e|upl)(?: \(upl\))?(?:[, -]+(?:version |v\.? ?)?1(?:\.0)?)?"),
     ("Unlicense", r"unlicense"),
     ("WTFPL", r"wtfpl"),
     ("CC0-1.0", r"(?:cc0|creative commons (?:zero|cc0))(?:[ -]1\.0)?(?: universal)?"),
@@ -160,9 +164,15 @@ _NAMED = tuple((name, re.compile(pattern)) for name, pattern in NAMES)
 _INNER = re.compile(r"(?<= )(?:permission (?:is (?:hereby )?granted|to use)|redistribution and use in|(?:this|the) [\w ]{3,40} is free software|the above copyright notice and this permission)")
 #: Words before a licence's name that make it a reference: the verb, or a field of metadata.
 _UNDER = re.compile(
-    r"\b(?:(?:dual-?|re-?)?licen[sc]ed|released|distributed|redistributed|available|provided|published|covered|modify it|use is subject|subject|dedicated|governed|permitted|offered|shared)"
+    r"\b(?:(?:dual-?|re-?)?licen[sc]ed|released|distributed|redistributed|available|provided|published|covered|(?:re)?distribute (?:it|this|them)|modify it|use is subject|subject|dedicated|governed|permitted|offered|shared)"
     r" (?:under|to|by) (?:either )?(?:both )?(?:of )?(?:the )?(?:terms (?:and conditions )?of )?(?:either )?(?:the |a |an )?(?:permissive |standard )?"
     r"|^licen[sc]e(?: ?:+ ?(?:osi approved ?:+ ?)?| )(?:under )?(?:the )?")
+#: What follows a licence's name of one word without a version; "the MIT dome" names none.
+_ALONE = re.compile(r" ?(?:$|[,.;:()/\]\"']|\n)| (?:licen[sc]es?|or|and|terms)\b|-(?:style|like|type)\b")
+_WORDS = frozenset({"mit", "expat", "zlib"})
+_LICENCE, _VERSION, _HEADING_END = re.compile(r"licen[sc]e"), re.compile(r"[0-9]"), re.compile(r"(?: licen[sc]e)?$")
+#: Words before a name that make it a reference only if the name says that it is a licence.
+_USES = re.compile(r"\b(?:uses?|using|with|has|have|is|adopts?|under) (?:the |an? )")
 _SO_ON = re.compile(r" ?(?:\(the [\"'](?:licen[sc]e|[a-z0-9]+)[\"']\)|\([^()]{2,40}\)|licen[sc]e|international|unported)* ?(?:,|/|,? ?\bor\b|,? ?\band\b)(?: (?:the|under|terms|of|either|an?)\b)* ?")
 _SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]+)", re.IGNORECASE)
 _SPDX_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*")
@@ -175,8 +185,6 @@ _SHORT_NAMES = {x.lower(): x for x in (
     "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0", "MS-PL", "MS-RL", "NCSA", "OFL-1.1", "OpenSSL", "OSL-3.0", "PHP-3.01",
     "PostgreSQL", "PSF-2.0", "Python-2.0", "Ruby", "Unlicense", "Vim", "W3C", "WTFPL", "X11", "Zlib", "ZPL-2.1")}
 
-#: No known sentence is longer up to what its pattern needs.
-_LONGEST = 4000
 #: Sentences end at a stop, question or exclamation mark before a gap, at a colon before a line's end, at a blank line, or before a list's item.
 _ENDS = re.compile(r"[.!?](?=[\s\"')\]]*(?:\s|$))|:(?=[ \t]*\n)|\n[ \t]*\n|\n(?=[ \t]*(?:\(?[0-9a-z]{1,2}[.)]|[-*•])\s)")
 #: Stops that end no sentence; nor does one after a number with which a sentence begins, as in lists.
@@ -264,6 +272,8 @@ def _named_at(sentence: str, at: int) -> tuple[str, str, int] | None:
     for name, pattern in _NAMED:
         m = pattern.match(sentence, at)
         if m and not (m.end() < len(sentence) and sentence[m.end() - 1].isalnum() and sentence[m.end()].isalnum()):
+            if m[0] in _WORDS and not _ALONE.match(sentence, m.end()) and not _LICENCE.search(sentence, max(0, at - 25), at):
+                return None
             return *_written_out(name, m), m.end()
     return None
 
@@ -279,24 +289,41 @@ def references(sentence: str) -> list[tuple[str, str]]:
             if not more:
                 break
             at = more.end()
+    for m in _USES.finditer(sentence):
+        if (hit := _named_at(sentence, m.end())) and _says_licence(sentence, m.end(), hit[2]):
+            found[hit[:2]] = None
+    at = 4 if sentence.startswith("the ") else 0
+    if (hit := _named_at(sentence, at)) and _HEADING_END.match(sentence, hit[2]) and (_says_licence(sentence, at, hit[2]) or _VERSION.search(sentence, at, hit[2])):
+        found[hit[:2]] = None
     return list(found)
 
 
-def _known_at(sentence: str) -> list[tuple[str, str]]:
-    first = sentence.split(" ", 1)[0].strip("\"',")
+def _says_licence(sentence: str, start: int, end: int) -> bool:
+    """Whether the name at a place has the word licence in it, or right after it."""
+    return bool(_LICENCE.search(sentence, start, end) or _LICENCE.match(sentence, end + sentence.startswith(" ", end)))
+
+
+def _known_at(sentence: str, at: int = 0, until: int | None = None) -> list[tuple[str, str]]:
+    """What is known of the sentence that begins at a place of ``sentence``, and goes no further than ``until``."""
+    until = len(sentence) if until is None else until
+    gap = sentence.find(" ", at, until)
+    first = sentence[at : gap if gap >= 0 else until].strip("\"',")
     for name, pattern in _BY_WORD.get(first, ()):
-        if m := pattern.match(sentence):
+        if m := pattern.match(sentence, at, until):
             if name == "GNUgrant":
-                return references(sentence) or [("GNUgrant", "")]
+                return references(sentence[at:until]) or [("GNUgrant", "")]
             return [(name, m["v"] if "(v)" in name else "")]
     return []
 
 
 def look_up(sentence: str) -> list[tuple[str, str]]:
     """``identifier, version or licence`` of a normalised sentence, empty if it isn't known."""
-    found = _known_at(sentence)
-    for m in _INNER.finditer(sentence):
-        found += [x for x in _known_at(sentence[m.start() : m.start() + _LONGEST]) if x not in found]
+    found, later, inner = _known_at(sentence), {}, []
+    for m in reversed(list(_INNER.finditer(sentence))):  # no known sentence has its own beginning in it again
+        inner.append((m.start(), later.get(m[0])))
+        later[m[0]] = m.start()
+    for at, until in reversed(inner):
+        found += [x for x in _known_at(sentence, at, until) if x not in found]
     return found or references(sentence)
 
 
@@ -317,9 +344,13 @@ def identify(text: str) -> list[tuple[str, str, int, int]]:
     for start, end in sentences(low):
         known = look_up(normalise(low[start:end]))
         found += [(*k, start, end) for k in known]
+        whole, read, place = None, start, 0
         for m in _LATER_LINE.finditer(low, start, end):  # headings and code lines end without a mark
             if m[1] in _BY_WORD:
-                hits = _known_at(normalise(low[m.start(1) : min(end, m.start(1) + _LONGEST)]))
+                whole = " ".join(low[start:end].split()) if whole is None else whole
+                place += sum(len(w) + 1 for w in low[read : m.start(1)].split())
+                read = m.start(1)
+                hits = _known_at(whole, place)
                 found += [(*k, m.start(1), end) for k in hits if k not in known]
     return sorted(found, key=lambda x: x[2])
 

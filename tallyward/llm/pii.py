@@ -48,6 +48,7 @@ SECRET, TERM = "secret", "term"
 VALUE, GROUP, KIND = 0, 1, 2
 LEAST = (3, 5, 5)
 REACH, ALPHA = 10, 0.9
+#: Characters of a term at least; in scripts that write words with few characters any number.
 MIN_TERM_CHARS = 3
 #: Characters of a secret at least, and changes between letters and digits in it.
 SECRET_CHARS, SECRET_CHANGES = 16, 2
@@ -58,6 +59,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W_]+")
+_DENSE = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\U00020000-\U0003134f]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _CODE = re.compile(rf"(?<![^\W_])[A-Za-z0-9]{{{SECRET_CHARS},}}(?![^\W_])")
 _CHANGE = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
@@ -155,22 +157,26 @@ def entities(text: str, span: tuple[int, int, str]) -> list[int]:
 
 
 def _terms(text: str) -> list[str]:
-    return [w for w in _WORD.findall(text.lower()) if len(w) >= MIN_TERM_CHARS and not w.isdigit()]
-
-
-def _context(text: str, spans: list[tuple[int, int, str]], span: tuple[int, int, str]) -> tuple[list[str], list[str]]:
-    """The terms before and after a mention, without other base spans' words."""
-    room = REACH * 40
-    sides = []
-    for begin, end, part in ((max(0, span[0] - room), span[0], slice(-REACH, None)), (span[1], span[1] + room, slice(0, REACH))):
-        piece, at = [], begin
-        for a, b, _ in spans:
-            if a < end and b > begin:
-                piece.append(text[at : max(at, a)])
-                at = max(at, b)
-        piece.append(text[at : max(at, end)])
-        sides.append(_terms(" ".join(piece))[part])
-    return sides[0], sides[1]
+    words = map(str.lower, _WORD.findall(text))
+    return [w for w in words if (len(w) >= MIN_TERM_CHARS or _DENSE.match(w)) and not w.isdigit()]
+
+
+def _contexts(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[list[str], list[str]]]:
+    """The ``REACH`` terms before and after each span, however far away, without words in any span."""
+    if not spans:
+        return []
+    terms, starts, counts, at = [], [], [], 0
+    for a, b, _ in [*sorted(spans), (len(text), len(text), "")]:
+        if a > at:
+            starts.append(at)
+            counts.append(len(terms))
+            terms += _terms(text[at:a])
+        at = max(at, b)
+    starts.append(len(text) + 1)
+    counts.append(len(terms))
+    # no stretch between spans overlaps one, so each lies wholly before or after it
+    cut = [counts[bisect_left(starts, a)] for a, _, _ in spans]
+    return [(terms[max(0, c - REACH) : c], terms[c : c + REACH]) for c in cut]
 
 
 def mentions(docs: DataFrame) -> DataFrame:
@@ -185,8 +191,7 @@ def mentions(docs: DataFrame) -> DataFrame:
             for value in batch.column(0):
                 text = value.as_py() or ""
                 spans = protected(text)
-                for span in spans:
-                    before, after = _context(text, spans, span)
+                for span, (before, after) in zip(spans, _contexts(text, spans), strict=True):
                     context = xxhash.xxh64_intdigest("\x00".join([*before, "\x01", *after]).encode("utf-8", "surrogatepass")) - (1 << 63)
                     found = entities(text, span)
                     keys += found

@@ -77,6 +77,23 @@ def test_licences_named_in_prose_and_by_identifier(text):
     assert ",".join(dict.fromkeys(n for n, _, _ in found)) == licence_texts.REFERENCES[text]
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("This project uses the Apache 2.0 license.", {"Apache-2.0"}), ("MIT License", {"MIT"}), ("GPLv3", {"GPL-3.0-only"}),
+    ("You can redistribute it under the terms of the Eclipse Public License v2.0", {"EPL-2.0"}), ("Licensed under the SSPL 1.0.", {"SSPL-1.0"}),
+    ("Released under the Business Source License 1.1.", {"BUSL-1.1"}), ("It is available under the Elastic License 2.0.", {"Elastic-2.0"}),
+    ("Licensed under the Universal Permissive License v1.0", {"UPL-1.0"}), ("Code is licensed under MIT.", {"MIT"}), ("Offered under the MIT or Apache 2.0 license.", {"MIT", "Apache-2.0"}),
+    ("The talk was available under the MIT dome.", set()), ("He studied at MIT", set()), ("The team uses the MIT campus.", set()), ("An artistic licence was taken by the author.", set()),
+    ("The library is released under the Gpl cap of the hill.", {"GPL"})])
+def test_notices_and_near_misses(text, found):
+    assert {n for n, _, _ in license_scan.recognise(license_scan.identify(text))} == found
+
+
+def test_a_known_sentence_with_a_long_gap_is_found_whole():
+    filler = "word " * 3000
+    for text in (f"To the extent possible under law, {filler}has waived all copyright", f"a heading\nTo the extent possible under law, {filler}has waived all copyright"):
+        assert [n for n, _, _ in license_scan.recognise(license_scan.identify(text))] == ["CC0-1.0"]
+
+
 def test_every_known_sentence_is_looked_up_by_its_first_word():
     """The index of first words loses no sentence: each is found that its pattern matches."""
     for text, _ in licence_texts.EXPECTED.values():
@@ -201,6 +218,35 @@ def test_disclosing_terms_by_shuffle(spark, monkeypatch):
     assert "brightfox" not in "".join(r["text"] for r in pii.sanitised(docs).collect())
 
 
+def words_around(text, spans, span):
+    """Ten terms on either side of a span, read word by word from a text whose spans are blanked."""
+    blank = list(text)
+    for a, b, _ in spans:
+        blank[a:b] = "\n" * (b - a)
+    dense = lambda w: "\u3040" <= w[0] <= "\u30ff" or "\u3400" <= w[0] <= "\u9fff" or "\uac00" <= w[0] <= "\ud7af"
+    words = [(m.start(), m[0].lower()) for m in re.finditer(r"[^\W_]+", "".join(blank)) if not m[0].isdigit() and (len(m[0]) > 2 or dense(m[0]))]
+    return [w for at, w in words if at < span[0]][-10:], [w for at, w in words if at >= span[1]][:10]
+
+
+def test_contexts_have_whole_words_of_any_length_and_script():
+    long, mail = "x" * 450, "fox@mail.example.com"
+    text = f"{long}a {long}b {mail} 王 伟 {long}c ab 12 tail +49 30 1234567 王小明"
+    spans = pii.protected(text)
+    assert len(spans) == 2 and pii._contexts(text, spans) == [words_around(text, spans, s) for s in spans]
+    before, after = pii._contexts(text, spans)[0]
+    assert before == [f"{long}a", f"{long}b"] and after == ["王", "伟", f"{long}c", "tail", "王小明"]
+    crowd = " ".join(f"word{i} u{i}@mail.example.com" for i in range(5000))
+    spans = pii.protected(crowd)
+    assert len(pii._contexts(crowd, spans)) == 5000 and pii._contexts("", []) == []
+
+
+def test_short_names_of_dense_scripts_disclose_values(spark):
+    rows = [(i, f"第{i} 報告 padding text") for i in range(60)] + [(100 + i, f"see{i} 王伟 at fox@mail.example.com") for i in range(5)]
+    docs = documents(spark, rows)
+    assert "王伟" in {r["term"] for r in pii.disclosing(docs).collect()}
+    assert "王伟" not in "".join(r["text"] for r in pii.sanitised(docs).collect())
+
+
 def plain_disclosing(texts):
     """Entities by name, level and disclosing terms, counted over sets of plain Python."""
     import math
@@ -210,7 +256,7 @@ def plain_disclosing(texts):
     for text in set(t or "" for t in texts):
         spans = pii.protected(text)
         for span in spans:
-            before, after = pii._context(text, spans, span)
+            before, after = words_around(text, spans, span)
             names = pii.generalisations(text, span)
             for level, (name, unit) in enumerate(zip(names, ((*before, "|", *after), names[0], names[0]), strict=True)):
                 units[name, level].add(unit)
