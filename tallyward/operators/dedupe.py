@@ -153,7 +153,10 @@ def _against(rows: DataFrame, booked: DataFrame, least: float = DECLINE, same: t
     out = rows
     for method in tiers:
         other = F.col("b1") if method == "business_key" else F.when(F.col("b1.file") != F.col("file"), F.col("b1")).otherwise(F.col("b2"))
-        out = out.join(_first(booked, [method]), method, "left").withColumn(f"by_{method}", before(other)).drop("b1", "b2")
+        # rows without the key stay apart instead of meeting in one task
+        known = _first(booked, [method]).withColumnRenamed(method, "owned")
+        key = F.when(F.col(method) != "", F.col(method)).otherwise(F.concat(F.lit("\x00"), F.col("at").cast("string")))
+        out = out.join(known, key == F.col("owned"), "left").withColumn(f"by_{method}", before(other)).drop("b1", "b2", "owned")
     found = lambda m: F.when(F.col(f"by_{m}").isNotNull(), F.struct(F.lit(m).alias("method"), F.col(f"by_{m}.file").alias("file"), F.lit(None).cast("double").alias("score")))
     hit = F.coalesce(*[found(m) for m in tiers]) if tiers else F.lit(None).cast("struct<method:string,file:string,score:double>")
     keyed = checkpointed(out.select(*rows.columns, hit.alias("hit")))
@@ -229,6 +232,28 @@ def settle(rows: DataFrame, remarks: bool = False) -> DataFrame:
         F.when(noted, F.col("hit.file")).otherwise(F.col("matched_against")).alias("matched_against"), F.when(noted, F.col("hit.score")).otherwise(F.col("score")).alias("score"), "booked")
 
 
+#: What is kept of a booked row.
+BOOKED = "at long, file string, file_hash string, content_hash string, business_key string, form string, currency string, gross_total string"
+
+
+def settle_after(rows: DataFrame, booked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What :func:`settle` says of ``rows`` that all come after ``booked`` (:data:`BOOKED`), and what they add to it.
+
+    Rows with a booked predecessor among ``booked`` are duplicates whatever stands beside them, and are found by joins; the others
+    settle among themselves.  Which tier told a duplicate is named at the end, since a stronger one may have been booked beside it.
+    """
+    last = booked.agg(F.max("at")).first()[0]
+    own = ["seq", "file", *KEYS, "form", *MONEY, "copy_label", "bookable"]
+    ranked = checkpointed(rows.select(*own).repartitionByRange("seq").sortWithinPartitions("seq").withColumn("at", F.monotonically_increasing_id() + (0 if last is None else last + 1)))
+    kept = ["at", "file", *KEYS, "form", *MONEY]
+    held = checkpointed(_against(ranked.select("seq", "copy_label", "bookable", *kept), booked))
+    among = checkpointed(settle(held.where("hit is null").drop("hit", "at")))
+    added = checkpointed(held.join(among.where("booked").select("seq"), "seq").select(*kept))
+    named = _against(held.where("hit is not null").select("seq", *kept), booked.select(*kept).unionByName(added))
+    late = named.select("seq", F.lit(DUPLICATE).alias("verdict"), F.col("hit.method").alias("method"), F.col("hit.file").alias("matched_against"), F.col("hit.score").alias("score"), F.lit(False).alias("booked"))
+    return among.unionByName(late), added
+
+
 def reason(currency: Column, gross: Column) -> Column:
     """Why a row of :func:`settle` with ``method, matched_against, score`` is a duplicate."""
     method, prior = F.col("method"), t.quoted("matched_against")

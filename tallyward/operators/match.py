@@ -28,6 +28,11 @@ def sized(master: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(master) if master.limit(limit + 1).count() <= limit else master
 
 
+def keyed_or_apart(key: str, by: str) -> Column:
+    """``key`` where it isn't blank, else one that no master has and that differs from row to row, so that blanks don't meet in one task."""
+    return F.when(t.present(key), F.col(key)).otherwise(F.concat(F.lit("\x00"), F.xxhash64(by).cast("string")))
+
+
 def result(status: Column | str, matched: Column | None = None, method: Column | str = "", score: Column | float | None = None,
            count: Column | int = 0, reason: Column | str = "") -> Column:
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
@@ -66,8 +71,8 @@ def supplier(probes: DataFrame, master: DataFrame, fuzzy: bool = True, unicode:
     by_vat = last_wins(keyed, "m_vat", "supplier_id", "load_order").withColumnRenamed("supplier_id", "vat_match")
     by_name = last_wins(keyed, "m_name", "supplier_id", "load_order").withColumnRenamed("supplier_id", "name_match")
     p = probes.select("*", t.vat_key("vat_id", unicode).alias("p_vat"), t.name_key("name", unicode).alias("p_name"), t.country_key("country", unicode).alias("p_country"))
-    p = p.join(sized(by_vat), F.col("p_vat") == F.col("m_vat"), "left").drop("m_vat")
-    p = p.join(sized(by_name), F.col("p_name") == F.col("m_name"), "left").drop("m_name")
+    p = p.join(sized(by_vat), keyed_or_apart("p_vat", "probe_id") == F.col("m_vat"), "left").drop("m_vat")
+    p = p.join(sized(by_name), keyed_or_apart("p_name", "probe_id") == F.col("m_name"), "left").drop("m_name")
     exact = (F.when(t.present("p_vat") & F.col("vat_match").isNotNull(), one(F.col("vat_match"), "exact_vat_id"))
              .when(t.present("p_vat"), result(UNMATCHED, method="exact_vat_id", reason="tax number not in the master"))
              .when(t.present("p_name") & F.col("name_match").isNotNull(), one(F.col("name_match"), "exact_normalized_name"))
@@ -180,18 +185,22 @@ def tax(probes: DataFrame, master: DataFrame, unicode: bool = True) -> DataFrame
     """``probes (probe_id, country, tax_type, rate, tax_code)`` with ``tax``; ``master (code, country, tax_type, rate)``.
 
     A known code decides; else country and rate, narrowed to the type if the country has
-    any tax of it.  The band on the rate is a condition on the join by country.
+    any tax of it.  Rates meet by bands: a master's rate stands in one, a probe asks its own and both neighbours.
     """
     codes = master.where(t.present("code")).select(F.col("code").alias("known_code")).distinct()
     m = master.select("code", t.country_key("country", unicode).alias("m_country"), F.upper(t.strip(F.coalesce("tax_type", F.lit("")))).alias("m_type"),
                       F.col("rate").cast("double").alias("m_rate"))
     p = probes.withColumn("p_country", t.country_key("country", unicode)).withColumn("p_type", F.upper(t.strip(F.coalesce("tax_type", F.lit("")))))
-    p = p.withColumn("p_code", t.strip(F.coalesce("tax_code", F.lit("")))).join(sized(codes), F.col("p_code") == F.col("known_code"), "left")
+    p = p.withColumn("p_code", t.strip(F.coalesce("tax_code", F.lit("")))).join(sized(codes), keyed_or_apart("p_code", "probe_id") == F.col("known_code"), "left")
     keys = p.where(F.col("known_code").isNull() & t.present("p_country") & F.col("rate").isNotNull()).select("p_country", "p_type", F.col("rate").alias("p_rate")).distinct()
     types = m.select("m_country", "m_type").distinct().withColumnRenamed("m_country", "t_country").withColumnRenamed("m_type", "t_type")
     narrowed = keys.join(sized(types), (F.col("p_country") == F.col("t_country")) & (F.col("p_type") == F.col("t_type")), "left")
-    near = narrowed.join(sized(m), (F.col("p_country") == F.col("m_country")) & (F.abs(F.col("m_rate") - F.col("p_rate")) <= RATE_SLACK)
-                         & (F.col("t_type").isNull() | (F.col("m_type") == F.col("t_type"))))
+    # rates beyond 1e15 share a band
+    band = lambda rate: F.floor(F.least(F.greatest(rate, F.lit(-1e15)), F.lit(1e15)) / (2 * RATE_SLACK))
+    asked = narrowed.withColumn("band", F.explode(F.sequence(band(F.col("p_rate")) - 1, band(F.col("p_rate")) + 1)))
+    known = m.where(F.col("m_rate").isNotNull()).withColumn("m_band", band(F.col("m_rate")))
+    near = asked.join(sized(known), (F.col("p_country") == F.col("m_country")) & (F.col("band") == F.col("m_band")) & (F.abs(F.col("m_rate") - F.col("p_rate")) <= RATE_SLACK)
+                      & (F.col("t_type").isNull() | (F.col("m_type") == F.col("t_type"))))
     found = (near.groupBy("p_country", "p_type", "p_rate").agg(F.array_sort(F.collect_set("code")).alias("codes"))
              .select(F.col("p_country").alias("f_country"), F.col("p_type").alias("f_type"), F.col("p_rate").alias("f_rate"), "codes"))
     out = p.join(found, (F.col("p_country") == F.col("f_country")) & (F.col("p_type") == F.col("f_type")) & (F.col("rate") == F.col("f_rate")), "left")
@@ -214,7 +223,7 @@ def payment_term(probes: DataFrame, aliases: DataFrame, days: DataFrame, unicode
     by_days = unique_or_blank(days, "days", "payment_term_id").withColumnRenamed("days", "m_days")
     valid = lambda c: F.when(F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col(c).try_cast("date"))
     p = probes.withColumn("p_term", t.term_key("term_text", unicode)).withColumn("p_days", F.datediff(valid("due_date"), valid("invoice_date")))
-    p = p.join(sized(by_alias), F.col("p_term") == F.col("m_alias"), "left").join(sized(by_days), F.col("p_days") == F.col("m_days"), "left")
+    p = p.join(sized(by_alias), keyed_or_apart("p_term", "probe_id") == F.col("m_alias"), "left").join(sized(by_days), F.col("p_days") == F.col("m_days"), "left")
     match = (F.when(t.present("p_term") & F.col("payment_term_id").isNotNull(), one(F.col("payment_term_id"), "exact_text_alias"))
              .when(F.col("p_days").isNull(), result(UNMATCHED, reason="no known wording, nor two valid dates"))
              .when(F.col("p_days") < 0, result(UNMATCHED, reason="due before the invoice"))
@@ -231,7 +240,7 @@ def purchase_order(probes: DataFrame, master: DataFrame, unicode: bool = True) -
     """
     m = (master.select(t.order_key("po_number", unicode).alias("m_number"), "load_order", F.struct("po_id", "supplier_id", "currency").alias("order"))
          .where(t.present("m_number")).groupBy("m_number").agg(F.max_by("order", "load_order").alias("order")))
-    p = probes.withColumn("p_number", t.order_key("po_number", unicode)).join(sized(m), F.col("p_number") == F.col("m_number"), "left")
+    p = probes.withColumn("p_number", t.order_key("po_number", unicode)).join(sized(m), keyed_or_apart("p_number", "probe_id") == F.col("m_number"), "left")
     differs = lambda mine, theirs: t.present(mine) & t.present(theirs) & (mine != theirs)
     remarks = F.concat_ws("; ", F.when(differs(F.col("supplier_id"), F.col("order.supplier_id")), F.lit("another supplier in the master")),
                           F.when(differs(F.col("currency"), F.col("order.currency")), F.lit("another currency in the master")))
@@ -244,5 +253,6 @@ def purchase_order(probes: DataFrame, master: DataFrame, unicode: bool = True) -
 def exists(probes: DataFrame, column: str, master: DataFrame, key: str, name: str) -> DataFrame:
     """``probes`` with boolean ``name``: whether the identifier is in the master; blank isn't."""
     known = master.where(t.present(key)).select(F.col(key).alias("__known")).distinct()
-    joined = probes.join(sized(known), probes[column] == F.col("__known"), "left")
+    by = next((c for c in ("seq", "probe_id") if c in probes.columns), column)
+    joined = probes.join(sized(known), keyed_or_apart(column, by) == F.col("__known"), "left")
     return joined.select(*[probes[c] for c in probes.columns], F.col("__known").isNotNull().alias(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,9 +27,8 @@ def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to ``spark.checkpoint.dir``, as Parquet, and read from there; a folder of our own only where none is named and there is one machine."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, stem: str) -> str:
+    """A new path in ``spark.checkpoint.dir``; in a folder of our own only where none is named and there is one machine."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
@@ -37,7 +36,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tallyward-")
         context.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to a :func:`scratch_path`, as Parquet, and read from there."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedupe, match, rules
+from ..operators.shared import checkpointed, scratch_path
+from ..streaming import duplicates
 from . import rendered
 from .catalog_money import cents_text, table
 from .catalog_text import READ, quote
@@ -141,7 +143,7 @@ def dup_business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NEAR = "concat('order ', sha2(CAST(k AS STRING), 256), ' of the customer')"
 
 
-def dup_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders, each with a later copy under another file, in booking order; some rows can't be booked.
 
     Copies by key: of the file or the text, of the business key alone, of the text but for a letter, and a text labelled a copy.
@@ -155,7 +157,23 @@ def dup_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = F.when(k % 4 == 0, text).when(k % 4 == 1, F.concat(F.lit("another text "), text.substr(1, 40))).when(k % 4 == 2, F.concat(text.substr(1, 30), text.substr(32, 200))).otherwise(F.concat(F.lit("Copy tax invoice "), k.cast("string")))
     copy = orders.select((k * 2 + 1).alias("seq"), F.concat(F.lit("g"), k.cast("string")).alias("file"), F.when(k % 8 == 0, F.sha2(text, 256)).otherwise(F.lit("")).alias("file_hash"),
                          other.alias("full_text"), *common, cents_text(F.col("cents") + F.when(k % 4 == 3, 1).otherwise(0)).alias("gross_total"), (k % 7 != 0).alias("bookable"))
-    return dedupe.settle(dedupe.evidence(first.unionByName(copy))).select("seq", "verdict", "method", "matched_against", "booked", F.round("score", 6).alias("score"))
+    return first.unionByName(copy)
+
+
+def dup_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and their later copies settled in booking order; see :func:`_registry_rows`."""
+    return dedupe.settle(dedupe.evidence(_registry_rows(spark, sf_dir))).select("seq", "verdict", "method", "matched_against", "booked", F.round("score", 6).alias("score"))
+
+
+def dup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as they arrive: three deliveries, cut between an order and its copy, each settled by a stream that goes on from the last."""
+    rows = checkpointed(_registry_rows(spark, sf_dir))
+    cuts = [(c // 2) * 2 + 1 for c in rows.approxQuantile("seq", [1 / 3, 2 / 3], 0.01)] or [0, 0]
+    place, folder = scratch_path(spark, "deliveries"), scratch_path(spark, "stream")
+    for part in (F.col("seq") < cuts[0], (F.col("seq") >= cuts[0]) & (F.col("seq") < cuts[1]), F.col("seq") >= cuts[1]):
+        rows.where(part).write.mode("append").parquet(place)
+        duplicates.settled(spark.readStream.schema(rows.schema).parquet(place), folder).awaitTermination()
+    return spark.read.parquet(f"{folder}/verdicts").select("seq", "verdict", "method", "matched_against", "booked", F.round("score", 6).alias("score"))
 
 
 def dup_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +234,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    match_supplier_exact, match_supplier_fuzzy, match_supplier_scores, match_bu_country, match_tax, match_payment_term, match_po, master_existence, dup_content_hash, dup_business_key, dup_registry, dup_advisories, near_duplicates, end_to_end)}
+    match_supplier_exact, match_supplier_fuzzy, match_supplier_scores, match_bu_country, match_tax, match_payment_term, match_po, master_existence, dup_content_hash, dup_business_key, dup_registry, dup_stream, dup_advisories, near_duplicates, end_to_end)}
 
 _NEAR_DUCK = "concat('order ', sha256(CAST(k AS VARCHAR)), ' of the customer')"
 _TAX = rendered.duck_sql(_TAX_MASTER, nation="nation")
@@ -324,3 +342,4 @@ SELECT file, CAST(CASE WHEN why = '' AND NOT dup THEN 1 ELSE 0 END AS INT) AS n_
 FROM e LEFT JOIN (SELECT 'EE' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS v, CAST(s_suppkey AS VARCHAR) AS by_vat FROM supplier) ON v = supplier_vat_id
 LEFT JOIN (SELECT 'supplier ' || s_suppkey || ' ltd' AS n, CAST(s_suppkey AS VARCHAR) AS by_name FROM supplier) ON supplier_vat_id IS NULL AND n = lower(supplier_name)""",
 }
+ORACLE_SQL["dup_stream"] = ORACLE_SQL["dup_registry"]

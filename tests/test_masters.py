@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,24 @@ def test_taxes(spark):
                    7: ("MATCHED", "A", "explicit_tax_code"), 8: ("MATCHED", "A", "country_type_rate"), 9: ("UNMATCHED", "", ""), 10: ("UNMATCHED", "", ""), 11: ("UNMATCHED", "", "")}
 
 
+def test_many_rates_of_a_country_by_bands(spark):
+    """Rates at and around the edges of bands against all pairs; rates that aren't finite meet none."""
+    rng = random.Random(4)
+    master = [(f"C{i}", "EE", "VAT", round(rng.uniform(-1, 60), 3)) for i in range(3000)] + [("N", "EE", "VAT", None), ("X", "EE", "VAT", float("nan"))]
+    rates = [rng.choice([round(rng.uniform(-1, 60), 3), rng.randint(0, 600) / 100, rng.randint(0, 600) / 100 + 0.005]) for _ in range(400)] + [float("nan"), float("inf"), 1e300]
+    probes = spark.createDataFrame([(i, "EE", "VAT", r, "") for i, r in enumerate(rates)], "probe_id int, country string, tax_type string, rate double, tax_code string")
+    got = {r["probe_id"]: r["tax"]["candidate_count"] for r in match.tax(probes, spark.createDataFrame(master, "code string, country string, tax_type string, rate double")).collect()}
+    assert got == {i: sum(m[3] is not None and abs(m[3] - r) <= match.RATE_SLACK for m in master) for i, r in enumerate(rates)} and max(got.values()) > 1
+
+
+def test_blank_keys_stay_apart(spark):
+    rows = spark.range(1000).select(F.col("id").alias("probe_id"), F.when(F.col("id") % 10 == 0, F.lit("K")).otherwise(F.when(F.col("id") % 2 == 0, F.lit(""))).alias("key"))
+    key = match.keyed_or_apart("key", "probe_id")
+    assert rows.select(key.alias("k")).distinct().count() == 901
+    found = match.exists(rows, "key", spark.createDataFrame([("K",), ("",), (None,)], "n string"), "n", "known")
+    assert found.where("known").count() == 100 and found.count() == 1000
+
+
 def test_terms_and_orders(spark, tmp_path):
     (tmp_path / "t.json").write_text(json.dumps({"payment_terms": [{"payment_term_id": "T30", "days": 30, "text_aliases": ["Net 30", "30 days"]}, {"payment_term_id": "T0", "days": 0, "text_aliases": []}, {"payment_term_id": "TX", "days": 0, "text_aliases": ["Net 30."]}]}))
     path = f"file://{tmp_path}/t.json"

@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 
 from tallyward.operators import dedupe, links
 from tallyward.operators.shared import checkpointed
+from tallyward.streaming import duplicates
 
 SCHEMA = "seq int, file string, file_hash string, full_text string, supplier_identity string, invoice_number string, invoice_date string, currency string, gross_total string, bookable boolean"
 
@@ -155,3 +156,27 @@ def test_no_pair_is_lost_to_the_bound_on_similarity(spark):
     assert all(r[f"at{i}"] for r in shared for i, x in enumerate((0.5, 0.82, 0.97)) if r["score"] >= x) and sum(not r["at2"] for r in shared) > 50
     assert all(r[f"at{i}"] for r in rows for i, x in enumerate((0.5, 0.82, 0.97)) if r["score"] >= x)
     assert sum(not r["at2"] for r in rows) > 100
+
+
+def test_a_stream_in_batches_equals_the_sequence(spark, tmp_path):
+    """Three deliveries of rows linked by all tiers, an empty one between, and the second run once more as after a lost driver."""
+    rng = random.Random(11)
+    rows = varied(rng, 150)
+    wanted = sequential(rows)
+    assert len({v[1] for v in wanted.values()}) == 5
+    folder = f"file://{tmp_path}/settled"
+    parts = [spark.createDataFrame(p, SCHEMA).repartition(2) for p in (rows[:40], rows[40:90], [], rows[90:])]
+    for number in (0, 1, 1, 2, 3):
+        duplicates.settle_batch(parts[number], folder, number)
+    told = spark.read.parquet(f"{folder}/verdicts").collect()
+    assert len(told) == len(rows) and {r["seq"]: (r["verdict"], r["method"], r["matched_against"], r["booked"]) for r in told} == wanted
+
+
+def test_a_stream_goes_on_where_it_ended(spark, tmp_path):
+    rows = varied(random.Random(12), 60)
+    place, folder = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    for part in (rows[:25], rows[25:]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(place)
+        duplicates.settled(spark.readStream.schema(SCHEMA).parquet(place), folder).awaitTermination()
+    got = {r["seq"]: (r["verdict"], r["method"], r["matched_against"], r["booked"]) for r in spark.read.parquet(f"{folder}/verdicts").collect()}
+    assert got == sequential(rows)
