@@ -1,55 +1,45 @@
 """Near-equal texts without comparing all pairs, and without losing one.
 
-The measure is the share r of matching blocks: of both texts' T characters, 2M >= rT are matched.  A text of l
-characters whose partner has T - l keeps all but
+The measure is the share r of matching blocks: of both texts' T characters, 2M >= rT are matched.  The T - 2M others are
+deleted from one text or inserted by the other, and each breaks one of any disjoint pieces of a text at most.  So of
 
-    lost = q (l - M) + (q - 1) (T - l - M)
+    (1 - r) T + 1 <= 2 (1 - r) l + 1
 
-of its grams of q characters, at most 2 (1 - r) / (2 - r) q l where (q - 1) < r (2q - 1) / 2.  So if grams are put in any
-fixed order, the first lost + m of both texts share the first m grams that they have in common.  The order is
-rare grams first; texts meet only by grams of that prefix, and are compared only if they share m.  q is the largest that leaves
-even the shortest texts that can be near another something to share.
+disjoint pieces of the longer text, of l characters, one stands whole in the other, moved by no more than the unmatched characters of one text.
+The pieces are the rarest of their length that don't overlap; texts meet only by these, against all stretches of that length in texts that are no longer.
 
-Grams repeat, so a token is a gram with the number of times it stood before in the text.  Rarity is counted
-in a table of fixed size, by a hash of the gram: it only orders, so collisions cost nothing but time.
+Rarity is counted in a table of fixed size, by a hash of the piece: it only orders, so collisions cost nothing but time.
 """
 
 from __future__ import annotations
 
-import functools
-import math
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from .shared import checkpointed
 
-#: Grams two prefixes have to share, and places of the table of counts.
-SHARED, PLACES = 8, 1 << 18
+#: Places of the table of counts, and characters of a text whose pieces are chosen together.
+PLACES, STRETCH = 1 << 18, 2000
 #: Texts that a text meets as they are.
 FEW = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def lost(size: int, q: int, least: float) -> int:
-    """Grams of a text of so many characters that a near one may lack."""
-    return int(2 * (1 - least) / (2 - least) * q * size + 1e-6)
+def pieces(size: int, least: float) -> int:
+    """Disjoint pieces of a text of so many characters of which a near text that is no longer has one at least."""
+    return int(2 * (1 - least) * size + 1e-6) + 1
 
 
-@functools.cache
-def gram_size(least: float) -> int:
-    """Characters of a gram.  Different texts that are near have 1 / (1 - least) characters or more together."""
-    shortest = math.ceil(math.ceil(1 / (1 - least) - 1e-9) * least / 2 - 1e-9)
-    sizes = [q for q in range(1, 33) if q - 1 < least * (2 * q - 1) / 2 and shortest - q + 1 > lost(shortest, q, least)]
-    if not sizes:
-        raise ValueError(f"texts may be near at {least} without a common gram")
-    return max(sizes)
+def piece_size(size: int, least: float) -> int:
+    """Characters of a piece: two thirds of what would leave no choice, so that what all texts have can be left out."""
+    return max(min(int(1 / (2 * (1 - least)) + 1e-6) * 2 // 3, size // pieces(size, least)), 1)
 
 
 def grams(text: str, q: int) -> np.ndarray:
@@ -69,30 +59,54 @@ def place(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(20)).astype(np.int64) & (PLACES - 1)
 
 
-def prefix(text: str, counts: np.ndarray, least: float) -> tuple[np.ndarray, int]:
-    """The rarest tokens of a text that near texts can't all lack, and how many of them these share; none for texts too short to have any near text but themselves."""
-    q = gram_size(least)
-    found = np.sort(grams(text, q))
-    spare = len(found) - lost(len(text), q, least)
-    if spare <= 0:
-        return np.zeros(0, np.int64), 0
-    first = np.concatenate([[True], found[1:] != found[:-1]])
-    nth = np.arange(len(found)) - np.maximum.accumulate(np.where(first, np.arange(len(found)), 0))
-    token = ((found + nth.astype(np.uint64)) * _MIX).view(np.int64)
-    order = np.lexsort((token, counts[place(found)]))
-    need = min(SHARED, spare)
-    return token[order[: len(found) - spare + need]], need
+def rarest(cost: np.ndarray, n: int, q: int) -> np.ndarray:
+    """Where ``n`` stretches of ``q`` characters begin that don't overlap and have the least sum of costs."""
+    best, from_ = np.zeros(len(cost) + q), []
+    for _ in range(n):
+        taken = np.concatenate([np.full(q, np.inf), best[: len(cost)] + cost])
+        least = np.minimum.accumulate(taken)
+        from_.append(np.maximum.accumulate(np.where(taken <= least, np.arange(len(taken)), 0)))
+        best = least
+    out, end = [], len(cost) + q - 1
+    for row in reversed(from_):
+        end = int(row[end]) - q
+        out.append(end)
+    return np.array(out[::-1], np.int64)
+
+
+def pivots(text: str, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of a text, as tokens, and where they begin."""
+    n, q = pieces(len(text), least), piece_size(len(text), least)
+    found = grams(text, q)
+    cost = counts[place(found)].astype(np.float64)
+    parts = max(min(len(text) // STRETCH, n), 1)
+    at: list[np.ndarray] = []
+    for i in range(parts):
+        begin, end = len(text) * i // parts, len(text) * (i + 1) // parts
+        wanted = min(-(-n // parts), (end - begin) // q)
+        at.append(begin + rarest(cost[begin : end - q + 1], wanted, q))
+    chosen = np.concatenate(at)
+    if len(chosen) < n:
+        chosen = np.arange(n) * q
+    return found[chosen].view(np.int64), chosen
+
+
+def stretches(text: str, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """All stretches of a text that can be a piece of a near text that is no shorter, as tokens, and where they begin."""
+    size = len(text)
+    sizes = sorted({piece_size(n, least) for n in range(size, int(size * (2 - least) / least + 1e-6) + 1)}) if size < 200 else [piece_size(size, least)]
+    found = [grams(text, q) for q in sizes]
+    return np.concatenate(found).view(np.int64), np.concatenate([np.arange(len(f)) for f in found])
 
 
 def rarity(texts: DataFrame, least: float, column: str = "form") -> np.ndarray:
-    """How often each place's grams stand in all texts; of fixed size, so each task and the driver can hold it."""
-    q = gram_size(least)
+    """How often each place's stretches stand in all texts; of fixed size, so each task and the driver can hold it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(PLACES, np.int64)
         for batch in batches:
             for text in batch[column]:
-                some, n = np.unique(place(grams(text, q)), return_counts=True)
+                some, n = np.unique(place(stretches(text, least)[0].view(np.uint64)), return_counts=True)
                 total[some] += n
         some = np.flatnonzero(total)
         yield pd.DataFrame({"place": some, "n": total[some]})
@@ -103,24 +117,26 @@ def rarity(texts: DataFrame, least: float, column: str = "form") -> np.ndarray:
     return out
 
 
-def tokens(texts: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
-    """``texts (.., form)`` with ``need`` and a row for each ``token`` of the prefix instead of the text, and its ``size``."""
+def tokens(texts: DataFrame, least: float, counts: np.ndarray | None = None) -> DataFrame:
+    """``texts (.., form)`` with a row for each ``token``, its ``place``, and the text's ``size`` and ``letters`` instead of the text: its pieces by ``counts``, or all stretches."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
-    @F.pandas_udf("struct<need:int,token:array<long>>")
-    def found(forms: pd.Series) -> pd.DataFrame:
-        cells = [prefix(form, shared.value, least) for form in forms]
-        return pd.DataFrame({"need": [n for _, n in cells], "token": [x for x, _ in cells]})
+    @F.pandas_udf("array<struct<token:long,place:int>>")
+    def found(forms: pd.Series) -> pd.Series:
+        cells = [stretches(form, least) if shared.value is None else pivots(form, shared.value, least) for form in forms]
+        return pd.Series([[{"token": x, "place": y} for x, y in zip(a.tolist(), b.tolist(), strict=True)] for a, b in cells])
 
     rest = [c for c in texts.columns if c != "form"]
-    return texts.withColumn("found", found("form")).select(*rest, F.length("form").alias("size"), F.col("found.need").alias("need"), F.explode("found.token").alias("token"))
+    return texts.withColumn("found", found("form")).withColumn("letters", t.letters("form")).select(*rest, F.length("form").alias("size"), "letters", F.explode("found").alias("found")).select(
+        *rest, "size", "letters", "found.token", "found.place")
 
 
 def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...] = (), ordered: bool = True) -> DataFrame:
     """``*same, id, p_id, score``: each of ``new (*same, id, seq, form)`` with each different text of ``prior`` that is near and, if ``ordered``, comes before it.
 
-    ``same`` have to be equal; where few texts share them, these meet as they are, others by their tokens.  Both are written tables.  Tokens that many texts share come last in every prefix, and pairs are
-    counted where their tokens meet, so texts are moved only for pairs that share enough.
+    ``same`` have to be equal; where few texts share them, these meet as they are, others by the pieces of the longer one.  Both are written tables.
+    What letters allow is asked where tokens meet, so texts are moved only for pairs that can be near.  Tables of tokens are sorted, never
+    broadcast: Spark takes them for as small as the texts' files, while each text gives dozens of rows.
     """
     fits = lambda size, p_size: (p_size >= F.lit(least / (2 - least)) * size) & (size >= F.lit(least / (2 - least)) * p_size)
     turn = (F.col("p_seq") < F.col("seq")) if ordered else (F.col("id") != F.col("p_id"))
@@ -138,10 +154,16 @@ def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...]
     if new is not None:
         counts = rarity(new.select("form").unionByName(prior.select("form")), least)
         other = renamed(prior).withColumnRenamed("p_form", "form")
-        mine, other = tokens(new, counts, least), tokens(other, counts, least).withColumnsRenamed({"size": "p_size", "need": "p_need"})
-        shared = (mine.join(other, [*same, "token"]).where(turn & fits(F.col("size"), F.col("p_size"))).groupBy(*same, "id", "p_id")
-                  .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("need", "p_need")).alias("need")).where("n >= need").select(*same, "id", "p_id"))
-        met.append(shared.join(new, [*same, "id"]).join(renamed(prior), [*same, "p_id"]))
+        moved = F.greatest("size", "p_size") - F.ceil(F.lit(least / 2) * (F.col("size") + F.col("p_size")) - F.lit(1e-6))
+        can = turn & fits(F.col("size"), F.col("p_size")) & (F.abs(F.col("place") - F.col("p_place")) <= moved) & t.may_share(F.col("letters"), F.col("p_letters"), least)
+
+        def meet(mine: DataFrame, theirs: DataFrame, longer: Column) -> DataFrame:
+            theirs = theirs.withColumnsRenamed({"size": "p_size", "letters": "p_letters", "place": "p_place"})
+            return mine.hint("merge").join(theirs.hint("merge"), [*same, "token"]).where(longer & can).select(*same, "id", "p_id")
+
+        shared = (meet(tokens(new, least, counts), tokens(other, least), F.col("size") >= F.col("p_size"))
+                  .unionByName(meet(tokens(new, least), tokens(other, least, counts), F.col("size") < F.col("p_size"))).distinct())
+        met.append(shared.hint("merge").join(new, [*same, "id"]).hint("merge").join(renamed(prior), [*same, "p_id"]))
     cells = [*same, "id", "p_id", "form", "p_form"]
     close = reduce(DataFrame.unionByName, [m.select(*cells) for m in met]).where((F.col("form") != F.col("p_form")) & t.may_be_similar("form", "p_form", least))
     return checkpointed(close.withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*same, "id", "p_id", "score"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 from difflib import SequenceMatcher
 
-from tallyward.operators import dedupe, links
+import numpy as np
+
+from tallyward.operators import dedupe, links, near
 from tallyward.operators.shared import checkpointed
 from tallyward.streaming import duplicates
 
@@ -180,3 +182,38 @@ def test_a_stream_goes_on_where_it_ended(spark, tmp_path):
         duplicates.settled(spark.readStream.schema(SCHEMA).parquet(place), folder).awaitTermination()
     got = {r["seq"]: (r["verdict"], r["method"], r["matched_against"], r["booked"]) for r in spark.read.parquet(f"{folder}/verdicts").collect()}
     assert got == sequential(rows)
+
+
+def test_tables_of_tokens_are_never_broadcast(spark, monkeypatch):
+    """Each text gives dozens of tokens, which the size of the texts' files doesn't tell."""
+    plans = []
+    monkeypatch.setattr(near, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or checkpointed(df))
+    texts = checkpointed(spark.createDataFrame([(i, i, LONG + " " + str(i)) for i in range(30)], "id long, seq long, form string"))
+    assert near.pairs(texts, texts, 0.92).count() == 30 * 29 // 2
+    assert any("token" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_near_texts_share_a_piece_in_its_place():
+    rng = random.Random(3)
+    counts = np.array([rng.randint(0, 9) for _ in range(256)] * (near.PLACES // 256))
+    met = 0
+    for least in (0.97, 0.92, 0.9, 0.82):
+        for _ in range(400):
+            a = "".join(rng.choices("abcdef0123456789 ", k=rng.choice([1, 2, 3, 5, 8, 13, 26, 39, 90, 150, 2500])))
+            b = list(a)
+            for _ in range(rng.randint(1, max(1, int(len(a) * (1 - least))))):
+                i = rng.randrange(len(b) + 1)
+                b[i : i + rng.randint(0, 1)] = rng.choice(["", "x"])
+            b = "".join(b)
+            if not b or a == b or SequenceMatcher(None, a, b).ratio() < least:
+                continue
+            x, y = sorted((a, b), key=len, reverse=True)
+            q, (mine, at), (theirs, there) = near.piece_size(len(x), least), near.pivots(x, counts, least), near.stretches(y, least)
+            assert len(at) >= near.pieces(len(x), least) and (np.diff(at) >= q).all() and at[-1] + q <= len(x)
+            known = {}
+            for token, place in zip(theirs.tolist(), there.tolist(), strict=True):
+                known.setdefault(token, []).append(place)
+            moved = len(x) - np.ceil(least / 2 * (len(x) + len(y)) - 1e-6)
+            assert any(abs(i - j) <= moved for token, i in zip(mine.tolist(), at.tolist(), strict=True) for j in known.get(token, []))
+            met += 1
+    assert met > 500
