@@ -8,7 +8,7 @@ rows are few; a larger one is joined by a shuffle.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -89,10 +89,10 @@ def supplier(probes: DataFrame, master: DataFrame, fuzzy: bool = True, unicode:
 def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
     """``probe_id, similar``: the best name and its runner-up.
 
-    A ratio of r needs lengths of at least r / (2 - r), so candidates are joined on the
-    block and a band of lengths wide enough that the runner-up counts too: what lies
-    outside scores under ``ACCEPT - MARGIN``, which no margin test depends on.  Nor are names compared whose letters or edit distance
-    allow no more.  Names that find none to accept so are then asked for their two best at any score; see :func:`_best_two`.
+    Names within :data:`ACCEPT` of each other are found as near texts of a block, so not all pairs of a block meet; see :mod:`.near`.  The runner-up counts down to
+    ``MARGIN`` below the best.  Where that is under :data:`ACCEPT`, candidates are joined on the block and a band of lengths: a ratio of r needs lengths of at least
+    r / (2 - r), and names aren't compared whose letters or edit distance allow no more.  Names that find none to accept are asked for their two best at any
+    score; see :func:`_best_two`.
     """
     blocks = keyed.groupBy("m_country").agg(F.count(F.lit(1)).alias("block_size"))
     whole = keyed.count()
@@ -101,16 +101,27 @@ def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
     inside = F.col("block_size").isNotNull() & t.present("p_country")
     known = known.withColumn("block", F.when(inside, F.col("p_country")).otherwise(F.lit("*"))).withColumn(
         "candidates", F.when(inside, F.col("block_size")).otherwise(F.lit(whole)))
+    known = checkpointed(known.select("probe_id", "p_name", "block", "candidates"))
+    copies = keyed.select("supplier_id", "load_order", "m_name", F.explode(F.array(F.col("m_country"), F.lit("*"))).alias("block"))
+    # each spelling once on both sides: probes and rows of the master that share one share its scores
+    asked = checkpointed(known.select("block", F.col("p_name").alias("form")).distinct().select("block", "form", F.monotonically_increasing_id().alias("id"), F.lit(1).alias("seq")))
+    names = checkpointed(copies.join(sized(asked.select("block").distinct()), "block", "left_semi").groupBy("block", F.col("m_name").alias("form")).agg(
+        F.min_by("supplier_id", "load_order").alias("supplier_id"), F.min("load_order").alias("load_order"), F.count(F.lit(1)).alias("times")).select("*", F.monotonically_increasing_id().alias("id"), F.lit(0).alias("seq")))
+    found = near.pairs(asked, names, ACCEPT, ("block",))
+    scored = found.select("id", "p_id", "score").join(names.select(F.col("id").alias("p_id"), "supplier_id", "load_order", "times"), "p_id")
+    ranked = scored.groupBy("id").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("score", -F.col("load_order"), "p_id", "supplier_id", "times")))), 1, 2).alias("two"))
+    first, second = F.get("two", F.lit(0)), F.get("two", F.lit(1))
+    top = checkpointed(ranked.select("id", first["p_id"].alias("p_id"), first["supplier_id"].alias("supplier_id"), first["score"].alias("score"), F.when(first["times"] > 1, first["score"]).otherwise(
+        F.coalesce(second["score"], F.lit(0.0))).alias("next")).join(asked.select("id", F.col("form").alias("p_name"), "block"), "id"))
+    short = top.where((F.col("next") == 0) & (F.col("score") - ACCEPT < MARGIN + 1e-9))
     size = F.length("p_name")
-    reach = known.withColumn("letters", t.letters("p_name")).select("*", F.explode(F.sequence(F.ceil(size * least).cast("int"), F.floor(size / least).cast("int"))).alias("size"))
-    copies = keyed.select("supplier_id", "load_order", "m_name", F.length("m_name").alias("size"), t.letters("m_name").alias("m_letters"), F.explode(F.array(F.col("m_country"), F.lit("*"))).alias("block"))
-    may = t.may_share(F.col("letters"), F.col("m_letters"), ACCEPT - MARGIN) & t.may_be_similar("p_name", "m_name", ACCEPT - MARGIN)
-    scored = (reach.join(copies, ["block", "size"]).where(may).select("probe_id", "supplier_id", "load_order", "p_name", "m_name")
-              .withColumn("score", t.similarity("p_name", "m_name")).where(F.col("score") >= ACCEPT - MARGIN))
-    rank = Window.partitionBy("probe_id").orderBy(F.desc("score"), F.asc("load_order"))
-    top = (scored.withColumn("place", F.row_number().over(rank)).withColumn("next", F.lead("score", 1, 0.0).over(rank)).where("place = 1")
-           .select("probe_id", "supplier_id", "score", "next"))
-    decided = checkpointed(known.select("probe_id", "p_name", "block", "candidates").join(top.where(F.col("score") >= ACCEPT), "probe_id", "left"))
+    reach = short.withColumn("letters", t.letters("p_name")).select("id", "p_id", "block", "p_name", "letters", F.explode(F.sequence(F.ceil(size * least).cast("int"), F.floor(size / least).cast("int"))).alias("size"))
+    others = names.select("block", F.col("id").alias("other"), F.col("form").alias("m_name"), F.length("form").alias("size"), t.letters("form").alias("m_letters"))
+    may = (F.col("other") != F.col("p_id")) & t.may_share(F.col("letters"), F.col("m_letters"), ACCEPT - MARGIN) & t.may_be_similar("p_name", "m_name", ACCEPT - MARGIN)
+    lower = (reach.join(others, ["block", "size"]).where(may).withColumn("score", t.similarity("p_name", "m_name")).where(F.col("score") >= ACCEPT - MARGIN)
+             .groupBy("id").agg(F.max("score").alias("lower")))
+    top = top.join(lower, "id", "left").select("block", "p_name", "supplier_id", "score", F.greatest("next", F.coalesce("lower", F.lit(0.0))).alias("next"))
+    decided = checkpointed(known.join(top, ["block", "p_name"], "left"))
     low = _best_two(decided.where("score is null").select("p_name", "block").distinct(), keyed)
     all_ = decided.join(low, ["p_name", "block"], "left").select("probe_id", "candidates", "supplier_id", F.coalesce("score", "low").alias("score"), F.coalesce("next", "low_next").alias("next"))
     how = "fuzzy_name_blocked_by_country"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,3 +198,20 @@ def test_scores_told_for_every_supplier(spark):
         best, second = [*sorted((SequenceMatcher(None, asked, n).ratio() for n in block), reverse=True), 0.0][:2]
         assert (r["status"], r["score"], r["candidate_count"]) == ("UNMATCHED", round(best, 6), len(block))
         assert r["reason"] == f"best={best:.3f} runner_up={second:.3f} (threshold=0.9, margin=0.08)"
+
+
+def test_pairs_of_a_block_meet_only_where_they_can_be_near(spark, monkeypatch):
+    """Names of one block and length that share no piece aren't joined; runners-up below the acceptance of similar names still count."""
+    from tallyward.operators import near
+
+    met, pairs = [], near.pairs
+    monkeypatch.setattr(match.near, "pairs", lambda *a, **k: met.append(pairs(*a, **k)) or met[-1])
+    names = [hashlib.sha256(str(i).encode()).hexdigest()[:36] for i in range(300)]
+    best = names[0]
+    master = spark.createDataFrame([(f"S{i}", n, "", "EE", i) for i, n in enumerate([*names, best[:31] + "zzz" + best[34:]])], "supplier_id string, name string, vat_id string, country string, load_order int")
+    asked = [("near", best[:10] + "zz" + best[12:]), ("clear", names[5][:10] + names[5][11:])]
+    got = {r["probe_id"]: r["supplier"] for r in match.supplier(spark.createDataFrame([(a, n, "", "EE") for a, n in asked], "probe_id string, name string, vat_id string, country string"), master).collect()}
+    scores = sorted((SequenceMatcher(None, asked[0][1], m).ratio() for m in [*names, best[:31] + "zzz" + best[34:]]), reverse=True)[:2]
+    assert 0.82 < scores[1] < 0.9 <= scores[0]
+    assert got["near"]["status"] == "MATCHED" if scores[0] - scores[1] >= 0.08 else got["near"]["reason"].startswith(f"best={scores[0]:.3f} runner_up={scores[1]:.3f}")
+    assert got["clear"]["matched_id"] == "S5" and met[0].count() == 2
