@@ -33,14 +33,18 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Looks for what may be white space of any script before that is asked, which takes Java far longer.
+_GAP = r"(?=[\x09-\x0D\x20\x80-\x{10FFFF}])"
+
+
 def strip(value: Column | str) -> Column:
     """White space of any script off both ends."""
-    return F.regexp_replace(col(value), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(col(value), rf"(?U)^\s+|{_GAP}\s+$", "")
 
 
 def collapse(value: Column | str) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(col(value), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(col(value), rf"(?U){_GAP}\s+", " "))
 
 
 def present(value: Column | str) -> Column:
@@ -115,10 +119,34 @@ def hash_form(value: Column | str) -> Column:
     return F.lower(collapse(F.coalesce(col(value), F.lit(""))))
 
 
+def ratio(new: str, prior: str) -> float:
+    """``SequenceMatcher(None, new, prior).ratio()``, told without it where one text is the other less one stretch.
+
+    If what both begin with is a longest block that they share, or what both end with is the only one, the matcher takes it first and
+    then all that is left of the shorter text.  From 200 characters on the matcher leaves out frequent ones, so there it is asked.
+    """
+    short, long = (new, prior) if len(new) <= len(prior) else (prior, new)
+    n, total = len(short), len(short) + len(long)
+    if not n or len(prior) >= 200:
+        return SequenceMatcher(None, new, prior).ratio()
+    if short == long:
+        return 1.0
+    begin = next((i for i in range(n) if short[i] != long[i]), n)
+    end = next((i for i in range(n) if short[-1 - i] != long[-1 - i]), n)
+    if begin + end >= n:
+        if begin >= end:
+            sure = not any(short[i : i + begin + 1] in long for i in range(n - begin))
+        else:
+            sure = long.find(short[n - end :]) == len(long) - end and not any(short[i : i + end] in long for i in range(n - end))
+        if sure:
+            return 2.0 * n / total
+    return SequenceMatcher(None, new, prior).ratio()
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(new: pd.Series, prior: pd.Series) -> pd.Series:
     """Share of matching blocks, in this order of arguments; null if either is null."""
-    return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(new, prior, strict=True)], dtype="float64")
+    return pd.Series([None if a is None or b is None else ratio(a, b) for a, b in zip(new, prior, strict=True)], dtype="float64")
 
 
 #: Characters whose number in a text is told apart up to three, three bits each, in two words of 60 bits.

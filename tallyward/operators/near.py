@@ -13,22 +13,25 @@ Rarity is counted in a table of fixed size, by a hash of the piece: it only orde
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import reduce
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as t
 from .shared import checkpointed
 
 #: Places of the table of counts, and characters of a text whose pieces are chosen together.
 PLACES, STRETCH = 1 << 18, 2000
-#: Texts that a text meets as they are.
-FEW = 64
+#: Bytes of texts that share what has to be equal, up to which one task compares them; and meetings of pieces that it looks at together.
+TASK_BYTES, MEETINGS = 32 << 20, 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,60 +45,70 @@ def piece_size(size: int, least: float) -> int:
     return max(min(int(1 / (2 * (1 - least)) + 1e-6) * 2 // 3, size // pieces(size, least)), 1)
 
 
-def grams(text: str, q: int) -> np.ndarray:
-    """64-bit hashes of a text's grams, in place."""
-    own = codes(text).astype(np.uint64)
-    if len(own) < q:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(len(own) - q + 1, np.uint64)
-    for i in range(q):
-        out = (out ^ own[i : len(own) - q + 1 + i]) * _MIX
+def hashes(cells: np.ndarray, q: int) -> np.ndarray:
+    """64-bit hashes of grams, in place, of characters along the last axis."""
+    size = cells.shape[-1] - q + 1
+    out = np.zeros((*cells.shape[:-1], max(size, 0)), np.uint64)
+    for i in range(q if size > 0 else 0):
+        out = (out ^ cells[..., i : size + i]) * _MIX
         out ^= out >> np.uint64(29)
     return out
 
 
+def grams(text: str, q: int) -> np.ndarray:
+    """64-bit hashes of a text's grams, in place."""
+    return hashes(codes(text).astype(np.uint64), q)
+
+
 def place(found: np.ndarray) -> np.ndarray:
     """Where a gram is counted."""
     return (found >> np.uint64(20)).astype(np.int64) & (PLACES - 1)
 
 
 def rarest(cost: np.ndarray, n: int, q: int) -> np.ndarray:
-    """Where ``n`` stretches of ``q`` characters begin that don't overlap and have the least sum of costs."""
-    best, from_ = np.zeros(len(cost) + q), []
+    """Where ``n`` stretches of ``q`` characters begin that don't overlap and have the least sum of costs, for each row of costs."""
+    rows, size = cost.shape
+    best, from_ = np.zeros((rows, size + q)), []
     for _ in range(n):
-        taken = np.concatenate([np.full(q, np.inf), best[: len(cost)] + cost])
-        least = np.minimum.accumulate(taken)
-        from_.append(np.maximum.accumulate(np.where(taken <= least, np.arange(len(taken)), 0)))
-        best = least
-    out, end = [], len(cost) + q - 1
+        taken = np.concatenate([np.full((rows, q), np.inf), best[:, :size] + cost], axis=1)
+        best = np.minimum.accumulate(taken, axis=1)
+        from_.append(np.maximum.accumulate(np.where(taken <= best, np.arange(size + q), 0), axis=1))
+    out, end = [], np.full(rows, size + q - 1)
     for row in reversed(from_):
-        end = int(row[end]) - q
+        end = row[np.arange(rows), end] - q
         out.append(end)
-    return np.array(out[::-1], np.int64)
+    return np.stack(out[::-1], axis=1).astype(np.int64) if out else np.zeros((rows, 0), np.int64)
 
 
-def pivots(text: str, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces of a text, as tokens, and where they begin."""
-    n, q = pieces(len(text), least), piece_size(len(text), least)
-    found = grams(text, q)
-    cost = counts[place(found)].astype(np.float64)
-    parts = max(min(len(text) // STRETCH, n), 1)
+def chosen(cost: np.ndarray, size: int, least: float) -> np.ndarray:
+    """Where the pieces of texts of one size begin, a row each, by the costs of their grams."""
+    n, q = pieces(size, least), piece_size(size, least)
+    parts = max(min(size // STRETCH, n), 1)
     at: list[np.ndarray] = []
     for i in range(parts):
-        begin, end = len(text) * i // parts, len(text) * (i + 1) // parts
+        begin, end = size * i // parts, size * (i + 1) // parts
         wanted = min(-(-n // parts), (end - begin) // q)
-        at.append(begin + rarest(cost[begin : end - q + 1], wanted, q))
-    chosen = np.concatenate(at)
-    if len(chosen) < n:
-        chosen = np.arange(n) * q
-    return found[chosen].view(np.int64), chosen
+        at.append(begin + rarest(cost[:, begin : end - q + 1], wanted, q))
+    found = np.concatenate(at, axis=1)
+    return found if found.shape[1] >= n else np.tile(np.arange(n) * q, (len(cost), 1))
+
+
+def pivots(text: str, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of a text, as tokens, and where they begin."""
+    found = grams(text, piece_size(len(text), least))
+    at = chosen(counts[place(found)].astype(np.float64)[None, :], len(text), least)[0]
+    return found[at].view(np.int64), at
+
+
+@lru_cache(1 << 16)
+def stretch_sizes(size: int, least: float) -> tuple[int, ...]:
+    """Characters of the pieces of texts that can be near one of so many and are no shorter."""
+    return tuple(sorted({piece_size(n, least) for n in range(size, int(size * (2 - least) / least + 1e-6) + 1)})) if size < 200 else (piece_size(size, least),)
 
 
 def stretches(text: str, least: float) -> tuple[np.ndarray, np.ndarray]:
     """All stretches of a text that can be a piece of a near text that is no shorter, as tokens, and where they begin."""
-    size = len(text)
-    sizes = sorted({piece_size(n, least) for n in range(size, int(size * (2 - least) / least + 1e-6) + 1)}) if size < 200 else [piece_size(size, least)]
-    found = [grams(text, q) for q in sizes]
+    found = [grams(text, q) for q in stretch_sizes(len(text), least)]
     return np.concatenate(found).view(np.int64), np.concatenate([np.arange(len(f)) for f in found])
 
 
@@ -131,10 +144,175 @@ def tokens(texts: DataFrame, least: float, counts: np.ndarray | None = None) ->
         *rest, "size", "letters", "found.token", "found.place")
 
 
+def candidates(texts: list[str], group: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of different texts of one group that can be near, each pair once, the longer or later first; many groups at once.
+
+    Texts meet as between tasks, by the pieces of the longer one, rare ones among these texts.  Then bounds on what both share leave out pairs.
+    """
+    size = np.array([len(x) for x in texts], np.int64)
+    mix = (group.astype(np.uint64) + np.uint64(1)) * _MIX
+    tokens, owners, places, cells = [], [], [], []
+    counts = np.zeros(PLACES, np.int64)
+    for n in np.unique(size[size > 0]).tolist():
+        own = np.flatnonzero(size == n)
+        chars = np.frombuffer("".join([texts[i] for i in own.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n).astype(np.uint64)
+        cells.append((n, own, chars))
+        for q in stretch_sizes(n, least):
+            found = hashes(chars, q) ^ mix[own, None]
+            tokens.append(found.ravel())
+            owners.append(np.repeat(own, found.shape[1]))
+            places.append(np.tile(np.arange(found.shape[1]), len(own)))
+            counts += np.bincount(place(tokens[-1]), minlength=PLACES)
+    none = np.zeros(0, np.int64)
+    if not tokens:
+        return none, none
+    token, owner, where = np.concatenate(tokens), np.concatenate(owners), np.concatenate(places)
+    order = np.argsort(token)
+    token, owner, where = token[order], owner[order], where[order]
+    codes_: list[np.ndarray] = []
+    for n, own, chars in cells:
+        found = hashes(chars, piece_size(n, least)) ^ mix[own, None]
+        at = chosen(counts[place(found)].astype(np.float64), n, least)
+        asked, mine, at = np.take_along_axis(found, at, 1).ravel(), np.repeat(own, at.shape[1]), at.ravel()
+        first = np.searchsorted(token, asked)
+        many = np.searchsorted(token, asked, "right") - first
+        ends = np.cumsum(many)
+        begin = 0
+        while begin < len(asked):  # some millions of meetings at a time
+            end = max(int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + MEETINGS, "right")), begin + 1)
+            k = np.repeat(np.arange(begin, end), many[begin:end])
+            j = first[k] + np.arange(len(k)) - np.repeat(ends[begin:end] - many[begin:end] - (ends[begin - 1] if begin else 0), many[begin:end])
+            a, b = mine[k], owner[j]
+            moved = n - np.ceil(least / 2 * (n + size[b]) - 1e-6)
+            can = (group[a] == group[b]) & ((n > size[b]) | ((n == size[b]) & (a > b))) & (size[b] >= least / (2 - least) * n - 1e-6) & (np.abs(at[k] - where[j]) <= moved)
+            codes_.append(np.unique(a[can] * len(texts) + b[can]))
+            begin = end
+    found = np.unique(np.concatenate(codes_))
+    a, b = found // len(texts), found % len(texts)
+    keep = np.ones(len(a), bool)
+    edges = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if end - begin > 8:
+            mine = codes(texts[a[begin]])
+            for x in range(begin, end, 512):
+                others = b[x : min(x + 512, end)]
+                total = len(mine) + size[others]
+                need = np.ceil(least * total / 2 - 1e-6)
+                back, ahead = (int(max((k - need).max(initial=0), 0)) for k in (len(mine), size[others]))
+                keep[x : x + len(others)] = most_shared(mine, grid([texts[i] for i in others.tolist()]), back, ahead) >= need
+    return a[keep], b[keep]
+
+
+def whole(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows that come sorted, as tables of whole groups by ``keys``."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        if rest and any(rest[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        changed = np.zeros(len(batch), bool)
+        for k in keys:
+            column = batch.column(k)
+            changed[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        begin = int(np.flatnonzero(changed)[-1]) if changed.any() else 0
+        if begin:
+            yield pa.Table.from_batches([*rest, batch.slice(0, begin)])
+            rest = []
+        rest.append(batch.slice(begin))
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _classes(table: pa.Table, same: tuple[str, ...]) -> tuple[list[str], np.ndarray, list[int]]:
+    """Different texts of a task's rows ``(*same, form, ..)``, the number of each one's group, and the number of each row's text."""
+    numbers: dict[tuple, int] = {}
+    groups: dict[tuple, int] = {}
+    forms, group, of = [], [], []
+    for *key, form in zip(*[table[c].to_pylist() for c in (*same, "form")], strict=True):
+        cell = tuple(key)
+        n = numbers.setdefault((cell, form), len(forms))
+        if n == len(forms):
+            forms.append(form)
+            group.append(groups.setdefault(cell, len(groups)))
+        of.append(n)
+    return forms, np.array(group, np.int64), of
+
+
+def _within(rows: DataFrame, least: float, same: tuple[str, ...], ordered: bool) -> DataFrame:
+    """``*same, id, p_id, score`` of ``rows (*same, id, seq, form, new)``, those ``new`` against the others; rows with equal ``same`` meet in one task."""
+    kind = rows.schema["id"].dataType
+    out = T.StructType([*[rows.schema[c] for c in same], T.StructField("id", kind), T.StructField("p_id", kind), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole(batches, list(same)):
+            texts, group, of = _classes(table, same)
+            news, seqs = table["new"].to_pylist(), table["seq"].to_pylist()
+            members: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
+            for i, n in enumerate(of):
+                members[n][not news[i]].append(i)
+            mine, theirs, scores = [], [], []
+            for a, b in zip(*(x.tolist() for x in candidates(texts, group, least)), strict=True):
+                for x, y in ((a, b), (b, a)):
+                    met = [(i, j) for i in members[x][0] for j in members[y][1] if not ordered or seqs[j] < seqs[i]]
+                    if met and (score := t.ratio(texts[x], texts[y])) >= least:
+                        mine += [i for i, _ in met]
+                        theirs += [j for _, j in met]
+                        scores += [score] * len(met)
+            left, right = table.select([*same, "id"]).take(pa.array(mine, pa.int64())), table.select(["id"]).take(pa.array(theirs, pa.int64()))
+            yield from pa.Table.from_arrays([*left.columns, *right.columns, pa.chunked_array([pa.array(scores, pa.float64())])], names=[c.name for c in out]).to_batches()
+
+    return rows.repartition(*same).sortWithinPartitions(*same).mapInArrow(run, out)
+
+
+def _crowded(texts: DataFrame, same: tuple[str, ...]) -> DataFrame:
+    """Values of ``same`` whose texts are more than a task compares."""
+    return checkpointed(texts.groupBy(*same).agg(F.sum(200 + 4 * F.length("form").cast("long")).alias("bytes")).where(F.col("bytes") > TASK_BYTES).select(*same))
+
+
+def among(texts: DataFrame, least: float, same: tuple[str, ...], holder: str) -> DataFrame:
+    """``*same, holder, form, p_form, score`` for each holder of a text and each different text that is near, of ``texts (*same, holder, form)``; copies are compared once.
+
+    Texts are moved once, to the task that has all with equal ``same``; where these are more than a task compares, as in :func:`pairs`.
+    """
+    names = [*same, holder, "form"]
+    out = T.StructType([*[texts.schema[c] for c in names], T.StructField("p_form", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole(batches, list(same)):
+            forms, group, of = _classes(table, same)
+            holders: list[list[int]] = [[] for _ in forms]
+            for i, n in enumerate(of):
+                holders[n].append(i)
+            rows, others, scores = [], [], []
+            for a, b in zip(*(x.tolist() for x in candidates(forms, group, least)), strict=True):
+                for x, y in ((a, b), (b, a)):
+                    if (score := t.ratio(forms[x], forms[y])) >= least:
+                        rows += holders[x]
+                        others += [forms[y]] * len(holders[x])
+                        scores += [score] * len(holders[x])
+            mine = table.select(names).take(pa.array(rows, pa.int64()))
+            yield from pa.Table.from_arrays([*mine.columns, pa.chunked_array([pa.array(others, pa.string())]), pa.chunked_array([pa.array(scores, pa.float64())])], names=[c.name for c in out]).to_batches()
+
+    texts = texts.select(*names)
+    met = lambda df: df.repartition(*same).sortWithinPartitions(*same).mapInArrow(run, out)
+    crowded = _crowded(texts, same)
+    if crowded.isEmpty():
+        return met(texts)
+    apart = lambda how: texts.join(F.broadcast(crowded), list(same), how)
+    many = checkpointed(apart("left_semi"))
+    once = checkpointed(many.groupBy(*same, F.sha2("form", 256).alias("id")).agg(F.min("form").alias("form"), F.lit(0).alias("seq")))
+    told = (pairs(once, once, least, same, ordered=False).join(once.select(*same, F.col("id"), "form"), [*same, "id"])
+            .join(once.select(*same, F.col("id").alias("p_id"), F.col("form").alias("p_form")), [*same, "p_id"]).join(many, [*same, "form"]))
+    return met(apart("left_anti")).unionByName(told.select(*names, "p_form", "score"))
+
+
 def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...] = (), ordered: bool = True) -> DataFrame:
     """``*same, id, p_id, score``: each of ``new (*same, id, seq, form)`` with each different text of ``prior`` that is near and, if ``ordered``, comes before it.
 
-    ``same`` have to be equal; where few texts share them, these meet as they are, others by the pieces of the longer one.  Both are written tables.
+    ``same`` have to be equal; texts that share them meet in one task, each moved once, where they fit there (:data:`TASK_BYTES`).  Others meet over all
+    tasks by the pieces of the longer one.  Both are written tables.
     What letters allow is asked where tokens meet, so texts are moved only for pairs that can be near.  Tables of tokens are sorted, never
     broadcast: Spark takes them for as small as the texts' files, while each text gives dozens of rows.
     """
@@ -142,31 +320,30 @@ def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...]
     turn = (F.col("p_seq") < F.col("seq")) if ordered else (F.col("id") != F.col("p_id"))
     renamed = lambda df: df.select(*same, F.col("id").alias("p_id"), F.col("seq").alias("p_seq"), F.col("form").alias("p_form"))
     new, prior = new.select(*same, "id", "seq", "form"), prior.select(*same, "id", "seq", "form")
-    met = []
+    within = None
     if same:
-        crowded = checkpointed(prior.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).select(*same))
-        apart = lambda df, how: df.join(crowded, list(same), how)
-        met.append(apart(new, "left_anti").join(renamed(prior), list(same)).where(turn & fits(F.length("form"), F.length("p_form"))))
+        both = new.withColumn("new", F.lit(True)).unionByName(prior.withColumn("new", F.lit(False)))
+        crowded = _crowded(both, same)
+        apart = lambda df, how: df.join(F.broadcast(crowded), list(same), how)
         if crowded.isEmpty():
-            new = None
-        else:
-            new, prior = checkpointed(apart(new, "left_semi")), checkpointed(apart(prior, "left_semi"))
-    if new is not None:
-        counts = rarity(new.select("form").unionByName(prior.select("form")), least)
-        other = renamed(prior).withColumnRenamed("p_form", "form")
-        moved = F.greatest("size", "p_size") - F.ceil(F.lit(least / 2) * (F.col("size") + F.col("p_size")) - F.lit(1e-6))
-        can = turn & fits(F.col("size"), F.col("p_size")) & (F.abs(F.col("place") - F.col("p_place")) <= moved) & t.may_share(F.col("letters"), F.col("p_letters"), least)
-
-        def meet(mine: DataFrame, theirs: DataFrame, longer: Column) -> DataFrame:
-            theirs = theirs.withColumnsRenamed({"size": "p_size", "letters": "p_letters", "place": "p_place"})
-            return mine.hint("merge").join(theirs.hint("merge"), [*same, "token"]).where(longer & can).select(*same, "id", "p_id")
-
-        shared = (meet(tokens(new, least, counts), tokens(other, least), F.col("size") >= F.col("p_size"))
-                  .unionByName(meet(tokens(new, least), tokens(other, least, counts), F.col("size") < F.col("p_size"))).distinct())
-        met.append(shared.hint("merge").join(new, [*same, "id"]).hint("merge").join(renamed(prior), [*same, "p_id"]))
-    cells = [*same, "id", "p_id", "form", "p_form"]
-    close = reduce(DataFrame.unionByName, [m.select(*cells) for m in met]).where((F.col("form") != F.col("p_form")) & t.may_be_similar("form", "p_form", least))
-    return checkpointed(close.withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*same, "id", "p_id", "score"))
+            return checkpointed(_within(both, least, same, ordered))
+        within = _within(apart(both, "left_anti"), least, same, ordered)
+        new, prior = checkpointed(apart(new, "left_semi")), checkpointed(apart(prior, "left_semi"))
+    counts = rarity(new.select("form").unionByName(prior.select("form")), least)
+    other = renamed(prior).withColumnRenamed("p_form", "form")
+    moved = F.greatest("size", "p_size") - F.ceil(F.lit(least / 2) * (F.col("size") + F.col("p_size")) - F.lit(1e-6))
+    can = turn & fits(F.col("size"), F.col("p_size")) & (F.abs(F.col("place") - F.col("p_place")) <= moved) & t.may_share(F.col("letters"), F.col("p_letters"), least)
+
+    def meet(mine: DataFrame, theirs: DataFrame, longer: Column) -> DataFrame:
+        theirs = theirs.withColumnsRenamed({"size": "p_size", "letters": "p_letters", "place": "p_place"})
+        return mine.hint("merge").join(theirs.hint("merge"), [*same, "token"]).where(longer & can).select(*same, "id", "p_id")
+
+    shared = (meet(tokens(new, least, counts), tokens(other, least), F.col("size") >= F.col("p_size"))
+              .unionByName(meet(tokens(new, least), tokens(other, least, counts), F.col("size") < F.col("p_size"))).distinct())
+    close = shared.hint("merge").join(new, [*same, "id"]).hint("merge").join(renamed(prior), [*same, "p_id"])
+    close = close.where((F.col("form") != F.col("p_form")) & t.may_be_similar("form", "p_form", least))
+    found = close.withColumn("score", t.similarity("form", "p_form")).where(F.col("score") >= least).select(*same, "id", "p_id", "score")
+    return checkpointed(found if within is None else found.unionByName(within))
 
 
 def codes(text: str) -> np.ndarray:
@@ -229,71 +406,3 @@ class Names:
             top = sorted([*top, score], reverse=True)[:2]
             found.append((score, i))
         return [(s, i) for s, i in found if s >= top[1]]
-
-
-#: Characters of grams, and classes into which grams are counted, within one task.
-LOCAL_Q, CLASSES = (2, 4), 512
-
-
-class Booked:
-    """Texts booked so far, asked for the first near one: an index within one task, for a bounded group of texts.
-
-    Each text is a row of counts of its grams by class of their hash.  Near texts share all but what they may lack, and the smaller counts of
-    all classes add up to no less than what is shared; so one pass over the rows leaves few texts to compare.  Short grams tell
-    apart texts with the same frame, long ones those with the same words.
-    """
-
-    def __init__(self, least: float) -> None:
-        self.least = least
-        self.texts: list[str] = []
-        self.rows: list[np.ndarray] = []
-        self.sizes = np.zeros(0, np.int64)
-
-    @staticmethod
-    def _row(text: str, q: int) -> np.ndarray:
-        return np.minimum(np.bincount((grams(text, q) >> np.uint64(40)).astype(np.int64) % CLASSES, minlength=CLASSES), 65535).astype(np.uint16)
-
-    def first(self, text: str, other: Callable[[int], bool]) -> tuple[int, float] | None:
-        """Number and score of the first booked text for which ``other`` holds and that is near."""
-        if len(self.texts) <= 8:
-            for i, prior in enumerate(self.texts):
-                if 2 * min(len(prior), len(text)) >= self.least * (len(prior) + len(text)) and other(i):
-                    match = SequenceMatcher(None, text, prior)
-                    if match.quick_ratio() >= self.least and (score := match.ratio()) >= self.least:
-                        return i, score
-            return None
-        sizes, size = self.sizes[: len(self.texts)], len(text)
-        found = np.flatnonzero(2 * np.minimum(sizes, size) >= self.least * (sizes + size))
-        if size < 60_000:  # the counts of longer texts, and of texts near them, might not fit
-            for q, rows in zip(LOCAL_Q, self.rows, strict=True):
-                longer = np.maximum(sizes[found], size)
-                lack = (2 * (1 - self.least) / (2 - self.least) * q * longer + 1e-6).astype(np.int64)
-                found = found[np.minimum(rows[found], self._row(text, q)).sum(1, dtype=np.int64) >= longer - q + 1 - lack]
-        mine, step = codes(text), 4
-        while len(found):  # the first is often near, so few at first
-            part, found = [i for i in found[:step].tolist() if other(i)], found[step:]
-            total = size + sizes[part]
-            least = np.ceil(self.least * total / 2 - 1e-6)
-            back, ahead = (int(max((n - least).max(initial=0), 0)) for n in (size, sizes[part]))
-            for i, n, m in zip(part, most_shared(mine, grid([self.texts[i] for i in part]), back, ahead), least, strict=True):
-                if n >= m and (score := SequenceMatcher(None, text, self.texts[i]).ratio()) >= self.least:
-                    return i, score
-            step = min(2 * step, 512)
-        return None
-
-    def add(self, text: str) -> None:
-        self.texts.append(text)
-        n = len(self.texts)
-        if n <= 8:  # a few are compared as they are
-            return
-        if n == 9 or n > len(self.sizes):
-            old, room = (0 if n == 9 else n - 1), 2 * n
-            sizes, rows = np.zeros(room, np.int64), [np.zeros((room, CLASSES), np.uint16) for _ in LOCAL_Q]
-            sizes[:old] = self.sizes[:old]
-            for new, had in zip(rows, self.rows, strict=False):
-                new[:old] = had[:old]
-            self.rows, self.sizes = rows, sizes
-        for i in range(0 if n == 9 else n - 1, n):
-            self.sizes[i] = len(self.texts[i])
-            for q, rows in zip(LOCAL_Q, self.rows, strict=True):
-                rows[i] = self._row(self.texts[i], q)

@@ -197,10 +197,8 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = orders.select("k", "cents", F.explode(F.array(text, F.concat(text.substr(1, 30), text.substr(32, 200)), F.concat(text.substr(1, 20), text.substr(41, 200)))).alias("full_text"))
     rows = texts.select(k.alias("seq"), k.cast("string").alias("file"), F.lit("").alias("file_hash"), "full_text", F.lit("").alias("supplier_identity"), F.lit("").alias("invoice_number"),
                         F.lit("").alias("invoice_date"), F.lit("EUR").alias("currency"), cents_text(F.col("cents")).alias("gross_total"), F.lit(True).alias("bookable"))
-    found = dedupe.evidence(rows)
-    near = dedupe.near_texts(found)
-    member = found.select("content_hash", F.col("seq").alias("o_orderkey")).distinct()
-    return near.join(member, "content_hash").select("o_orderkey", "currency", "gross_total", "content_hash", "p_hash", F.round("score", 6).alias("score"))
+    near = dedupe.near_texts(dedupe.evidence(rows), holder="seq")
+    return near.select(F.col("seq").alias("o_orderkey"), "currency", "gross_total", "content_hash", "p_hash", F.round("score", 6).alias("score"))
 
 
 def masters(spark: SparkSession, sf_dir: str) -> Masters:

@@ -217,3 +217,35 @@ def test_near_texts_share_a_piece_in_its_place():
             assert any(abs(i - j) <= moved for token, i in zip(mine.tolist(), at.tolist(), strict=True) for j in known.get(token, []))
             met += 1
     assert met > 500
+
+
+def test_a_crowd_of_one_amount_moves_each_text_once(spark, monkeypatch):
+    """More texts of an amount than meet as they are, in one task; the same pairs where a task holds none of it."""
+    texts = [(f"order {i * 7919 % 1009:04d} of the customer who ordered goods by the dozen in the month of {x}{i * 31 % 97:02d} and paid", i) for i in range(60) for x in ("May", "May ")]
+    rows = dedupe.evidence(spark.createDataFrame([(n, str(i), "", x, "", "", "", "EUR", "49.00", True) for n, (x, i) in enumerate(texts)], SCHEMA))
+    pairs = lambda: sorted((r["seq"], r["p_hash"], r["score"]) for r in dedupe.near_texts(rows, holder="seq").collect())
+    with monkeypatch.context() as m:
+        m.setattr(near, "tokens", lambda *a: (_ for _ in ()).throw(AssertionError("moved by pieces")))
+        got = pairs()
+    monkeypatch.setattr(near, "TASK_BYTES", 0)
+    assert got and got == pairs()
+
+
+def test_rows_of_an_amount_are_no_links(spark, monkeypatch):
+    """Only keys that span several amounts are links; others would be joined by rounds over all rows."""
+    found = []
+    monkeypatch.setattr(dedupe, "groups", lambda df: found.append(df.count()) or links.groups(df))
+    rows = [(i, f"f{i}", "", f"text {i // 2}", "S", f"N{i // 2}", "D", "EUR", f"{i // 10}.00", True) for i in range(200)]
+    assert settled(spark, rows) == sequential(rows) and not found
+    assert settled(spark, [*rows, (200, "x", "", "text 0", "", "", "", "EUR", "7777.00", True)])[200][2] == "f0" and found == [1]
+
+
+def test_a_stretch_less_is_told_without_the_matcher():
+    from tallyward.functions import text as t
+
+    rng = random.Random(5)
+    for _ in range(4000):
+        a = "".join(rng.choices(rng.choice(["ab", "abc", "abcdef0123456789 "]), k=rng.randint(0, rng.choice([6, 20, 60, 250]))))
+        i = rng.randint(0, len(a))
+        b = a[:i] + a[i + rng.randint(0, 3) :] + rng.choice(["", "", "", "x"])
+        assert t.ratio(a, b) == SequenceMatcher(None, a, b).ratio() and t.ratio(b, a) == SequenceMatcher(None, b, a).ratio()
