@@ -21,12 +21,14 @@ YEARS = (1900, 2200)
 
 #: What a plain number looks like, so that no cast takes more than that.
 PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+#: What most numbers look like: nothing to trim or to resolve, so that one look is enough.
+DIGITS = r"^[0-9]+(\.[0-9]+)?\z"
 
 
 def to_double(value: Column) -> Column:
     """A plain number's value, null for anything else."""
     trimmed = strip(value)
-    return F.when(trimmed.rlike(PLAIN), trimmed.try_cast("double"))
+    return F.when(value.rlike(DIGITS), value.try_cast("double")).when(trimmed.rlike(PLAIN), trimmed.try_cast("double"))
 
 
 def number(value: Column | str) -> Column:
@@ -36,7 +38,7 @@ def number(value: Column | str) -> Column:
     after it: a decimal comma; other commas alone are in doubt.  One dot: a decimal
     point; several: thousands.
     """
-    return let(strip(value), lambda raw: F.when(raw == "", F.lit("")).otherwise(let(_unwrapped(raw), _signed)))
+    return let(strip(value), lambda raw: F.when((raw == "") | raw.rlike(DIGITS), raw).otherwise(let(_unwrapped(raw), _signed)))
 
 
 def _unwrapped(raw: Column) -> Column:
@@ -117,12 +119,14 @@ def magnitude(value: Column | str) -> Column:
 
 def is_numeric(value: Column | str) -> Column:
     """Blank, or a text that reads as a number (also nan and inf, with any of their spellings)."""
-    text = strip(F.coalesce(col(value), F.lit("")))
-    return (F.coalesce(col(value), F.lit("")) == "") | text.rlike(PLAIN) | text.rlike(r"(?i)^[+-]?(nan|inf|infinity)$")
+    whole = F.coalesce(col(value), F.lit(""))
+    text = strip(whole)
+    return (whole == "") | whole.rlike(DIGITS) | text.rlike(PLAIN) | text.rlike(r"(?i)^[+-]?(nan|inf|infinity)$")
 
 
 def not_finite(value: Column | str) -> Column:
-    return strip(F.coalesce(col(value), F.lit(""))).rlike(r"(?i)^[+-]?(nan|inf|infinity)$")
+    whole = F.coalesce(col(value), F.lit(""))
+    return (whole != "") & ~whole.rlike(DIGITS) & strip(whole).rlike(r"(?i)^[+-]?(nan|inf|infinity)$")
 
 
 def printed_forms(value: Column | str) -> Column:

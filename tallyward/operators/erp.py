@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.text import let, strip
-from ..functions.values import to_double
+from ..functions.values import DIGITS, to_double
 
 CHARGES = ("freight_charges", "insurance_charges", "extra_charges", "excise_duties")
 
@@ -18,7 +18,7 @@ CHARGES = ("freight_charges", "insurance_charges", "extra_charges", "excise_duti
 def amount(value: Column) -> Column:
     """A plain number's value; a leading currency symbol and percent signs don't count, anything unreadable is zero."""
     text = F.regexp_replace(F.replace(F.coalesce(value, F.lit("")), F.lit("%"), F.lit("")), r"(?U)^[€$£¥₹\s]+|\s+$", "")
-    return F.coalesce(to_double(text), F.lit(0.0))
+    return F.when(F.coalesce(value, F.lit("")) == "", F.lit(0.0)).when(value.rlike(DIGITS), value.try_cast("double")).otherwise(F.coalesce(to_double(text), F.lit(0.0)))
 
 
 def money(value: Column) -> Column:
