@@ -5,6 +5,8 @@ Patterns are Java's: ``(?U)`` gives word boundaries and digits of all scripts.
 
 from __future__ import annotations
 
+import re
+
 from .values import CURRENCY_CODES
 
 CODES = "|".join(CURRENCY_CODES)
@@ -49,6 +51,10 @@ TITLES = (r"(?iU)\bINVOICE\b|\bRECHNUNG\b|\bFAKTURA\b|\bARVE\b|\bFATURA\b|\bCRED
           r"|\bPURCHASE\s+ORDER\b|\bQUOTATION\b|\bESTIMATE\b")
 IDENTITY = r"(?iU)\b(invoice|document|reference|ref|order|delivery|waybill)\s*(no\.?|nr\.?|number|#)\s*[:\-]?\s*\S+"
 
+# Where recognition sticks a code to digits or a label.
+CODE_THEN_DIGIT, DIGIT_THEN_CODE = rf"(?U)\b({STICKY_CODES})(\d)", rf"(?U)(\d)({STICKY_CODES})\b"
+LABEL_THEN_CODE = rf"(?iU)\b(total|subtotal|amount|sum)({STICKY_CODES})\b"
+
 # Fields.  Number marks are required after a label, so that a title isn't one.
 INVOICE_NUMBER = r"(?iU)\b(?:invoice|rechnung(?:s)?|arve|fatura|factura)\s*(?:no\.?|nr\.?|number|#|n[uú]mero)\s*[:\-]?\s*([A-Za-z0-9][A-Za-z0-9\-/]{1,30})"
 LIKE_PHONE, LIKE_DATE = r"(?U)^[+]?\d[\d\s\-]{6,}$", r"(?U)^\d{1,4}[./\-]\d{1,2}[./\-]\d{1,4}$"
@@ -65,6 +71,8 @@ SUPPLIER = r"(?iU)\b(?:supplier|vendor|seller|from|bill\s*from|m[uü][uü]ja|lie
 BUYER = r"(?iU)\b(?:buyer|customer|bill\s*to|sold\s*to|ostja|rechnungsempf[äa]nger)" + _NAME
 NOT_NAMES = ("ship to", "ship from", "bill to", "bill from", "sold to", "deliver to", "delivery to", "delivery address", "importer of record", "consignee",
              "invoice notes", "shipment information", "invoice information")
+#: The same as a pattern: Spark's lower case takes longer than all else that is asked of a name.
+NOT_NAME = r"(?i)^(?:" + "|".join(NOT_NAMES) + r")\z"
 VAT_ID = r"(?iU)\b(?:VAT\s*Registration|VAT|TAX\s*ID|USt-?ID|KMKR(?:\s*nr\.?)?|Tax\s*Registration)\s*(?:No\.?|Nr\.?|ID)?\s*[:\-]?\s*([A-Z]{2}[A-Z0-9\-]{5,15})"
 #: Characters after a buyer's label in which a tax number is the buyer's.
 BUYER_REACH = 200
@@ -77,3 +85,25 @@ RATED_TAX = r"(?iU)\b(VAT|IVA|MwSt|GST|SST|K[äa]ibemaks|Tax)(?-iU:(?![a-z]))\D{
 TOTAL_TAX = r"(?iU)\bTOTAL\s*(VAT|IVA|MwSt|GST|SST|Tax)(?-iU:(?![a-z]))\s*[:\-]?\s*([\d.,]++)(?!\s*%)"
 NET_BASE = r"(?iU)\bsumma\s*km[\s\-]*ta\s*(?:\d{1,2}(?:[.,]\d+)?\s*%)?\D{0,10}?([\-\d.,]+)"
 KM_RATE = r"(?iU)\bkm\s*(\d{1,2}(?:[.,]\d+)?)\s*%\D{0,10}?([\-\d.,]+)"
+
+# With which letters, of either case, a match of each pattern begins; of words() the phrases tell.
+_FIRSTS = {
+    POSITIVE[4][-1]: "$EUG0-9", CREDIT[1]: "cgkn", MINUS[1]: r"\-(", TITLES: "irfacgkndlpwbeq", IDENTITY: "idrow", INVOICE_NUMBER: "iraf", ORDER_NUMBER: "pt", CODE: "".join(sorted({c[0] for c in CURRENCY_CODES})),
+    SYMBOL: "G", DATES: "0-9", INVOICE_DATE: "idrka", DUE_DATE: "dpmfv", SUPPLIER: "svfbml", BUYER: "bcsor", VAT_ID: "vtuk", TERMS: "pt", TOTAL: "gtaeks", SUBTOTAL: "snv", ANY_AMOUNT: "$EUG0-9.,",
+    CODE_THEN_DIGIT: "".join(sorted({c[0] for c in CURRENCY_CODES})), DIGIT_THEN_CODE: "0-9", LABEL_THEN_CODE: "tsa", RATED_TAX: "vimgskt", TOTAL_TAX: "t", NET_BASE: "s", KM_RATE: "k"}
+_WORDS = r"(?iU)\b("
+
+
+def led(pattern: str) -> str:
+    """The same pattern, asked only where a match can begin: at one of its first letters, or at any that isn't ASCII.
+
+    Java takes far longer for a word boundary of all scripts, at each character of a text, than for a set of letters.
+    """
+    firsts = _FIRSTS.get(pattern)
+    if firsts is None:
+        phrases = re.sub(r"\([^()]*\)", "", pattern.removeprefix(_WORDS)).split("|")
+        if not pattern.startswith(_WORDS) or not all(p[0].isalpha() for p in phrases):
+            raise ValueError(f"it isn't known with which letters this begins: {pattern}")
+        firsts = "".join(sorted({p[0] for p in phrases}))
+    both = firsts + (firsts.swapcase() if firsts.isalpha() else "")
+    return rf"(?=[{both}\x80-\x{{10FFFF}}])(?:{pattern})"

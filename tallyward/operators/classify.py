@@ -39,8 +39,8 @@ def signals(rows: DataFrame, text: str = "text", name: str = "signals") -> DataF
     plain = rows.withColumn(x + "text", strip(F.coalesce(F.col(text), F.lit(""))))
     known = (*v.POSITIVE, v.CREDIT, v.REVERSAL, v.MINUS, *v.NEGATIVE)
     place = {row[0]: i for i, row in enumerate(known)}
-    phrases = F.array_distinct(F.transform(F.regexp_extract_all(c("text"), F.lit(v.GOVERNANCE), F.lit(0)), F.lower))
-    hits = plain.withColumns({x + "phrases": F.size(phrases)} | {x + str(i): c("text").rlike(row[-1]) for i, row in enumerate(known)})
+    phrases = F.array_distinct(F.transform(F.regexp_extract_all(c("text"), F.lit(v.led(v.GOVERNANCE)), F.lit(0)), F.lower))
+    hits = plain.withColumns({x + "phrases": F.size(phrases)} | {x + str(i): c("text").rlike(v.led(row[-1])) for i, row in enumerate(known)})
     hit = lambda row: c(place[row[0]])
     score = lambda found, weight: sum((F.when(hit(r), F.lit(weight(r))).otherwise(F.lit(0)) for r in found), F.lit(0))
     named = lambda found: [F.when(hit(r), F.lit(r[0])) for r in found]

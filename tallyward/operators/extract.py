@@ -18,13 +18,13 @@ TEXT_FIELDS = ("invoice_number", "po_number", "currency", "invoice_date_raw", "d
 
 def unglued(text: Column) -> Column:
     """Spaces put back between currency codes and the digits or labels that recognition stuck to them."""
-    apart = F.regexp_replace(text, rf"(?U)\b({v.STICKY_CODES})(\d)", "$1 $2")
-    apart = F.regexp_replace(apart, rf"(?U)(\d)({v.STICKY_CODES})\b", "$1 $2")
-    return F.regexp_replace(apart, rf"(?iU)\b(total|subtotal|amount|sum)({v.STICKY_CODES})\b", "$1 $2")
+    apart = F.regexp_replace(text, v.led(v.CODE_THEN_DIGIT), "$1 $2")
+    apart = F.regexp_replace(apart, v.led(v.DIGIT_THEN_CODE), "$1 $2")
+    return F.regexp_replace(apart, v.led(v.LABEL_THEN_CODE), "$1 $2")
 
 
 def _every(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    return F.regexp_extract_all(text, F.lit(v.led(pattern)), F.lit(group))
 
 
 def _vat_ids(text: Column) -> Column:
@@ -38,16 +38,16 @@ def _country(vat: Column) -> Column:
 
 def _name(found: Column) -> Column:
     """A captured name, null for labels that stand where names do."""
-    return F.when(~F.lower(strip(found)).isin(*v.NOT_NAMES), F.regexp_replace(strip(found), "[,.]+$", ""))
+    return F.when(~strip(found).rlike(v.NOT_NAME), F.regexp_replace(strip(found), "[,.]+$", ""))
 
 
 def _after_buyer(text: Column) -> Column:
     """The stretch behind the first buyer label and name."""
-    return captured(text, rf"(?s)(?:{v.BUYER})(?-i:(.{{0,{v.BUYER_REACH}}}))", 2)
+    return captured(text, rf"(?s)(?:{v.led(v.BUYER)})(?-i:(.{{0,{v.BUYER_REACH}}}))", 2)
 
 
 def _tax_name(kind: Column) -> Column:
-    return F.when(F.upper(kind) == "TAX", F.lit("VAT")).otherwise(F.upper(kind))
+    return F.when(kind.isin("Tax", "tax", "TAX"), F.lit("VAT")).when(kind.isin("VAT", "GST", "IVA", "SST"), kind).when(F.upper(kind) == "TAX", F.lit("VAT")).otherwise(F.upper(kind))
 
 
 def extracted(rows: DataFrame, text: str = "text", name: str = "fields", condition: Column | None = None, only: Sequence[str] | None = None) -> DataFrame:
@@ -61,10 +61,10 @@ def extracted(rows: DataFrame, text: str = "text", name: str = "fields", conditi
     plain = strip(F.coalesce(F.col(text), F.lit("")))
     start = rows.withColumn(x + "text", unglued(plain if condition is None else F.when(condition, plain)))
     t = c("text")
-    firsts = {key: captured(t, pattern) for key, pattern in (
+    firsts = {key: captured(t, v.led(pattern)) for key, pattern in (
         ("number", v.INVOICE_NUMBER), ("order", v.ORDER_NUMBER), ("code", v.CODE), ("symbol", v.SYMBOL), ("dated", v.INVOICE_DATE), ("due", v.DUE_DATE), ("supplier", v.SUPPLIER), ("buyer", v.BUYER),
         ("terms", v.TERMS), ("labelled", v.TOTAL), ("subtotal", v.SUBTOTAL), ("net", v.NET_BASE))}
-    firsts |= {"rate": captured(t, v.KM_RATE, 1), "rate_tax": captured(t, v.KM_RATE, 2), "stated_kind": F.regexp_extract(t, v.TOTAL_TAX, 1), "stated": F.regexp_extract(t, v.TOTAL_TAX, 2),
+    firsts |= {"rate": captured(t, v.led(v.KM_RATE), 1), "rate_tax": captured(t, v.led(v.KM_RATE), 2), "stated_kind": F.regexp_extract(t, v.led(v.TOTAL_TAX), 1), "stated": F.regexp_extract(t, v.led(v.TOTAL_TAX), 2),
                "after": _after_buyer(t), "vats": _vat_ids(t), "dates": F.array_distinct(_every(t, v.DATES, 0)),
                "before_sign": _every(t, v.ANY_AMOUNT, 1), "after_sign": _every(t, v.ANY_AMOUNT, 2)}
     firsts |= {key: _every(t, v.RATED_TAX, group) for key, group in (("kinds", 1), ("rates", 2), ("amounts", 3))}

@@ -10,11 +10,11 @@ from ..functions import vocabulary as v
 
 
 def titles(top: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(top, F.lit(v.TITLES), F.lit(0)), F.upper)))
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(top, F.lit(v.led(v.TITLES)), F.lit(0)), F.upper)))
 
 
 def identities(top: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(top, F.lit(v.IDENTITY), F.lit(0)), F.lower)))
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(top, F.lit(v.led(v.IDENTITY)), F.lit(0)), F.lower)))
 
 
 def boundaries(pages: DataFrame, suggested: str | None = None) -> DataFrame:

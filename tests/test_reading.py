@@ -91,3 +91,35 @@ def test_nothing_found_and_line_agreement(spark):
     cases = [(2.0, 5.0, 10.0, True), (2.0, 5.0, 10.02, True), (100.0, 5.0, 504.0, True), (2.0, 5.0, 12.0, False), (0.0, 5.0, 0.0, True), (1.0, 5.0, 0.0, False)]
     rows = spark.createDataFrame(cases, "q double, p double, t double, ok boolean").select((extract.line_agrees(F.col("q"), F.col("p"), F.col("t")) == F.col("ok")).alias("same"))
     assert all(r[0] for r in rows.collect())
+
+
+def test_patterns_begin_with_a_set_of_letters_and_find_the_same(spark):
+    """Also at letters of other scripts that are the same in any case, and where a match begins in the middle."""
+    from tallyward.functions import vocabulary as v
+
+    patterns = [r[-1] for r in (*v.POSITIVE, v.CREDIT, v.REVERSAL, v.MINUS, *v.NEGATIVE)] + [
+        v.GOVERNANCE, v.TITLES, v.IDENTITY, v.INVOICE_NUMBER, v.ORDER_NUMBER, v.CODE, v.SYMBOL, v.DATES, v.INVOICE_DATE, v.DUE_DATE, v.SUPPLIER, v.BUYER, v.VAT_ID, v.TERMS, v.TOTAL, v.SUBTOTAL,
+        v.ANY_AMOUNT, v.RATED_TAX, v.TOTAL_TAX, v.NET_BASE, v.KM_RATE, v.CODE_THEN_DIGIT, v.DIGIT_THEN_CODE, v.LABEL_THEN_CODE]
+    assert all(v.led(p).startswith("(?=[") for p in patterns)
+    pieces = ["INVOICE No: A-1", "ınvoıce number 77", "Kogus", "Kokku 12,50", "EUR 1.20", "€5.00", "1.20 EUR", "xinvoice no 1", "invoice date 2024-01-02", "Credit Notes", "-5.00", "(12.00)", "VAT ID DE123456789", "Müüja: Foo Bar",
+              "bill to\nAcme Ltd\n", "p.o. no. 123", "TOTALEUR", "EUR12", "٣٤ EUR", "TOTAL VAT 3.00", "VAT 20% 3.00", "summa km-ta 20% 10.00", "km 20 % 2.00", "Net 30", "ſubtotal 5", "Terms of payment: Net 14", "delivery note", "due date 01.02.2024",
+              "donation and sponsorship", "group cfo", "GHC", "äsupplier x", "sub total: 10", "purchase requisition", "approve/reject", "in reference to invoice", "customs invoice", "reminder"]
+    rng = __import__("random").Random(3)
+    texts = pieces + [rng.choice([" ", "\n", "", " "]).join(rng.choices(pieces, k=rng.randint(2, 6))) for _ in range(200)]
+    frame = spark.createDataFrame([(x,) for x in texts], "text string")
+    every = lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0))
+    differ = frame.select(*[(every(p) == every(v.led(p))).alias(f"same{i}") for i, p in enumerate(patterns)], *[(F.size(every(p)) > 0).alias(f"hit{i}") for i, p in enumerate(patterns)]).collect()
+    assert all(r[f"same{i}"] for r in differ for i in range(len(patterns)))
+    assert sum(any(r[f"hit{i}"] for r in differ) for i in range(len(patterns))) >= len(patterns) - 1
+
+
+def test_plain_numbers_and_white_space(spark):
+    from tallyward.functions import text as t
+    from tallyward.functions import values as n
+    from tallyward.operators import erp
+
+    cells = [("12.50", "12.50", 12.5, True), ("", "", None, True), (" 7 ", "7", 7.0, True), ("7\n", "7", 7.0, True), ("1.", "1.", 1.0, True), ("x", None, None, False), (" 5　", "5", 5.0, True), ("\x1c5", None, None, False)]
+    rows = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cells)], "i int, x string").orderBy("i").select(n.number("x").alias("n"), n.to_double(F.col("x")).alias("d"), n.is_numeric("x").alias("k"), erp.amount(F.col("x")).alias("a"), t.strip("x").alias("s")).collect()
+    assert [(r["n"], r["d"], r["k"]) for r in rows] == [c[1:] for c in cells]
+    assert [r["a"] for r in rows] == [c[2] or 0.0 for c in cells] and rows[2]["s"] == "7" and rows[6]["s"] == "5"
+    assert [r["k"] for r in spark.createDataFrame([("nan ",), ("-INF",), ("1",), ("",)], "x string").select(n.not_finite("x").alias("k")).collect()] == [True, True, False, False]
