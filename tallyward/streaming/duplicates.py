@@ -2,8 +2,8 @@
 
 A row can equal booked rows by any of four tiers, near-equal texts among them, so its verdict
 hangs on several keys at once and state under one key can't hold it.  What was booked is therefore
-a table that grows by a folder for each batch; a batch is joined with it (a small batch is broadcast, so that
-the table isn't moved), and only rows without a booked predecessor there are settled among themselves.
+a table that grows by a folder for each batch; a batch is settled by linked groups together with what was booked of these;
+for a small batch that is looked up first, so that the table isn't moved.
 
 Booking order is by batch and within it by ``seq``; if batches come in that order, the verdicts equal the batch plan's.
 A batch that runs again reads only the folders before its own and overwrites its own two, so a lost driver or a restart leaves
