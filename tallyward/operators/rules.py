@@ -7,13 +7,13 @@ structural checks those on values remain.  :func:`shape_issues` checks raw JSON.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import values as n
-from ..functions.text import listed, present, quoted, strip
+from ..functions.text import let, listed, present, quoted, strip
 from . import erp
 from .classify import CREDIT_MEMO, INVOICE
 
@@ -43,7 +43,18 @@ def when(bad: Column, check: str, reason: Column | str, decline: str, field: Col
 
 
 def joined(*parts: Column) -> Column:
-    return F.concat(*parts)
+    return F.flatten(F.array(*parts))
+
+
+def _cells(whole: Column, names: tuple[str, ...], check: Callable[[Column, Column], Column]) -> Column:
+    """Issues of ``check(value, name)``, of which plain numbers and blanks have none, for each of the cells in turn.
+
+    The check stands in the plan once, however many cells there are, and isn't asked where one look tells that all are blank or digits.
+    """
+    text = F.concat(*[part for x in names for part in (F.coalesce(whole[x], F.lit("")), F.lit("\x00"))])
+    plain = text.rlike(rf"^(?:(?:[0-9]+(?:\.[0-9]+)?)?\x00){{{len(names)}}}\z")
+    cells = F.array(*[F.struct(whole[x].cast("string").alias("value"), F.lit(x).alias("name")) for x in names])
+    return F.when(plain, F.array().cast(ISSUES)).otherwise(F.flatten(F.transform(cells, lambda c: check(c["value"], c["name"]))))
 
 
 def said(*parts: Column | str) -> Column:
@@ -62,12 +73,12 @@ def schema_issues(p: Column) -> Column:
     def of_line(line: Column, i: Column) -> Column:
         kind = when(present(line["item_type"]) & ~line["item_type"].isin(*ITEM_TYPES), "schema.line_item_type", said(_at("line_items", i), " invalid item_type: ", quoted(line["item_type"])),
                     "SCHEMA_VIOLATION", _at("line_items", i, ".item_type"))
-        return joined(kind, *[bad_number(line[x], _at("line_items", i, f".{x}")) for x in LINE_NUMBERS])
+        return joined(kind, _cells(line, LINE_NUMBERS, lambda v, x: bad_number(v, F.concat(_at("line_items", i, "."), x))))
 
-    of_tax = lambda tax, i: joined(*[bad_number(tax[x], _at("taxes", i, f".{x}")) for x in ("tax_rate", "tax_amount")])
+    of_tax = lambda tax, i: _cells(tax, ("tax_rate", "tax_amount"), lambda v, x: bad_number(v, F.concat(_at("taxes", i, "."), x)))
     return joined(
         when(~F.coalesce(p["invoice_type"], F.lit("")).isin(*TYPES), "schema.invoice_type", said("invalid invoice_type: ", quoted(p["invoice_type"])), "SCHEMA_VIOLATION", "invoice_type"),
-        F.flatten(F.transform(p["line_items"], of_line)), F.flatten(F.transform(p["taxes"], of_tax)), *[bad_number(p[x], F.lit(x)) for x in TOP_NUMBERS])
+        F.flatten(F.transform(p["line_items"], of_line)), F.flatten(F.transform(p["taxes"], of_tax)), _cells(p, TOP_NUMBERS, bad_number))
 
 
 def shape_issues(raw: Column | str) -> Column:
@@ -124,18 +135,22 @@ def masters_valid(p: Column, known: dict[str, Column]) -> Column:
 
 
 def parties_differ(p: Column) -> Column:
-    name = lambda x: F.lower(strip(F.coalesce(x, F.lit(""))))
-    mine, theirs = name(p["supplier"]["name"]), name(p["buyer"]["company_code"])
-    return when(present(mine) & (mine == theirs), "identity.supplier_equals_buyer",
-                said("supplier and buyer identity are identical (", quoted(mine), ") — likely a mislabeled document rather than a genuine transaction"), "CONFLICTING_SIGNALS")
+    name = lambda x: strip(F.coalesce(x, F.lit("")))
+    ascii_only = lambda x: F.octet_length(x) == F.length(x)
+    # lower case, which takes long, is asked only of names that it may make equal: those of ASCII letters keep their lengths
+    differ = lambda a, b: ascii_only(a) & ascii_only(b) & (F.length(a) != F.length(b))
+    both = F.struct(name(p["supplier"]["name"]).alias("mine"), name(p["buyer"]["company_code"]).alias("theirs"))
+    same = let(both, lambda x: present(x["mine"]) & ~differ(x["mine"], x["theirs"]) & (F.lower(x["mine"]) == F.lower(x["theirs"])))
+    return when(same, "identity.supplier_equals_buyer",
+                said("supplier and buyer identity are identical (", quoted(F.lower(name(p["supplier"]["name"]))), ") — likely a mislabeled document rather than a genuine transaction"), "CONFLICTING_SIGNALS")
 
 
 def financially_sound(p: Column) -> Column:
-    checks = []
-    for name in TOP_NUMBERS:
-        checks.append(when(~n.is_numeric(p[name]), "financial.malformed_number", said(f"{name}=", quoted(p[name]), " is not a valid number"), "SCHEMA_VIOLATION", name))
-        checks.append(when(n.not_finite(p[name]), "financial.non_finite_number", said(f"{name}=", quoted(p[name]), " is NaN/infinite"), "SCHEMA_VIOLATION", name))
-    return joined(*checks, when(~present(p["currency"]), "financial.missing_currency", "currency is blank on a payable", "INSUFFICIENT_EVIDENCE", "currency"))
+    def of(value: Column, name: Column) -> Column:
+        return joined(when(~n.is_numeric(value), "financial.malformed_number", said(name, "=", quoted(value), " is not a valid number"), "SCHEMA_VIOLATION", name),
+                      when(n.not_finite(value), "financial.non_finite_number", said(name, "=", quoted(value), " is NaN/infinite"), "SCHEMA_VIOLATION", name))
+
+    return joined(_cells(p, TOP_NUMBERS, of), when(~present(p["currency"]), "financial.missing_currency", "currency is blank on a payable", "INSUFFICIENT_EVIDENCE", "currency"))
 
 
 def credit_positive(p: Column) -> Column:
@@ -149,10 +164,9 @@ def credit_positive(p: Column) -> Column:
 
 def rates_plausible(p: Column) -> Column:
     def of(tax: Column, where: Column) -> Column:
-        rate = n.to_double(tax["tax_rate"])
-        return joined(
+        return let(n.to_double(tax["tax_rate"]), lambda rate: joined(
             when(present(tax["tax_rate"]) & rate.isNull(), "tax.malformed_rate", said(where, "=", quoted(tax["tax_rate"]), " not numeric"), "SCHEMA_VIOLATION", where),
-            when((rate < -100) | (rate > 100), "tax.implausible_rate", said(where, "=", rate.cast("string"), " outside plausible range"), "BUSINESS_RULE_VIOLATION", where))
+            when((rate < -100) | (rate > 100), "tax.implausible_rate", said(where, "=", rate.cast("string"), " outside plausible range"), "BUSINESS_RULE_VIOLATION", where)))
 
     header = F.flatten(F.transform(p["taxes"], lambda x, i: of(x, _at("taxes", i, ".tax_rate"))))
     lines = F.flatten(F.transform(p["line_items"], lambda line, k: F.flatten(F.transform(
@@ -166,8 +180,11 @@ def reconciled(p: Column) -> Column:
 
 
 def adjudicate(p: Column, fields: Column, classification: Column, text: Column, known: dict[str, Column]) -> Column:
-    """All issues of a payable, in the fixed order of checks."""
-    return reduce(lambda a, b: F.concat(a, b), (
+    """All issues of a payable, in the fixed order of checks.
+
+    Its arguments are mentioned hundreds of times: let them be columns that hold (:func:`operators.shared.fixed`), not expressions.
+    """
+    return joined(*(
         schema_issues(p), grounded(p, text), corroborated(fields), classification_consistent(classification), masters_valid(p, known),
         parties_differ(p), financially_sound(p), credit_positive(p), rates_plausible(p), reconciled(p)))
 
@@ -179,5 +196,5 @@ def first_failure(issues: Column) -> Column:
 
 def message(issues: Column) -> Column:
     """``REASON: check: detail`` of the first hard failure, "" if there is none."""
-    f = first_failure(issues)
-    return F.coalesce(F.concat(f["decline_reason"], F.lit(": "), f["check"], F.lit(": "), f["reason"]), F.lit(""))
+    told = let(first_failure(issues), lambda f: F.concat(f["decline_reason"], F.lit(": "), f["check"], F.lit(": "), f["reason"]))
+    return F.coalesce(told, F.lit(""))

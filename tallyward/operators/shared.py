@@ -27,6 +27,13 @@ def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` of a table dealt by ``key`` to all tasks where it has fewer files than there are cores: a file of one row group is read by one task, whatever is asked of its rows."""
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key) if len(rows.inputFiles()) < cores else rows
+
+
 def scratch_path(spark: SparkSession, stem: str) -> str:
     """A new path in ``spark.checkpoint.dir``; in a folder of our own only where none is named and there is one machine."""
     context = spark.sparkContext

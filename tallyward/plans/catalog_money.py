@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions import values as n
 from ..operators import classify, erp, extract, model, rules
+from ..operators.shared import fixed, spread
 from . import rendered
 from .twins import collapse, money
 
@@ -235,9 +236,11 @@ def adjudicate_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     evidence = F.when(k == 11, F.array(F.lit("invoice identity pattern"))).when(k == 8, F.array(F.lit("Credit note"), F.lit("x"))).otherwise(F.array(F.lit("a"), F.lit("b")))
     cls = F.struct(bad(8, F.lit(classify.CREDIT_MEMO), F.lit(classify.INVOICE)).alias("doc_class"), evidence.alias("evidence"))
     known = {"supplier": k != 5, "unit": F.lit(True), "term": F.lit(True), "po": F.lit(True), "taxes": F.array().cast("array<string>")}
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", payable.alias("p"), text.alias("text"), fields.alias("f"), cls.alias("c"), known["supplier"].alias("ks"))
+    # built once per row: each check mentions the payable
+    cell = F.struct(payable.alias("p"), text.alias("text"), fields.alias("f"), cls.alias("c"), known["supplier"].alias("ks"))
+    rows = fixed(spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey"), "x", cell).select("o_orderkey", "x.*")
     known["supplier"] = F.col("ks")
-    return rows.select("o_orderkey", rules.adjudicate(F.col("p"), F.col("f"), F.col("c"), F.col("text"), known).alias("issues"))
+    return fixed(rows, "issues", rules.adjudicate(F.col("p"), F.col("f"), F.col("c"), F.col("text"), known)).select("o_orderkey", "issues")
 
 
 def adjudicate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:

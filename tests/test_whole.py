@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.operators import rules
+from tallyward.operators.shared import spread
 from tallyward.plans import catalog, catalog_match, rendered
 from tallyward.plans import pipeline
 from tallyward.plans.pipeline import PAYABLE_FIELDS, adjudicate
@@ -51,6 +52,34 @@ def test_rules_name_the_first_failure(spark):
     assert [r["ok"] for r in rows] == [True] + [False] * 11 and {r["decline_reason"] for r in rows[1:]} <= set(rules.REASONS)
 
 
+@pytest.mark.parametrize("name", ["adjudicate_issues", "adjudicate_first_failure"])
+def test_checked_payables_are_built_once_and_by_all_tasks(spark, name):
+    """A table of one file is read by one task, and each check mentions the payable: its cells must not be made anew at each mention."""
+    rows = catalog.QUERIES[name](spark, SMALL)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("lpad(") < 40
+    one = spark.read.parquet(f"{SMALL}/orders.parquet")
+    assert one.rdd.getNumPartitions() == 1 and spread(one, "o_orderkey").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_numbers_are_named_in_their_order(spark):
+    """Blank and plain ones by one look at all of them, others one by one; a cell that holds what parts the cells is no two cells."""
+    numbers = {"gross_total": "1\x002", "subtotal": None, "total_tax_amount": "nan", "discount_amount": "-5", "freight_charges": "1.", "insurance_charges": "", "extra_charges": "x", "excise_duties": "10.50"}
+    plain_ = dict.fromkeys(numbers, "7.5") | {"subtotal": None, "excise_duties": ""}
+    rows = spark.createDataFrame([(0, *plain_.values()), (1, *numbers.values())], "k int, " + ", ".join(f"{x} string" for x in numbers)).withColumn("currency", F.lit("EUR"))
+    found = rows.select("k", F.transform(rules.financially_sound(F.struct(*[F.col(c) for c in rows.columns])), lambda x: F.concat_ws("|", x["check"], x["field"], x["reason"])).alias("x"))
+    got = {r["k"]: r["x"] for r in found.collect()}
+    assert got[0] == [] and got[1] == [
+        "financial.malformed_number|gross_total|gross_total='1\x002' is not a valid number", "financial.non_finite_number|total_tax_amount|total_tax_amount='nan' is NaN/infinite",
+        "financial.malformed_number|extra_charges|extra_charges='x' is not a valid number"]
+
+
+def test_a_party_differs_from_itself_in_no_case(spark):
+    cases = [("ACME", " acme ", True), ("ACME", "acme1", False), ("", "", False), ("Ünit", "üNIT", True), ("ÜNIT", "UNIT", False), ("\u0130x", "i\u0307X", True)]
+    party = lambda c: F.struct(F.col(c).alias("name"), F.col(c).alias("company_code"))
+    rows = spark.createDataFrame(cases, "a string, b string, same boolean").select("same", F.size(rules.parties_differ(F.struct(party("a").alias("supplier"), party("b").alias("buyer")))).alias("n"))
+    assert all(r["n"] == int(r["same"]) for r in rows.collect())
+
+
 def test_shapes_of_raw_payables(spark):
     good = {k: "" for k in rules.REQUIRED} | {"invoice_type": "INVOICE", "taxes": [], "line_items": [], "supplier": dict.fromkeys(("name", "supplier_id", "address", "vat_id"), ""), "buyer": dict.fromkeys(("company_code", "business_unit_code", "location_code"), "")}
     cases = [(good, []), ({k: v for k, v in good.items() if k != "po_id"}, ["schema.required_keys"]), (good | {"invoice_type": "X"}, ["schema.invoice_type"]), (good | {"supplier": {}}, ["schema.supplier_shape"]),
