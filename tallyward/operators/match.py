@@ -60,11 +60,12 @@ def unique_or_blank(master: DataFrame, key: str, value: str) -> DataFrame:
                 key, F.size("all").alias("n"), F.array_join("all", ",").alias("listed"), F.when(F.size("all") == 1, F.get("all", F.lit(0))).alias("only")))
 
 
-def supplier(probes: DataFrame, master: DataFrame, fuzzy: bool = True, unicode: bool = True) -> DataFrame:
+def supplier(probes: DataFrame, master: DataFrame, fuzzy: bool = True, unicode: bool = True, scores: bool = True) -> DataFrame:
     """``probes (probe_id, name, vat_id, country)`` with ``supplier``; ``master (supplier_id, name, vat_id, country, load_order)``.
 
     A tax number decides alone, found or not; then the name, then a similar name in
-    the country's block, or in the whole master where the country is blank or has none.
+    the country's block, or in the whole master where the country is blank or has none.  Names that match nothing are told with their
+    two best scores, for which they are held against their whole block; without ``scores`` they are only told to be unmatched.
     """
     keyed = master.select("supplier_id", "load_order", t.vat_key("vat_id", unicode).alias("m_vat"), t.name_key("name", unicode).alias("m_name"),
                           t.country_key("country", unicode).alias("m_country"))
@@ -81,18 +82,18 @@ def supplier(probes: DataFrame, master: DataFrame, fuzzy: bool = True, unicode:
     if not fuzzy:
         return decided.withColumn("supplier", F.coalesce("supplier", result(UNMATCHED, reason="no exact match"))).drop("p_vat", "p_name", "p_country")
     open_ = decided.where(F.col("supplier").isNull()).select("probe_id", "p_name", "p_country").distinct()
-    similar = _similar(open_, keyed)
+    similar = _similar(open_, keyed, scores)
     out = decided.join(similar, "probe_id", "left")
     return out.withColumn("supplier", F.coalesce("supplier", "similar", result(UNMATCHED, reason="no candidates"))).drop("similar", "p_vat", "p_name", "p_country")
 
 
-def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
+def _similar(probes: DataFrame, keyed: DataFrame, scores: bool = True) -> DataFrame:
     """``probe_id, similar``: the best name and its runner-up.
 
     Names within :data:`ACCEPT` of each other are found as near texts of a block, so not all pairs of a block meet; see :mod:`.near`.  The runner-up counts down to
     ``MARGIN`` below the best.  Where that is under :data:`ACCEPT`, candidates are joined on the block and a band of lengths: a ratio of r needs lengths of at least
     r / (2 - r), and names aren't compared whose letters or edit distance allow no more.  Names that find none to accept are asked for their two best at any
-    score; see :func:`_best_two`.
+    score, if ``scores`` are wanted; see :func:`_best_two`.
     """
     blocks = keyed.groupBy("m_country").agg(F.count(F.lit(1)).alias("block_size"))
     whole = keyed.count()
@@ -122,7 +123,10 @@ def _similar(probes: DataFrame, keyed: DataFrame) -> DataFrame:
              .groupBy("id").agg(F.max("score").alias("lower")))
     top = top.join(lower, "id", "left").select("block", "p_name", "supplier_id", "score", F.greatest("next", F.coalesce("lower", F.lit(0.0))).alias("next"))
     decided = checkpointed(known.join(top, ["block", "p_name"], "left"))
-    low = _best_two(decided.where("score is null").select("p_name", "block").distinct(), keyed)
+    if not scores:
+        low = decided.sparkSession.createDataFrame([], "p_name string, block string, low double, low_next double")
+    else:
+        low = _best_two(decided.where("score is null").select("p_name", "block").distinct(), keyed)
     all_ = decided.join(low, ["p_name", "block"], "left").select("probe_id", "candidates", "supplier_id", F.coalesce("score", "low").alias("score"), F.coalesce("next", "low_next").alias("next"))
     how = "fuzzy_name_blocked_by_country"
     clear = (F.col("score") >= ACCEPT) & (F.col("score") - F.col("next") >= MARGIN)

@@ -27,11 +27,15 @@ def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 
+def tasks(spark: SparkSession) -> int:
+    """Parts for steps whose rows take long and few bytes: as many as asked for, at least the cores; Spark itself would join small parts into few."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def spread(rows: DataFrame, key: str) -> DataFrame:
     """``rows`` of a table dealt by ``key`` to all tasks where it has fewer files than there are cores: a file of one row group is read by one task, whatever is asked of its rows."""
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key) if len(rows.inputFiles()) < cores else rows
+    few = len(rows.inputFiles()) < rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks(rows.sparkSession), key) if few else rows
 
 
 def scratch_path(spark: SparkSession, stem: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedupe, match, rules
-from ..operators.shared import checkpointed, scratch_path
+from ..operators.shared import checkpointed, scratch_path, spread
 from ..streaming import duplicates
 from . import rendered
 from .catalog_money import cents_text, table
@@ -218,7 +218,7 @@ def masters(spark: SparkSession, sf_dir: str) -> Masters:
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered documents as one-page files, through every stage to one result per file."""
-    docs = rendered.documents(spark, table(spark, sf_dir, "orders"))
+    docs = rendered.documents(spark, spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey"))
     name = F.concat(F.lit("doc-"), F.lpad(F.col("k").cast("string"), 9, "0"), F.lit(".pdf"))
     pages = docs.select(name.alias("doc_id"), F.lit(1).alias("page_number"), "text")
     files = docs.select(name.alias("file"), name.alias("sort_key"), F.sha2(F.col("k").cast("string"), 256).alias("file_hash"), F.lit(None).cast("string").alias("render_error"))

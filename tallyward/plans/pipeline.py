@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions import values as n
 from ..operators import classify, dedupe, extract, match, model, rules, segment
-from ..operators.shared import checkpointed, fixed
+from ..operators.shared import checkpointed, fixed, tasks
 
 PAYABLE_FIELDS = (
     "invoice_type", "currency", "line_items", "taxes", "discount_amount", "freight_charges", "insurance_charges", "extra_charges", "excise_duties", "gross_total",
@@ -73,7 +73,8 @@ def resolve(candidates: DataFrame, masters: Masters, unicode: bool = True) -> Da
         f("buyer_country").alias("buyer_country"), F.lit("").alias("bu_code"), f("payment_term_text").alias("term_text"), f("po_number").alias("po_number"),
         n.optional(n.date(F.col("fields.invoice_date_raw"))).alias("invoice_date"), n.optional(n.date(F.col("fields.due_date_raw"))).alias("due_date"),
         f("currency").alias("currency"))
-    found = match.supplier(probe, masters.suppliers, unicode=unicode).withColumn("supplier_id", match.id_or_blank(F.col("supplier")))
+    # a payable carries an identifier or none, no scores
+    found = match.supplier(probe, masters.suppliers, unicode=unicode, scores=False).withColumn("supplier_id", match.id_or_blank(F.col("supplier")))
     found = match.buyer(found, masters.units, unicode=unicode)
     found = match.payment_term(found, masters.aliases, masters.days, unicode=unicode)
     found = match.purchase_order(found, masters.orders, unicode=unicode)
@@ -129,7 +130,7 @@ def adjudicate(pages: DataFrame, files: DataFrame, masters: Masters, unicode: bo
     file's name.  A file that couldn't gets two empty arrays.
     """
     usable = files.where("render_error is null").select(F.col("file").alias("doc_id"), "sort_key", "file_hash")
-    found = segment.without_pages(usable, segment.segments(pages))
+    found = segment.without_pages(usable, segment.segments(pages.repartition(tasks(files.sparkSession), "doc_id")))
     rows = read(found.join(usable, "doc_id")).withColumn("seq", F.struct("sort_key", F.col("doc_id").alias("file"), "seg_no"))
     rows = checkpointed(rows)
     candidates = checkpointed(resolve(rows.where("early is null"), masters, unicode))

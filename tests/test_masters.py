@@ -61,6 +61,22 @@ def test_similar_names_against_all_pairs(spark):
         assert told[i][1] == ("" if expected[0] == "MATCHED" else f"best={best[0]:.3f} runner_up={second[0]:.3f} (threshold=0.9, margin=0.08)")
 
 
+def test_scores_that_nobody_reads_are_not_sought(spark, monkeypatch):
+    """Holding each name that matches nothing against its whole block is quadratic; who asks for identifiers only gets the same ones without it."""
+    rows = [(str(i), f"supplier {i * 7919} ltd", "", "EE", i) for i in range(40)]
+    asked = [(0, "supplier 7919 ltd", "", ""), (1, "suppliers 15838 ltd", "", "EE"), (2, "seller 12", "", ""), (3, "", "", "EE"), (4, "someone else", "", "EE")]
+    master = spark.createDataFrame(rows, "supplier_id string, name string, vat_id string, country string, load_order int")
+    probes = spark.createDataFrame(asked, "probe_id int, name string, vat_id string, country string")
+    told = lambda df: {r["probe_id"]: (r["supplier"]["status"], r["supplier"]["matched_id"], r["supplier"]["method"] if r["supplier"]["matched_id"] else "") for r in df.collect()}
+    expected = told(match.supplier(probes, master))
+
+    def never(*_):
+        raise AssertionError("asked for scores")
+
+    monkeypatch.setattr(match, "_best_two", never)
+    assert told(match.supplier(probes, master, scores=False)) == expected and expected[2][0] == "UNMATCHED" and expected[0][0] == "MATCHED"
+
+
 def test_the_two_best_names_at_any_score(spark, monkeypatch):
     """In tiles and parts, against all pairs; names that the master has twice, and blocks that are asked for without having any."""
     from difflib import SequenceMatcher
