@@ -108,7 +108,7 @@ def _similar(probes: DataFrame, keyed: DataFrame, scores: bool = True) -> DataFr
     asked = checkpointed(known.select("block", F.col("p_name").alias("form")).distinct().select("block", "form", F.monotonically_increasing_id().alias("id"), F.lit(1).alias("seq")))
     names = checkpointed(copies.join(sized(asked.select("block").distinct()), "block", "left_semi").groupBy("block", F.col("m_name").alias("form")).agg(
         F.min_by("supplier_id", "load_order").alias("supplier_id"), F.min("load_order").alias("load_order"), F.count(F.lit(1)).alias("times")).select("*", F.monotonically_increasing_id().alias("id"), F.lit(0).alias("seq")))
-    found = near.pairs(asked, names, ACCEPT, ("block",))
+    found = near.pairs(asked, names, ACCEPT, ("block",), short=True)
     scored = found.select("id", "p_id", "score").join(names.select(F.col("id").alias("p_id"), "supplier_id", "load_order", "times"), "p_id")
     ranked = scored.groupBy("id").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("score", -F.col("load_order"), "p_id", "supplier_id", "times")))), 1, 2).alias("two"))
     first, second = F.get("two", F.lit(0)), F.get("two", F.lit(1))

@@ -26,12 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as t
-from .shared import checkpointed
+from .shared import checkpointed, tasks
 
 #: Places of the table of counts, and characters of a text whose pieces are chosen together.
 PLACES, STRETCH = 1 << 18, 2000
 #: Bytes of texts that share what has to be equal, up to which one task compares them; and meetings of pieces that it looks at together.
 TASK_BYTES, MEETINGS = 32 << 20, 2_000_000
+#: Short texts asked for, and texts that these are held against, in a task; and texts or pairs that it looks at together.
+ASKED, TILE, ROWS = 50_000, 100_000, 20_000
+#: Characters of a text up to which its subsequences are bounded before it is compared.
+WIDTH = 320
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -203,6 +207,188 @@ def candidates(texts: list[str], group: np.ndarray, least: float) -> tuple[np.nd
     return a[keep], b[keep]
 
 
+def unmatched(size: int, other: int, least: float) -> int:
+    """Characters that two near texts of these sizes can leave unmatched at most; -1 if none so different are near."""
+    most = int((1 - least) * (size + other) + 1e-6)
+    most -= (most - size - other) % 2
+    return most if most >= abs(size - other) else -1
+
+
+def parts(size: int, others: list[int], least: float) -> tuple[int, int] | None:
+    """How many parts of a text of so many characters, and of how many each, near texts of ``others`` sizes, none longer, have one at least of but for one character; null if none is near.
+
+    Two unmatched characters spoil a part, one doesn't.  Parts are three quarters of what would leave no choice.
+    """
+    most = max((unmatched(size, other, least) for other in others), default=-1)
+    n = most // 2 + 1
+    return None if most < 0 or not size else (n, max(min(int(0.75 / (1 - least) + 1e-6), size // n), 1))
+
+
+def _gapped(cells: np.ndarray, q: int, gap: int) -> np.ndarray:
+    """As :func:`hashes`, of grams of ``q`` characters without the one that stands after the first ``gap``."""
+    size = max(cells.shape[-1] - q, 0)
+    out = np.zeros((*cells.shape[:-1], size), np.uint64)
+    for i in range(q if size else 0):
+        begin = i + (i >= gap)
+        out = (out ^ cells[..., begin : begin + size]) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _tag(gap: int) -> np.uint64:
+    """Tells grams of the shorter text that leave out a character from those that don't."""
+    return np.uint64(gap * 0xD6E8FEB86659FD93 % 2**64)
+
+
+def _inserted(length: int) -> list[tuple[int, int]]:
+    """For each place in a part where the shorter text may have one character more: the part's end that is left out (0 the last, 1 the first), and the characters before that place."""
+    return [(0, i) if i <= length // 2 else (1, i - 1) for i in range(2, length - 1)]
+
+
+def _by_size(texts: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The numbers of texts of each size but 0, and their characters, a row each."""
+    size = np.array([len(x) for x in texts], np.int64)
+    out = {}
+    for n in np.unique(size[size > 0]).tolist():
+        own = np.flatnonzero(size == n)
+        out[n] = own, np.frombuffer("".join([texts[i] for i in own.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n)
+    return out
+
+
+def _met(longer: list[str], shorter: list[str], least: float, equal: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of texts that share a part of the longer one but for a character, some twice; ``equal``: also those of one size.
+
+    A part that lost a character stands in the shorter text without it; one that got a character stands there, less its first or last one,
+    around a gap.  Parts are the rarest among the shorter texts' grams.
+    """
+    xs, ys = _by_size(longer), _by_size(shorter)
+    fits = lambda n, m: (m < n or (equal and m == n)) and unmatched(n, m, least) >= 0
+    shapes = {n: shape for n in xs if (shape := parts(n, [m for m in ys if fits(n, m)], least))}
+    tokens, owners, places = [], [], []
+    for m, (own, chars) in ys.items():
+        cells = chars.astype(np.uint64)
+        for length in sorted({shapes[n][1] for n in shapes if fits(n, m)}):
+            q = length - 1
+            for found in (hashes(cells, q), *(_gapped(cells, q, gap) ^ _tag(gap) for gap in sorted({g for _, g in _inserted(length)}))):
+                tokens.append(found.ravel())
+                owners.append(np.repeat(own.astype(np.int32), found.shape[1]))
+                places.append(np.tile(np.arange(found.shape[1], dtype=np.int32), len(own)))
+    if not tokens:
+        return
+    token, owner, where = np.concatenate(tokens), np.concatenate(owners), np.concatenate(places)
+    del tokens, owners, places
+    counts = np.bincount(place(token), minlength=PLACES)
+    bits = np.uint64(64 - min(len(token).bit_length() + 3, 26))
+    seen = np.zeros(1 << int(64 - bits), bool)
+    seen[token >> bits] = True
+    # a token's upper bits and its number in one word, which sorts much faster than a token with a number beside it
+    rest = np.uint64((1 << len(token).bit_length()) - 1)
+    token = np.sort((token & ~rest) | np.arange(len(token), dtype=np.uint64))
+    size = np.array([len(x) for x in shorter], np.int64)
+    for n, (count, length) in shapes.items():
+        own, chars = xs[n]
+        lead = [0, 1] + [0] * (length - 2) + [end for end, _ in _inserted(length)]
+        for begin in range(0, len(own), ROWS):
+            cells = chars[begin : begin + ROWS].astype(np.uint64)
+            solid, columns = hashes(cells, length - 1), n - length + 1
+            found = [solid[:, :columns], solid[:, 1 : columns + 1]][: 2 if length > 1 else 1] + [_gapped(cells, length - 1, gap) for gap in range(1, length - 1)]
+            found += [solid[:, end : columns + end] ^ _tag(gap) for end, gap in _inserted(length)]
+            cost = np.zeros((len(cells), columns))
+            for f in found:
+                cost += counts[place(f)]
+            at = rarest(cost, count, length) if n <= STRETCH else np.tile(np.arange(count) * length, (len(cells), 1))
+            asked = np.stack([np.take_along_axis(f, at, 1) for f in found], 2)
+            starts = at[:, :, None] + np.array(lead[: len(found)])
+            row, part, kind = np.nonzero(seen[asked >> bits])
+            asked = asked[row, part, kind] & ~rest
+            order = np.argsort(asked)  # neighbours are looked up together
+            asked, starts, mine = asked[order], starts[row, part, kind][order], own[begin + row[order]]
+            first = np.searchsorted(token, asked)
+            many = np.searchsorted(token, asked | rest, "right") - first
+            ends = np.cumsum(many)
+            low = 0
+            while low < len(asked):  # some millions of meetings at a time
+                done = ends[low - 1] if low else 0
+                high = max(int(np.searchsorted(ends, done + MEETINGS, "right")), low + 1)
+                k = np.repeat(np.arange(low, high), many[low:high])
+                j = first[k] + np.arange(len(k)) - np.repeat(ends[low:high] - many[low:high] - done, many[low:high])
+                j = (token[j] & rest).astype(np.int64)
+                a, b = mine[k], owner[j].astype(np.int64)
+                moved = n - np.ceil(least / 2 * (n + size[b]) - 1e-6)
+                can = ((n >= size[b]) if equal else (n > size[b])) & (size[b] >= least / (2 - least) * n - 1e-6) & (np.abs(starts[k] - where[j]) <= moved)
+                met = np.unique(a[can] * len(shorter) + b[can])
+                yield met // len(shorter), met % len(shorter)
+                low = high
+
+
+def _classes_of(texts: list[str], width: int) -> np.ndarray:
+    """Seven bits of each character of texts, a row each; 0 beyond a text's end, and for texts longer than ``width``."""
+    found = {n: cell for n, cell in _by_size(texts).items() if n <= width}
+    out = np.zeros((len(texts), max(found, default=0)), np.uint8)
+    for n, (own, chars) in found.items():
+        out[own, :n] = chars & 127
+    return out
+
+
+def _can_share(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, total: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Whether the longest common subsequence of texts ``a`` of :func:`_classes_of` and texts ``b`` allows the ratio, all pairs at once, as :func:`most_shared` tells it for one text; true of longer texts."""
+    keep = (sizes[a] > mine.shape[1]) | (total[b] > theirs.shape[1])
+    asked = np.flatnonzero(~keep)
+    for begin in range(0, len(asked), ROWS):
+        now = asked[begin : begin + ROWS]
+        some, x = np.unique(a[now], return_inverse=True)
+        own, line = mine[some], theirs[b[now]]
+        shared = np.zeros(len(x), np.int64)
+        for start in range(0, own.shape[1], 64):
+            masks = np.zeros((len(some), 128), np.uint64)
+            for i in range(start, min(start + 64, own.shape[1])):
+                has = np.flatnonzero(sizes[some] > i)
+                masks[has, own[has, i]] |= np.uint64(1) << np.uint64(i - start)
+            rest = np.full(len(x), np.uint64(2**64 - 1))
+            for i in range(line.shape[1]):
+                hit = rest & masks[x, line[:, i]]
+                rest = (rest + hit) | (rest - hit)
+            shared += 64 - np.bitwise_count(rest).astype(np.int64)
+        keep[now] = shared >= np.ceil(least * (sizes[a[now]] + total[b[now]]) / 2 - 1e-6)
+    return keep
+
+
+def across(new: list[str], prior: list[str], least: float) -> Iterator[tuple[int, int, float]]:
+    """Numbers and score of each of ``new`` and each different text of ``prior`` that is near; texts of one side don't meet, however many are alike."""
+    seen: list[np.ndarray] = []
+    cells = [_classes_of(side, WIDTH) for side in (new, prior)]
+    sizes = [np.array([len(x) for x in side], np.int64) for side in (new, prior)]
+    for swapped, sides in ((False, (new, prior)), (True, (prior, new))):
+        turn = slice(None, None, -1) if swapped else slice(None)
+        for x, y in _met(*sides, least, not swapped):
+            can = _can_share(*cells[turn], *sizes[turn], x, y, least)
+            a, b = (y[can], x[can]) if swapped else (x[can], y[can])
+            seen.append(a * len(prior) + b)
+    for pair in np.unique(np.concatenate([np.zeros(0, np.int64), *seen])).tolist():
+        a, b = divmod(pair, len(prior))
+        if new[a] != prior[b] and (score := t.ratio(new[a], prior[b])) >= least:
+            yield a, b, score
+
+
+def _in_tiles(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...]) -> DataFrame:
+    """``*same, id, p_id, score`` as of :func:`pairs`: what shares ``same`` is dealt in tiles of some :data:`TILE` of ``prior`` and as many parts of ``new`` as take :data:`ASKED` each, by hash; each part meets each tile in a task."""
+    schema = T.StructType([*[new.schema[c] for c in same], T.StructField("id", new.schema["id"].dataType), T.StructField("p_id", prior.schema["id"].dataType), T.StructField("score", T.DoubleType())])
+    count = lambda df, name, size: df.groupBy(*same).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+    dealt = checkpointed(count(new, "parts", ASKED).join(count(prior, "tiles", TILE), list(same)))
+    deal = lambda df, one, other: (df.join(dealt, list(same)).withColumn(one, F.pmod(F.xxhash64("form"), F.col(f"{one}s")).cast("int"))
+                                   .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).select(*same, "part", "tile", "id", "form"))
+    at = [*same, "part", "tile"]
+    met = lambda df: df.repartition(3 * tasks(new.sparkSession), *at).groupBy(*at)
+
+    def run(ask: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        found = list(across(ask["form"].tolist(), own["form"].tolist(), least)) if len(ask) and len(own) else []
+        a, b = [f[0] for f in found], [f[1] for f in found]
+        cells = {c: ask[c].iloc[a].to_numpy() for c in (*same, "id")} | {"p_id": own["id"].iloc[b].to_numpy(), "score": [f[2] for f in found]}
+        return pd.DataFrame(cells, columns=schema.names)
+
+    return met(deal(new, "part", "tile")).cogroup(met(deal(prior, "tile", "part"))).applyInPandas(run, schema)
+
+
 def whole(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows that come sorted, as tables of whole groups by ``keys``."""
     rest: list[pa.RecordBatch] = []
@@ -308,11 +494,12 @@ def among(texts: DataFrame, least: float, same: tuple[str, ...], holder: str) ->
     return met(apart("left_anti")).unionByName(told.select(*names, "p_form", "score"))
 
 
-def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...] = (), ordered: bool = True) -> DataFrame:
+def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...] = (), ordered: bool = True, short: bool = False) -> DataFrame:
     """``*same, id, p_id, score``: each of ``new (*same, id, seq, form)`` with each different text of ``prior`` that is near and, if ``ordered``, comes before it.
 
     ``same`` have to be equal; texts that share them meet in one task, each moved once, where they fit there (:data:`TASK_BYTES`).  Others meet over all
     tasks by the pieces of the longer one.  Both are written tables.
+    With ``short``, texts of some dozens of characters, all of ``prior`` before all of ``new``, are dealt in tiles that meet by larger parts; see :func:`across`.
     What letters allow is asked where tokens meet, so texts are moved only for pairs that can be near.  Tables of tokens are sorted, never
     broadcast: Spark takes them for as small as the texts' files, while each text gives dozens of rows.
     """
@@ -320,6 +507,8 @@ def pairs(new: DataFrame, prior: DataFrame, least: float, same: tuple[str, ...]
     turn = (F.col("p_seq") < F.col("seq")) if ordered else (F.col("id") != F.col("p_id"))
     renamed = lambda df: df.select(*same, F.col("id").alias("p_id"), F.col("seq").alias("p_seq"), F.col("form").alias("p_form"))
     new, prior = new.select(*same, "id", "seq", "form"), prior.select(*same, "id", "seq", "form")
+    if short:
+        return checkpointed(_in_tiles(new, prior, least, same))
     within = None
     if same:
         both = new.withColumn("new", F.lit(True)).unionByName(prior.withColumn("new", F.lit(False)))
