@@ -157,8 +157,9 @@ def candidates(texts: list[str], group: np.ndarray, least: float) -> tuple[np.nd
     mix = (group.astype(np.uint64) + np.uint64(1)) * _MIX
     tokens, owners, places, cells = [], [], [], []
     counts = np.zeros(PLACES, np.int64)
-    for n in np.unique(size[size > 0]).tolist():
-        own = np.flatnonzero(size == n)
+    able = (size > 0) & (np.bincount(group)[group] > 1)  # a text alone in its group meets none
+    for n in np.unique(size[able]).tolist():
+        own = np.flatnonzero(able & (size == n))
         chars = np.frombuffer("".join([texts[i] for i in own.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n).astype(np.uint64)
         cells.append((n, own, chars))
         for q in stretch_sizes(n, least):
@@ -193,10 +194,14 @@ def candidates(texts: list[str], group: np.ndarray, least: float) -> tuple[np.nd
             begin = end
     found = np.unique(np.concatenate(codes_))
     a, b = found // len(texts), found % len(texts)
+    some, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    cells, sizes = _classes_of([texts[i] for i in some.tolist()], WIDTH), size[some]
+    keep = _can_share(cells, cells, sizes, sizes, at[: len(a)], at[len(a) :], least)
+    a, b = a[keep], b[keep]
     keep = np.ones(len(a), bool)
     edges = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
     for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if end - begin > 8:
+        if end - begin > 8 and size[a[begin]] > WIDTH:
             mine = codes(texts[a[begin]])
             for x in range(begin, end, 512):
                 others = b[x : min(x + 512, end)]
@@ -334,22 +339,25 @@ def _can_share(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, total: n
     """Whether the longest common subsequence of texts ``a`` of :func:`_classes_of` and texts ``b`` allows the ratio, all pairs at once, as :func:`most_shared` tells it for one text; true of longer texts."""
     keep = (sizes[a] > mine.shape[1]) | (total[b] > theirs.shape[1])
     asked = np.flatnonzero(~keep)
+    asked = asked[np.argsort(sizes[a[asked]], kind="stable")]
+    needed = np.ceil(least * (sizes[a] + total[b]) / 2 - 1e-6).astype(np.int64)
     for begin in range(0, len(asked), ROWS):
         now = asked[begin : begin + ROWS]
+        back, ahead = (int(max((k - needed[now]).max(initial=0), 0)) for k in (sizes[a[now]], total[b[now]]))
         some, x = np.unique(a[now], return_inverse=True)
-        own, line = mine[some], theirs[b[now]]
-        shared = np.zeros(len(x), np.int64)
-        for start in range(0, own.shape[1], 64):
+        own, line = mine[some], theirs[b[now]].T.copy()
+        shared, longest = np.zeros(len(x), np.int64), int(sizes[some].max())
+        for start in range(0, longest, 64):
             masks = np.zeros((len(some), 128), np.uint64)
-            for i in range(start, min(start + 64, own.shape[1])):
+            for i in range(start, min(start + 64, longest)):
                 has = np.flatnonzero(sizes[some] > i)
                 masks[has, own[has, i]] |= np.uint64(1) << np.uint64(i - start)
             rest = np.full(len(x), np.uint64(2**64 - 1))
-            for i in range(line.shape[1]):
-                hit = rest & masks[x, line[:, i]]
+            for chars in line[max(start - back, 0) : start + 64 + ahead]:
+                hit = rest & masks[x, chars]
                 rest = (rest + hit) | (rest - hit)
             shared += 64 - np.bitwise_count(rest).astype(np.int64)
-        keep[now] = shared >= np.ceil(least * (sizes[a[now]] + total[b[now]]) / 2 - 1e-6)
+        keep[now] = shared >= needed[now]
     return keep
 
 

@@ -231,3 +231,42 @@ def test_pairs_of_a_block_meet_only_where_they_can_be_near(spark, monkeypatch):
     assert 0.82 < scores[1] < 0.9 <= scores[0]
     assert got["near"]["status"] == "MATCHED" if scores[0] - scores[1] >= 0.08 else got["near"]["reason"].startswith(f"best={scores[0]:.3f} runner_up={scores[1]:.3f}")
     assert got["clear"]["matched_id"] == "S5" and met[0].count() == 2
+
+
+def test_names_asked_for_meet_the_master_only(spark, monkeypatch):
+    """Names asked for that are alike in a crowd aren't compared with each other, and tiles tell what all pairs tell."""
+    from tallyward.operators import near
+
+    monkeypatch.setattr(near, "_within", lambda *a: (_ for _ in ()).throw(AssertionError("all names of a block in one task")))
+    monkeypatch.setattr(near, "tokens", lambda *a: (_ for _ in ()).throw(AssertionError("moved by pieces")))
+    monkeypatch.setattr(near, "ASKED", 40)
+    monkeypatch.setattr(near, "TILE", 20)
+    names = [f"supplier {i * 37} of {'north' if i % 2 else 'south'}" for i in range(60)]
+    asked = [f"supplier {i * 37 + i % 3} of north" for i in range(90)] + [f"seller {i}" for i in range(90)]
+    new = spark.createDataFrame([("*", i, n, 1) for i, n in enumerate(asked)], "block string, id long, form string, seq int")
+    prior = spark.createDataFrame([("*", i, n, 0) for i, n in enumerate(names)], "block string, id long, form string, seq int")
+    got = {(r["id"], r["p_id"]): r["score"] for r in near.pairs(new, prior, 0.9, ("block",), short=True).collect()}
+    expected = {(i, j): SequenceMatcher(None, a, b).ratio() for i, a in enumerate(asked) for j, b in enumerate(names) if a != b}
+    assert got == {k: v for k, v in expected.items() if v >= 0.9} and len(got) > 60
+
+
+@pytest.mark.parametrize("least", [0.9, 0.82, 0.7])
+def test_short_texts_meet_by_parts_but_for_a_character(least):
+    """Against all pairs, with letters lost, added and changed anywhere, and sizes around those that are bounded together."""
+    from tallyward.operators import near
+
+    rng = random.Random(int(least * 100))
+    for alphabet in ("ab", "abcdefghij 0123", "abcdef0123456789é一"):
+        sizes = (1, 2, 4, 9, 12, 25, 38, 64, 65) if len(alphabet) < 17 else (12, 38, 130, near.WIDTH - 1, near.WIDTH + 2)
+        base = ["".join(rng.choice(alphabet) for _ in range(n)) for n in sizes]
+
+        def changed(text):
+            for _ in range(rng.randint(0, max(1, len(text) // 8))):
+                i = rng.randrange(len(text) + 1)
+                text = text[:i] + rng.choice(["", rng.choice(alphabet)]) + text[i + rng.randint(0, 1):]
+            return text
+
+        mine, theirs = (sorted({changed(rng.choice(base)) for _ in range(30)}) for _ in range(2))
+        got = {(a, b): s for a, b, s in near.across(mine, theirs, least)}
+        expected = {(i, j): SequenceMatcher(None, a, b).ratio() for i, a in enumerate(mine) for j, b in enumerate(theirs) if a != b}
+        assert got == {k: v for k, v in expected.items() if v >= least}

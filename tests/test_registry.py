@@ -249,3 +249,23 @@ def test_a_stretch_less_is_told_without_the_matcher():
         i = rng.randint(0, len(a))
         b = a[:i] + a[i + rng.randint(0, 3) :] + rng.choice(["", "", "", "x"])
         assert t.ratio(a, b) == SequenceMatcher(None, a, b).ratio() and t.ratio(b, a) == SequenceMatcher(None, b, a).ratio()
+
+
+def test_few_texts_of_an_amount_are_bounded_before_they_are_compared(monkeypatch):
+    """Invoices of one amount that differ in their numbers only aren't held against each other by the matcher, also where these are few."""
+    import pyarrow as pa
+
+    rows = []
+    for g in range(40):
+        for i in range(6):
+            k = g * 160016 + i * 7919 * 16
+            form = f"invoice invoice no: inv-{k:09d} supplier: supplier {k * 7} ltd vat no: ee{k * 31:011d} bill to: customer {k * 3} vat id: de{k * 17:010d} payment terms: net 30 qty unit price total: eur {g}.55"
+            rows.append((g, f"f{k}", f"h{k}", f"c{k}", f"b{k}", form, "EUR", f"{g}.55", True))
+    near_one = rows[0][:1] + ("last", "h", "c", "b", rows[0][5][:50] + rows[0][5][51:]) + rows[0][6:]
+    rows = sorted([*rows, near_one], key=lambda r: (r[0], r[1]))
+    names = ["group", "file", "file_hash", "content_hash", "business_key", "form", "currency", "gross_total", "bookable"]
+    asked, ratio = [], dedupe.t.ratio
+    monkeypatch.setattr(dedupe.t, "ratio", lambda a, b: asked.append(1) or ratio(a, b))
+    told = dedupe._booked_in_turn(pa.table({n: [r[i] for r in rows] for i, n in enumerate(names)}))
+    expected = {i for i, r in enumerate(rows) if any(s[0] == r[0] and SequenceMatcher(None, r[5], s[5]).ratio() >= dedupe.DECLINE for s in rows[:i])}
+    assert {i for i, x in enumerate(told) if x[0] == "dup"} == expected and len(expected) == 1 and len(asked) < 20
